@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F, types as T
+from collections.abc import Sequence
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from freightlane.functions.types import is_fractional, is_integral, is_nested
 
+# The text forms that Spark reads as a whole number, a number and a boolean.
+_BLANK = r"[\s\p{Cntrl}]*"
+WHOLE_TEXT = rf"^{_BLANK}[+-]?\d+{_BLANK}$"
+NUMBER_TEXT = rf"(?i)^{_BLANK}[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?[df]?|inf|infinity|nan){_BLANK}$"
+BOOLEAN_TEXT = rf"(?i)^{_BLANK}(t|true|y|yes|1|f|false|n|no|0){_BLANK}$"
+INTEGER_BITS = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
+
 
 def quoted(name: str) -> str:
     """A column name as an SQL identifier, so that dots and spaces in names are taken literally."""
@@ -30,6 +40,11 @@ def joined_text(*parts: Column) -> Column:
     return F.concat_ws("", *[as_text(p) for p in parts])
 
 
+def ignoring_case(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The frame with some text columns compared, grouped and joined without regard to case."""
+    return df.withColumns({c: F.col(quoted(c)).cast("string collate UTF8_LCASE") for c in columns})
+
+
 def to_second(c: Column) -> Column:
     return F.date_trunc("second", c)
 
@@ -39,11 +54,50 @@ def json_text(c: Column) -> Column:
     return F.nullif(F.to_json(c, {"ignoreNullFields": "false"}), F.lit("{}"))
 
 
+def _plausible(c: Column, have: T.DataType, want: T.DataType) -> Column | None:
+    """False for values that cannot be cast, as a cheap test; None where no test is needed."""
+    if isinstance(have, T.StringType):
+        if is_integral(want):
+            return c.rlike(WHOLE_TEXT)
+        if is_fractional(want):
+            return c.rlike(NUMBER_TEXT)
+        return c.rlike(BOOLEAN_TEXT) if isinstance(want, T.BooleanType) else None
+    if not (is_integral(have) or is_fractional(have)):
+        return None
+    if is_integral(want):
+        bits = INTEGER_BITS[want.simpleString()]
+        if is_integral(have) and INTEGER_BITS[have.simpleString()] <= bits:
+            return None
+        bound = 1 << (bits - 1)
+        if is_integral(have):
+            return c.between(-bound, bound - 1)
+        # The cast drops the fraction, so anything above -bound - 1 still fits; 64 bits are exact as doubles.
+        if isinstance(have, T.DecimalType):
+            return (c > F.lit(Decimal(-bound - 1))) & (c < F.lit(Decimal(bound)))
+        low = c >= float(-bound) if bits == 64 else c > float(-bound - 1)
+        return low & (c < float(bound))
+    if isinstance(want, T.DecimalType):
+        digits = want.precision - want.scale
+        bound = F.lit(float(10**digits)) if isinstance(have, (T.FloatType, T.DoubleType)) else F.lit(Decimal(10**digits))
+        return (c > -bound) & (c < bound) if digits < 38 else None
+    return None
+
+
+def safe_cast(c: Column, have: T.DataType, want: T.DataType) -> Column:
+    """try_cast that tests values first: a failing try_cast raises and catches an error for each value, which
+    is some thirty times slower than the test."""
+    if have == want:
+        return c
+    plausible = _plausible(c, have, want)
+    cast = c.try_cast(want)
+    return cast if plausible is None else F.when(plausible, cast)
+
+
 def converted(c: Column, have: T.DataType, want: T.DataType) -> Column:
     """`c` in the wanted type; a value that cannot be represented becomes NULL, never an error."""
     if is_nested(have):
         c, have = json_text(c), T.StringType()
-    return c if have == want else c.try_cast(want)
+    return safe_cast(c, have, want)
 
 
 def loses_fraction(c: Column, cast: Column, have: T.DataType, want: T.DataType) -> Column | None:

@@ -8,7 +8,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from freightlane.functions.scalars import loses_fraction, quoted, size_of
+from freightlane.functions.scalars import loses_fraction, quoted, safe_cast, size_of
 from freightlane.functions.types import is_fractional, is_integral, is_nested, is_temporal
 from freightlane.operators.conform import staged_values
 from freightlane.plans.contract import Contract
@@ -32,6 +32,8 @@ def _lanes(c: Column, dtype: T.DataType) -> dict[str, Column]:
         return {"bigint": c.cast("bigint")}
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return {"double": c.cast("double")}
+    if isinstance(dtype, T.StringType) and dtype.collation != "UTF8_BINARY":
+        return {dtype.simpleString(): c}
     if isinstance(dtype, (T.StringType, T.BinaryType)):
         short = F.octet_length(c) <= DIGEST_ABOVE
         return {dtype.simpleString(): F.when(short, c), "digest": F.when(~short, F.unhex(F.sha2(c, 256)))}
@@ -73,11 +75,11 @@ def _text(c: Column, dtype: T.DataType) -> Column:
 def _as_int(c: Column, dtype: T.DataType) -> Column | None:
     """The value as a 32-bit integer, fractions rounded; None for types that have no such reading."""
     if isinstance(dtype, T.DecimalType):
-        return F.round(c, 0).try_cast("int")
+        return safe_cast(F.round(c, 0), dtype, T.IntegerType())
     if is_fractional(dtype):
-        return F.rint(c).try_cast("int")
+        return safe_cast(F.rint(c), T.DoubleType(), T.IntegerType())
     if is_integral(dtype) or isinstance(dtype, (T.BooleanType, T.StringType)):
-        return c.try_cast("int")
+        return safe_cast(c, dtype, T.IntegerType())
     return None
 
 
@@ -100,8 +102,34 @@ def profile(
     flat = _flat(df, names)
     if sample is not None:
         flat = flat.sample(sample, seed=0)
+    # Minima of text need Spark's sort aggregate; apart from it, the other columns keep the compiled hash
+    # aggregate. The two parts read different columns.
+    text = [f for f in flat.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    other = [f for f in flat.schema if f not in text]
+    result = reduce(
+        DataFrame.unionByName, [_facts(flat, table, part, approximate, integers_first) for part in (other, text) if part]
+    )
+    if approximate:
+        return result
+    # Both sides have one row per column of the table, so the broadcast is bounded by its width.
+    counts = distinct_counts(flat, names)
+    return result.drop("distinct_count").join(F.broadcast(counts), "column_name", "left").select(
+        "table_name",
+        "column_name",
+        "null_rate",
+        F.coalesce("distinct_count", F.lit(0).cast("long")).alias("distinct_count"),
+        "min_value",
+        "max_value",
+        "max_length",
+    )
+
+
+def _facts(
+    df: DataFrame, table: str, fields: Sequence[T.StructField], approximate: bool, integers_first: bool
+) -> DataFrame:
+    """The profile rows of some columns from one aggregate; distinct_count is NULL unless approximate."""
     aggregates = [F.count(F.lit(1)).alias("n")]
-    for i, field in enumerate(flat.schema):
+    for i, field in enumerate(fields):
         c = F.col(quoted(field.name))
         aggregates += [F.count_if(c.isNull()).alias(f"nulls{i}"), F.min(c).alias(f"min{i}"), F.max(c).alias(f"max{i}")]
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
@@ -115,7 +143,7 @@ def profile(
                 F.min(whole).alias(f"imin{i}"),
                 F.max(whole).alias(f"imax{i}"),
             ]
-    facts = flat.agg(*aggregates)
+    facts = df.agg(*aggregates)
     have = set(facts.columns)
 
     def extreme(which: str, i: int, dtype: T.DataType) -> Column:
@@ -134,29 +162,16 @@ def profile(
             extreme("max", i, field.dataType).alias("max_value"),
             (F.col(f"length{i}") if f"length{i}" in have else F.lit(None).cast("int")).alias("max_length"),
         )
-        for i, field in enumerate(flat.schema)
+        for i, field in enumerate(fields)
     ]
-    result = facts.select(F.inline(F.array(*rows)))
-    if approximate:
-        return result
-    # Both sides have one row per column of the table, so the broadcast is bounded by its width.
-    counts = distinct_counts(flat, names)
-    return result.drop("distinct_count").join(F.broadcast(counts), "column_name", "left").select(
-        "table_name",
-        "column_name",
-        "null_rate",
-        F.coalesce("distinct_count", F.lit(0).cast("long")).alias("distinct_count"),
-        "min_value",
-        "max_value",
-        "max_length",
-    )
+    return facts.select(F.inline(F.array(*rows)))
 
 
 def _altered(value: Column, cast: Column, have: T.DataType, want: T.DataType) -> Column:
     """True where a number or time survives the cast but comes back as another value."""
     numeric = (is_integral(have) or is_fractional(have)) and (is_integral(want) or is_fractional(want))
     if have != want and (numeric or (is_temporal(have) and is_temporal(want))):
-        return value != cast.try_cast(have)
+        return value != safe_cast(cast, want, have)
     return F.lit(False)
 
 

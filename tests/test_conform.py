@@ -1,0 +1,154 @@
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from freightlane.functions.scalars import ignoring_case, joined_text, safe_cast
+from freightlane.functions.types import spark_type
+from freightlane.operators.conform import conform, reject_counts, split
+from freightlane.plans.contract import ColumnSpec, Contract
+from tests.conftest import rows
+
+
+def contract(*columns, **options):
+    return Contract("s.t", "w.t", tuple(columns), **options)
+
+
+def test_rename_missing_order_and_prune(spark):
+    df = spark.createDataFrame([(1, "x", True)], "a int, b string, extra boolean")
+    out = conform(df, contract(ColumnSpec("z", "TEXT", "b"), ColumnSpec("gone", "INT8"), ColumnSpec("y", "INT8", "a")))
+    assert out.columns == ["z", "gone", "y"]
+    assert [f.dataType.simpleString() for f in out.schema] == ["string", "bigint", "bigint"]
+    assert rows(out) == [("x", None, 1)]
+
+
+def test_column_names_with_dots_and_spaces(spark):
+    df = spark.createDataFrame([(1, 2)], "`a.b` int, `c d` int")
+    out = conform(df, contract(ColumnSpec("x", "INT4", "a.b"), ColumnSpec("y.z", "INT4", "c d")))
+    assert out.columns == ["x", "y.z"] and rows(out) == [(1, 2)]
+
+
+def test_integer_boolean(spark):
+    df = spark.createDataFrame([(0,), (1,), (None,)], "v int")
+    out = conform(df, contract(ColumnSpec("v", "BOOL")))
+    assert {r.v for r in out.collect()} == {False, True, None}
+
+
+def test_decimals_stay_exact_unless_asked(spark):
+    big = Decimal("12345678901234567890.1234567891")
+    df = spark.createDataFrame([(big,)], "v decimal(38,10)")
+    spec = contract(ColumnSpec("v", "DECIMAL"))
+    assert conform(df, spec).first().v == big
+    assert conform(df, spec, decimal_as_double=True).first().v == float(big)
+
+
+def test_nested_values_become_json(spark):
+    df = spark.sql(
+        "select named_struct('a', 1, 'b', cast(null as int)) s, map('k', array(1, 2)) m, array(1, 2) l, "
+        "cast(null as struct<a:int>) n, map() e"
+    )
+    out = conform(df, contract(*[ColumnSpec(c, "JSON") for c in "smlne"]))
+    assert tuple(out.first()) == ('{"a":1,"b":null}', '{"k":[1,2]}', "[1,2]", None, None)
+
+
+def test_empty_struct_is_missing(spark):
+    df = spark.sql("select 1 as id").select(F.struct().alias("s"))
+    assert conform(df, contract(ColumnSpec("s", "JSON"))).first().s is None
+
+
+def test_transform_runs_before_the_cast(spark):
+    df = spark.createDataFrame([("7-x",)], "raw string")
+    out = conform(df, contract(ColumnSpec("n", "INT4", transform="substring(raw, 1, 1)")))
+    assert rows(out) == [(7,)]
+
+
+def test_rejects_name_their_reasons_and_keep_the_value(spark):
+    df = spark.createDataFrame(
+        [(1, "ok", "5", 2.0), (None, "ok", "5", 2.0), (3, "four", "5", 2.0), (4, "ok", "9.7", 2.0), (5, "ok", None, 2.5),
+         (None, "long!", "abc", None)],
+        "id int, word string, n string, f double",
+    )
+    spec = contract(
+        ColumnSpec("id", "INT8", role="primary_key"), ColumnSpec("word", "TEXT", length=3), ColumnSpec("n", "INT4"), ColumnSpec("f", "INT2")
+    )
+    good, bad = split(df, spec)
+    assert rows(good) == [(1, "ok", 5, 2)]
+    assert rows(bad) == sorted(
+        [
+            ("id:null", None, "ok", "5", "2.0"),
+            ("word:too_long", "3", "four", "5", "2.0"),
+            ("n:uncastable", "4", "ok", "9.7", "2.0"),
+            ("f:fraction_lost", "5", "ok", None, "2.5"),
+            ("id:null;word:too_long;n:uncastable", None, "long!", "abc", None),
+        ],
+        key=repr,
+    )
+    assert tuple(reject_counts(df, spec).first()) == (6, 5)
+
+
+def test_length_limit_is_inclusive_and_counts_characters(spark):
+    df = spark.createDataFrame([("äöü",), ("äöüß",)], "v string")
+    good, bad = split(df, contract(ColumnSpec("v", "TEXT", length=3)))
+    assert rows(good) == [("äöü",)] and bad.count() == 1
+
+
+def test_binary_length_counts_bytes(spark):
+    df = spark.createDataFrame([(bytearray(b"abc"),), (bytearray(b"abcd"),)], "v binary")
+    good, bad = split(df, contract(ColumnSpec("v", "VARBYTES", length=3)))
+    assert good.count() == 1 and bad.first().v == "YWJjZA=="
+
+
+def test_good_and_rejects_are_the_whole_input(spark, folder):
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    spec = contract(
+        ColumnSpec("id", "INT8", "o_orderkey"),
+        ColumnSpec("p", "TEXT", "o_orderpriority", length=6),
+        ColumnSpec("s", "TEXT", transform="nullif(o_orderstatus, 'F')", nullable=False),
+    )
+    good, bad = split(orders, spec)
+    assert good.count() + bad.count() == orders.count()
+    assert good.count() > 0 and bad.count() > 0
+
+
+def test_a_contract_without_rules_rejects_nothing(spark):
+    df = spark.createDataFrame([("x",), (None,)], "v string")
+    good, bad = split(df, contract(ColumnSpec("v", "CLOB")))
+    assert good.count() == 2 and bad.count() == 0
+
+
+CAST_SAMPLES = {
+    "string": ["1", " 2 ", "+3", "-4", "9.7", ".5", "5.", "1e3", "1e400", "nan", "-Infinity", "", " ", "abc", "1x", "t", "YES", "off",
+               "2147483647", "2147483648", "99999999999999999999", "0x1F", "1,5", "--1", "1\t", "true ", None],
+    "double": [0.0, -0.4, 1.5, 127.9, 128.0, -128.9, -129.0, 32767.5, 2147483647.9, 2147483648.0, 9.3e18, -9.223372036854775808e18,
+               1e300, float("nan"), float("inf"), float("-inf"), 9999.99, 9999.996, None],
+    "bigint": [0, 127, 128, -128, -129, 32768, -32769, 2**31 - 1, 2**31, -(2**31) - 1, 2**63 - 1, -(2**63), None],
+    "decimal(20,2)": [Decimal("0.00"), Decimal("127.99"), Decimal("128.00"), Decimal("-128.99"), Decimal("-129.00"),
+                      Decimal("999999999999999999.99"), Decimal("9999.99"), None],
+}
+
+
+@pytest.mark.parametrize("have", CAST_SAMPLES)
+@pytest.mark.parametrize("want", ["INT8", "INT4", "INT2", "FLOAT8", "FLOAT4", "DECIMAL(6,2)", "DECIMAL", "BOOL"])
+def test_safe_cast_equals_try_cast(spark, have, want):
+    df = spark.createDataFrame([(v,) for v in CAST_SAMPLES[have]], f"v {have}")
+    want = spark_type(want)
+    both = df.select("v", safe_cast(F.col("v"), df.schema[0].dataType, want).alias("a"), F.col("v").try_cast(want).alias("b"))
+    assert both.filter(~F.col("a").eqNullSafe(F.col("b"))).collect() == []
+
+
+def test_joined_text_ignores_null_parts(spark):
+    df = spark.createDataFrame([("d1", None), ("d1", "")], "a string, b string")
+    assert df.select(F.count_distinct(joined_text(F.col("a"), F.lit("||"), F.col("b")))).first()[0] == 1
+
+
+def test_case_can_be_ignored(spark):
+    df = ignoring_case(spark.createDataFrame([("Ab",), ("aB",)], "v string"), ["v"])
+    assert df.distinct().count() == 1
+
+
+def test_timestamps_and_dates(spark):
+    df = spark.createDataFrame([("2024-01-15 12:30:45.5", "2024-01-15")], "t string, d string")
+    out = conform(df, contract(ColumnSpec("t", "DATETIME"), ColumnSpec("d", "DATE"), ColumnSpec("z", "DATETIMETZ", "t")))
+    assert out.first().t == datetime(2024, 1, 15, 12, 30, 45, 500000)
+    assert [f.dataType.simpleString() for f in out.schema] == ["timestamp_ntz", "date", "timestamp"]
