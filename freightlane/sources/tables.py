@@ -45,7 +45,8 @@ def with_page(df: DataFrame, key: str, pages: int) -> DataFrame:
     bounds = df.agg(F.min(k).alias("low"), F.max(k).alias("high"))
     low, high = bounds.select("low").scalar(), bounds.select("high").scalar()
     position = F.floor((k - low).cast("double") * pages / (high - low + 1).cast("double"))
-    return df.withColumn("page", F.coalesce(F.least(position, F.lit(pages - 1)), F.lit(0)).cast("int"))
+    page = F.when(k.isNull(), 0).otherwise(F.least(position, F.lit(pages - 1)))
+    return df.withColumn("page", page.cast("int"))
 
 
 def split_by_range(df: DataFrame, key: str, pages: int) -> DataFrame:

@@ -10,9 +10,13 @@ from freightlane.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session(
-        "tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g"}
-    )
+    settings = {
+        "spark.sql.shuffle.partitions": "4",
+        "spark.ui.enabled": "false",
+        "spark.driver.memory": "4g",
+        "spark.sql.maxMetadataStringLength": "2000",
+    }
+    session = build_session("tests", "local[4]", **settings)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

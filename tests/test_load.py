@@ -1,0 +1,176 @@
+import pytest
+from pyspark.sql import functions as F
+
+from freightlane.operators import load
+from freightlane.plans.contract import ColumnSpec, Contract
+from freightlane.streaming import resume
+from freightlane.streaming.resume import resume_load
+from tests.conftest import rows
+
+ITEMS = Contract(
+    "s.items",
+    "w.items",
+    (ColumnSpec("id", "INT8", role="primary_key"), ColumnSpec("name", "TEXT", length=5), ColumnSpec("n", "INT4", "amount")),
+)
+SCHEMA = "id long, name string, amount string"
+
+
+@pytest.fixture
+def place(tmp_path):
+    return {k: str(tmp_path / k) for k in ("target", "rejects", "log", "source", "state")}
+
+
+def items(spark, *values):
+    return spark.createDataFrame(list(values), SCHEMA)
+
+
+def test_load_counts_what_was_written(spark, place):
+    df = items(spark, (1, "a", "1"), (1, "b", "1"), (2, "toolong", "2"), (None, "c", "3"), (3, "d", "x"), (4, "e", None))
+    entry = load.load_batch(df, ITEMS, place["target"], "r1", rejects=place["rejects"], log=place["log"])
+    counts = {k: entry[k] for k in ("rows_read", "rows_loaded", "rows_rejected", "rows_ignored")}
+    assert counts == {"rows_read": 6, "rows_loaded": 2, "rows_rejected": 3, "rows_ignored": 1}
+    assert rows(load.read_target(spark, place["target"], ITEMS)) == [(1, "a", 1), (4, "e", None)]
+    rejects = spark.read.options(header=True, escape='"').csv(place["rejects"])
+    assert {r.reject_reasons for r in rejects.collect()} == {"name:too_long", "id:null", "n:uncastable"}
+    assert {r.table for r in rejects.collect()} == {"items"}
+    assert load.read_log(spark, place["log"]).select("table_name", "rows_loaded").collect() == [("items", 2)]
+
+
+def test_rejects_survive_quotes_and_newlines(spark, place):
+    text = 'say "hi",\nthen go'
+    load.load_batch(items(spark, (1, text, "1")), ITEMS, place["target"], "r1", rejects=place["rejects"])
+    back = spark.read.options(header=True, escape='"', multiLine=True).csv(place["rejects"]).first()
+    assert back["name"] == text
+
+
+def test_loading_twice_is_loading_once(spark, place):
+    df = items(spark, (1, "a", "1"), (2, "b", "2"))
+    load.load_batch(df, ITEMS, place["target"], "r1")
+    before = rows(load.read_target(spark, place["target"], ITEMS))
+    again = load.load_batch(df, ITEMS, place["target"], "r1")
+    other = load.load_batch(df, ITEMS, place["target"], "r2")
+    assert rows(load.read_target(spark, place["target"], ITEMS)) == before
+    assert (again["rows_loaded"], other["rows_loaded"], other["rows_ignored"]) == (2, 0, 2)
+
+
+def test_a_key_in_the_target_is_never_replaced(spark, place):
+    load.load_batch(items(spark, (1, "old", "1")), ITEMS, place["target"], "r1")
+    load.load_batch(items(spark, (1, "new", "1"), (2, "two", "2")), ITEMS, place["target"], "r2")
+    assert rows(load.read_target(spark, place["target"], ITEMS)) == [(1, "old", 1), (2, "two", 2)]
+
+
+def test_too_many_rejects_stop_the_load(spark, place):
+    df = items(spark, (1, "a", "1"), (2, "toolong", "2"))
+    with pytest.raises(load.TooManyRejects):
+        load.load_batch(df, ITEMS, place["target"], "r1", rejects=place["rejects"], max_reject_rate=0.4)
+    assert load.target_files(spark, place["target"], ITEMS) is None
+    assert spark.read.options(header=True).csv(place["rejects"]).count() == 1
+    assert load.load_batch(df, ITEMS, place["target"], "r1", max_reject_rate=0.5)["rows_loaded"] == 1
+
+
+def test_without_a_key_every_row_is_new(spark, place):
+    free = Contract("s.f", "w.f", (ColumnSpec("name", "CLOB"),))
+    df = items(spark, (1, "a", None), (2, "a", None))
+    assert load.load_batch(df, free, place["target"], "r1")["rows_loaded"] == 2
+    load.load_batch(df, free, place["target"], "r1")
+    assert load.read_target(spark, place["target"], free).count() == 2
+    load.load_batch(df, free, place["target"], "r2")
+    assert load.read_target(spark, place["target"], free).count() == 4
+
+
+def test_text_keys_that_look_like_numbers(spark, place):
+    keyed = Contract("s.k", "w.k", (ColumnSpec("name", "TEXT", role="primary_key", length=9),))
+    load.load_batch(items(spark, (1, "007", None), (2, "7", None)), keyed, place["target"], "2024")
+    load.load_batch(items(spark, (1, "07", None), (2, "7", None)), keyed, place["target"], "2025")
+    assert rows(load.read_target(spark, place["target"], keyed)) == [("007",), ("07",), ("7",)]
+
+
+def test_empty_source(spark, place):
+    entry = load.load_batch(items(spark, (1, "a", "1")).limit(0), ITEMS, place["target"], "r1")
+    assert (entry["rows_read"], entry["rows_loaded"]) == (0, 0)
+    assert load.read_target(spark, place["target"], ITEMS).count() == 0
+    assert load.read_target(spark, place["source"], ITEMS).count() == 0
+
+
+def test_several_tables_with_filter_and_failure(spark, place):
+    def contract(name, source="id"):
+        return Contract(f"s.{name}", f"w.{name}", (ColumnSpec("id", "INT8", source, role="primary_key"),))
+
+    good, bad, other = contract("good"), contract("bad"), contract("other")
+
+    def read(c):
+        if c is bad:
+            raise OSError("no such table")
+        return items(spark, (1, "a", "1"), (2, "b", "2"))
+
+    log = load.load_tables(spark, [other, good, bad], read, place["target"], "r1", tables=["s.good", "s.bad"])
+    found = {r.table_name: r for r in log.collect()}
+    assert [r.table_name for r in log.collect()] == ["bad", "good"]
+    assert (found["good"].rows_loaded, found["good"].error) == (2, None)
+    assert (found["bad"].rows_loaded, found["bad"].error) == (0, "no such table")
+    totals = load.run_totals(log).first()
+    assert (totals.tables, totals.failures, totals.rows_loaded) == (2, 1, 2)
+    with pytest.raises(OSError):
+        load.load_tables(spark, [good, bad], read, place["target"], "r2", stop_on_error=True)
+
+
+def write_files(spark, folder, first, last):
+    """One Parquet file per number; keys overlap between neighbours."""
+    for i in range(first, last):
+        df = spark.range(i * 10, i * 10 + 15).select("id", F.lit(f"f{i}").alias("name"), F.col("id").cast("string").alias("amount"))
+        df.coalesce(1).write.mode("append").parquet(folder)
+
+
+def stream(spark, place, run="r1", **options):
+    return resume_load(spark, place["source"], ITEMS, place["target"], place["state"], run, **options)
+
+
+def test_a_stream_resumes_and_loads_each_file_once(spark, place):
+    write_files(spark, place["source"], 0, 2)
+    stream(spark, place, max_files=1)
+    assert load.read_target(spark, place["target"], ITEMS).count() == 25
+    write_files(spark, place["source"], 2, 4)
+    stream(spark, place, max_files=1)
+    last = stream(spark, place, max_files=1)
+    target = load.read_target(spark, place["target"], ITEMS)
+    assert sorted(r.id for r in target.collect()) == list(range(45))
+    assert last.recentProgress == [] or all(p["numInputRows"] == 0 for p in last.recentProgress)
+    progress = load.load_progress(load.read_log(spark, f"{place['state']}/r1/log")).first()
+    assert (progress.batches, progress.rows_read, progress.rows_loaded, progress.rows_ignored) == (4, 60, 45, 15)
+
+
+def test_a_batch_that_failed_after_writing_is_replaced(spark, place, monkeypatch):
+    write_files(spark, place["source"], 0, 3)
+    real, calls = load.load_batch, []
+
+    def breaks_once(*args, **options):
+        entry = real(*args, **options)
+        calls.append(args[4])
+        if calls == [0, 1]:
+            raise RuntimeError("executor lost after the write")
+        return entry
+
+    monkeypatch.setattr(resume, "load_batch", breaks_once)
+    with pytest.raises(Exception, match="executor lost"):
+        stream(spark, place, max_files=1)
+    stream(spark, place, max_files=1)
+    assert calls == [0, 1, 1, 2]
+    target = load.read_target(spark, place["target"], ITEMS)
+    assert sorted(r.id for r in target.collect()) == list(range(35))
+
+
+def test_two_runs_into_one_target(spark, place):
+    write_files(spark, place["source"], 0, 2)
+    stream(spark, place, run="monday")
+    stream(spark, place, run="tuesday")
+    assert load.read_target(spark, place["target"], ITEMS).count() == 25
+
+
+def test_bounds_reach_the_target_scan(spark, place):
+    from tests.conftest import plan_of
+
+    load.load_batch(items(spark, (1, "a", "1"), (500, "b", "2")), ITEMS, place["target"], "r1")
+    loaded = load.target_files(spark, place["target"], ITEMS)
+    good = items(spark, (7, "c", "3")).select("id", "name", F.lit(1).alias("n"))
+    plan = plan_of(load.new_rows(good, loaded, ITEMS, 7, 7))
+    assert "GreaterThanOrEqual(id,7)" in plan and "LessThanOrEqual(id,7)" in plan

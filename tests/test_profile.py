@@ -1,0 +1,110 @@
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from freightlane.functions.scalars import ignoring_case
+from freightlane.operators.profile import DIGEST_ABOVE, cast_loss, distinct_counts, profile
+from freightlane.plans.contract import ColumnSpec, Contract
+from tests.conftest import rows
+
+
+@pytest.fixture(scope="module")
+def mixed(spark):
+    long_a, long_b = "x" * (DIGEST_ABOVE + 1), "x" * (DIGEST_ABOVE + 2)
+    return spark.createDataFrame(
+        [
+            (1, 1.5, Decimal("40.646226"), "b", True, date(2024, 1, 2), datetime(2024, 1, 1, 1), bytearray(b"\x01"), [1, 2], long_a),
+            (2, 1.5, Decimal("0.000000"), "a", False, date(2024, 1, 1), datetime(2024, 1, 1, 2), bytearray(b"\x02"), [1, 2], long_b),
+            (None, None, None, None, None, None, None, None, None, None),
+            (2, -3.0, Decimal("40.646226"), "", True, date(2024, 1, 2), datetime(2024, 1, 1, 1), bytearray(b"\x02"), [3], long_a),
+        ],
+        "i int, d double, n decimal(20,6), s string, b boolean, day date, at timestamp_ntz, raw binary, l array<int>, long string",
+    )
+
+
+def by_column(df):
+    return {r.column_name: tuple(r)[2:] for r in df.collect()}
+
+
+def test_profile_of_every_type(mixed):
+    out = by_column(profile(mixed, "t"))
+    assert out["i"] == (0.25, 2, "1", "2", None)
+    assert out["d"] == (0.25, 2, "-3.0", "1.5", None)
+    assert out["n"] == (0.25, 2, "0.000000", "40.646226", None)
+    assert out["s"] == (0.25, 3, "", "b", 1)
+    assert out["b"] == (0.25, 2, "false", "true", None)
+    assert out["day"] == (0.25, 2, "2024-01-01", "2024-01-02", None)
+    assert out["at"] == (0.25, 2, "2024-01-01 01:00:00", "2024-01-01 02:00:00", None)
+    assert out["raw"] == (0.25, 2, "01", "02", 1)
+    assert out["l"] == (0.25, 2, "[1,2]", "[3]", 5)
+    assert out["long"][1] == 2 and out["long"][4] == DIGEST_ABOVE + 2
+
+
+def test_integers_first(spark, mixed):
+    out = by_column(profile(mixed, "t", integers_first=True))
+    assert out["n"][2:4] == ("0", "41")
+    assert out["b"][2:4] == ("0", "1")
+    assert out["d"][2:4] == ("-3", "2")
+    assert out["s"][2:4] == ("", "b")
+    numbers = spark.createDataFrame([("10",), ("9",)], "v string")
+    assert by_column(profile(numbers, "t"))["v"][2:4] == ("10", "9")
+    assert by_column(profile(numbers, "t", integers_first=True))["v"][2:4] == ("9", "10")
+
+
+def test_empty_table(mixed):
+    out = by_column(profile(mixed.limit(0), "t"))
+    assert set(out) == set(mixed.columns)
+    assert all(v[:4] == (0.0, 0, None, None) for v in out.values())
+
+
+def test_all_null_column(spark):
+    df = spark.createDataFrame([(None,), (None,)], "v string")
+    assert by_column(profile(df, "t"))["v"] == (1.0, 0, None, None, None)
+
+
+def test_approximate_and_chosen_columns(spark, folder):
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    exact = by_column(profile(orders, "orders", ["o_custkey"]))["o_custkey"][1]
+    close = by_column(profile(orders, "orders", ["o_custkey"], approximate=True))["o_custkey"][1]
+    assert abs(close - exact) <= 0.15 * exact
+    assert by_column(profile(orders, "orders", ["o_custkey"], approximate=True, sample=0.5))
+
+
+def test_distinct_counts_equal_spark_own(spark, folder):
+    for name in ("lineitem", "documents", "events", "conversations"):
+        df = spark.read.parquet(f"{folder}/{name}.parquet")
+        own = df.agg(*[F.count_distinct(c).alias(c) for c in df.columns]).first().asDict()
+        assert {r.column_name: r.distinct_count for r in distinct_counts(df, df.columns).collect()} == own
+
+
+def test_distinct_floats_and_case(spark):
+    df = spark.createDataFrame([(0.0, "a"), (-0.0, "A"), (float("nan"), "b"), (float("nan"), None)], "d double, s string")
+    assert rows(distinct_counts(df, ["d", "s"])) == [("d", 2), ("s", 3)]
+    assert rows(distinct_counts(ignoring_case(df, ["s"]), ["s"])) == [("s", 2)]
+
+
+def test_digest_and_a_text_that_looks_like_one_stay_apart(spark):
+    import hashlib
+
+    text = "y" * (DIGEST_ABOVE + 1)
+    df = spark.createDataFrame([(text,), (hashlib.sha256(text.encode()).hexdigest(),)], "v string")
+    assert rows(distinct_counts(df, ["v"])) == [("v", 2)]
+
+
+def test_cast_loss(spark):
+    df = spark.createDataFrame([("1", 1.0, 300, 1.25), ("x", 1.5, 3, 2.0), (None, None, None, None)], "t string, d double, i int, e double")
+    contract = Contract(
+        "s.t", "w.t",
+        (ColumnSpec("t", "INT4"), ColumnSpec("d", "INT2"), ColumnSpec("i", "TEXT", length=2), ColumnSpec("e", "DECIMAL", precision=3, scale=1)),
+    )
+    assert rows(cast_loss(df, contract)) == sorted(
+        [
+            ("t", "t", "INT4", 2, 1, 0, 0, 0),
+            ("t", "d", "INT2", 2, 0, 1, 1, 0),
+            ("t", "i", "TEXT", 2, 0, 0, 0, 1),
+            ("t", "e", "DECIMAL", 2, 0, 0, 1, 0),
+        ],
+        key=repr,
+    )
