@@ -95,15 +95,17 @@ def load_batch(
     rejects: str | None = None,
     log: str | None = None,
     max_reject_rate: float = 1.0,
+    frozen: bool = False,
 ) -> dict[str, object]:
     """Load one batch and return its log row. Counts are of rows really written, not of rows sent.
 
     Bad rows go to `rejects` as CSV and the load goes on, unless their share is above `max_reject_rate`.
     The source is scanned once for the columns the rules need, and once for the load; rejects are only
-    written when there are any.
+    written when there are any. A `frozen` source (files) gives the same rows every time, so the key range
+    found by the first scan may prune the target.
     """
     spark = df.sparkSession
-    counts = reject_counts(df, contract, *_key_bounds(contract)).first().asDict()
+    counts = reject_counts(df, contract, *(_key_bounds(contract) if frozen else ())).first().asDict()
     good, bad = split(df, contract)
     if counts["rows_rejected"]:
         if rejects:
@@ -136,6 +138,20 @@ def load_batch(
     return entry
 
 
+def append_bucketed(df: DataFrame, contract: Contract, table: str, buckets: int) -> None:
+    """Add the new keys of conformed rows to a catalog table bucketed by its key, creating it if needed.
+
+    The stored buckets serve as the target's side of the anti-join, so a large target is never shuffled,
+    whatever its key looks like. Repeating the call adds nothing, because its keys are there already.
+    """
+    if not contract.key:
+        raise ValueError(f"{contract.name} has no key to bucket by")
+    spark = df.sparkSession
+    loaded = spark.table(table) if spark.catalog.tableExists(table) else None
+    first, *rest = contract.key
+    new_rows(df, loaded, contract).write.bucketBy(buckets, first, *rest).mode("append").saveAsTable(table)
+
+
 def log_frame(spark: SparkSession, entries: Iterable[dict[str, object]]) -> DataFrame:
     schema = T.StructType.fromDDL(LOG_SCHEMA)
     return spark.createDataFrame([tuple(e[f.name] for f in schema) for e in entries], schema)
@@ -165,6 +181,7 @@ def load_tables(
     at_once: int = 4,
     stop_on_error: bool = False,
     max_reject_rate: float = 1.0,
+    frozen: bool = False,
 ) -> DataFrame:
     """Load several tables, each into its own folder below `target`; the log rows, one per table.
 
@@ -177,7 +194,9 @@ def load_tables(
     def load(contract: Contract) -> dict[str, object]:
         try:
             folder = f"{target.rstrip('/')}/{contract.name}"
-            return load_batch(read(contract), contract, folder, run, rejects=rejects, max_reject_rate=max_reject_rate)
+            return load_batch(
+                read(contract), contract, folder, run, rejects=rejects, max_reject_rate=max_reject_rate, frozen=frozen
+            )
         except Exception as failure:
             if stop_on_error:
                 raise

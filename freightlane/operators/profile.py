@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -124,6 +124,11 @@ def profile(
     )
 
 
+def profile_tables(tables: Mapping[str, DataFrame], **options: object) -> DataFrame:
+    """The profiles of several tables as one frame; `options` go to profile()."""
+    return reduce(DataFrame.unionByName, [profile(df, name, **options) for name, df in tables.items()])
+
+
 def _facts(
     df: DataFrame, table: str, fields: Sequence[T.StructField], approximate: bool, integers_first: bool
 ) -> DataFrame:

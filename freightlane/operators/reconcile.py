@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from freightlane.functions.compare import counts_match, values_match
@@ -161,6 +162,29 @@ def all_checks(parts: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def reconcile_tables(
+    contracts: Iterable[Contract],
+    read_source: Callable[[Contract], DataFrame],
+    read_target: Callable[[Contract], DataFrame],
+    tables: Iterable[str] | None = None,
+    **options: object,
+) -> DataFrame:
+    """The checks of every contract, or of the chosen source tables. A table that cannot be read gives error
+    rows; `options` go to table_checks()."""
+    wanted = set(tables) if tables else None
+    chosen = sorted((c for c in contracts if wanted is None or c.source_table in wanted), key=lambda c: c.name)
+
+    def found(read: Callable[[Contract], DataFrame], contract: Contract) -> DataFrame | None:
+        try:
+            return read(contract)
+        except AnalysisException:
+            return None
+
+    return all_checks(
+        table_checks(found(read_source, c), found(read_target, c), c, **options) for c in chosen
+    )
+
+
 def table_verdicts(checks: DataFrame) -> DataFrame:
     """A table passes when all its checks do."""
     return checks.groupBy("table_name").agg(

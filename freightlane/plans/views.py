@@ -5,6 +5,8 @@ Each takes the tables it reads as DataFrames and returns a lazy DataFrame.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from freightlane.functions.scalars import as_text, blank_to_null, joined_text, or_zero
@@ -52,9 +54,14 @@ def datasource_summary(datasource_details: DataFrame, custom_queries: DataFrame)
     )
 
 
+def _newest_first(history: DataFrame, *names: str) -> DataFrame:
+    """Distinct load times and names. Sorting by the names too lets one large load spread over many tasks."""
+    return history.select("load_time", *names).distinct().orderBy(F.desc("load_time"), *names)
+
+
 def datasource_load_log(datasource_history: DataFrame) -> DataFrame:
     """When each datasource was loaded, newest first."""
-    return datasource_history.select("load_time", "datasource", "datasource_id").distinct().orderBy(F.desc("load_time"))
+    return _newest_first(datasource_history, "datasource", "datasource_id")
 
 
 def datasource_interactions(datasource_details: DataFrame, events: DataFrame) -> DataFrame:
@@ -114,7 +121,7 @@ def workbook_summary(
 
 def workbook_load_log(dashboard_history: DataFrame) -> DataFrame:
     """When each workbook was loaded, newest first."""
-    return dashboard_history.select("load_time", "workbook", "workbook_id").distinct().orderBy(F.desc("load_time"))
+    return _newest_first(dashboard_history, "workbook", "workbook_id")
 
 
 def workbook_interactions(usage: DataFrame, events: DataFrame) -> DataFrame:
@@ -123,3 +130,26 @@ def workbook_interactions(usage: DataFrame, events: DataFrame) -> DataFrame:
     return fan_out_join(usage, named, "view_id", "item_luid", ["workbook", "workbook_id"]).select(
         "event_id", "workbook", "workbook_id", "event_type", "event_date"
     )
+
+
+# The name of each view and of the tables it reads.
+VIEWS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
+    "datasource_details_base_smry": (datasource_summary, ("datasource_details_base", "custom_query_details_base")),
+    "datasource_details_load_log": (datasource_load_log, ("datasource_details_hist",)),
+    "datasource_interaction_smry": (datasource_interactions, ("datasource_details_base", "event_details_base")),
+    "workbook_details_base_smry": (
+        workbook_summary,
+        ("dashboard_details_base", "datasource_details_base", "custom_query_details_base", "usage_statistics_base"),
+    ),
+    "workbook_details_load_log": (workbook_load_log, ("dashboard_details_hist",)),
+    "workbook_interaction_smry": (workbook_interactions, ("usage_statistics_base", "event_details_base")),
+}
+
+
+def register_views(tables: Mapping[str, DataFrame]) -> list[str]:
+    """Make every view whose tables are given available to SQL under its name; the names registered."""
+    ready = [name for name, (_, needed) in VIEWS.items() if all(t in tables for t in needed)]
+    for name in ready:
+        build, needed = VIEWS[name]
+        build(*[tables[t] for t in needed]).createOrReplaceTempView(name)
+    return ready

@@ -49,6 +49,9 @@ def with_page(df: DataFrame, key: str, pages: int) -> DataFrame:
     return df.withColumn("page", page.cast("int"))
 
 
-def split_by_range(df: DataFrame, key: str, pages: int) -> DataFrame:
-    """The rows moved into key-ordered partitions, for a sink that is written one page at a time."""
-    return df.repartitionByRange(pages, quoted(key))
+def split_by_range(df: DataFrame, pages: int, *keys: str) -> DataFrame:
+    """The rows moved into key-ordered partitions, for a sink that is written one page at a time.
+
+    Further keys divide the rows that share a frequent first key.
+    """
+    return df.repartitionByRange(pages, *[quoted(k) for k in keys])

@@ -42,7 +42,9 @@ def resume_load(
     stream = spark.readStream.schema(schema).options(**options).parquet(source)
 
     def write(batch: DataFrame, number: int) -> None:
-        load_batch(batch, contract, target, run, number, rejects=rejects, log=log, max_reject_rate=max_reject_rate)
+        load_batch(
+            batch, contract, target, run, number, rejects=rejects, log=log, max_reject_rate=max_reject_rate, frozen=True
+        )
 
     query = (
         stream.writeStream.foreachBatch(write)

@@ -174,3 +174,24 @@ def test_bounds_reach_the_target_scan(spark, place):
     good = items(spark, (7, "c", "3")).select("id", "name", F.lit(1).alias("n"))
     plan = plan_of(load.new_rows(good, loaded, ITEMS, 7, 7))
     assert "GreaterThanOrEqual(id,7)" in plan and "LessThanOrEqual(id,7)" in plan
+
+
+def test_bucketed_target_is_not_shuffled(spark, tmp_path):
+    from tests.conftest import plan_of
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS buckets LOCATION '%s'" % (tmp_path / "db"))
+    first = items(spark, (1, "a", None), (2, "b", None)).select("id", "name", F.lit(1).alias("n"))
+    second = items(spark, (2, "x", None), (3, "c", None), (3, "d", None)).select("id", "name", F.lit(2).alias("n"))
+    load.append_bucketed(first, ITEMS, "buckets.items", 4)
+    load.append_bucketed(second, ITEMS, "buckets.items", 4)
+    load.append_bucketed(second, ITEMS, "buckets.items", 4)
+    assert rows(spark.table("buckets.items")) == [(1, "a", 1), (2, "b", 1), (3, "c", 2)]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(load.new_rows(second, spark.table("buckets.items"), ITEMS))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
+    with pytest.raises(ValueError):
+        load.append_bucketed(first, Contract("s.f", "w.f", (ColumnSpec("name", "CLOB"),)), "buckets.free", 4)

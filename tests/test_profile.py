@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from freightlane.functions.scalars import ignoring_case
-from freightlane.operators.profile import DIGEST_ABOVE, cast_loss, distinct_counts, profile
+from freightlane.operators.profile import DIGEST_ABOVE, cast_loss, distinct_counts, profile, profile_tables
 from freightlane.plans.contract import ColumnSpec, Contract
 from tests.conftest import rows
 
@@ -108,3 +108,8 @@ def test_cast_loss(spark):
         ],
         key=repr,
     )
+
+
+def test_profiles_of_several_tables(spark):
+    out = profile_tables({"a": spark.range(3), "b": spark.range(5)})
+    assert [(r.table_name, r.distinct_count) for r in out.orderBy("table_name").collect()] == [("a", 3), ("b", 5)]

@@ -200,3 +200,16 @@ def test_row_diff_equals_brute_force(spark, folder):
         (k, "changed", sum(left[k].values()), sum(right[k].values())) for k in left if k in right and left[k] != right[k]
     )
     assert rows(rc.row_diff(lines, other, ["l_suppkey"])) == expected and expected
+
+
+def test_reconcile_tables_goes_on_past_a_missing_one(spark, tmp_path):
+    df = sales(spark, *BASE)
+    gone = Contract("s.gone", "w.gone", SALES.columns)
+
+    def read_target(contract):
+        return spark.read.parquet(str(tmp_path / "nothing")) if contract is gone else loaded(df)
+
+    checks = rc.reconcile_tables([SALES, gone], lambda c: df, read_target)
+    assert {r.table_name: r["pass"] for r in rc.table_verdicts(checks).collect()} == {"gone": False, "sales": True}
+    only = rc.reconcile_tables([SALES, gone], lambda c: df, read_target, tables=["s.sales"])
+    assert {r.table_name for r in only.collect()} == {"sales"}

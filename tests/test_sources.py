@@ -45,7 +45,7 @@ def test_pages_of_odd_keys(spark):
 
 
 def test_split_by_range(spark):
-    parts = tables.split_by_range(spark.range(1000), "id", 4).select(F.spark_partition_id().alias("p"), "id")
+    parts = tables.split_by_range(spark.range(1000), 4, "id").select(F.spark_partition_id().alias("p"), "id")
     spans = parts.groupBy("p").agg(F.min("id"), F.max("id")).orderBy("p").collect()
     assert all(a[2] < b[1] for a, b in zip(spans, spans[1:]))
 

@@ -124,3 +124,11 @@ def test_fan_out_join_equals_a_plain_join(spark, folder):
     plain = plain.select("o_orderkey", "l_returnflag").groupBy("o_orderkey", "l_returnflag").count()
     mine = fan_out_join(lines, orders, "l_orderkey", "o_orderkey", ["l_returnflag"]).groupBy("o_orderkey", "l_returnflag").count()
     assert rows(mine) == rows(plain)
+
+
+def test_views_can_be_queried_by_name(spark, details, queries, events):
+    ready = views.register_views(
+        {"datasource_details_base": details, "custom_query_details_base": queries, "event_details_base": events}
+    )
+    assert ready == ["datasource_details_base_smry", "datasource_interaction_smry"]
+    assert spark.sql("select sum(field_cnt) as n from datasource_details_base_smry").first().n == 3
