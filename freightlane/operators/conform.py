@@ -71,6 +71,10 @@ def _breaches(staged: DataFrame, contract: Contract) -> list[tuple[str, Column]]
     return rules
 
 
+def breaks_contract(staged: DataFrame, contract: Contract) -> Column:
+    return reduce(or_, [condition for _, condition in _breaches(staged, contract)], F.lit(False))
+
+
 def _as_received(c: Column, dtype: T.DataType) -> Column:
     if is_nested(dtype):
         return F.to_json(c, {"ignoreNullFields": "false"})
@@ -94,8 +98,7 @@ def split(df: DataFrame, contract: Contract, decimal_as_double: bool = False) ->
     shuffle, nothing cached. The reasons are joined by ';'.
     """
     staged = staged_values(df, contract, decimal_as_double)
-    rules = _breaches(staged, contract)
-    bad = reduce(or_, [condition for _, condition in rules], F.lit(False))
+    rules, bad = _breaches(staged, contract), breaks_contract(staged, contract)
     rejects = staged.filter(bad).select(
         F.concat_ws(";", *[F.when(condition, F.lit(reason)) for reason, condition in rules]).alias(REASONS),
         *[_as_received(F.col(f"v{i}"), staged.schema[f"v{i}"].dataType).alias(s.target) for i, s in enumerate(contract.columns)],
@@ -103,13 +106,9 @@ def split(df: DataFrame, contract: Contract, decimal_as_double: bool = False) ->
     return _conformed(staged.filter(~bad), contract), rejects
 
 
-def reject_counts(df: DataFrame, contract: Contract, *extra: Column) -> DataFrame:
-    """One row: rows_read, rows_rejected, and any `extra` aggregates over c0, c1, ... (converted values).
-
-    Reads only the columns the rules need.
-    """
+def reject_counts(df: DataFrame, contract: Contract) -> DataFrame:
+    """One row: rows_read and rows_rejected. Reads only the columns the rules need."""
     staged = staged_values(df, contract)
-    bad = reduce(or_, [condition for _, condition in _breaches(staged, contract)], F.lit(False))
-    return staged.withColumn("bad", bad).agg(
-        F.count(F.lit(1)).alias("rows_read"), F.count_if(F.col("bad")).alias("rows_rejected"), *extra
+    return staged.select(breaks_contract(staged, contract).alias("bad")).agg(
+        F.count(F.lit(1)).alias("rows_read"), F.count_if(F.col("bad")).alias("rows_rejected")
     )

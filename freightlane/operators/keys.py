@@ -32,7 +32,11 @@ def one_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column] = ())
     Spark keep only the best row per key in each map task before the shuffle, so a hot key moves one row
     per task.
     """
-    ties = [F.asc_nulls_first(quoted(f.name)) for f in df.schema if f.name not in key and _orderable(f.dataType)]
+    ties = [
+        F.col(quoted(f.name)).asc_nulls_first() if _orderable(f.dataType) else F.to_json(F.col(quoted(f.name)))
+        for f in df.schema
+        if f.name not in key
+    ]
     ranking = [*order, *ties] or [F.lit(1)]
     window = Window.partitionBy(*[quoted(k) for k in key]).orderBy(*ranking)
     return df.withColumn(RANK, F.row_number().over(window)).filter(F.col(RANK) == 1).drop(RANK)

@@ -172,7 +172,7 @@ def test_bounds_reach_the_target_scan(spark, place):
     load.load_batch(items(spark, (1, "a", "1"), (500, "b", "2")), ITEMS, place["target"], "r1")
     loaded = load.target_files(spark, place["target"], ITEMS)
     good = items(spark, (7, "c", "3")).select("id", "name", F.lit(1).alias("n"))
-    plan = plan_of(load.new_rows(good, loaded, ITEMS, 7, 7))
+    plan = plan_of(load.new_rows(good, load._in_key_range(loaded, ITEMS, 7, 7), ITEMS))
     assert "GreaterThanOrEqual(id,7)" in plan and "LessThanOrEqual(id,7)" in plan
 
 
@@ -195,3 +195,45 @@ def test_bucketed_target_is_not_shuffled(spark, tmp_path):
     assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
     with pytest.raises(ValueError):
         load.append_bucketed(first, Contract("s.f", "w.f", (ColumnSpec("name", "CLOB"),)), "buckets.free", 4)
+
+
+@pytest.mark.parametrize("share", [0.0, 1.0])
+@pytest.mark.parametrize("already", [None, [], [(2, "old", 0)], [(1, "old", 0), (3, "old", 0), (77, "old", 0)]])
+@pytest.mark.parametrize("extra", [[], [(2, "a", 9), (3, "c", 1)]])
+def test_both_ways_to_new_rows_agree(spark, monkeypatch, share, already, extra):
+    monkeypatch.setattr(load, "FEW_KEYS", share)
+    schema = "id long, name string, n int"
+    good = spark.createDataFrame([(1, "a", 1), (2, "b", 1), (3, "c", 1), (4, "d", 1), *extra], schema)
+    loaded = None if already is None else spark.createDataFrame(already, schema)
+    direct = rows(load.new_rows(good, loaded, ITEMS))
+    assert rows(load.new_rows_by_keys(good, loaded, ITEMS, 4, len(extra))) == direct
+    known = {k for k, _, _ in already or []}
+    assert [r[0] for r in direct] == sorted({1, 2, 3, 4} - known)
+
+
+def test_first_look(spark):
+    df = items(spark, (1, "a", "1"), (1, "b", "1"), (2, "toolong", "2"), (None, "c", "3"), (3, "d", "x"), (4, "e", None))
+    assert load.first_look(df, ITEMS) == {
+        "rows_read": 6, "rows_rejected": 3, "keys": 2, "repeated": 1, "low": 1, "high": 4
+    }
+    assert load.first_look(df.limit(0), ITEMS)["rows_read"] == 0
+
+
+@pytest.mark.parametrize("frozen", [True, False])
+def test_frozen_and_live_sources_load_the_same(spark, place, frozen):
+    first = items(spark, (1, "a", "1"), (1, "b", "1"), (2, "toolong", "2"), (None, "c", "3"))
+    second = items(spark, (1, "z", "1"), (2, "x", "1"), (2, "w", "1"), (3, "y", "1"))
+    for run, df in (("r1", first), ("r2", second), ("r2", second)):
+        load.load_batch(df, ITEMS, place["target"], run, frozen=frozen)
+    assert rows(load.read_target(spark, place["target"], ITEMS)) == [(1, "a", 1), (2, "w", 1), (3, "y", 1)]
+
+
+def test_uncontested_rows_are_not_shuffled(spark, folder):
+    from tests.conftest import plan_of
+
+    orders = spark.read.parquet(f"{folder}/orders.parquet").withColumnRenamed("o_orderkey", "id")
+    n = orders.count()
+    fresh = load.new_rows_by_keys(orders, None, ITEMS, n, 0)
+    assert "Exchange" not in plan_of(fresh) and fresh.count() == n
+    plan = plan_of(load.new_rows_by_keys(orders.unionByName(orders.filter("id < 5")), None, ITEMS, n, 5))
+    assert "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") == 1
