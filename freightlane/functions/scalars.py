@@ -22,6 +22,20 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def literal(text: str | None) -> str:
+    """A text as an SQL literal."""
+    if text is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def stacked(df: DataFrame, names: Sequence[str], rows: Sequence[Sequence[str]]) -> DataFrame:
+    """Each row of `df` as several rows, given as SQL expressions. One expression for all of them keeps the
+    driver's work small for wide tables."""
+    values = ", ".join(expression for row in rows for expression in row)
+    return df.selectExpr(f"stack({len(rows)}, {values}) AS ({', '.join(names)})")
+
+
 def as_text(c: Column) -> Column:
     return c.cast("string")
 

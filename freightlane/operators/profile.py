@@ -8,12 +8,13 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from freightlane.functions.scalars import loses_fraction, quoted, safe_cast, size_of
+from freightlane.functions.scalars import literal, loses_fraction, quoted, safe_cast, size_of, stacked
 from freightlane.functions.types import is_fractional, is_integral, is_nested, is_temporal
 from freightlane.operators.conform import staged_values
 from freightlane.plans.contract import Contract
 
-# Values longer than this many bytes are shuffled as a SHA-256 digest when only their identity matters.
+# Text longer than this many bytes is shuffled as a SHA-256 digest when only its identity matters. The digest
+# itself takes 71 bytes.
 DIGEST_ABOVE = 64
 
 
@@ -26,18 +27,18 @@ def _flat(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ])
 
 
-def _lanes(c: Column, dtype: T.DataType) -> dict[str, Column]:
-    """The value as typed lanes, at most one of which is filled; equal lanes mean equal values."""
+def _lane(c: Column, dtype: T.DataType) -> tuple[str, Column]:
+    """(type, value) under which equal values are equal. Long text becomes a digest, which no short text can
+    equal because it is longer than all of them."""
     if is_integral(dtype) or isinstance(dtype, T.BooleanType):
-        return {"bigint": c.cast("bigint")}
+        return "bigint", c.cast("bigint")
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return {"double": c.cast("double")}
-    if isinstance(dtype, T.StringType) and dtype.collation != "UTF8_BINARY":
-        return {dtype.simpleString(): c}
-    if isinstance(dtype, (T.StringType, T.BinaryType)):
-        short = F.octet_length(c) <= DIGEST_ABOVE
-        return {dtype.simpleString(): F.when(short, c), "digest": F.when(~short, F.unhex(F.sha2(c, 256)))}
-    return {dtype.simpleString(): c}
+        return "double", c.cast("double")
+    if isinstance(dtype, T.BinaryType):
+        return "string", F.sha2(c, 256)
+    if isinstance(dtype, T.StringType) and dtype.collation == "UTF8_BINARY":
+        return "string", F.when(F.octet_length(c) > DIGEST_ABOVE, F.concat(F.lit("sha256:"), F.sha2(c, 256))).otherwise(c)
+    return dtype.simpleString(), c
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -47,31 +48,32 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     the map tasks and one frequent value is one row per task. Columns without a value give no row.
     """
     flat = _flat(df, columns)
-    split = [_lanes(F.col(quoted(f.name)), f.dataType) for f in flat.schema]
-    lanes = sorted({lane for one in split for lane in one})
-    empty = {lane: next(one[lane] for one in split if lane in one) for lane in lanes}
+    split = [_lane(F.col(quoted(f.name)), f.dataType) for f in flat.schema]
+    lanes = {lane: value for lane, value in split}
+    position = {lane: n for n, lane in enumerate(lanes)}
     wide = flat.select(
-        *[value.alias(f"v{i}_{lanes.index(lane)}") for i, one in enumerate(split) for lane, value in one.items()],
-        *[F.when(F.lit(False), empty[lane]).alias(f"none_{n}") for n, lane in enumerate(lanes)],
+        *[value.alias(f"v{i}") for i, (_, value) in enumerate(split)],
+        *[F.when(F.lit(False), value).alias(f"none_{position[lane]}") for lane, value in lanes.items()],
     )
     sets = ", ".join(
-        "(" + ", ".join(f"v{i}_{n}" if lane in one else f"none_{n}" for n, lane in enumerate(lanes)) + f") AS `{i}`"
-        for i, one in enumerate(split)
+        "(" + ", ".join(f"v{i}" if lane == own else f"none_{n}" for lane, n in position.items()) + f") AS `{i}`"
+        for i, (own, _) in enumerate(split)
     )
-    names = [f"lane_{n}" for n in range(len(lanes))]
+    names = [f"lane_{n}" for n in position.values()]
     query = f"SELECT * FROM {{wide}} UNPIVOT INCLUDE NULLS (({', '.join(names)}) FOR position IN ({sets}))"
     long = df.sparkSession.sql(query, wide=wide).select("position", *names)
-    values = long.filter(reduce(or_, [F.col(n).isNotNull() for n in names])).distinct()
+    # A count beside the keys lets Spark use its faster hash table for them.
+    values = (
+        long.filter(reduce(or_, [F.col(n).isNotNull() for n in names]))
+        .groupBy("position", *names)
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
     labels = F.array(*[F.lit(c) for c in columns])
-    return values.groupBy("position").agg(F.count(F.lit(1)).alias("distinct_count")).select(
+    return values.groupBy("position").agg(F.count("copies").alias("distinct_count")).select(
         F.get(labels, F.col("position").cast("int")).alias("column_name"), "distinct_count"
     )
 
 
-def _text(c: Column, dtype: T.DataType) -> Column:
-    return F.hex(c) if isinstance(dtype, T.BinaryType) else c.cast("string")
-
-
 def _as_int(c: Column, dtype: T.DataType) -> Column | None:
     """The value as a 32-bit integer, fractions rounded; None for types that have no such reading."""
     if isinstance(dtype, T.DecimalType):
@@ -134,42 +136,33 @@ def _facts(
 ) -> DataFrame:
     """The profile rows of some columns from one aggregate; distinct_count is NULL unless approximate."""
     aggregates = [F.count(F.lit(1)).alias("n")]
+    rows = []
     for i, field in enumerate(fields):
-        c = F.col(quoted(field.name))
-        aggregates += [F.count_if(c.isNull()).alias(f"nulls{i}"), F.min(c).alias(f"min{i}"), F.max(c).alias(f"max{i}")]
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            aggregates.append(F.max(size_of(c, field.dataType)).alias(f"length{i}"))
+        c, dtype = quoted(field.name), field.dataType
+        low, high = (f"hex({end}{i})" if isinstance(dtype, T.BinaryType) else f"string({end}{i})" for end in ("min", "max"))
+        length = counted = "NULL"
+        aggregates += [F.expr(f"count_if({c} IS NULL)").alias(f"nulls{i}")]
+        aggregates += [F.expr(f"{end}({c})").alias(f"{end}{i}") for end in ("min", "max")]
+        if isinstance(dtype, (T.StringType, T.BinaryType)):
+            aggregates.append(F.max(size_of(F.col(c), dtype)).alias(f"length{i}"))
+            length = f"length{i}"
         if approximate:
-            aggregates.append(F.approx_count_distinct(c).alias(f"distinct{i}"))
-        whole = _as_int(c, field.dataType) if integers_first else None
+            aggregates.append(F.expr(f"approx_count_distinct({c})").alias(f"distinct{i}"))
+            counted = f"distinct{i}"
+        whole = _as_int(F.col(c), dtype) if integers_first else None
         if whole is not None:
             aggregates += [
-                F.count_if(c.isNotNull() & whole.isNull()).alias(f"nonint{i}"),
+                F.count_if(F.col(c).isNotNull() & whole.isNull()).alias(f"nonint{i}"),
                 F.min(whole).alias(f"imin{i}"),
                 F.max(whole).alias(f"imax{i}"),
             ]
-    facts = df.agg(*aggregates)
-    have = set(facts.columns)
-
-    def extreme(which: str, i: int, dtype: T.DataType) -> Column:
-        native = _text(F.col(f"{which}{i}"), dtype)
-        if f"nonint{i}" not in have:
-            return native
-        return F.when(F.col(f"nonint{i}") == 0, F.col(f"i{which}{i}").cast("string")).otherwise(native)
-
-    rows = [
-        F.struct(
-            F.lit(table).alias("table_name"),
-            F.lit(field.name).alias("column_name"),
-            (F.col(f"nulls{i}") / F.greatest(F.col("n"), F.lit(1))).alias("null_rate"),
-            (F.col(f"distinct{i}") if approximate else F.lit(None).cast("long")).alias("distinct_count"),
-            extreme("min", i, field.dataType).alias("min_value"),
-            extreme("max", i, field.dataType).alias("max_value"),
-            (F.col(f"length{i}") if f"length{i}" in have else F.lit(None).cast("int")).alias("max_length"),
-        )
-        for i, field in enumerate(fields)
-    ]
-    return facts.select(F.inline(F.array(*rows)))
+            low, high = (f"if(nonint{i} = 0, string(i{end}{i}), {native})" for end, native in (("min", low), ("max", high)))
+        rows.append((
+            literal(table), literal(field.name), f"nulls{i} / greatest(n, 1)", f"CAST({counted} AS BIGINT)",
+            low, high, f"CAST({length} AS INT)",
+        ))
+    names = ("table_name", "column_name", "null_rate", "distinct_count", "min_value", "max_value", "max_length")
+    return stacked(df.agg(*aggregates), names, rows)
 
 
 def _altered(value: Column, cast: Column, have: T.DataType, want: T.DataType) -> Column:
@@ -188,25 +181,17 @@ def cast_loss(df: DataFrame, contract: Contract) -> DataFrame:
         value, cast = F.col(f"v{i}"), F.col(f"c{i}")
         have, want = staged.schema[f"v{i}"].dataType, staged.schema[f"c{i}"].dataType
         fraction = loses_fraction(value, cast, have, want)
-        too_long = size_of(cast, want) > spec.length if spec.length else F.lit(False)
-        uncastable = F.lit(False) if is_nested(have) else value.isNotNull() & cast.isNull()
-        aggregates += [
-            F.count(value).alias(f"values{i}"),
-            F.count_if(uncastable).alias(f"uncastable{i}"),
-            F.count_if(fraction if fraction is not None else F.lit(False)).alias(f"fraction{i}"),
-            F.count_if(_altered(value, cast, have, want)).alias(f"altered{i}"),
-            F.count_if(too_long).alias(f"long{i}"),
-        ]
-        rows.append(
-            F.struct(
-                F.lit(contract.name).alias("table_name"),
-                F.lit(spec.target).alias("column_name"),
-                F.lit(spec.base).alias("canonical_type"),
-                F.col(f"values{i}").alias("non_null"),
-                F.col(f"uncastable{i}").alias("uncastable"),
-                F.col(f"fraction{i}").alias("fraction_lost"),
-                F.col(f"altered{i}").alias("altered"),
-                F.col(f"long{i}").alias("too_long"),
-            )
-        )
-    return staged.agg(*aggregates).select(F.inline(F.array(*rows)))
+        counted = {
+            "uncastable": F.lit(False) if is_nested(have) else value.isNotNull() & cast.isNull(),
+            "fraction_lost": F.lit(False) if fraction is None else fraction,
+            "altered": _altered(value, cast, have, want),
+            "too_long": size_of(cast, want) > spec.length if spec.length else F.lit(False),
+        }
+        aggregates.append(F.count(value).alias(f"non_null{i}"))
+        aggregates += [F.count_if(condition).alias(f"{name}{i}") for name, condition in counted.items()]
+        rows.append((
+            literal(contract.name), literal(spec.target), literal(spec.base),
+            f"non_null{i}", *[f"{name}{i}" for name in counted],
+        ))
+    names = ("table_name", "column_name", "canonical_type", "non_null", "uncastable", "fraction_lost", "altered", "too_long")
+    return stacked(staged.agg(*aggregates), names, rows)

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from freightlane.functions.compare import counts_match, values_match
-from freightlane.functions.scalars import quoted
+from freightlane.functions.scalars import literal, quoted, stacked
 from freightlane.functions.types import (
     INTEGER_TYPES,
     NUMERIC_TYPES,
@@ -54,12 +54,12 @@ def _problem(df: DataFrame | None, side: str, name: str, check: str, spec: Colum
     return None
 
 
-def _aggregate(check: str, c: Column, dtype: T.DataType) -> Column:
+def _aggregate(check: str, column: str, dtype: T.DataType) -> Column:
+    c = quoted(column)
     if check == SUM:
         # Integers are added as decimals: a 64-bit sum overflows on large tables.
-        wide = c.cast("decimal(20,0)") if is_integral(dtype) else c
-        return F.coalesce(F.sum(wide), F.lit(0)).cast("string")
-    return (F.min(c) if check == MIN else F.max(c)).cast("string")
+        return F.expr(f"string(coalesce(sum({f'CAST({c} AS DECIMAL(20,0))' if is_integral(dtype) else c}), 0))")
+    return F.expr(f"string({'min' if check == MIN else 'max'}({c}))")
 
 
 def _measured(df: DataFrame, checks: Sequence[tuple[str, str, str]], label: str) -> DataFrame:
@@ -69,31 +69,26 @@ def _measured(df: DataFrame, checks: Sequence[tuple[str, str, str]], label: str)
     apart, reading only the key columns.
     """
     types = {f.name.lower(): f.dataType for f in df.schema}
-    simple = [c for c in checks if c[0] != DISTINCT]
     facts = df.agg(
-        F.count(F.lit(1)).cast("string").alias("n"),
-        *[_aggregate(check, F.col(quoted(c)), types[c.lower()]).alias(f"a{i}") for i, (check, c, _) in enumerate(simple)],
+        F.expr("string(count(1))").alias("n"),
+        *[
+            _aggregate(check, c, types[c.lower()]).alias(f"a{i}")
+            for i, (check, c, _) in enumerate(checks)
+            if check != DISTINCT
+        ],
     )
-
-    def row(check: str, reported: str | None, value: Column) -> Column:
-        return F.struct(
-            F.lit(check).alias("check"), F.lit(reported).cast("string").alias("column_name"), value.alias(label)
-        )
-
-    long = facts.select(
-        F.inline(F.array(
-            row(ROW_COUNT, None, F.col("n")), *[row(check, name, F.col(f"a{i}")) for i, (check, _, name) in enumerate(simple)]
-        ))
-    )
-    reported = {c: name for check, c, name in checks if check == DISTINCT}
-    if not reported:
-        return long
-    counted = distinct_counts(df, list(reported)).withColumnRenamed("distinct_count", "counted")
-    labels = F.create_map(*[F.lit(x) for pair in reported.items() for x in pair])
-    distinct = counted.select(
-        F.lit(DISTINCT).alias("check"), labels[F.col("column_name")].alias("column_name"), F.col("counted").cast("string").alias(label)
-    )
-    return long.unionByName(distinct)
+    rows = [(literal(ROW_COUNT), literal(None), literal(None), "n")]
+    for i, (check, c, name) in enumerate(checks):
+        key, value = (literal(c), literal(None)) if check == DISTINCT else (literal(None), f"a{i}")
+        rows.append((literal(check), literal(name), key, value))
+    long = stacked(facts, ("check", "column_name", "key_column", "value"), rows)
+    keys = [c for check, c, _ in checks if check == DISTINCT]
+    if not keys:
+        return long.select("check", "column_name", F.col("value").alias(label))
+    # One row per key column; a column without any value has none, which is a count of zero.
+    counts = F.broadcast(distinct_counts(df, keys).withColumnRenamed("column_name", "key_column"))
+    counted = F.expr("if(key_column IS NULL, value, string(coalesce(distinct_count, 0)))")
+    return long.join(counts, "key_column", "left").select("check", "column_name", counted.alias(label))
 
 
 def table_checks(
@@ -135,14 +130,9 @@ def table_checks(
     left = _measured(source, [(check, name, spec.target) for check, name, spec in runnable], "source")
     right = _measured(target, [(check, spec.target, spec.target) for check, _, spec in runnable], "target")
     right = right.withColumnsRenamed({"check": "check_r", "column_name": "column_r"})
-    paired = left.join(
-        right, (F.col("check") == F.col("check_r")) & F.col("column_name").eqNullSafe(F.col("column_r")), "full_outer"
-    ).select(F.coalesce("check", "check_r").alias("check"), F.coalesce("column_name", "column_r").alias("column_name"), "source", "target")
-    # A key column without any value has no distinct row: that is a count of zero.
-    paired = paired.withColumns({
-        side: F.when((F.col("check") == DISTINCT) & F.col(side).isNull(), "0").otherwise(F.col(side))
-        for side in ("source", "target")
-    })
+    # Both sides have one row per planned check, so the broadcast is bounded by the contract.
+    same = (F.col("check") == F.col("check_r")) & F.col("column_name").eqNullSafe(F.col("column_r"))
+    paired = left.join(F.broadcast(right), same)
     temporal = [spec.target for spec in contract.columns if spec.base in TEMPORAL_TYPES]
     kind = F.when(F.col("column_name").isin(temporal), "temporal").otherwise("numeric")
     kind = F.when(F.col("check") == DISTINCT, "exact").otherwise(kind)

@@ -8,12 +8,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 # AQE re-plans joins and splits skewed partitions at run time; UTC keeps time stamps comparable
-# between engines. Partition counts and memory are left to the cluster.
+# between engines. Call-site capture for every column expression doubles the driver's planning time for wide
+# tables. Partition counts and memory are left to the cluster.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

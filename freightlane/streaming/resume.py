@@ -17,13 +17,12 @@ def resume_load(
     state: str,
     run: str,
     schema: T.StructType | None = None,
-    files: str = "*.parquet",
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     rejects: str | None = None,
     max_reject_rate: float = 1.0,
 ) -> StreamingQuery:
-    """Load all files that were not loaded yet, in batches of `max_files` files or `max_bytes`, then stop.
+    """Load all files of a folder or glob that were not loaded yet, in batches of `max_files` files or `max_bytes`, then stop.
 
     `state` holds the stream's checkpoint and the load log, both named after run and table. Calling again
     with the same run continues after the last finished batch; an unfinished batch is repeated and replaces
@@ -32,13 +31,13 @@ def resume_load(
     """
     place = f"{state.rstrip('/')}/{run}/{contract.name}"
     log = f"{state.rstrip('/')}/{run}/log"
-    options = {"pathGlobFilter": files}
+    options = {}
     if max_files:
         options["maxFilesPerTrigger"] = str(max_files)
     if max_bytes:
-        options["maxBytesPerTrigger"] = max_bytes
+        options["maxBytesPerTrigger"] = str(max_bytes)
     if schema is None:
-        schema = spark.read.option("pathGlobFilter", files).parquet(source).schema
+        schema = spark.read.parquet(source).schema
     stream = spark.readStream.schema(schema).options(**options).parquet(source)
 
     def write(batch: DataFrame, number: int) -> None:

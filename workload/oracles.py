@@ -139,7 +139,7 @@ ORACLES: dict[str, str] = {
     "v1_status_summary": """
 WITH ds AS (
   SELECT o_custkey AS datasource_id, o_orderpriority AS datasource, o_totalprice >= 250000 AS contains_extract,
-    substr(o_orderpriority, 3) AS ds_project, year(o_orderdate) AS dashboard_id, month(o_orderdate) AS sheet_id,
+    lower(o_orderpriority) AS ds_project, year(o_orderdate) AS dashboard_id, month(o_orderdate) AS sheet_id,
     o_orderkey AS field_id, CASE WHEN month(o_orderdate) <= 6 THEN '' ELSE CAST(year(o_orderdate) AS VARCHAR) END AS workbook_id,
     nullif(day(o_orderdate), 1) AS table_name, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS column_name,
     CASE WHEN o_orderstatus = 'F' THEN 'Datasource' ELSE 'Workbook' END AS flag

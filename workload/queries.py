@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from freightlane.functions.scalars import as_text
 from freightlane.operators import conform as cf, keys, load, profile as pf, reconcile as rc
@@ -17,8 +18,15 @@ from freightlane.streaming.resume import resume_load
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return src.read_files(spark, f"{folder}/{name}.parquet")
+    """A test table. Its schema is read from the files once, as a catalog would keep it."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = src.read_files(spark, path).schema
+    return src.read_files(spark, path, _SCHEMAS[path])
 
 
 # --- the tables in the shape of the views -----------------------------------------------------------
@@ -30,7 +38,7 @@ def datasource_rows(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_custkey").alias("datasource_id"),
         F.col("o_orderpriority").alias("datasource"),
         (F.col("o_totalprice") >= 250000).alias("contains_extract"),
-        F.substring("o_orderpriority", 3, 30).alias("ds_project"),
+        F.lower("o_orderpriority").alias("ds_project"),
         F.year("o_orderdate").alias("dashboard_id"),
         F.month("o_orderdate").alias("sheet_id"),
         F.col("o_orderkey").alias("field_id"),
@@ -385,21 +393,23 @@ def load_anti(spark: SparkSession, folder: str) -> DataFrame:
     return load.new_rows(cf.conform(lines, LINES), done, LINES)
 
 
-def _streamed(spark: SparkSession, folder: str, contract: Contract, files: str) -> tuple[str, str]:
+def _streamed(spark: SparkSession, folder: str, contract: Contract) -> tuple[str, str]:
     """Stream one table's files into a target, twice; the second run finds nothing to do."""
-    place = work_folder(spark, "load")
+    # The pattern fits a table stored as one file or as a folder of files.
+    place, source = work_folder(spark, "load"), f"{folder}/{contract.name}.parquet*"
     for _ in range(2):
-        resume_load(spark, folder, contract, f"{place}/target", f"{place}/state", "run-1", files=files, max_files=1)
+        schema = table(spark, folder, contract.name).schema
+        resume_load(spark, source, contract, f"{place}/target", f"{place}/state", "run-1", schema, max_bytes=256 << 30)
     return f"{place}/target", f"{place}/state/run-1/log"
 
 
 def load_stream(spark: SparkSession, folder: str) -> DataFrame:
-    target, _ = _streamed(spark, folder, ORDERS, "orders.parquet")
+    target, _ = _streamed(spark, folder, ORDERS)
     return load.read_target(spark, target, ORDERS)
 
 
 def load_progress(spark: SparkSession, folder: str) -> DataFrame:
-    _, log = _streamed(spark, folder, LINES, "lineitem.parquet")
+    _, log = _streamed(spark, folder, LINES)
     return load.load_progress(load.read_log(spark, log)).drop("batches", "last_loaded_at")
 
 
