@@ -9,6 +9,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from freightlane.functions.scalars import quoted
+from freightlane.plans.contract import Contract
 
 RANK = "_rank"
 
@@ -92,3 +93,25 @@ def orphan_rows(child: DataFrame, parent: DataFrame, on: Mapping[str, str]) -> D
     known = parent.select(*[F.col(quoted(p)).alias(c) for c, p in on.items()]).distinct()
     present = reduce(and_, [F.col(quoted(c)).isNotNull() for c in on])
     return child.filter(present).join(known, list(on), "left_anti")
+
+
+def foreign_key_checks(contract: Contract, child: DataFrame, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per foreign key of a contract: how many key values, and child rows, have no parent.
+
+    `parents` holds the referenced tables by the name the contract uses.
+    """
+    schema = "table_name string, column_name string, parent string, orphan_keys long, orphan_rows long, pass boolean"
+    parts = [
+        orphan_keys(child, parents[fk.parent_table], {fk.column: fk.parent_column})
+        .agg(F.count(F.lit(1)).alias("orphan_keys"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("orphan_rows"))
+        .select(
+            F.lit(contract.name).alias("table_name"),
+            F.lit(fk.column).alias("column_name"),
+            F.lit(f"{fk.parent_table}.{fk.parent_column}").alias("parent"),
+            "orphan_keys",
+            "orphan_rows",
+            (F.col("orphan_rows") == 0).alias("pass"),
+        )
+        for fk in contract.foreign_keys
+    ]
+    return reduce(DataFrame.unionByName, parts) if parts else child.sparkSession.createDataFrame([], schema)

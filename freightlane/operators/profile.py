@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from freightlane.functions.scalars import literal, loses_fraction, quoted, safe_cast, size_of, stacked
 from freightlane.functions.types import is_fractional, is_integral, is_nested, is_temporal
-from freightlane.operators.conform import staged_values
+from freightlane.operators.conform import becomes_json, staged_values
 from freightlane.plans.contract import Contract
 
 # Text longer than this many bytes is shuffled as a SHA-256 digest when only its identity matters. The digest
@@ -182,7 +182,7 @@ def cast_loss(df: DataFrame, contract: Contract) -> DataFrame:
         have, want = staged.schema[f"v{i}"].dataType, staged.schema[f"c{i}"].dataType
         fraction = loses_fraction(value, cast, have, want)
         counted = {
-            "uncastable": F.lit(False) if is_nested(have) else value.isNotNull() & cast.isNull(),
+            "uncastable": F.lit(False) if becomes_json(have, want) else value.isNotNull() & cast.isNull(),
             "fraction_lost": F.lit(False) if fraction is None else fraction,
             "altered": _altered(value, cast, have, want),
             "too_long": size_of(cast, want) > spec.length if spec.length else F.lit(False),

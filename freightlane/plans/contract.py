@@ -118,12 +118,15 @@ def column_spec(raw: Mapping[str, Any], key: Iterable[str] = ()) -> ColumnSpec:
 
 def contract_from(mapping: Mapping[str, Any]) -> Contract:
     """A contract from an approved mapping as stored in JSON."""
-    key = tuple(mapping.get("primary_key") or ())
+    columns = mapping.get("columns", [])
+    renamed = {c["source"]: c["target"] for c in columns if c.get("source") and c.get("target")}
+    targets = set(renamed.values())
+    key = tuple(k if k in targets else renamed.get(k, k) for k in mapping.get("primary_key") or ())
     source = mapping.get("source_table", "")
     return Contract(
         source_table=source,
         target_table=mapping.get("target_table") or source,
-        columns=tuple(column_spec(c, key) for c in mapping.get("columns", [])),
+        columns=tuple(column_spec(c, key) for c in columns),
         primary_key=key,
         foreign_keys=tuple(
             ForeignKey(f["column"], f["parent_table"], f["parent_column"])

@@ -57,6 +57,12 @@ def test_empty_struct_is_missing(spark):
     assert conform(df, contract(ColumnSpec("s", "JSON"))).first().s is None
 
 
+def test_nested_value_for_a_number_is_rejected(spark):
+    df = spark.sql("select array(1) as v")
+    good, bad = split(df, contract(ColumnSpec("v", "INT4")))
+    assert good.count() == 0 and rows(bad) == [("v:uncastable", "[1]")]
+
+
 def test_transform_runs_before_the_cast(spark):
     df = spark.createDataFrame([("7-x",)], "raw string")
     out = conform(df, contract(ColumnSpec("n", "INT4", transform="substring(raw, 1, 1)")))

@@ -49,3 +49,10 @@ def test_read_contracts_in_file_order(tmp_path):
         (tmp_path / f"{name}.json").write_text(json.dumps({**MAPPING, "source_table": f"public.{name}"}))
     assert [c.source_table for c in read_contracts(tmp_path)] == ["public.a", "public.b"]
     assert [c.source_table for c in read_contracts(tmp_path, ["public.b"])] == ["public.b"]
+
+
+def test_key_given_by_its_source_name():
+    columns = [{"source": "Id", "target": "item_id", "canonical_type": "INT8", "nullable": True}]
+    contract = contract_from({"source_table": "a.b", "columns": columns, "primary_key": ["Id"]})
+    assert contract.key == ["item_id"] and contract.columns[0].required
+    assert contract.target_table == "a.b"

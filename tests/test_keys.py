@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
-from freightlane.operators.keys import key_check, latest_per_key, not_loaded, one_per_key, orphan_keys, orphan_rows
+from freightlane.operators.keys import foreign_key_checks, key_check, latest_per_key, not_loaded, one_per_key, orphan_keys, orphan_rows
+from freightlane.plans.contract import Contract, ForeignKey
 from tests.conftest import rows
 
 
@@ -57,3 +58,11 @@ def test_a_hot_key_of_a_third_of_all_rows(spark):
     check = key_check(df, ["k"], "t").first()
     assert (check.row_count, check.most_copies) == (n, n // 3)
     assert rows(orphan_keys(df, df.filter("k <> 0"), {"k": "k"})) == [(0, n // 3)]
+
+
+def test_foreign_keys_of_a_contract(spark):
+    child = spark.createDataFrame([(1, "a"), (7, "b"), (7, None), (None, "a")], "ref int, kind string")
+    parents = {"p": spark.createDataFrame([(1,)], "id int"), "k": spark.createDataFrame([("a",), ("b",)], "name string")}
+    contract = Contract("s.c", "w.c", (), foreign_keys=(ForeignKey("ref", "p", "id"), ForeignKey("kind", "k", "name")))
+    assert rows(foreign_key_checks(contract, child, parents)) == [("c", "kind", "k.name", 0, 0, True), ("c", "ref", "p.id", 1, 2, False)]
+    assert foreign_key_checks(Contract("s.c", "w.c", ()), child, {}).count() == 0

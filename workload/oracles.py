@@ -56,6 +56,15 @@ def cast_loss(table: str, column: str, canonical: str, uncastable="false", fract
     )
 
 
+def foreign_key(table: str, column: str, parent: str, parent_column: str) -> str:
+    orphans = f"FROM {table} c WHERE {column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{parent_column} = c.{column})"
+    return (
+        f"SELECT '{table}' AS table_name, '{column}' AS column_name, '{parent}.{parent_column}' AS parent, "
+        f"(SELECT count(DISTINCT {column}) {orphans}) AS orphan_keys, (SELECT count(*) {orphans}) AS orphan_rows, "
+        f"NOT EXISTS (SELECT 1 {orphans}) AS pass"
+    )
+
+
 GOOD = """SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_totalprice AS DECIMAL(18,2)) AS total,
     o_orderdate AS ordered_at, o_orderstatus AS status, o_orderpriority AS priority FROM orders"""
 SHIFTED = f"SELECT * REPLACE (ordered_at + INTERVAL 160 MILLISECOND AS ordered_at) FROM ({GOOD})"
@@ -268,6 +277,14 @@ WHERE l_returnflag <> 'N' AND l_extendedprice = floor(l_extendedprice)""",
 SELECT o_orderkey, count(*) AS row_count FROM orders
 WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) GROUP BY o_orderkey""",
     "orphan_rows": "SELECT * FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
+    "foreign_keys": union([
+        foreign_key("lineitem", "l_orderkey", "orders", "o_orderkey"),
+        foreign_key("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+        foreign_key("orders", "o_custkey", "customer", "c_custkey"),
+        foreign_key("orders", "o_orderkey", "lineitem", "l_orderkey"),
+        foreign_key("documents", "doc_id", "labels", "doc_id"),
+        foreign_key("events", "user_id", "supplier", "s_suppkey"),
+    ]),
     "dedupe_lineitem": """
 SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
   ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS rn

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 from freightlane.functions.scalars import as_text
 from freightlane.operators import conform as cf, keys, load, profile as pf, reconcile as rc
 from freightlane.plans import views
-from freightlane.plans.contract import ColumnSpec, Contract
+from freightlane.plans.contract import ColumnSpec, Contract, ForeignKey
 from freightlane.session import work_folder
 from freightlane.sources import tables as src
 from freightlane.streaming.resume import resume_load
@@ -375,6 +375,24 @@ def orphan_rows(spark: SparkSession, folder: str) -> DataFrame:
     return keys.orphan_rows(table(spark, folder, "documents"), table(spark, folder, "labels"), {"doc_id": "doc_id"})
 
 
+REFERENCES = (
+    Contract("shop.lineitem", "shop.lineitem", (), foreign_keys=(
+        ForeignKey("l_orderkey", "orders", "o_orderkey"), ForeignKey("l_suppkey", "supplier", "s_suppkey"))),
+    Contract("shop.orders", "shop.orders", (), foreign_keys=(
+        ForeignKey("o_custkey", "customer", "c_custkey"), ForeignKey("o_orderkey", "lineitem", "l_orderkey"))),
+    Contract("shop.documents", "shop.documents", (), foreign_keys=(ForeignKey("doc_id", "labels", "doc_id"),)),
+    Contract("shop.events", "shop.events", (), foreign_keys=(ForeignKey("user_id", "supplier", "s_suppkey"),)),
+)
+
+
+def foreign_keys(spark: SparkSession, folder: str) -> DataFrame:
+    def checked(contract: Contract) -> DataFrame:
+        parents = {fk.parent_table: table(spark, folder, fk.parent_table) for fk in contract.foreign_keys}
+        return keys.foreign_key_checks(contract, table(spark, folder, contract.name), parents)
+
+    return rc.all_checks(checked(contract) for contract in REFERENCES)
+
+
 def dedupe_lineitem(spark: SparkSession, folder: str) -> DataFrame:
     return keys.one_per_key(table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -523,6 +541,7 @@ QUERIES: dict[str, Query] = {
     "key_check_nulls": key_check_nulls,
     "orphans": orphans,
     "orphan_rows": orphan_rows,
+    "foreign_keys": foreign_keys,
     "dedupe_lineitem": dedupe_lineitem,
     "latest_per_key": latest_per_key,
     "load_anti": load_anti,
