@@ -132,15 +132,14 @@ def new_rows_by_keys(
     """
     names = [quoted(k) for k in contract.key]
     few = min(MAX_BROADCAST_KEYS, int(keys * FEW_KEYS))
-    if repeated > few:
+    if repeated > few and loaded is None:
         return new_rows(good, loaded, contract)
     contested = contested_keys(good, loaded, contract)
-    if loaded is not None:
-        known = contested.filter("known").count()
-    else:
-        known = 0
+    known = 0 if loaded is None else contested.filter("known").count()
     if repeated == known == 0:
         return good
+    if known == keys:
+        return good.limit(0)
     if repeated + known > few:
         return new_rows(good, loaded, contract)
     # Written out, so that the joins below do not each repeat the search.

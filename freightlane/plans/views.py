@@ -125,10 +125,10 @@ def workbook_load_log(dashboard_history: DataFrame) -> DataFrame:
 
 
 def workbook_interactions(usage: DataFrame, events: DataFrame) -> DataFrame:
-    """One row per event and matching usage row."""
-    named = events.select("event_id", "item_luid", "event_type", "event_date")
-    return fan_out_join(usage, named, "view_id", "item_luid", ["workbook", "workbook_id"]).select(
-        "event_id", "workbook", "workbook_id", "event_type", "event_date"
+    """One row per event and matching usage row. Usage has a row per view, so a plain join does; a view with
+    very many events is split by Spark's skew join."""
+    return usage.join(events, as_text(usage["view_id"]) == as_text(events["item_luid"])).select(
+        events["event_id"], usage["workbook"], usage["workbook_id"], events["event_type"], events["event_date"]
     )
 
 

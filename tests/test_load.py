@@ -198,7 +198,9 @@ def test_bucketed_target_is_not_shuffled(spark, tmp_path):
 
 
 @pytest.mark.parametrize("share", [0.0, 1.0])
-@pytest.mark.parametrize("already", [None, [], [(2, "old", 0)], [(1, "old", 0), (3, "old", 0), (77, "old", 0)]])
+@pytest.mark.parametrize(
+    "already", [None, [], [(2, "old", 0)], [(1, "old", 0), (3, "old", 0), (77, "old", 0)], [(i, "old", 0) for i in range(9)]]
+)
 @pytest.mark.parametrize("extra", [[], [(2, "a", 9), (3, "c", 1)]])
 def test_both_ways_to_new_rows_agree(spark, monkeypatch, share, already, extra):
     monkeypatch.setattr(load, "FEW_KEYS", share)

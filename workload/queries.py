@@ -120,7 +120,7 @@ def v5_load_log(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def v6_interactions(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items are usage rows of an order: several equal ones per order, each kept in the result."""
+    """Line items are usage rows of an order: several per order, each kept in the result."""
     usage = table(spark, folder, "lineitem").select(
         F.col("l_orderkey").cast("int").alias("view_id"),
         F.col("l_returnflag").alias("workbook"),
