@@ -253,6 +253,7 @@ def load_tables(
     target: str,
     run: str,
     rejects: str | None = None,
+    log: str | None = None,
     tables: Iterable[str] | None = None,
     at_once: int = 4,
     stop_on_error: bool = False,
@@ -271,7 +272,7 @@ def load_tables(
         try:
             folder = f"{target.rstrip('/')}/{contract.name}"
             return load_batch(
-                read(contract), contract, folder, run, rejects=rejects, max_reject_rate=max_reject_rate, frozen=frozen
+                read(contract), contract, folder, run, 0, rejects=rejects, log=log, max_reject_rate=max_reject_rate, frozen=frozen
             )
         except Exception as failure:
             if stop_on_error:

@@ -103,7 +103,8 @@ def test_several_tables_with_filter_and_failure(spark, place):
             raise OSError("no such table")
         return items(spark, (1, "a", "1"), (2, "b", "2"))
 
-    log = load.load_tables(spark, [other, good, bad], read, place["target"], "r1", tables=["s.good", "s.bad"])
+    log = load.load_tables(spark, [other, good, bad], read, place["target"], "r1", log=place["log"], tables=["s.good", "s.bad"])
+    assert [r.table_name for r in load.load_progress(load.read_log(spark, place["log"])).collect()] == ["good"]
     found = {r.table_name: r for r in log.collect()}
     assert [r.table_name for r in log.collect()] == ["bad", "good"]
     assert (found["good"].rows_loaded, found["good"].error) == (2, None)
