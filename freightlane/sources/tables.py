@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from freightlane.functions.scalars import quoted
 from freightlane.plans.contract import Contract
+from freightlane.session import work_folder
 
 
 def read_files(spark: SparkSession, path: str, schema: T.StructType | None = None, format: str = "parquet") -> DataFrame:
@@ -30,6 +31,17 @@ def source_columns(contract: Contract, df: DataFrame) -> list[str]:
     return list(dict.fromkeys(c.source_name for c in contract.columns if c.source_name.lower() in present))
 
 
+def snapshot(df: DataFrame) -> DataFrame:
+    """The rows as they are now, copied once into the shared work folder.
+
+    For sources that change or are costly to read, such as databases: checks and load then see the same rows,
+    the source is read once, and the copy can be loaded as frozen.
+    """
+    place = f"{work_folder(df.sparkSession, 'snapshot')}/rows"
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
+
+
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))
 

@@ -20,6 +20,13 @@ def test_scan_without_options_is_the_table(spark, folder):
     assert tables.row_count(df).first().row_count == 25
 
 
+def test_a_snapshot_stays_the_same(spark):
+    changing = spark.range(50).select("id", F.rand().alias("v"))
+    kept = tables.snapshot(changing)
+    assert rows(kept) == rows(kept) and kept.schema.names == ["id", "v"] and kept.count() == 50
+    assert rows(changing.withColumn("v", F.rand())) != rows(kept)
+
+
 def test_source_columns(spark):
     df = spark.createDataFrame([(1, 2, 3)], "a int, B int, c int")
     plain = Contract("s", "t", (ColumnSpec("x", "INT4", "a"), ColumnSpec("y", "INT4", "b"), ColumnSpec("z", "INT4", "gone")))
