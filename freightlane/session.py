@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from urllib.parse import urlsplit
 
 from pyspark.sql import SparkSession
 
@@ -29,13 +29,29 @@ def build_session(name: str = "freightlane", master: str | None = None, **settin
     return builder.getOrCreate()
 
 
-def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder for work files below the shared folder named in spark.checkpoint.dir.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors see: spark.checkpoint.dir, else the warehouse.
 
-    Every executor must see it, so a machine-local folder is used only where the setting is absent,
-    as in tests.
+    The warehouse defaults to a folder of the driver's machine. With executors elsewhere such a folder would be
+    written piecemeal and read back empty, so that choice is an error.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", "") or ""
-    if not shared:
-        return tempfile.mkdtemp(prefix=f"{purpose}-")
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    named = spark.conf.get("spark.checkpoint.dir", "") or ""
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    master = spark.conf.get("spark.master", "local")
+    one_machine = master == "local" or master.startswith("local[")
+    if not one_machine and urlsplit(warehouse).scheme in ("", "file"):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all machines see; {warehouse} is local")
+    return f"{warehouse}/work"
+
+
+def work_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder name for work files below the shared folder."""
+    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a work folder that this code made, in whatever file system it lies."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -9,8 +9,9 @@ from freightlane.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     settings = {
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         "spark.sql.shuffle.partitions": "4",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "4g",

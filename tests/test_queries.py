@@ -10,6 +10,7 @@ import pytest
 import __spark_entry__ as contract
 from freightlane.session import work_folder
 from tests.conftest import plan_of
+from workload.oracles import ORACLES
 from workload.queries import QUERIES
 
 LOADS = {"load_stream", "load_progress", "load_summary", "load_totals"}
@@ -30,7 +31,8 @@ def normal(columns, values):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(QUERIES) == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
@@ -86,5 +88,20 @@ def test_work_folder_is_in_the_shared_folder(setting):
     assert first.startswith(f"{setting.rstrip('/')}/x-") and first != second
 
 
-def test_work_folder_without_a_shared_folder():
-    assert Path(work_folder(SimpleNamespace(conf={}), "x")).is_dir()
+class Settings(dict):
+    def get(self, key, default=None):
+        return super().get(key, default)
+
+
+def test_work_folder_without_a_shared_folder_is_in_the_warehouse():
+    local = SimpleNamespace(conf=Settings({"spark.sql.warehouse.dir": "/ware/house", "spark.master": "local[4]"}))
+    assert work_folder(local, "x").startswith("/ware/house/work/x-")
+    stored = SimpleNamespace(conf=Settings({"spark.sql.warehouse.dir": "hdfs://name/house", "spark.master": "yarn"}))
+    assert work_folder(stored, "x").startswith("hdfs://name/house/work/x-")
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://host:1", "local-cluster[2,1,1024]"])
+def test_a_local_warehouse_is_no_shared_folder(master):
+    session = SimpleNamespace(conf=Settings({"spark.sql.warehouse.dir": "file:/ware/house", "spark.master": master}))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_folder(session, "x")
