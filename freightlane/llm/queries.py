@@ -2,17 +2,42 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freightlane.llm import decontaminate, host_quality, license_scan, mixing, sharding
-from freightlane.llm.common import table, text_of
+from freightlane.llm import decontaminate, host_quality, license_scan, mixing, near_dedup, sharding, token_count, warc
+from freightlane.llm.common import table, text_of, written
+from freightlane.session import work_folder
+
+
+def op2_warc_salvage(spark: SparkSession, folder: str) -> DataFrame:
+    place = work_folder(spark, "warc")
+    warc.write_archives(table(spark, folder, "pages"), place)
+    records = written(warc.read_archives(spark, place, keep_payload=False), "records")
+    found = warc.resolved(records)
+    return found.select(
+        warc.page_id(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_id(F.col("refers_to")).alias("refers_to"),
+    )
 
 
 def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(table(spark, folder, "documents"))
 
 
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_count.token_counts(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_dedup.groups(table(spark, folder, "documents"), k=2)
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     out = mixing.mix(table(spark, folder, "documents"), carry=["doc_id"])
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -41,7 +66,10 @@ def op9_shard(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_warc_salvage": op2_warc_salvage,
     "op3_license_scan": op3_license_scan,
+    "op4_token_counts": op4_token_counts,
+    "op5_near_dedup": op5_near_dedup,
     "op6_mix_sources": op6_mix_sources,
     "op7_host_quality": op7_host_quality,
     "op8_decontaminate": op8_decontaminate,
