@@ -6,11 +6,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freightlane.llm import decontaminate, host_quality, license_scan, mixing, near_dedup, sharding, token_count, warc
+from freightlane.llm import (
+    decontaminate,
+    host_quality,
+    html_extract,
+    license_scan,
+    mixing,
+    near_dedup,
+    sharding,
+    token_count,
+    tool_calls,
+    warc,
+)
 from freightlane.llm.common import table, text_of, written
 from freightlane.session import work_folder
 
 
+def op1_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract(table(spark, folder, "pages"))
+
+
 def op2_warc_salvage(spark: SparkSession, folder: str) -> DataFrame:
     place = work_folder(spark, "warc")
     warc.write_archives(table(spark, folder, "pages"), place)
@@ -65,7 +80,12 @@ def op9_shard(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.deal(rows).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op10_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    return tool_calls.transcripts(table(spark, folder, "conversations"))
+
+
 QUERIES = {
+    "op1_main_text": op1_main_text,
     "op2_warc_salvage": op2_warc_salvage,
     "op3_license_scan": op3_license_scan,
     "op4_token_counts": op4_token_counts,
@@ -74,6 +94,7 @@ QUERIES = {
     "op7_host_quality": op7_host_quality,
     "op8_decontaminate": op8_decontaminate,
     "op9_shard": op9_shard,
+    "op10_tool_calls": op10_tool_calls,
 }
 
 ORACLES: dict[str, str] = {}
