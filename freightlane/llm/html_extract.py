@@ -89,7 +89,7 @@ def region(name: str, attributes: str, inside: bool) -> tuple[int, bool]:
 
 
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """(text, characters within links, whether in an article) of every block, without boilerplate."""
+    """(text, characters within links but for spaces, whether in an article) of every block, without boilerplate."""
     lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     linked = 0
@@ -102,7 +102,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if raw and not kind:
             raw = html.unescape(raw) if "&" in raw else raw
             parts.append(raw)
-            linked += len(raw) if link else 0
+            linked += sum(map(len, raw.split())) if link else 0
 
     def flush() -> None:
         nonlocal linked
@@ -180,7 +180,7 @@ def runs(lengths: list[int], surge: int, window: int = WINDOW) -> list[tuple[int
     sums = [sum(lengths[i : i + window]) for i in range(len(lengths))]
     found, start, risen = [], None, False
     for i, s in enumerate([*sums, 0]):
-        if s and start is None:
+        if start is None and i < len(lengths) and lengths[i]:
             start, risen = i, False
         if start is not None:
             risen = risen or s >= surge
@@ -195,7 +195,7 @@ def main_text(page: str | None) -> str:
     """The text of the page's article, its blocks joined by one space."""
     lines = lines_of(page or "")
     marked = any(inside for _, _, inside in lines)
-    lengths = [len(t) * inside if marked else max(0, len(t) - linked) for t, linked, inside in lines]
+    lengths = [len(t) * inside if marked else max(0, len(t) - t.count(" ") - linked) for t, linked, inside in lines]
     kept = runs(lengths, 1 if marked else SURGE)
     if not kept and any(lengths):
         kept = [max(runs(lengths, 1), key=lambda r: sum(lengths[r[0] : r[1]]))]
