@@ -18,6 +18,7 @@ are left out of the groups and kept; repeated rows have the same result each; an
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,13 +32,19 @@ from freightlane.llm.superminhash import band_keys, set_key, shingle_set, short_
 
 SHINGLE = 5
 SIMILARITY = 80  # per cent
-BANDS = 40
 PER_BAND = 6
+#: Two sets of just the similarity asked for share no band with about this probability.
+MISSED = 5.5e-6
 #: Ids alone are small: so many of them are broadcast.
 ID_ROWS = 1_000_000
 
 
-def signed(docs: DataFrame, k: int, id_column: str, text: str) -> DataFrame:
+def bands_for(similarity: int) -> int:
+    """How many bands of PER_BAND values find that similarity; 40 for 80 per cent."""
+    return math.ceil(math.log(MISSED) / math.log1p(-min(similarity / 100, 0.999) ** PER_BAND))
+
+
+def signed(docs: DataFrame, k: int, bands: int, id_column: str, text: str) -> DataFrame:
     """id, n_shingles, set_key, bands and signature of every document with an id."""
 
     def batch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -45,8 +52,8 @@ def signed(docs: DataFrame, k: int, id_column: str, text: str) -> DataFrame:
             for at in range(0, len(frame), 256):
                 part = frame.iloc[at : at + 256]
                 sets = [shingle_set(t, k) for t in part["text"]]
-                rows = signatures(sets, BANDS * PER_BAND)
-                keys, short = band_keys(rows, BANDS, PER_BAND), short_signature(rows)
+                rows = signatures(sets, bands * PER_BAND)
+                keys, short = band_keys(rows, bands, PER_BAND), short_signature(rows)
                 yield pd.DataFrame({
                     "id": part["id"].to_numpy(),
                     "n_shingles": [len(s) for s in sets],
@@ -93,7 +100,7 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, similarity: int) -> Dat
 
 def _may_link(pairs: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
     """Pairs whose sizes and signatures allow the similarity; an estimate six standard deviations below it does not."""
-    slots = BANDS * PER_BAND
+    slots = bands_for(similarity) * PER_BAND
     s = similarity / 100
     least = slots * s - 6 * (slots * s * (1 - s)) ** 0.5
 
@@ -128,7 +135,7 @@ def groups(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", k: int = SHINGLE, similarity: int = SIMILARITY
 ) -> DataFrame:
     """One row per document with an id: the id, n_shingles and component_id, the smallest id of its group."""
-    light = written(signed(docs, k, id_column, text), "signed")
+    light = written(signed(docs, k, bands_for(similarity), id_column, text), "signed")
     copies = light.filter("n_shingles > 0").groupBy("set_key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
     copies = written(copies.filter("n > 1").select(F.col("set_key").alias("copy_key"), "first"), "copies")
     keys = F.expr("set_key = copy_key")

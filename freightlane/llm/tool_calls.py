@@ -10,8 +10,8 @@ Where calls and results come from:
   the call of the turn before it. System messages are neither.
 
 A call refers to others by `depends_on`, or by strings "$<identifier>" in its arguments. Order within a conversation is
-by turn; a call that refers to a later one moves behind it. Calls that refer to each other in a circle keep their turn and
-get the error `cycle`.
+by turn; a call that refers to a later one moves behind it. Calls that refer to each other in a circle, or to such calls,
+keep their turn and get the error `cycle`.
 
 Defined cases: NULL text is empty prose, NULL conversations are one conversation, NULL turns come first; unknown
 roles give nothing; JSON that cannot be read is prose; of several calls or results with one identifier the first by turn
@@ -222,39 +222,51 @@ def linked(found: DataFrame) -> DataFrame:
     )
 
 
+#: A reference that stands before the call that makes it, in the order of turns.
+EARLIER = "(from_turn, from_at, `from`) < (turn, at, `to`)"
+RANKS = "conv long, call_id string, place long, cyclic boolean"
+
+
+def _of(edges: DataFrame, calls: DataFrame, end: str, how: str) -> DataFrame:
+    """The references whose `from` or `to` is (left_semi) or is not (left_anti) one of the calls (conv, call_id)."""
+    known = calls.select(F.col("conv").alias("k_conv"), F.col("call_id").alias("k_id"))
+    return edges.join(known, F.expr(f"conv <=> k_conv AND `{end}` = k_id"), how)
+
+
 def ranks(links: DataFrame) -> DataFrame:
-    """conv, call_id, place and cyclic of the calls that must move behind later ones they refer to.
+    """conv, call_id, place and cyclic of the calls that refer to later ones, and of those that refer to such calls.
 
-    Only calls with references are looked at. In each round a call whose references stand behind it moves behind the last
-    of them; a round without a move ends this. Moves that go on for more rounds than there are calls with references
-    come from circles.
+    All others keep the order of turns. These are taken level by level: a call whose references are all placed is
+    placed behind them. What is never free stands in a circle or refers to one. The number of rounds is the depth of
+    such references, none if every reference stands before its call.
     """
     calls = links.filter("status <> 'orphan'").select("conv", "call_id", F.coalesce("turn", F.lit(0)).alias("turn"), "at", "refers")
     pairs = calls.filter("size(refers) > 0").select("conv", F.col("call_id").alias("to"), "turn", "at", F.explode("refers").alias("from"))
-    before = calls.select(F.col("conv").alias("c"), F.col("call_id").alias("from_id"), F.col("turn").alias("from_turn"), F.col("at").alias("from_at"))
-    edges = pairs.join(before, F.expr("conv <=> c AND `from` = from_id")).select("conv", "to", "turn", "at", "from", "from_turn", "from_at")
+    named = calls.select(F.col("conv").alias("c"), F.col("call_id").alias("id"), F.col("turn").alias("from_turn"), F.col("at").alias("from_at"))
+    edges = pairs.join(named, F.expr("conv <=> c AND `from` = id")).drop("c", "id")
     edges = written(edges.distinct(), "references")
-    start = edges.select("conv", F.col("to").alias("id"), F.col("turn").alias("place")).union(
-        edges.select("conv", F.col("from").alias("id"), F.col("from_turn").alias("place"))
-    )
-    places = written(start.distinct().withColumn("moved", F.lit(0)), "places")
-    most = edges.select("conv", "to").distinct().count()
-    behind = F.expr("p < q OR (p = q AND (from_turn, from_at, `from`) >= (turn, at, `to`))")
-    for turn in range(1, most + 2):
-        own = places.select(F.col("conv").alias("own_conv"), F.col("id").alias("own"), F.col("place").alias("p"))
-        other = places.select(F.col("conv").alias("other_conv"), F.col("id").alias("other"), F.col("place").alias("q"))
-        seen = edges.join(own, F.expr("conv <=> own_conv AND `to` = own")).join(other, F.expr("conv <=> other_conv AND `from` = other"))
-        least = F.when(F.expr("(from_turn, from_at, `from`) < (turn, at, `to`)"), F.col("q")).otherwise(F.col("q") + 1)
-        moves = seen.filter(behind).groupBy(F.col("conv").alias("m_conv"), F.col("to").alias("m_id")).agg(F.max(least).alias("new"))
-        moves = written(moves, "moves")
-        if not moves.limit(1).count():
+    to = ("conv", F.col("to").alias("call_id"))
+
+    rest = written(edges.filter(f"NOT {EARLIER}").select(*to).distinct(), "late")
+    if rest.isEmpty():
+        return links.sparkSession.createDataFrame([], RANKS)
+    while not (more := written(_of(_of(edges, rest, "from", "left_semi"), rest, "to", "left_anti").select(*to).distinct(), "late")).isEmpty():
+        rest = written(rest.unionByName(more), "late")
+
+    placed = links.sparkSession.createDataFrame([], "conv long, call_id string, place long")
+    while True:
+        own = _of(edges, rest, "to", "left_semi")
+        blocked = written(_of(own, rest, "from", "left_semi").select(*to).distinct(), "blocked")
+        known = placed.select(F.col("conv").alias("p_conv"), F.col("call_id").alias("p_id"), "place")
+        free = _of(own, blocked, "to", "left_anti").join(known, F.expr("conv <=> p_conv AND `from` = p_id"), "left")
+        behind = F.coalesce("place", "from_turn") + F.when(F.expr(EARLIER), 0).otherwise(1)
+        new = free.withColumn("behind", behind).groupBy(*to).agg(F.greatest(F.max("turn"), F.max("behind")).alias("place"))
+        new = written(new, "free")
+        if new.isEmpty():
             break
-        joined = places.join(moves, F.expr("conv <=> m_conv AND id = m_id"), "left")
-        places = written(
-            joined.select("conv", "id", F.greatest("place", F.coalesce("new", "place")).alias("place"), F.when(F.col("new").isNotNull(), turn).otherwise(F.col("moved")).alias("moved")),
-            "places",
-        )
-    return places.select("conv", F.col("id").alias("call_id"), "place", (F.col("moved") > most).alias("cyclic"))
+        placed, rest = written(placed.unionByName(new), "placed"), blocked
+    circles = rest.select("conv", "call_id", F.lit(None).cast("long").alias("place"), F.lit(True).alias("cyclic"))
+    return placed.withColumn("cyclic", F.lit(False)).unionByName(circles)
 
 
 def transcripts(

@@ -1,0 +1,187 @@
+"""Tool-call linking."""
+
+import json
+import random
+
+import pytest
+
+from freightlane.llm import tool_calls as tc
+from freightlane.llm.queries import op10_tool_calls
+
+SCHEMA = "conv_id long, turn long, role string, text string, call_id string, status string, place long"
+TOOLS = {
+    "find": {
+        "type": "object",
+        "properties": {
+            "query": {"type": "string", "minLength": 1, "pattern": "^[a-z$]"},
+            "limit": {"type": "integer", "minimum": 1, "maximum": 9},
+            "tags": {"type": "array", "items": {"type": "string", "enum": ["a", "b"]}, "maxItems": 2},
+        },
+        "required": ["query"],
+        "additionalProperties": False,
+    }
+}
+
+
+def linked(spark, messages, schemas=TOOLS, **options):
+    rows = [(*m, "x", "y", 1) for m in messages]
+    out = tc.transcripts(spark.createDataFrame(rows, SCHEMA), schemas, **options)
+    return {(r["conv_id"], r["call_id"]): r.asDict() for r in out.collect()}
+
+
+def calls(*items):
+    return json.dumps({"tool_calls": [{"id": i, "function": {"name": "find", "arguments": json.dumps(a)}} | more for i, a, more in items]})
+
+
+def call(i, arguments, **more):
+    return calls((i, arguments, more))
+
+
+def answer(i, content):
+    return json.dumps({"tool_call_id": i, "content": content})
+
+
+@pytest.mark.parametrize(
+    ("arguments", "errors"),
+    [
+        ({"query": "x"}, ""),
+        ({}, "$.query: required"),
+        ({"query": ""}, "$.query: length,$.query: pattern"),
+        ({"query": "x", "limit": 10, "more": 1}, "$.more: unknown,$.limit: range"),
+        ({"query": "x", "limit": True}, "$.limit: type"),
+        ({"query": "x", "limit": 2.0}, ""),
+        ({"query": "x", "limit": 2.5}, "$.limit: type"),
+        ({"query": "x", "tags": ["a", "c", "b"]}, "$.tags: length,$.tags[1]: enum"),
+        (["x"], "$: type"),
+        (None, "$: type"),
+    ],
+)
+def test_validation(arguments, errors):
+    assert ",".join(tc.invalid(arguments, TOOLS["find"])) == errors
+
+
+def test_canonical_json():
+    value = {"b": [1.0, 1.5, -0.0, 1e300], "a": {"é": None, "Z": True, "a\"\n": "\u2028🙂"}}
+    assert tc.canonical(value) == '{"a":{"Z":true,"a\\"\\n":"\u2028🙂","é":null},"b":[1,1.5,0,1e+300]}'
+    assert json.loads(tc.canonical(value)) == json.loads(json.dumps(value))
+    assert tc.loads('{"x": NaN}') is None and tc.loads("[" * 100_000) is None
+
+
+def test_linking_across_messages(spark):
+    got = linked(spark, [
+        (1, 0, "user", "please"),
+        (1, 1, "assistant", calls(("c1", {"query": "a", "limit": 1}, {}), ("c2", {"query": "$c1"}, {}))),
+        (1, 2, "tool", answer("c2", {"z": 1, "a": [2]})),
+        (1, 3, "tool", answer("c1", "one")),
+        (1, 4, "tool", answer("c9", "lost")),
+        (1, 5, "assistant", 'text <tool_call>{"id":"c3","name":"find","arguments":{"query":"q"}}</tool_call>'),
+        (1, 6, "tool", answer("c1", "again")),
+        (2, 0, "assistant", call("c1", {"query": "other"})),
+        (2, 1, "user", '<tool_response>{"tool_call_id":"c1","content":null}</tool_response>'),
+    ])
+    status = {k: (r["status"], r["n_calls"], r["n_results"], r["position"]) for k, r in got.items()}
+    assert status == {
+        (1, "turn-0"): ("unanswered", 1, 0, 0),
+        (1, "c1"): ("linked", 1, 2, 1),
+        (1, "c2"): ("linked", 1, 1, 2),
+        (1, "c9"): ("orphan", 0, 1, 3),
+        (1, "c3"): ("unanswered", 1, 0, 4),
+        (2, "c1"): ("linked", 1, 1, 0),
+    }
+    record = got[1, "c2"]["record"]
+    assert record == tc.canonical(json.loads(record)) == (
+        '{"arguments":{"query":"$c1"},"call_id":"c2","conversation":1,"errors":"","name":"find","position":2,'
+        '"result":{"a":[2],"z":1},"status":"linked"}'
+    )
+    assert json.loads(got[1, "c1"]["record"])["result"] == "one"
+    assert json.loads(got[1, "c9"]["record"])["name"] is None
+    assert got[1, "turn-0"]["errors"] == "unknown tool"
+
+
+def test_calls_follow_what_they_refer_to(spark):
+    got = linked(spark, [
+        (1, 1, "assistant", call("a", {"query": "$b"})),
+        (1, 2, "assistant", calls(("b", {"query": "$c"}, {}), ("x", {"query": "q"}, {}))),
+        (1, 3, "assistant", call("c", {"query": "q"}, depends_on=["x"])),
+        (1, 4, "assistant", call("d", {"query": "q"}, depends_on=["a", "missing"])),
+    ])
+    order = sorted((r["position"], k[1]) for k, r in got.items())
+    assert [i for _, i in order] == ["x", "c", "b", "a", "d"] or [i for _, i in order].index("d") > [i for _, i in order].index("a")
+    place = {i: p for p, i in order}
+    assert place["x"] < place["c"] < place["b"] < place["a"] < place["d"] and sorted(place.values()) == list(range(5))
+
+
+def test_circles_are_reported_and_end(spark):
+    got = linked(spark, [
+        (1, 1, "assistant", call("a", {"query": "$b"})),
+        (1, 2, "assistant", call("b", {"query": "$a"})),
+        (1, 3, "assistant", call("c", {"query": "$c"})),
+        (1, 4, "assistant", call("d", {"query": "q"})),
+        (2, 1, "assistant", call("a", {"query": "q"})),
+    ])
+    assert {k: r["errors"] for k, r in got.items()} == {(1, "a"): "cycle", (1, "b"): "cycle", (1, "c"): "cycle", (1, "d"): "", (2, "a"): ""}
+    assert [got[1, i]["position"] for i in "abcd"] == [0, 1, 2, 3]
+
+
+def test_random_references_are_in_topological_order(spark):
+    draw = random.Random(6)
+    order = list(range(25))
+    draw.shuffle(order)
+    refers = {order[i]: [order[j] for j in range(i) if draw.random() < 0.12] for i in range(25)}
+    messages = [(1, t, "assistant", call(f"n{t}", {"query": "q"}, depends_on=[f"n{x}" for x in refers[t]])) for t in range(25)]
+    got = linked(spark, messages, block_turns=4)
+    place = {int(k[1][1:]): r["position"] for k, r in got.items()}
+    assert sorted(place.values()) == list(range(25))
+    assert all(place[x] < place[t] for t, found in refers.items() for x in found)
+
+
+def test_nulls_repeats_and_broken_json(spark):
+    got = linked(spark, [
+        (None, None, None, None),
+        (None, 0, "user", None),
+        (None, 1, "assistant", "reply"),
+        (3, None, "user", "no turn"),
+        (3, 0, "user", "hi"),
+        (3, 0, "user", "hi"),
+        (3, 1, "assistant", "{broken"),
+        (3, 2, "robot", "x"),
+        (3, 3, "system", "x"),
+        (4, 0, "assistant", '{"tool_calls": [1, {"id": 7}, {"name": null}]}'),
+        (5, 7, "assistant", "x" * 200_000),
+    ], None)
+    assert {k: (r["status"], r["n_calls"], r["n_results"], r["errors"]) for k, r in got.items()} == {
+        (None, "turn-0"): ("linked", 1, 1, "$.text: length"),
+        (3, "turn-0"): ("linked", 2, 1, ""),
+        (4, "7"): ("unanswered", 1, 0, "unknown tool"),
+        (4, ""): ("unanswered", 1, 0, "unknown tool"),
+        (5, "turn-6"): ("orphan", 0, 1, ""),
+    }
+    assert json.loads(got[3, "turn-0"]["record"])["result"] == "{broken"
+    assert tc.transcripts(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_query_against_brute_force(spark, folder):
+    calls_, results = {}, {}
+    for r in spark.read.parquet(f"{folder}/conversations.parquet").collect():
+        if r["role"] == "user":
+            calls_[r["conv_id"], r["turn"]] = r["text"]
+        elif r["role"] == "assistant":
+            results[r["conv_id"], r["turn"] - 1] = r["text"]
+    expected, places = {}, {}
+    for conv, turn in sorted({*calls_, *results}, key=lambda k: (k[0], k[1] if k in calls_ else k[1] + 1, k not in calls_)):
+        key, both = (conv, turn), (conv, turn) in calls_ and (conv, turn) in results
+        status = "linked" if both else "unanswered" if key in calls_ else "orphan"
+        text = calls_.get(key)
+        errors = "" if text or key not in calls_ else "$.text: length"
+        position = places[conv] = places.get(conv, -1) + 1
+        expected[conv, f"turn-{turn}"] = tc.canonical({
+            "arguments": {"text": text} if key in calls_ else None,
+            "call_id": f"turn-{turn}",
+            "conversation": conv,
+            "errors": errors,
+            "name": "reply" if key in calls_ else None,
+            "position": position,
+            "result": results.get(key),
+            "status": status,
+        })
+    assert {(r["conv_id"], r["call_id"]): r["record"] for r in op10_tool_calls(spark, folder).collect()} == expected
