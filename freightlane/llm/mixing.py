@@ -20,8 +20,8 @@ from freightlane.llm.common import count_words, packed, small, text_of, unpacked
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5  # of all sizes
 PASSES = 2  # at most, over any document
-#: Bits of the 63-bit hash that each level of the histogram resolves.
-LEVELS = (15, 16, 16, 16)
+#: Bits of the 63-bit hash that each level of the histogram resolves: a source has 512 buckets at a time.
+LEVELS = (9, 9, 9, 9, 9, 9, 9)
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, passes: int = PASSES) -> DataFrame:
@@ -55,7 +55,7 @@ def _bucket(level: int) -> Column:
 def thresholds(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """source -> the hash below which documents are taken once more; rows: source, size, hashed; wanted: source, need.
 
-    Each level sums the rows of the boundary bucket only. At the last one the boundary value itself is taken if that
+    Each level sums the rows of the boundary bucket only, which it writes for the next one. At the last one the boundary value itself is taken if that
     brings the sum nearer to the need. Sources whose need covers them all have no boundary and no row here.
     """
     state = wanted.select("source", "need", F.lit(0).cast("long").alias("prefix"))
@@ -63,6 +63,8 @@ def thresholds(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         inside = rows.alias("r").join(small(state).alias("s"), F.expr("r.source <=> s.source"))
         if level:
             inside = inside.filter(_bucket(level - 1) == F.col("prefix"))
+            rows = written(inside.select("r.source", "r.size", "hashed"), "mix-boundary")
+            inside = rows.alias("r").join(small(state).alias("s"), F.expr("r.source <=> s.source"))
         sums = inside.groupBy(F.col("r.source").alias("source"), _bucket(level).alias("bucket")).agg(
             F.sum("size").alias("size"), F.first("need").alias("need")
         )

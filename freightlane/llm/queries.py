@@ -19,6 +19,7 @@ from freightlane.llm import (
     warc,
 )
 from freightlane.llm.common import table, text_of, written
+from freightlane.llm.oracles import ORACLES
 from freightlane.session import work_folder
 
 
@@ -84,6 +85,8 @@ def op10_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
     return tool_calls.transcripts(table(spark, folder, "conversations"))
 
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES = {
     "op1_main_text": op1_main_text,
     "op2_warc_salvage": op2_warc_salvage,
@@ -96,5 +99,3 @@ QUERIES = {
     "op9_shard": op9_shard,
     "op10_tool_calls": op10_tool_calls,
 }
-
-ORACLES: dict[str, str] = {}
