@@ -123,6 +123,29 @@ def loses_fraction(c: Column, cast: Column, have: T.DataType, want: T.DataType)
     return None
 
 
+def loses_scale(c: Column, cast: Column, have: T.DataType, want: T.DataType) -> Column | None:
+    """True where a cast to a decimal type rounded decimal places away; None where that cannot happen."""
+    if isinstance(have, T.DecimalType) and isinstance(want, T.DecimalType) and have.scale > want.scale:
+        return c != cast
+    return None
+
+
+def guarded(df: DataFrame, expression: str) -> tuple[Column, Column]:
+    """The value of an SQL expression, NULL where its evaluation fails, and whether it failed.
+
+    try_to_binary() gives NULL for any error below it. So the value goes through it as text, behind a letter that tells
+    a NULL value from a failure, and comes back in the expression's own type.
+    """
+    dtype = df.select(F.expr(expression).alias("value")).schema[0].dataType
+    if isinstance(dtype, T.NullType):
+        return F.expr(expression), F.lit(False)
+    nested = is_nested(dtype)
+    text = f"to_json({expression}, map('ignoreNullFields', 'false'))" if nested else f"CAST(({expression}) AS STRING)"
+    tried = F.expr(f"CAST(try_to_binary(coalesce(concat('v', {text}), 'n'), 'utf-8') AS STRING)")
+    value = F.when(tried != "n", F.substring(tried, 2, 2**31 - 1))
+    return (F.from_json(value, dtype.simpleString()) if nested else value.cast(dtype)), tried.isNull()
+
+
 def size_of(c: Column, dtype: T.DataType) -> Column:
     """Length in characters, or in bytes for binary values."""
     return F.octet_length(c) if isinstance(dtype, T.BinaryType) else F.char_length(c)

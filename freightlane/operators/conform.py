@@ -7,7 +7,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from freightlane.functions.scalars import converted, loses_fraction, quoted, size_of
+from freightlane.functions.scalars import converted, guarded, loses_fraction, loses_scale, quoted, size_of
 from freightlane.functions.types import is_nested
 from freightlane.plans.contract import ColumnSpec, Contract
 
@@ -31,12 +31,15 @@ def _received(df: DataFrame, contract: Contract) -> DataFrame:
 
     def value(spec: ColumnSpec) -> Column:
         if spec.transform:
-            return F.expr(spec.transform)
+            return guarded(df, spec.transform)[0]
         if spec.source_name.lower() in present:
             return F.col(quoted(spec.source_name))
         return F.lit(None).cast(spec.dtype)
 
-    return df.select(*[value(spec).alias(f"v{i}") for i, spec in enumerate(contract.columns)])
+    failed = [
+        guarded(df, spec.transform)[1].alias(f"f{i}") for i, spec in enumerate(contract.columns) if spec.transform
+    ]
+    return df.select(*[value(spec).alias(f"v{i}") for i, spec in enumerate(contract.columns)], *failed)
 
 
 def staged_values(df: DataFrame, contract: Contract, decimal_as_double: bool = False) -> DataFrame:
@@ -63,13 +66,19 @@ def _breaches(staged: DataFrame, contract: Contract) -> list[tuple[str, Column]]
     for i, spec in enumerate(contract.columns):
         value, cast = F.col(f"v{i}"), F.col(f"c{i}")
         have, want = staged.schema[f"v{i}"].dataType, staged.schema[f"c{i}"].dataType
+        if spec.transform:
+            rules.append((f"{spec.target}:transform_failed", F.col(f"f{i}")))
         if spec.required:
-            rules.append((f"{spec.target}:null", value.isNull()))
+            empty = value.isNull() | cast.isNull() if becomes_json(have, want) else value.isNull()
+            rules.append((f"{spec.target}:null", empty))
         if have != want and not becomes_json(have, want):
             rules.append((f"{spec.target}:uncastable", value.isNotNull() & cast.isNull()))
         fraction = loses_fraction(value, cast, have, want)
         if fraction is not None:
             rules.append((f"{spec.target}:fraction_lost", F.coalesce(fraction, F.lit(False))))
+        scale = loses_scale(value, cast, have, want)
+        if scale is not None:
+            rules.append((f"{spec.target}:scale_lost", F.coalesce(scale, F.lit(False))))
         if spec.length:
             too_long = size_of(cast, want) > spec.length
             rules.append((f"{spec.target}:too_long", F.coalesce(too_long, F.lit(False))))

@@ -4,14 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from freightlane.functions.scalars import as_text, quoted
+from freightlane.functions.types import is_integral
 
 # Longest array built to repeat one row; larger counts are reached by nesting two arrays.
 REPEAT_BLOCK = 10_000
 
 
+def comparable(left: T.DataType, right: T.DataType) -> bool:
+    """Whether two key types give the same matches compared as they are as compared by their texts. Keys that keep
+    their type can be filtered at the scan, and stored buckets of them can be used."""
+    same = left == right and isinstance(left, (T.StringType, T.DateType))
+    return same or (is_integral(left) and is_integral(right))
+
+
+def key_of(c: Column, plain: bool) -> Column:
+    return c if plain else as_text(c)
+
+
 def repeat_rows(df: DataFrame, count: str) -> DataFrame:
     """Every row `count` times, without a shuffle and without one array of the full length."""
     n = F.col(quoted(count))
@@ -28,17 +40,18 @@ def fan_out_join(
     detail: DataFrame, events: DataFrame, detail_key: str, event_key: str, keep: Sequence[str]
 ) -> DataFrame:
     """`detail` x `events` on the text of their keys: one row per pair, with the `keep` columns of detail
-    and all columns of events.
+    and all columns of events. Keys of the same kind are compared as they are.
 
     Equal detail rows are counted before the join and repeated after it. So a detail table with many equal
     rows per key shuffles one row per distinct value, and the repeats are written where the match is found.
     A hot event key is left to Spark's skew join, which splits its partition.
     """
+    plain = comparable(detail.schema[detail_key].dataType, events.schema[event_key].dataType)
     counted = (
-        detail.select(as_text(F.col(quoted(detail_key))).alias("_key"), *[quoted(c) for c in keep])
+        detail.select(key_of(F.col(quoted(detail_key)), plain).alias("_key"), *[quoted(c) for c in keep])
         .filter(F.col("_key").isNotNull())
         .groupBy("_key", *[quoted(c) for c in keep])
         .agg(F.count(F.lit(1)).alias("_times"))
     )
-    keyed = events.withColumn("_key", as_text(F.col(quoted(event_key))))
+    keyed = events.withColumn("_key", key_of(F.col(quoted(event_key)), plain))
     return repeat_rows(keyed.join(counted, "_key"), "_times").drop("_key")

@@ -8,7 +8,7 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from freightlane.functions.scalars import quoted
+from freightlane.functions.scalars import quoted, stacked
 from freightlane.plans.contract import Contract
 
 RANK = "_rank"
@@ -48,13 +48,21 @@ def latest_per_key(df: DataFrame, key: Sequence[str], time: str) -> DataFrame:
     return one_per_key(df, key, [F.desc_nulls_last(quoted(time))])
 
 
-def not_loaded(incoming: DataFrame, loaded: DataFrame, key: Sequence[str]) -> DataFrame:
+def not_loaded(incoming: DataFrame, loaded: DataFrame, key: Sequence[str], null_keys: bool = True) -> DataFrame:
     """Rows of `incoming` whose key is not in `loaded`. Only the key columns of `loaded` are read.
 
     Distinct keys cost no extra shuffle (the join needs the same partitioning) and collapse repeated keys
-    before it.
+    before it. NULL parts of keys equal each other, as in one_per_key(); such rows are compared apart, so that the
+    others keep the plain join. `null_keys=False` says that there are none.
     """
-    return incoming.join(loaded.select(*[quoted(k) for k in key]).distinct(), list(key), "left_anti")
+    known = loaded.select(*[quoted(k) for k in key]).distinct()
+    if not null_keys:
+        return incoming.join(known, list(key), "left_anti")
+    there = known.filter(_any_null(key)).select(*[F.col(quoted(k)).alias(f"_known{i}") for i, k in enumerate(key)])
+    same = reduce(and_, [F.col(quoted(k)).eqNullSafe(F.col(f"_known{i}")) for i, k in enumerate(key)])
+    whole = incoming.filter(~_any_null(key)).join(known, list(key), "left_anti")
+    partial = incoming.filter(_any_null(key)).join(there, same, "left_anti")
+    return whole.select(*[quoted(c) for c in incoming.columns]).unionByName(partial)
 
 
 def key_check(df: DataFrame, key: Sequence[str], table: str) -> DataFrame:
@@ -101,17 +109,30 @@ def foreign_key_checks(contract: Contract, child: DataFrame, parents: Mapping[st
     `parents` holds the referenced tables by the name the contract uses.
     """
     schema = "table_name string, column_name string, parent string, orphan_keys long, orphan_rows long, pass boolean"
-    parts = [
-        orphan_keys(child, parents[fk.parent_table], {fk.column: fk.parent_column})
-        .agg(F.count(F.lit(1)).alias("orphan_keys"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("orphan_rows"))
-        .select(
-            F.lit(contract.name).alias("table_name"),
-            F.lit(fk.column).alias("column_name"),
-            F.lit(f"{fk.parent_table}.{fk.parent_column}").alias("parent"),
-            "orphan_keys",
-            "orphan_rows",
-            (F.col("orphan_rows") == 0).alias("pass"),
-        )
-        for fk in contract.foreign_keys
+    if not contract.foreign_keys:
+        return child.sparkSession.createDataFrame([], schema)
+    types = {f.name: f.dataType for f in child.schema}
+    # Values of all keys side by side, each as text beside its position: one scan, repeats combined before the shuffle.
+    rows = [(str(i), f"string({quoted(fk.column)})") for i, fk in enumerate(contract.foreign_keys)]
+    used = stacked(child, ("nth", "value"), rows).filter("value IS NOT NULL").groupBy("nth", "value")
+    used = used.agg(F.count(F.lit(1)).alias("row_count"))
+    known = reduce(
+        DataFrame.unionByName,
+        [
+            parents[fk.parent_table]
+            .select(F.lit(i).alias("nth"), F.col(quoted(fk.parent_column)).try_cast(types[fk.column]).cast("string").alias("value"))
+            .distinct()
+            for i, fk in enumerate(contract.foreign_keys)
+        ],
+    )
+    lost = used.join(known, ["nth", "value"], "left_anti").groupBy("nth").agg(
+        F.count(F.lit(1)).alias("orphan_keys"), F.sum("row_count").alias("orphan_rows")
+    )
+    names = [
+        (i, contract.name, fk.column, f"{fk.parent_table}.{fk.parent_column}") for i, fk in enumerate(contract.foreign_keys)
     ]
-    return reduce(DataFrame.unionByName, parts) if parts else child.sparkSession.createDataFrame([], schema)
+    listed = child.sparkSession.createDataFrame(names, "nth int, table_name string, column_name string, parent string")
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("orphan_keys", "orphan_rows")]
+    return listed.join(lost, "nth", "left").select(
+        "table_name", "column_name", "parent", *counts, F.col("orphan_rows").isNull().alias("pass")
+    )

@@ -18,7 +18,6 @@ from freightlane.functions.scalars import quoted
 from freightlane.operators.conform import breaks_contract, reject_counts, split, staged_values
 from freightlane.operators.keys import not_loaded, one_per_key
 from freightlane.plans.contract import Contract
-from freightlane.session import work_folder
 from freightlane.sources.sinks import write_rejects
 
 RUN, BATCH = "load_run", "load_batch"
@@ -26,10 +25,6 @@ LOG_SCHEMA = (
     "table_name string, load_run string, load_batch long, rows_read long, rows_loaded long, "
     "rows_rejected long, rows_ignored long, error string, loaded_at timestamp"
 )
-# Most keys that are ever broadcast; with a few hundred bytes per key that stays below 100 MB.
-MAX_BROADCAST_KEYS = 200_000
-# Above this share of contested keys a second scan costs more than the shuffle it saves.
-FEW_KEYS = 0.05
 # Key types whose smallest and largest incoming value can prune the target scan.
 _PRUNABLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType, T.DecimalType, T.DateType)
 
@@ -70,88 +65,35 @@ def _in_key_range(loaded: DataFrame, contract: Contract, low: object, high: obje
     return loaded.filter(F.col(quoted(c)).between(F.lit(low).cast(dtype), F.lit(high).cast(dtype)))
 
 
-def new_rows(good: DataFrame, loaded: DataFrame | None, contract: Contract) -> DataFrame:
+def new_rows(good: DataFrame, loaded: DataFrame | None, contract: Contract, null_keys: bool = True) -> DataFrame:
     """One row per key of `good`, without keys that `loaded` already has.
 
-    The anti-join reuses the partitioning of the de-duplication. Without a key every row is new.
+    The anti-join reuses the partitioning of the de-duplication. Without a key every row is new. NULL parts of keys equal
+    each other; `null_keys=False` says that there are none, as after split().
     """
     if not contract.key:
         return good
     unique = one_per_key(good, contract.key)
-    return unique if loaded is None else not_loaded(unique, loaded, contract.key)
-
-
-def contested_keys(good: DataFrame, loaded: DataFrame | None, contract: Contract) -> DataFrame:
-    """The keys of `good` that are repeated in it or already loaded, with `known` for the latter.
-
-    Only key columns are shuffled, combined in the map tasks.
-    """
-    names = [quoted(k) for k in contract.key]
-    counted = good.groupBy(*names).agg(F.count(F.lit(1)).alias("copies"))
-    if loaded is None:
-        return counted.filter(F.col("copies") > 1).select(*names, F.lit(False).alias("known"))
-    there = loaded.select(*names).distinct().withColumn("there", F.lit(True))
-    marked = counted.join(there, contract.key, "left").withColumn("known", F.col("there").isNotNull())
-    return marked.filter((F.col("copies") > 1) | F.col("known")).select(*names, "known")
+    return unique if loaded is None else not_loaded(unique, loaded, contract.key, null_keys)
 
 
 def first_look(df: DataFrame, contract: Contract) -> dict[str, object]:
-    """What one narrow pass over a source tells: rows_read, rows_rejected, the number of keys among the good
-    rows, how many of them are repeated, and the low and high end of the first key column.
-
-    Reads the key and the columns that rules need; shuffles keys only, combined in the map tasks.
-    """
+    """What one narrow pass over a source tells: rows_read, rows_rejected, and the low and high end of the first key
+    column among the good rows. Nothing is shuffled but one row per task."""
     staged = staged_values(df, contract)
     bad = breaks_contract(staged, contract)
-    places = [contract.targets.index(k) for k in contract.key]
-    per_key = (
-        staged.select(bad.alias("bad"), *[F.when(~bad, F.col(f"c{i}")).alias(f"k{i}") for i in places])
-        .groupBy("bad", *[f"k{i}" for i in places])
-        .agg(F.count(F.lit(1)).alias("copies"))
+    first = F.col(f"c{contract.targets.index(contract.key[0])}")
+    return (
+        staged.select(bad.alias("bad"), F.when(~bad, first).alias("first"))
+        .agg(
+            F.count(F.lit(1)).alias("rows_read"),
+            F.count_if("bad").alias("rows_rejected"),
+            F.min("first").alias("low"),
+            F.max("first").alias("high"),
+        )
+        .first()
+        .asDict()
     )
-    first = F.col(f"k{places[0]}")
-    return per_key.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows_read"),
-        F.coalesce(F.sum(F.when(F.col("bad"), F.col("copies"))), F.lit(0)).alias("rows_rejected"),
-        F.count_if(~F.col("bad")).alias("keys"),
-        F.count_if(~F.col("bad") & (F.col("copies") > 1)).alias("repeated"),
-        F.min(first).alias("low"),
-        F.max(first).alias("high"),
-    ).first().asDict()
-
-
-def new_rows_by_keys(
-    good: DataFrame, loaded: DataFrame | None, contract: Contract, keys: int, repeated: int
-) -> DataFrame:
-    """The same rows as new_rows(), chosen by their keys first; `good` must be re-readable and hold `keys`
-    keys, `repeated` of them in several rows.
-
-    Where no key is repeated or already loaded, rows go from the scan to the target without any shuffle. A
-    few such keys (their number is checked) are broadcast, and only rows that share a key are shuffled. With
-    more of them all rows take the way of new_rows().
-    """
-    names = [quoted(k) for k in contract.key]
-    few = min(MAX_BROADCAST_KEYS, int(keys * FEW_KEYS))
-    if repeated > few and loaded is None:
-        return new_rows(good, loaded, contract)
-    contested = contested_keys(good, loaded, contract)
-    known = 0 if loaded is None else contested.filter("known").count()
-    if repeated == known == 0:
-        return good
-    if known == keys:
-        return good.limit(0)
-    if repeated + known > few:
-        return new_rows(good, loaded, contract)
-    # Written out, so that the joins below do not each repeat the search.
-    place = f"{work_folder(good.sparkSession, 'contested')}/keys"
-    contested.write.parquet(place)
-    found = good.sparkSession.read.schema(contested.schema).parquet(place)
-    alone = good.join(F.broadcast(found.select(*names)), contract.key, "left_anti").select(*good.columns)
-    if not repeated:
-        return alone
-    undecided = F.broadcast(found.filter(~F.col("known")).select(*names))
-    shared = good.join(undecided, contract.key, "left_semi").select(*good.columns)
-    return alone.unionByName(one_per_key(shared, contract.key))
 
 
 def load_batch(
@@ -169,13 +111,12 @@ def load_batch(
 
     Bad rows go to `rejects` as CSV and the load goes on, unless their share is above `max_reject_rate`.
     The source is scanned once for the columns the rules need, and once for the load; rejects are only
-    written when there are any. A `frozen` source (files) gives the same rows every time it is read. So its
-    key range, found by the first scan, may prune the target, and its keys are looked at before its rows are
-    moved.
+    written when there are any. A `frozen` source (files) gives the same rows every time it is read, so its
+    key range, found by the first scan, may prune the target. Key columns are required, so no key has a NULL part.
     """
     spark = df.sparkSession
-    by_keys = frozen and bool(contract.key)
-    counts = first_look(df, contract) if by_keys else reject_counts(df, contract).first().asDict()
+    ranged = frozen and bool(contract.key)
+    counts = first_look(df, contract) if ranged else reject_counts(df, contract).first().asDict()
     good, bad = split(df, contract)
     if counts["rows_rejected"]:
         if rejects:
@@ -187,12 +128,9 @@ def load_batch(
     loaded = target_files(spark, target, contract)
     if loaded is not None:
         loaded = loaded.filter(~((F.col(RUN) == run) & (F.col(BATCH) == batch)))
-        if by_keys:
+        if ranged:
             loaded = _in_key_range(loaded, contract, counts["low"], counts["high"])
-    if by_keys:
-        fresh = new_rows_by_keys(good, loaded, contract, counts["keys"], counts["repeated"])
-    else:
-        fresh = new_rows(good, loaded, contract)
+    fresh = new_rows(good, loaded, contract, null_keys=False)
     folder = batch_folder(target, run, batch)
     fresh.write.mode("overwrite").parquet(folder)
     # Row counts of Parquet files come from their footers.

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from freightlane.functions.compare import counts_match, values_match
 from freightlane.functions.scalars import literal, quoted, stacked
 from freightlane.functions.types import (
-    INTEGER_TYPES,
     NUMERIC_TYPES,
     TEMPORAL_TYPES,
     is_fractional,
@@ -157,12 +157,19 @@ def reconcile_tables(
     read_source: Callable[[Contract], DataFrame],
     read_target: Callable[[Contract], DataFrame],
     tables: Iterable[str] | None = None,
+    at_once: int = 4,
     **options: object,
 ) -> DataFrame:
-    """The checks of every contract, or of the chosen source tables. A table that cannot be read gives error
-    rows; `options` go to table_checks()."""
+    """The checks of every contract, or of the chosen source tables; `options` go to table_checks().
+
+    Tables are independent jobs, `at_once` of them submitted together. A table that cannot be read, or whose checks fail
+    while they run, gives error rows and the others go on. The driver holds one row per check; their number
+    follows from the contracts, not from the data.
+    """
     wanted = set(tables) if tables else None
     chosen = sorted((c for c in contracts if wanted is None or c.source_table in wanted), key=lambda c: c.name)
+    if not chosen:
+        raise ValueError("no contract was chosen")
 
     def found(read: Callable[[Contract], DataFrame], contract: Contract) -> DataFrame | None:
         try:
@@ -170,9 +177,18 @@ def reconcile_tables(
         except AnalysisException:
             return None
 
-    return all_checks(
-        table_checks(found(read_source, c), found(read_target, c), c, **options) for c in chosen
-    )
+    def settled(contract: Contract) -> tuple[SparkSession | None, list[tuple]]:
+        try:
+            checks = table_checks(found(read_source, contract), found(read_target, contract), contract, **options)
+            return checks.sparkSession, [tuple(r) for r in checks.collect()]
+        except Exception as failure:  # whatever ends this table's job must not end the others
+            reason = str(failure).strip().splitlines() or [type(failure).__name__]
+            return SparkSession.getActiveSession(), [(contract.name, ROW_COUNT, None, None, None, False, reason[0][:500])]
+
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        results = list(pool.map(settled, chosen))
+    spark = next((s for s, _ in results if s), None) or SparkSession.builder.getOrCreate()
+    return spark.createDataFrame([r for _, found_rows in results for r in found_rows], CHECKS)
 
 
 def table_verdicts(checks: DataFrame) -> DataFrame:
@@ -211,10 +227,17 @@ def row_diff(source: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFr
     Both frames have the same columns (conform first). Each side adds its rows to one grouping by key, as
     +1/-1 and plus/minus the halves of two 64-bit row hashes. So one shuffle of narrow, map-side combined
     rows does it, a repeated or hot key stays one row per task, and repeated rows are compared as
-    multisets. NULL keys compare like any other value.
+    multisets. NULL keys compare like any other value. A column of different types is compared as text, whole
+    numbers of different sizes as numbers.
     """
     columns = source.columns
-    types = {f.name: f.dataType for f in source.schema}
+    ours, theirs = ({f.name: f.dataType for f in side.schema} for side in (source, target))
+
+    def wide(c: str) -> T.DataType:
+        both_whole = is_integral(ours[c]) and is_integral(theirs[c])
+        return ours[c] if ours[c] == theirs[c] else T.LongType() if both_whole else T.StringType()
+
+    types = {c: wide(c) for c in columns}
     low = (1 << 32) - 1
 
     def signed(df: DataFrame, sign: int) -> DataFrame:

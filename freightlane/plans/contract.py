@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from pathlib import Path
 from typing import Any
 
@@ -68,6 +68,11 @@ class Contract:
     primary_key: tuple[str, ...] = ()
     foreign_keys: tuple[ForeignKey, ...] = ()
 
+    def __post_init__(self) -> None:
+        """Columns of the declared key are key columns, and so required, whatever their entries say."""
+        columns = tuple(replace(c, role="primary_key") if c.target in self.primary_key else c for c in self.columns)
+        object.__setattr__(self, "columns", columns)
+
     @property
     def name(self) -> str:
         """Target table without its schema."""

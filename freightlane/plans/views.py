@@ -10,14 +10,16 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from freightlane.functions.scalars import as_text, blank_to_null, joined_text, or_zero
-from freightlane.operators.joins import fan_out_join
+from freightlane.functions.types import is_integral
+from freightlane.operators.joins import comparable, fan_out_join, key_of
 
 DATASOURCE = "Datasource"
 WORKBOOK = "Workbook"
 
 
-def _flagged(details: DataFrame, flag: str) -> DataFrame:
-    return details.filter(F.col("flag") == flag)
+def _flagged(details: DataFrame, flag: object) -> DataFrame:
+    """The rows of one kind. The flag is compared as it is stored, so the filter reaches the scan."""
+    return details.filter(F.col("flag") == F.lit(flag))
 
 
 def _per_source(column: str) -> Column:
@@ -25,11 +27,12 @@ def _per_source(column: str) -> Column:
     return F.count_distinct(joined_text(F.col("datasource_id"), F.lit("||"), F.col(column)))
 
 
-def datasource_summary(datasource_details: DataFrame, custom_queries: DataFrame) -> DataFrame:
+def datasource_summary(datasource_details: DataFrame, custom_queries: DataFrame, flag: object = DATASOURCE) -> DataFrame:
     """Per datasource: how many dashboards, sheets, fields, workbooks, tables, columns, custom queries.
 
     A custom query belongs to a datasource when the two ids are equal, and the datasource id is a grouping
-    key. So the left join can run on the grouped rows: at most one custom query id can match a group.
+    key. So the left join can run on the grouped rows: at most one custom query id can match a group. `flag` is what
+    marks datasource rows.
     """
     counted = {
         "dashboard_cnt": "dashboard_id",
@@ -40,16 +43,19 @@ def datasource_summary(datasource_details: DataFrame, custom_queries: DataFrame)
         "column_cnt": "column_name",
     }
     groups = (
-        _flagged(datasource_details, DATASOURCE)
+        _flagged(datasource_details, flag)
         .groupBy("datasource_id", "datasource", "contains_extract", "ds_project")
         .agg(*[F.count_distinct(blank_to_null(F.col(c))).alias(name) for name, c in counted.items()])
     )
+    plain = comparable(datasource_details.schema["datasource_id"].dataType, custom_queries.schema["custom_query_id"].dataType)
+    whole = plain and is_integral(custom_queries.schema["custom_query_id"].dataType)
+    query_id = F.col("custom_query_id") if whole else blank_to_null(F.col("custom_query_id"))
     query_ids = (
-        custom_queries.select(blank_to_null(F.col("custom_query_id")).alias("query_id"))
+        custom_queries.select(query_id.alias("query_id"))
         .filter(F.col("query_id").isNotNull())
         .distinct()
     )
-    return groups.join(query_ids, as_text(F.col("datasource_id")) == F.col("query_id"), "left").select(
+    return groups.join(query_ids, key_of(F.col("datasource_id"), plain) == F.col("query_id"), "left").select(
         *groups.columns, F.when(F.col("query_id").isNotNull(), 1).otherwise(0).cast("long").alias("custom_query_cnt")
     )
 
@@ -64,29 +70,35 @@ def datasource_load_log(datasource_history: DataFrame) -> DataFrame:
     return _newest_first(datasource_history, "datasource", "datasource_id")
 
 
-def datasource_interactions(datasource_details: DataFrame, events: DataFrame) -> DataFrame:
+def datasource_interactions(datasource_details: DataFrame, events: DataFrame, flag: object = DATASOURCE) -> DataFrame:
     """One row per event and matching datasource detail row."""
     named = events.select(
         "event_id", "item_luid", F.col("event_type").alias("interaction_type"), F.col("event_date").alias("interaction_date")
     )
     return fan_out_join(
-        _flagged(datasource_details, DATASOURCE), named, "datasource_luid", "item_luid", ["datasource", "datasource_id"]
+        _flagged(datasource_details, flag), named, "datasource_luid", "item_luid", ["datasource", "datasource_id"]
     ).select("event_id", "datasource", "datasource_id", "interaction_type", "interaction_date")
 
 
 def workbook_summary(
-    dashboard_details: DataFrame, datasource_details: DataFrame, custom_queries: DataFrame, usage: DataFrame
+    dashboard_details: DataFrame,
+    datasource_details: DataFrame,
+    custom_queries: DataFrame,
+    usage: DataFrame,
+    flag: object = WORKBOOK,
 ) -> DataFrame:
     """Per workbook: what its dashboards use, against what its datasources offer, plus queries and views.
 
-    Every input is reduced to one row per workbook before the joins. Ids are made text before grouping, so
-    the grouped rows are already partitioned by the join key.
+    Every input is reduced to one row per workbook before the joins. Ids are made text before grouping unless all are
+    whole numbers, so the grouped rows are already partitioned by the join key.
     """
+    tables = (dashboard_details, datasource_details, custom_queries, usage)
+    plain = all(is_integral(t.schema["workbook_id"].dataType) for t in tables)
 
     def by_workbook(table: DataFrame, *names: str):
-        return table.withColumn("workbook_id", as_text(F.col("workbook_id"))).groupBy("workbook_id", *names)
+        return table.withColumn("workbook_id", key_of(F.col("workbook_id"), plain)).groupBy("workbook_id", *names)
 
-    offered = by_workbook(_flagged(datasource_details, WORKBOOK)).agg(
+    offered = by_workbook(_flagged(datasource_details, flag)).agg(
         F.count_distinct("datasource_id").alias("datasource_cnt"),
         F.count_distinct("field_id").alias("total_field_cnt"),
         _per_source("column_name").alias("total_column_cnt"),
@@ -103,7 +115,7 @@ def workbook_summary(
     views = by_workbook(usage).agg(F.sum("total_views").cast("long").alias("view_cnt"))
     joined = used.join(offered, "workbook_id", "left").join(queries, "workbook_id", "left").join(views, "workbook_id", "left")
     return joined.select(
-        "workbook_id",
+        as_text(F.col("workbook_id")).alias("workbook_id"),
         "workbook",
         "dashboard_cnt",
         "sheet_cnt",
@@ -127,7 +139,8 @@ def workbook_load_log(dashboard_history: DataFrame) -> DataFrame:
 def workbook_interactions(usage: DataFrame, events: DataFrame) -> DataFrame:
     """One row per event and matching usage row. Usage has a row per view, so a plain join does; a view with
     very many events is split by Spark's skew join."""
-    return usage.join(events, as_text(usage["view_id"]) == as_text(events["item_luid"])).select(
+    plain = comparable(usage.schema["view_id"].dataType, events.schema["item_luid"].dataType)
+    return usage.join(events, key_of(usage["view_id"], plain) == key_of(events["item_luid"], plain)).select(
         events["event_id"], usage["workbook"], usage["workbook_id"], events["event_type"], events["event_date"]
     )
 

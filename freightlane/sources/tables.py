@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from freightlane.functions.scalars import quoted
-from freightlane.plans.contract import Contract
 from freightlane.session import work_folder
 
 
@@ -23,14 +22,6 @@ def scan(df: DataFrame, columns: Sequence[str] | None = None, where: str | None
     return kept.select(*[quoted(c) for c in columns]) if columns else kept
 
 
-def source_columns(contract: Contract, df: DataFrame) -> list[str]:
-    """The columns a contract reads that the source has; all of them when an expression may need any."""
-    if any(c.transform for c in contract.columns):
-        return df.columns
-    present = {c.lower() for c in df.columns}
-    return list(dict.fromkeys(c.source_name for c in contract.columns if c.source_name.lower() in present))
-
-
 def snapshot(df: DataFrame) -> DataFrame:
     """The rows as they are now, copied once into the shared work folder.
 
@@ -61,6 +52,32 @@ def with_page(df: DataFrame, key: str, pages: int) -> DataFrame:
     return df.withColumn("page", page.cast("int"))
 
 
+# Keys looked at to place page bounds; the pages themselves hold every row.
+BOUND_KEYS = 20_000
+
+
+def page_bounds(df: DataFrame, key: str, pages: int, keys: int = BOUND_KEYS, seed: int = 42) -> list[object]:
+    """Up to `pages` - 1 increasing key values that divide the rows into about equal pages, for any ordered key type.
+
+    They are the quantiles of a random sample of about `keys` rows, so that clustered keys get as many pages as
+    they have rows. A value more frequent than a page is one bound, and a page of its own. For databases the bounds go
+    to jdbc.boundary_predicates().
+    """
+    k = F.col(quoted(key)).alias("key")
+    present = df.select(k).filter("key IS NOT NULL")
+    total = present.agg(F.count(F.lit(1))).first()[0]
+    chosen = present if total <= keys else present.sample(keys / total, seed)
+    found = [r[0] for r in chosen.orderBy("key").collect()]
+    return list(dict.fromkeys(found[i * len(found) // pages] for i in range(1, pages) if found))
+
+
+def with_page_of(df: DataFrame, key: str, bounds: Sequence[object]) -> DataFrame:
+    """Every row with the number of its page: how many bounds are not above its key. Rows without a key are in page 0."""
+    dtype = df.schema[key].dataType
+    steps = [F.when(F.col(quoted(key)) >= F.lit(b).cast(dtype), 1).otherwise(0) for b in bounds]
+    return df.withColumn("page", sum(steps, F.lit(0)).cast("int"))
+
+
 def split_by_range(df: DataFrame, pages: int, *keys: str) -> DataFrame:
     """The rows moved into key-ordered partitions, for a sink that is written one page at a time.
 

@@ -158,3 +158,41 @@ def test_timestamps_and_dates(spark):
     out = conform(df, contract(ColumnSpec("t", "DATETIME"), ColumnSpec("d", "DATE"), ColumnSpec("z", "DATETIMETZ", "t")))
     assert out.first().t == datetime(2024, 1, 15, 12, 30, 45, 500000)
     assert [f.dataType.simpleString() for f in out.schema] == ["timestamp_ntz", "date", "timestamp"]
+
+
+def test_required_json_needs_a_value_after_conversion(spark):
+    df = spark.sql("SELECT 1 AS i, map('a', 1) AS p UNION ALL SELECT 2, map() UNION ALL SELECT 3, CAST(NULL AS map<string, int>)")
+    good, bad = split(df, contract(ColumnSpec("i", "INT4"), ColumnSpec("p", "JSON", nullable=False)))
+    assert rows(good) == [(1, '{"a":1}')]
+    assert {r.i: r.reject_reasons for r in bad.collect()} == {"2": "p:null", "3": "p:null"}
+
+
+@pytest.mark.parametrize(
+    ("transform", "canonical", "good", "bad"),
+    [
+        ("cast(t as int) + 1", "INT4", [(0, 2), (2, None)], {1, 3}),
+        ("100 div n", "INT8", [(0, 100), (2, 50), (3, None)], {1}),
+        ("element_at(array(t), n)", "CLOB", [(0, "1"), (3, None)], {1, 2}),
+        ("to_date(t)", "DATE", [(2, None)], {0, 1, 3}),
+        ("named_struct('x', cast(t as int))", "JSON", [(0, '{"x":1}'), (2, '{"x":null}')], {1, 3}),
+        ("concat(t, ' n')", "CLOB", [(0, "1 n"), (1, "x n"), (2, None), (3, "99999999999 n")], set()),
+        ("null", "CLOB", [(0, None), (1, None), (2, None), (3, None)], set()),
+        ("cast(t as binary)", "BLOB", [(0, b"1"), (1, b"x"), (2, None), (3, b"99999999999")], set()),
+    ],
+)
+def test_a_failing_transform_rejects_its_row(spark, transform, canonical, good, bad):
+    df = spark.createDataFrame([(0, "1", 1), (1, "x", 0), (2, None, 2), (3, "99999999999", None)], "i int, t string, n int")
+    if transform == "to_date(t)":
+        df = df.withColumn("t", F.when(F.col("i") == 0, "2020-13-01").otherwise(F.col("t")))
+    kept, rejected = split(df, contract(ColumnSpec("i", "INT4"), ColumnSpec("v", canonical, transform=transform)))
+    assert rows(kept) == [(i, None if v is None else bytearray(v) if isinstance(v, bytes) else v) for i, v in good]
+    assert {int(r.i) for r in rejected.collect()} == bad
+    assert all("v:transform_failed" in r.reject_reasons for r in rejected.collect())
+    assert reject_counts(df, contract(ColumnSpec("i", "INT4"), ColumnSpec("v", canonical, transform=transform))).first() == (4, len(bad))
+
+
+def test_lost_decimal_places_are_rejected(spark):
+    df = spark.createDataFrame([(1, Decimal("1.2345")), (2, Decimal("1.2300")), (3, None)], "i int, d decimal(10,4)")
+    good, bad = split(df, contract(ColumnSpec("i", "INT4"), ColumnSpec("d", "DECIMAL", precision=10, scale=2)))
+    assert rows(good) == [(2, Decimal("1.23")), (3, None)]
+    assert [(r.i, r.reject_reasons, r.d) for r in bad.collect()] == [("1", "d:scale_lost", "1.2345")]

@@ -190,7 +190,7 @@ def test_bucketed_target_is_not_shuffled(spark, tmp_path):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = plan_of(load.new_rows(second, spark.table("buckets.items"), ITEMS))
+        plan = plan_of(load.new_rows(second, spark.table("buckets.items"), ITEMS, null_keys=False))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
@@ -198,27 +198,39 @@ def test_bucketed_target_is_not_shuffled(spark, tmp_path):
         load.append_bucketed(first, Contract("s.f", "w.f", (ColumnSpec("name", "CLOB"),)), "buckets.free", 4)
 
 
-@pytest.mark.parametrize("share", [0.0, 1.0])
 @pytest.mark.parametrize(
-    "already", [None, [], [(2, "old", 0)], [(1, "old", 0), (3, "old", 0), (77, "old", 0)], [(i, "old", 0) for i in range(9)]]
+    "already", [None, [], [(2, "old", 0)], [(None, "old", 0), (3, "old", 0), (77, "old", 0)], [(i, "old", 0) for i in range(9)]]
 )
-@pytest.mark.parametrize("extra", [[], [(2, "a", 9), (3, "c", 1)]])
-def test_both_ways_to_new_rows_agree(spark, monkeypatch, share, already, extra):
-    monkeypatch.setattr(load, "FEW_KEYS", share)
+@pytest.mark.parametrize("extra", [[], [(2, "a", 9), (3, "c", 1)], [(None, "n", 1), (None, "m", 1)]])
+def test_new_rows_compare_null_keys_too(spark, already, extra):
     schema = "id long, name string, n int"
     good = spark.createDataFrame([(1, "a", 1), (2, "b", 1), (3, "c", 1), (4, "d", 1), *extra], schema)
     loaded = None if already is None else spark.createDataFrame(already, schema)
-    direct = rows(load.new_rows(good, loaded, ITEMS))
-    assert rows(load.new_rows_by_keys(good, loaded, ITEMS, 4, len(extra))) == direct
     known = {k for k, _, _ in already or []}
-    assert [r[0] for r in direct] == sorted({1, 2, 3, 4} - known)
+    fresh = [r[0] for r in rows(load.new_rows(good, loaded, ITEMS))]
+    assert sorted(fresh, key=repr) == sorted({1, 2, 3, 4, *[k for k, _, _ in extra]} - known, key=repr)
+
+
+PAIRS = Contract(
+    "s.pairs", "w.pairs", (ColumnSpec("a", "INT4"), ColumnSpec("b", "INT4"), ColumnSpec("v", "CLOB")), primary_key=("a", "b")
+)
+
+
+@pytest.mark.parametrize("frozen", [True, False])
+@pytest.mark.parametrize("n", [10, 200])
+def test_null_keys_load_alike_at_every_size(spark, place, frozen, n):
+    """Two rows with key (1, NULL) and different values: rejected, and a reload adds nothing."""
+    unique = [(i, i, "x") for i in range(2, n)]
+    df = spark.createDataFrame([(1, None, "p"), (1, None, "q"), *unique], "a int, b int, v string")
+    for run, loaded, ignored in (("r1", n - 2, 0), ("r2", 0, n - 2)):
+        entry = load.load_batch(df, PAIRS, place["target"], run, rejects=place["rejects"], frozen=frozen)
+        assert [entry[k] for k in ("rows_loaded", "rows_rejected", "rows_ignored")] == [loaded, 2, ignored]
+    assert load.read_target(spark, place["target"], PAIRS).count() == n - 2
 
 
 def test_first_look(spark):
     df = items(spark, (1, "a", "1"), (1, "b", "1"), (2, "toolong", "2"), (None, "c", "3"), (3, "d", "x"), (4, "e", None))
-    assert load.first_look(df, ITEMS) == {
-        "rows_read": 6, "rows_rejected": 3, "keys": 2, "repeated": 1, "low": 1, "high": 4
-    }
+    assert load.first_look(df, ITEMS) == {"rows_read": 6, "rows_rejected": 3, "low": 1, "high": 4}
     assert load.first_look(df.limit(0), ITEMS)["rows_read"] == 0
 
 
@@ -229,14 +241,3 @@ def test_frozen_and_live_sources_load_the_same(spark, place, frozen):
     for run, df in (("r1", first), ("r2", second), ("r2", second)):
         load.load_batch(df, ITEMS, place["target"], run, frozen=frozen)
     assert rows(load.read_target(spark, place["target"], ITEMS)) == [(1, "a", 1), (2, "w", 1), (3, "y", 1)]
-
-
-def test_uncontested_rows_are_not_shuffled(spark, folder):
-    from tests.conftest import plan_of
-
-    orders = spark.read.parquet(f"{folder}/orders.parquet").withColumnRenamed("o_orderkey", "id")
-    n = orders.count()
-    fresh = load.new_rows_by_keys(orders, None, ITEMS, n, 0)
-    assert "Exchange" not in plan_of(fresh) and fresh.count() == n
-    plan = plan_of(load.new_rows_by_keys(orders.unionByName(orders.filter("id < 5")), None, ITEMS, n, 5))
-    assert "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") == 1

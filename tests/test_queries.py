@@ -105,3 +105,31 @@ def test_a_local_warehouse_is_no_shared_folder(master):
     session = SimpleNamespace(conf=Settings({"spark.sql.warehouse.dir": "file:/ware/house", "spark.master": master}))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         work_folder(session, "x")
+
+
+@pytest.mark.parametrize(
+    ("name", "pushed"),
+    [
+        ("v1_status_summary", "EqualTo(o_orderstatus,F)"),
+        ("v3_interactions", "EqualTo(c_mktsegment,BUILDING)"),
+        ("v4_entity_summary", "EqualTo(l_returnflag,R)"),
+    ],
+)
+def test_flags_reach_the_scan(spark, folder, name, pushed):
+    assert pushed in plan_of(QUERIES[name](spark, folder)).replace(" ", "")
+
+
+def test_keys_of_one_kind_are_joined_as_they_are(spark, folder):
+    for name in ("v1_status_summary", "v3_interactions", "v6_interactions"):
+        joins = [x for x in plan_of(QUERIES[name](spark, folder)).splitlines() if "Join" in x]
+        assert joins and all("as string" not in x for x in joins)
+
+
+def test_foreign_keys_read_a_child_once(spark, folder):
+    from workload.queries import REFERENCES, table
+
+    from freightlane.operators.keys import foreign_key_checks
+
+    parents = {fk.parent_table: table(spark, folder, fk.parent_table) for fk in REFERENCES[0].foreign_keys}
+    plan = plan_of(foreign_key_checks(REFERENCES[0], table(spark, folder, "lineitem"), parents))
+    assert plan.count("lineitem.parquet") == 1

@@ -213,3 +213,27 @@ def test_reconcile_tables_goes_on_past_a_missing_one(spark, tmp_path):
     assert {r.table_name: r["pass"] for r in rc.table_verdicts(checks).collect()} == {"gone": False, "sales": True}
     only = rc.reconcile_tables([SALES, gone], lambda c: df, read_target, tables=["s.sales"])
     assert {r.table_name for r in only.collect()} == {"sales"}
+
+
+def test_reconcile_tables_goes_on_past_an_unreadable_file(spark, tmp_path):
+    one = Contract("s.one", "w.one", (ColumnSpec("k", "INT8", role="primary_key"),))
+    two = Contract("s.two", "w.two", (ColumnSpec("k", "INT8", role="primary_key"),))
+    for name in ("one", "two"):
+        spark.range(5).withColumnRenamed("id", "k").coalesce(1).write.parquet(str(tmp_path / name))
+    for file in (tmp_path / "two").glob("*.parquet"):
+        file.write_bytes(b"PAR1 this is no table PAR1")
+    for crc in (tmp_path / "two").glob(".*.crc"):
+        crc.unlink()
+    read = lambda c: spark.read.schema("k long").parquet(str(tmp_path / c.name))
+    checks = rc.reconcile_tables([one, two], read, read)
+    assert {(r["table_name"], r["pass"]) for r in checks.collect()} == {("one", True), ("two", False)}
+    failures = [r for r in checks.collect() if r.table_name == "two"]
+    assert failures and all(r.error for r in failures)
+    assert checks.filter("table_name = 'one'").count() == 5
+    assert {r["table_name"]: r["pass"] for r in rc.table_verdicts(checks).collect()} == {"one": True, "two": False}
+
+
+def test_row_diff_of_different_types_compares_texts(spark):
+    ours = spark.createDataFrame([(1, 7), (2, 8), (3, None)], "k int, v int")
+    theirs = spark.createDataFrame([(1, "7"), (2, "eight"), (3, None)], "k long, v string")
+    assert [(r.k, r.difference) for r in rc.row_diff(ours, theirs, ["k"]).collect()] == [(2, "changed")]

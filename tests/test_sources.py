@@ -27,12 +27,31 @@ def test_a_snapshot_stays_the_same(spark):
     assert rows(changing.withColumn("v", F.rand())) != rows(kept)
 
 
-def test_source_columns(spark):
-    df = spark.createDataFrame([(1, 2, 3)], "a int, B int, c int")
-    plain = Contract("s", "t", (ColumnSpec("x", "INT4", "a"), ColumnSpec("y", "INT4", "b"), ColumnSpec("z", "INT4", "gone")))
-    assert tables.source_columns(plain, df) == ["a", "b"]
-    with_expression = Contract("s", "t", (ColumnSpec("x", "INT4", transform="a + c"),))
-    assert tables.source_columns(with_expression, df) == ["a", "B", "c"]
+@pytest.mark.parametrize("key", ["n", "t", "d"])
+def test_pages_follow_the_rows(spark, key):
+    df = spark.range(4000).select(
+        F.when(F.col("id") < 3900, F.col("id")).otherwise(F.col("id") * 10**9).alias("n"),
+        F.concat(F.lit("k/"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("t"),
+        F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int")).alias("d"),
+    )
+    df = df.unionByName(spark.createDataFrame([(None, None, None)], "n long, t string, d date"))
+    for keys in (100_000, 1000):
+        bounds = tables.page_bounds(df, key, 8, keys)
+        assert len(bounds) == 7 and bounds == sorted(bounds)
+        sizes = dict(tables.with_page_of(df, key, bounds).groupBy("page").count().collect())
+        assert sum(sizes.values()) == 4001 and set(sizes) == set(range(8)) and max(sizes.values()) < 1000
+    assert tables.page_bounds(df.limit(0), key, 8) == []
+
+
+def test_a_frequent_key_is_one_bound(spark):
+    df = spark.createDataFrame([(7,)] * 50 + [(i,) for i in range(20)], "k int")
+    bounds = tables.page_bounds(df, "k", 10)
+    assert len(bounds) == len(set(bounds)) and tables.with_page_of(df, "k", bounds).count() == 70
+
+
+def test_bounds_go_to_database_predicates(spark):
+    bounds = tables.page_bounds(spark.createDataFrame([("a",), ("b",), ("c'd",), ("e",)], "k string"), "k", 4)
+    assert len(jdbc.boundary_predicates("postgres", "k", bounds)) == len(bounds) + 1
 
 
 def test_pages_cover_every_row_once_in_key_order(spark, folder):

@@ -144,27 +144,73 @@ UNION ALL SELECT 'lineitem', count(*), count(DISTINCT (l_orderkey, l_linenumber)
   count(*) - count(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem
 UNION ALL SELECT 'events', count(*), count(*) FILTER (length(event_type) <= 6), count(*) FILTER (length(event_type) > 6), 0 FROM events"""
 
+
+
+def counted(source: str, group: Sequence[str], measures: dict[str, str]) -> str:
+    """Distinct non-empty values of each measure per group, counted over one list of (group, measure, value)."""
+    names = ", ".join(group)
+    triples = "\nUNION\n".join(
+        f"SELECT {names}, '{name}' AS measure, CAST({value} AS VARCHAR) AS value FROM {source}" for name, value in measures.items()
+    )
+    counts = ", ".join(f"count(value) FILTER (WHERE measure = '{name}' AND value <> '') AS {name}" for name in measures)
+    return f"SELECT {names}, {counts} FROM ({triples}) GROUP BY {names}"
+
+
+V1 = f"""
+WITH finished AS (
+  SELECT *, o_totalprice >= 250000 AS large FROM orders WHERE o_orderstatus = 'F'),
+summed AS ({counted("finished", ["o_custkey", "o_orderpriority", "large"], {
+    "dashboard_cnt": "year(o_orderdate)",
+    "sheet_cnt": "month(o_orderdate)",
+    "field_cnt": "o_orderkey",
+    "workbook_cnt": "CASE WHEN month(o_orderdate) > 6 THEN year(o_orderdate) END",
+    "table_cnt": "nullif(day(o_orderdate), 1)",
+    "column_cnt": "CAST(o_orderdate AS DATE)",
+})})
+SELECT o_custkey AS datasource_id, o_orderpriority AS datasource, large AS contains_extract, lower(o_orderpriority) AS ds_project,
+  * EXCLUDE (o_custkey, o_orderpriority, large),
+  CAST(o_custkey IN (SELECT l_partkey FROM lineitem WHERE l_partkey IS NOT NULL) AS BIGINT) AS custom_query_cnt
+FROM summed"""
+
+V4 = f"""
+WITH returned AS (SELECT * FROM lineitem WHERE l_returnflag = 'R'),
+offers AS ({counted("returned", ["l_suppkey"], {
+    "datasources": "l_linestatus",
+    "fields": "l_partkey",
+    "columns": "concat(l_linestatus, '||', nullif(year(l_shipdate), 1999))",
+    "tables": "concat(l_linestatus, '||', l_linenumber)",
+})}),
+uses AS ({counted("orders", ["o_custkey", "o_orderpriority"], {
+    "dashboard_cnt": "o_orderdate",
+    "sheet_cnt": "year(o_orderdate)",
+    "used_field_cnt": "o_orderkey",
+    "used_column_cnt": "concat(nullif(o_orderstatus, 'P'), '||', nullif(month(o_orderdate), 2))",
+    "used_table_cnt": "concat(nullif(o_orderstatus, 'P'), '||', day(o_orderdate))",
+})})
+SELECT CAST(o_custkey AS VARCHAR) AS workbook_id, o_orderpriority AS workbook, uses.* EXCLUDE (o_custkey, o_orderpriority),
+  coalesce((SELECT max(datasources) FROM offers WHERE l_suppkey = o_custkey), 0) AS datasource_cnt,
+  coalesce((SELECT max(fields) FROM offers WHERE l_suppkey = o_custkey), 0) AS total_field_cnt,
+  coalesce((SELECT max(columns) FROM offers WHERE l_suppkey = o_custkey), 0) AS total_column_cnt,
+  coalesce((SELECT max(tables) FROM offers WHERE l_suppkey = o_custkey), 0) AS total_table_cnt,
+  (SELECT count(DISTINCT nullif(c_nationkey, 7)) FROM customer WHERE c_custkey = o_custkey) AS custom_query_cnt,
+  coalesce((SELECT CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) FROM lineitem WHERE l_partkey = o_custkey), 0) AS view_cnt
+FROM uses"""
+
+REJECT_SPLIT = """
+WITH raw AS (
+  SELECT o_orderkey, nullif(o_orderstatus, 'P') AS status, o_orderpriority, o_totalprice, o_orderdate,
+    CASE WHEN o_totalprice > 400000 THEN o_orderpriority ELSE CAST(o_custkey AS VARCHAR) END AS grade FROM orders),
+judged AS (
+  SELECT *, concat_ws(';',
+    CASE WHEN status IS NULL THEN 'status:null' END,
+    CASE WHEN length(o_orderpriority) > 8 THEN 'priority:too_long' END,
+    CASE WHEN try_cast(grade AS INTEGER) IS NULL THEN 'grade:uncastable' END) AS reject_reasons FROM raw)
+SELECT reject_reasons, CAST(o_orderkey AS VARCHAR) AS order_id, status, o_orderpriority AS priority, grade,
+  CAST(o_totalprice AS VARCHAR) AS total, CAST(o_orderdate AS VARCHAR) AS ordered_at
+FROM judged WHERE reject_reasons <> ''"""
+
 ORACLES: dict[str, str] = {
-    "v1_status_summary": """
-WITH ds AS (
-  SELECT o_custkey AS datasource_id, o_orderpriority AS datasource, o_totalprice >= 250000 AS contains_extract,
-    lower(o_orderpriority) AS ds_project, year(o_orderdate) AS dashboard_id, month(o_orderdate) AS sheet_id,
-    o_orderkey AS field_id, CASE WHEN month(o_orderdate) <= 6 THEN '' ELSE CAST(year(o_orderdate) AS VARCHAR) END AS workbook_id,
-    nullif(day(o_orderdate), 1) AS table_name, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS column_name,
-    CASE WHEN o_orderstatus = 'F' THEN 'Datasource' ELSE 'Workbook' END AS flag
-  FROM orders),
-cq AS (SELECT DISTINCT l_partkey AS custom_query_id FROM lineitem)
-SELECT ds.datasource_id, ds.datasource, ds.contains_extract, ds.ds_project,
-  count(DISTINCT nullif(CAST(ds.dashboard_id AS VARCHAR), '')) AS dashboard_cnt,
-  count(DISTINCT nullif(CAST(ds.sheet_id AS VARCHAR), '')) AS sheet_cnt,
-  count(DISTINCT nullif(CAST(ds.field_id AS VARCHAR), '')) AS field_cnt,
-  count(DISTINCT nullif(CAST(ds.workbook_id AS VARCHAR), '')) AS workbook_cnt,
-  count(DISTINCT nullif(CAST(ds.table_name AS VARCHAR), '')) AS table_cnt,
-  count(DISTINCT nullif(CAST(ds.column_name AS VARCHAR), '')) AS column_cnt,
-  count(DISTINCT nullif(CAST(cq.custom_query_id AS VARCHAR), '')) AS custom_query_cnt
-FROM ds LEFT JOIN cq ON CAST(ds.datasource_id AS VARCHAR) = CAST(cq.custom_query_id AS VARCHAR)
-WHERE ds.flag = 'Datasource'
-GROUP BY ds.datasource_id, ds.datasource, ds.contains_extract, ds.ds_project""",
+    "v1_status_summary": V1,
     "v2_load_log": """
 SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS load_time, event_type AS datasource, user_id AS datasource_id
 FROM events GROUP BY ALL ORDER BY load_time DESC""",
@@ -173,28 +219,7 @@ SELECT o_orderkey AS event_id, c_name AS datasource, c_nationkey AS datasource_i
   o_orderpriority AS interaction_type, o_orderdate AS interaction_date
 FROM customer JOIN orders ON CAST(c_custkey AS VARCHAR) = CAST(o_custkey AS VARCHAR)
 WHERE c_mktsegment = 'BUILDING'""",
-    "v4_entity_summary": """
-WITH dt AS (
-  SELECT l_suppkey AS id, count(DISTINCT l_linestatus) AS datasource_cnt, count(DISTINCT l_partkey) AS total_field_cnt,
-    count(DISTINCT concat(l_linestatus, '||', nullif(year(l_shipdate), 1999))) AS total_column_cnt,
-    count(DISTINCT concat(l_linestatus, '||', l_linenumber)) AS total_table_cnt
-  FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_suppkey),
-du AS (
-  SELECT o_custkey AS id, o_orderpriority AS workbook, count(DISTINCT o_orderdate) AS dashboard_cnt,
-    count(DISTINCT year(o_orderdate)) AS sheet_cnt, count(DISTINCT o_orderkey) AS used_field_cnt,
-    count(DISTINCT concat(nullif(o_orderstatus, 'P'), '||', nullif(month(o_orderdate), 2))) AS used_column_cnt,
-    count(DISTINCT concat(nullif(o_orderstatus, 'P'), '||', day(o_orderdate))) AS used_table_cnt
-  FROM orders GROUP BY o_custkey, o_orderpriority),
-cq AS (SELECT c_custkey AS id, count(DISTINCT nullif(c_nationkey, 7)) AS custom_query_cnt FROM customer GROUP BY c_custkey),
-vu AS (SELECT l_partkey AS id, CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS view_cnt FROM lineitem GROUP BY l_partkey)
-SELECT CAST(du.id AS VARCHAR) AS workbook_id, workbook, dashboard_cnt, sheet_cnt,
-  coalesce(datasource_cnt, 0) AS datasource_cnt, coalesce(total_field_cnt, 0) AS total_field_cnt, used_field_cnt,
-  coalesce(total_column_cnt, 0) AS total_column_cnt, used_column_cnt,
-  coalesce(total_table_cnt, 0) AS total_table_cnt, used_table_cnt,
-  coalesce(custom_query_cnt, 0) AS custom_query_cnt, coalesce(view_cnt, 0) AS view_cnt
-FROM du LEFT JOIN dt ON CAST(du.id AS VARCHAR) = CAST(dt.id AS VARCHAR)
-  LEFT JOIN cq ON CAST(du.id AS VARCHAR) = CAST(cq.id AS VARCHAR)
-  LEFT JOIN vu ON CAST(du.id AS VARCHAR) = CAST(vu.id AS VARCHAR)""",
+    "v4_entity_summary": V4,
     "v5_load_log": """
 SELECT o_orderdate AS load_time, o_orderstatus AS workbook, o_orderpriority AS workbook_id
 FROM orders GROUP BY ALL ORDER BY load_time DESC""",
@@ -208,6 +233,9 @@ WHERE l_returnflag = 'R' AND l_shipdate >= TIMESTAMP '1998-01-01'""",
     "range_pages": """
 SELECT o_orderkey, CAST((o_orderkey - low) * 16 // (high - low + 1) AS INTEGER) AS page
 FROM orders, (SELECT min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders)""",
+    "page_shares": """
+SELECT 'clustered' AS key_name, count(*) AS rows_paged, CAST(8 AS BIGINT) AS pages, true AS balanced FROM orders
+UNION ALL SELECT 'pages.url', count(*), 8, true FROM pages""",
     "row_counts": union([
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
         for t in ("region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -224,18 +252,21 @@ SELECT CAST(c_custkey AS INTEGER) AS customer_id, CAST(CAST(c_acctbal AS DECIMAL
     "conform_json": """
 SELECT event_id, '{"k":' || json_extract_string(props, '$.k') || '}' AS props, upper(event_type) AS kind,
   CAST(value AS DECIMAL(12,2)) AS amount FROM events""",
-    "reject_split": """
-WITH raw AS (
-  SELECT o_orderkey, nullif(o_orderstatus, 'P') AS status, o_orderpriority, o_totalprice, o_orderdate,
-    CASE WHEN o_totalprice > 400000 THEN o_orderpriority ELSE CAST(o_custkey AS VARCHAR) END AS grade FROM orders),
-judged AS (
-  SELECT *, concat_ws(';',
-    CASE WHEN status IS NULL THEN 'status:null' END,
-    CASE WHEN length(o_orderpriority) > 8 THEN 'priority:too_long' END,
-    CASE WHEN try_cast(grade AS INTEGER) IS NULL THEN 'grade:uncastable' END) AS reject_reasons FROM raw)
-SELECT reject_reasons, CAST(o_orderkey AS VARCHAR) AS order_id, status, o_orderpriority AS priority, grade,
-  CAST(o_totalprice AS VARCHAR) AS total, CAST(o_orderdate AS VARCHAR) AS ordered_at
-FROM judged WHERE reject_reasons <> ''""",
+    "reject_split": REJECT_SPLIT,
+    "reject_files": REJECT_SPLIT,
+    "reject_json_null": """
+SELECT 'props:null' AS reject_reasons, CAST(event_id AS VARCHAR) AS event_id, '{}' AS props FROM events
+WHERE NOT coalesce(CAST(json_extract_string(props, '$.k') AS INTEGER), 0) > 50""",
+    "reject_transform": """
+SELECT concat_ws(';', CASE WHEN o_orderstatus = 'P' THEN 'level:transform_failed' END,
+    CASE WHEN o_orderkey % 5 = 0 THEN 'share:transform_failed' END) AS reject_reasons,
+  CAST(o_orderkey AS VARCHAR) AS order_id, CASE WHEN o_orderstatus <> 'P' THEN '7' END AS level,
+  CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_custkey // nullif(o_orderkey % 5, 0) AS VARCHAR) END AS share
+FROM orders WHERE o_orderstatus = 'P' OR o_orderkey % 5 = 0""",
+    "reject_scale": """
+SELECT 'price:scale_lost' AS reject_reasons, CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_linenumber AS VARCHAR) AS line_no,
+  CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS price
+FROM lineitem WHERE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT) % 10 <> 0""",
     "accepted_rows": """
 SELECT l_orderkey AS order_id, CAST(l_linenumber AS SMALLINT) AS line_no, CAST(l_extendedprice AS INTEGER) AS whole_price,
   l_returnflag AS return_flag FROM lineitem
@@ -258,6 +289,9 @@ WHERE l_returnflag <> 'N' AND l_extendedprice = floor(l_extendedprice)""",
     "profile_lineitem": profile("lineitem", LINEITEM),
     "profile_documents": profile("documents", DOCUMENTS),
     "profile_events": profile("events", EVENTS),
+    "profile_file": profile(
+        "customer", {"c_custkey": "n", "c_name": "s", "c_nationkey": "n", "c_mktsegment": "s", "c_acctbal": "n"}
+    ),
     "profile_integers_first": profile("orders", ORDERS, integers_first=True),
     "key_check": union([
         key_check("orders", ["o_orderkey"]),
@@ -296,6 +330,9 @@ FROM events) WHERE rn = 1""",
 SELECT * FROM ({LINES_ONCE}) n WHERE NOT EXISTS (SELECT 1 FROM lineitem d
   WHERE d.l_linestatus = 'F' AND d.l_orderkey = n.order_id AND d.l_linenumber = n.line_no)""",
     "load_stream": GOOD,
+    "load_overlap": LINES_ONCE,
+    "load_null_keys": f"SELECT * FROM ({LINES_ONCE}) WHERE line_no <> 3",
+    "load_batches": f"SELECT *, true AS several_batches FROM ({LINES_ONCE})",
     "load_progress": f"SELECT * FROM ({LOADED}) WHERE table_name = 'lineitem'",
     "load_summary": f"""
 SELECT table_name, 'run-1' AS load_run, CAST(0 AS BIGINT) AS load_batch, rows_read, rows_loaded, CAST(rows_rejected AS BIGINT) AS rows_rejected,
@@ -311,6 +348,9 @@ SELECT 'run-1' AS load_run, count(*) AS tables, CAST(0 AS BIGINT) AS failures, C
 SELECT count(*) AS tables, count(*) FILTER (pass) AS tables_passed, count(*) FILTER (NOT pass) AS tables_failed,
   CAST(sum(passed) AS BIGINT) AS checks_passed, CAST(sum(failed) AS BIGINT) AS checks_failed, bool_and(pass) AS all_pass
 FROM ({VERDICTS})""",
+    "report_file": f"""
+SELECT 'shop' AS source_engine, 'warehouse' AS target_engine, (SELECT bool_and(pass) FROM ({VERDICTS})) AS all_pass,
+  table_name, pass AS table_pass, CAST(checks AS INTEGER) AS checks FROM ({VERDICTS})""",
     "row_diff": f"""
 SELECT coalesce(s.order_id, t.order_id) AS order_id,
   CASE WHEN t.order_id IS NULL THEN 'missing' WHEN s.order_id IS NULL THEN 'extra' ELSE 'changed' END AS difference,

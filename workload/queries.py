@@ -5,28 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from freightlane.functions.scalars import as_text
 from freightlane.operators import conform as cf, keys, load, profile as pf, reconcile as rc
 from freightlane.plans import views
 from freightlane.plans.contract import ColumnSpec, Contract, ForeignKey
 from freightlane.session import work_folder
-from freightlane.sources import tables as src
+from freightlane.sources import sinks, tables as src
 from freightlane.streaming.resume import resume_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A test table. Its schema is read from the files once, as a catalog would keep it."""
-    path = f"{folder}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = src.read_files(spark, path).schema
-    return src.read_files(spark, path, _SCHEMAS[path])
+    return src.read_files(spark, f"{folder}/{name}.parquet")
 
 
 # --- the tables in the shape of the views -----------------------------------------------------------
@@ -45,13 +37,13 @@ def datasource_rows(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.month("o_orderdate") <= 6, "").otherwise(as_text(F.year("o_orderdate"))).alias("workbook_id"),
         F.nullif(F.dayofmonth("o_orderdate"), F.lit(1)).alias("table_name"),
         as_text(F.col("o_orderdate").cast("date")).alias("column_name"),
-        F.when(F.col("o_orderstatus") == "F", views.DATASOURCE).otherwise(views.WORKBOOK).alias("flag"),
+        F.col("o_orderstatus").alias("flag"),
     )
 
 
 def v1_status_summary(spark: SparkSession, folder: str) -> DataFrame:
     queries = table(spark, folder, "lineitem").select(F.col("l_partkey").alias("custom_query_id"))
-    return views.datasource_summary(datasource_rows(spark, folder), queries)
+    return views.datasource_summary(datasource_rows(spark, folder), queries, flag="F")
 
 
 def v2_load_log(spark: SparkSession, folder: str) -> DataFrame:
@@ -68,9 +60,9 @@ def v3_interactions(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c_custkey").cast("int").alias("datasource_luid"),
         F.col("c_name").alias("datasource"),
         F.col("c_nationkey").alias("datasource_id"),
-        F.when(F.col("c_mktsegment") == "BUILDING", views.DATASOURCE).otherwise(views.WORKBOOK).alias("flag"),
+        F.col("c_mktsegment").alias("flag"),
     )
-    return views.datasource_interactions(details, order_events(spark, folder, "o_custkey"))
+    return views.datasource_interactions(details, order_events(spark, folder, "o_custkey"), flag="BUILDING")
 
 
 def order_events(spark: SparkSession, folder: str, item: str) -> DataFrame:
@@ -101,13 +93,13 @@ def v4_entity_summary(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_partkey").alias("field_id"),
         F.nullif(F.year("l_shipdate"), F.lit(1999)).alias("column_name"),
         F.col("l_linenumber").alias("table_name"),
-        F.when(F.col("l_returnflag") == "R", views.WORKBOOK).otherwise(views.DATASOURCE).alias("flag"),
+        F.col("l_returnflag").alias("flag"),
     )
     queries = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("workbook_id"), F.nullif(F.col("c_nationkey"), F.lit(7)).alias("custom_query_id")
     )
     usage = lineitem.select(F.col("l_partkey").alias("workbook_id"), F.col("l_quantity").cast("int").alias("total_views"))
-    return views.workbook_summary(dashboards, datasources, queries, usage)
+    return views.workbook_summary(dashboards, datasources, queries, usage, flag="R")
 
 
 def v5_load_log(spark: SparkSession, folder: str) -> DataFrame:
@@ -290,6 +282,61 @@ def reject_split(spark: SparkSession, folder: str) -> DataFrame:
     return cf.split(table(spark, folder, "orders"), STRICT)[1]
 
 
+def reject_json_null(spark: SparkSession, folder: str) -> DataFrame:
+    """A required JSON column whose object is empty has no value."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    empty = F.from_json(F.lit("{}"), "map<string, int>")
+    props = F.when(k > 50, F.create_map(F.lit("k"), k)).otherwise(empty)
+    return cf.split(table(spark, folder, "events").withColumn("props", props), REQUIRED_JSON)[1]
+
+
+REQUIRED_JSON = Contract(
+    source_table="shop.events",
+    target_table="shop.event_props",
+    columns=(ColumnSpec("event_id", "INT8"), ColumnSpec("props", "JSON", nullable=False)),
+)
+
+
+def reject_transform(spark: SparkSession, folder: str) -> DataFrame:
+    """Transforms that fail on some rows: a cast of text, and a division by zero."""
+    return cf.split(table(spark, folder, "orders"), FAILING)[1]
+
+
+FAILING = Contract(
+    source_table="shop.orders",
+    target_table="shop.orders_failing",
+    columns=(
+        ColumnSpec("order_id", "INT8", "o_orderkey", role="primary_key"),
+        ColumnSpec("level", "INT4", transform="cast(case when o_orderstatus = 'P' then o_orderpriority else '7' end as int)"),
+        ColumnSpec("share", "INT8", transform="o_custkey div (o_orderkey % 5)"),
+    ),
+)
+
+
+def reject_scale(spark: SparkSession, folder: str) -> DataFrame:
+    """Decimals that have more places than their column."""
+    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    return cf.split(table(spark, folder, "lineitem").withColumn("price", price), ONE_PLACE)[1]
+
+
+ONE_PLACE = Contract(
+    source_table="shop.lineitem",
+    target_table="shop.prices",
+    columns=(
+        ColumnSpec("order_id", "INT8", "l_orderkey"),
+        ColumnSpec("line_no", "INT4", "l_linenumber"),
+        ColumnSpec("price", "DECIMAL", precision=18, scale=1),
+    ),
+)
+
+
+def reject_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The rejected orders as they are read back from their file."""
+    bad = reject_split(spark, folder)
+    place = sinks.write_rejects(bad, work_folder(spark, "rejects"), "orders_strict", "run-1")
+    return spark.read.schema(bad.schema).options(header=True, escape='"').csv(place)
+
+
 def accepted_rows(spark: SparkSession, folder: str) -> DataFrame:
     return cf.split(table(spark, folder, "lineitem"), PICKY_LINES)[0]
 
@@ -323,6 +370,27 @@ def range_pages(spark: SparkSession, folder: str) -> DataFrame:
     return src.with_page(table(spark, folder, "orders"), "o_orderkey", 16).select("o_orderkey", "page")
 
 
+def page_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages of a clustered and of a text key: rows in them, and whether none holds more than three times its share."""
+
+    def shares(df: DataFrame, name: str, key: str, pages: int) -> DataFrame:
+        paged = src.with_page_of(df, key, src.page_bounds(df, key, pages))
+        sizes = paged.groupBy("page").agg(F.count(F.lit(1)).alias("n"))
+        return sizes.agg(
+            F.lit(name).alias("key_name"),
+            F.sum("n").alias("rows_paged"),
+            F.count(F.lit(1)).alias("pages"),
+            (F.max("n") * pages <= 3 * F.sum("n")).alias("balanced"),
+        )
+
+    orders = table(spark, folder, "orders")
+    dense = F.when(F.col("o_orderkey") % 100 == 0, F.col("o_orderkey") * 1_000_000).otherwise(F.col("o_orderkey"))
+    return rc.all_checks([
+        shares(orders.select(dense.alias("key")), "clustered", "key", 8),
+        shares(table(spark, folder, "pages"), "pages.url", "url", 8),
+    ])
+
+
 COUNTED = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -342,6 +410,13 @@ def profile_of(name: str, **options) -> Query:
     return run
 
 
+def profile_file(spark: SparkSession, folder: str) -> DataFrame:
+    """A profile as it is read back from its file."""
+    found, place = pf.profile(table(spark, folder, "customer"), "customer"), work_folder(spark, "profile")
+    sinks.write_profile(found, place)
+    return spark.read.schema(found.schema).json(place)
+
+
 # --- keys -------------------------------------------------------------------------------------------
 
 CHECKED_KEYS = (
@@ -408,13 +483,12 @@ def load_anti(spark: SparkSession, folder: str) -> DataFrame:
     """What a load of all line items adds to a target that already holds the finished ones."""
     lines = table(spark, folder, "lineitem")
     done = cf.conform(lines.filter(F.col("l_linestatus") == "F"), LINES)
-    return load.new_rows(cf.conform(lines, LINES), done, LINES)
+    return load.new_rows(cf.conform(lines, LINES), done, LINES, null_keys=False)
 
 
 def _streamed(spark: SparkSession, folder: str, contract: Contract) -> tuple[str, str]:
     """Stream one table's files into a target, twice; the second run finds nothing to do."""
-    # The pattern fits a table stored as one file or as a folder of files.
-    place, source = work_folder(spark, "load"), f"{folder}/{contract.name}.parquet*"
+    place, source = work_folder(spark, "load"), f"{folder}/{contract.name}.parquet{{,/*.parquet}}"
     for _ in range(2):
         schema = table(spark, folder, contract.name).schema
         resume_load(spark, source, contract, f"{place}/target", f"{place}/state", "run-1", schema, max_bytes=256 << 30)
@@ -431,6 +505,35 @@ def load_progress(spark: SparkSession, folder: str) -> DataFrame:
     return load.load_progress(load.read_log(spark, log)).drop("batches", "last_loaded_at")
 
 
+def load_overlap(spark: SparkSession, folder: str) -> DataFrame:
+    """The target after two runs whose line items overlap: a third is in both, and keys repeat within each."""
+    place, lines = work_folder(spark, "overlap"), table(spark, folder, "lineitem")
+    for run, left_out in (("run-1", 0), ("run-2", 1)):
+        load.load_batch(lines.filter(F.col("l_orderkey") % 3 != left_out), LINES, place, run, frozen=True)
+    return load.read_target(spark, place, LINES)
+
+
+def load_null_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows whose key has a NULL part are rejected, and a reload of the others adds nothing."""
+    place, rejects = work_folder(spark, "null-keys"), work_folder(spark, "null-key-rejects")
+    lines = table(spark, folder, "lineitem").withColumn("l_linenumber", F.nullif(F.col("l_linenumber"), F.lit(3)))
+    for run, frozen in (("run-1", True), ("run-2", False)):
+        load.load_batch(lines, LINES, place, run, rejects=rejects, frozen=frozen)
+    return load.read_target(spark, place, LINES)
+
+
+def load_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The target of a stream whose files come in several batches, a later one with keys of the others again."""
+    place, lines = work_folder(spark, "batches"), table(spark, folder, "lineitem")
+    for rest in range(3):
+        lines.filter(F.col("l_orderkey") % 3 == rest).write.mode("append").parquet(f"{place}/source")
+    lines.filter(F.col("l_orderkey") % 2 == 0).write.mode("append").parquet(f"{place}/source")
+    resume_load(spark, f"{place}/source", LINES, f"{place}/target", f"{place}/state", "run-1", lines.schema, max_files=1)
+    log = load.load_progress(load.read_log(spark, f"{place}/state/run-1/log")).first()
+    loaded = load.read_target(spark, f"{place}/target", LINES)
+    return loaded.withColumn("several_batches", F.lit(log["batches"] > 3))
+
+
 def _loaded(spark: SparkSession, folder: str) -> DataFrame:
     return load.load_tables(
         spark,
@@ -438,6 +541,7 @@ def _loaded(spark: SparkSession, folder: str) -> DataFrame:
         lambda contract: table(spark, folder, contract.name),
         work_folder(spark, "tables"),
         run="run-1",
+        rejects=work_folder(spark, "rejects"),
         frozen=True,
     )
 
@@ -512,6 +616,16 @@ def reconcile_run(spark: SparkSession, folder: str) -> DataFrame:
     return rc.run_verdict(_run_checks(spark, folder))
 
 
+def report_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The checks of a report as they are read back from its file."""
+    place = work_folder(spark, "report")
+    sinks.write_report(_run_checks(spark, folder), place, "shop", "warehouse")
+    report = spark.read.json(place).select("source_engine", "target_engine", "all_pass", F.inline("tables"))
+    return report.select(
+        "source_engine", "target_engine", "all_pass", "table_name", F.col("pass").alias("table_pass"), F.size("checks").alias("checks")
+    )
+
+
 def row_diff(spark: SparkSession, folder: str) -> DataFrame:
     return rc.row_diff(good_orders(spark, folder), defective_orders(spark, folder), ORDERS.key)
 
@@ -525,18 +639,24 @@ QUERIES: dict[str, Query] = {
     "v6_interactions": v6_interactions,
     "scan_filter": scan_filter,
     "range_pages": range_pages,
+    "page_shares": page_shares,
     "row_counts": row_counts,
     "conform_orders": conform_orders,
     "conform_labels": conform_labels,
     "conform_doubles": conform_doubles,
     "conform_json": conform_json,
     "reject_split": reject_split,
+    "reject_json_null": reject_json_null,
+    "reject_transform": reject_transform,
+    "reject_scale": reject_scale,
+    "reject_files": reject_files,
     "accepted_rows": accepted_rows,
     "cast_loss": cast_loss,
     "profile_lineitem": profile_of("lineitem"),
     "profile_documents": profile_of("documents"),
     "profile_events": profile_of("events"),
     "profile_integers_first": profile_of("orders", integers_first=True),
+    "profile_file": profile_file,
     "key_check": key_check,
     "key_check_nulls": key_check_nulls,
     "orphans": orphans,
@@ -547,11 +667,15 @@ QUERIES: dict[str, Query] = {
     "load_anti": load_anti,
     "load_stream": load_stream,
     "load_progress": load_progress,
+    "load_overlap": load_overlap,
+    "load_null_keys": load_null_keys,
+    "load_batches": load_batches,
     "load_summary": load_summary,
     "load_totals": load_totals,
     "reconcile_orders": reconcile_orders,
     "reconcile_defects": reconcile_defects,
     "reconcile_verdict": reconcile_verdict,
     "reconcile_run": reconcile_run,
+    "report_file": report_file,
     "row_diff": row_diff,
 }
