@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 from urllib.parse import urlsplit
 
@@ -47,8 +49,27 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder name for work files below the shared folder."""
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A fresh folder name for work files below the shared folder.
+
+    Frames are read lazily, so a work folder may be needed as long as the application runs; it is removed when the
+    driver ends.
+    """
+    if not _MADE:
+        atexit.register(_remove_all)
+    folder = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    _MADE.append((spark, folder))
+    return folder
+
+
+#: The work folders of this driver, with the session that made them.
+_MADE: list[tuple[SparkSession, str]] = []
+
+
+def _remove_all() -> None:
+    for spark, folder in _MADE:
+        # At the end of the driver the JVM may be gone already; nothing else is left to do then.
+        with contextlib.suppress(Exception):
+            remove_folder(spark, folder)
 
 
 def remove_folder(spark: SparkSession, folder: str) -> None:
