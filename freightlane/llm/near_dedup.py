@@ -5,11 +5,12 @@ share a bucket. No bucket's pairs are listed as such:
 
 1. every node is compared with one bucket leader (smallest id), the one it shares most buckets with; linked nodes unite;
 2. nodes are compared with their other leaders, where these are in another component;
-3. what is left of a bucket outside its largest component is compared with all nodes of the bucket in other components.
+3. what is left of a bucket outside its largest component is compared with all nodes of the bucket in other components,
+   a block of nodes against a block of nodes; only links leave a block, never its pairs.
 
 So every two nodes of a bucket are compared or already connected, and large groups of copies cost about one comparison
-per member. Pairs of steps 2 and 3 whose signatures or sizes rule out a link (by six standard deviations) are left out;
-all others are confirmed on their full sets. Two sets of similarity 0.8 share no bucket with a probability of 5e-6.
+per member. Pairs of step 2 whose signatures or sizes rule out a link (by six standard deviations) are left out; all
+links are confirmed on full sets. Two sets of similarity 0.8 share no bucket with a probability of 5e-6.
 
 Defined cases: a document without words or with NULL text is linked with nothing; one with fewer words than a shingle has
 its whole sequence as its shingle; rows that share an id but not the text are grouped text by text; rows without an id
@@ -35,6 +36,8 @@ SIMILARITY = 80  # per cent
 PER_BAND = 6
 #: Two sets of just the similarity asked for share no band with about this probability.
 MISSED = 5.5e-6
+#: Nodes of a bucket that are compared with as many others at a time.
+BLOCK_NODES = 500
 #: Ids alone are small: so many of them are broadcast.
 ID_ROWS = 1_000_000
 
@@ -158,24 +161,94 @@ def groups(
     apart = written(apart.join(best.select("a", "b"), ["a", "b"], "left_anti"), "apart")
     roots = _united(roots, verified(written(_may_link(apart, nodes, similarity), "maybe"), texts, k, similarity))
 
-    rest = written(_remaining(members, roots), "rest")
-    roots = _united(roots, verified(written(_may_link(rest, nodes, similarity), "maybe"), texts, k, similarity))
+    left = written(_block_links(_open(members, roots), texts, k, similarity), "left")
+    roots = _united(roots, verified(left, texts, k, similarity))
 
     named = light.select("id", "n_shingles", "set_key").join(small(copies), keys, "left")
     named = named.withColumn("node", F.coalesce("first", "id")).select("id", "n_shingles", "node")
     return _labelled(named, roots, "node", "component_id").select(F.col("id").alias(id_column), "n_shingles", "component_id")
 
 
-def _remaining(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of one bucket in different components, one of them outside the bucket's largest component."""
+def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Nodes of buckets with several components: bucket, id, root, whether it is outside the largest one (`few`), and
+    how many blocks the bucket's nodes (`blocks`) and its few (`few_blocks`) make."""
     labelled = _labelled(members.select("bucket", "id"), roots, "id", "root").distinct()
     parts = labelled.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-    largest = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "root"))["root"].alias("largest"))
-    largest = written(largest.filter("parts > 1").select(F.col("bucket").alias("of"), "largest"), "largest")
-    open_ = written(labelled.join(small(largest, ID_ROWS), F.expr("bucket = of")).select("bucket", "id", "root", "largest"), "open")
-    few = open_.filter("root <> largest").select(F.col("bucket").alias("at"), F.col("id").alias("x"), F.col("root").alias("own"))
-    pairs = few.join(open_, F.expr("bucket = at AND root <> own"))
-    return pairs.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
+    buckets = parts.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("largest")
+    )
+    buckets = buckets.filter("parts > 1").select(
+        F.col("bucket").alias("of"),
+        F.col("largest.root").alias("largest"),
+        F.ceil(F.col("n") / BLOCK_NODES).cast("int").alias("blocks"),
+        F.ceil((F.col("n") - F.col("largest.n")) / BLOCK_NODES).cast("int").alias("few_blocks"),
+    )
+    found = labelled.join(small(written(buckets, "open-buckets"), ID_ROWS), F.expr("bucket = of"))
+    return written(found.withColumn("few", F.col("root") != F.col("largest")).drop("of", "largest"), "open")
+
+
+def _block_links(open_nodes: DataFrame, texts: DataFrame, k: int, similarity: int) -> DataFrame:
+    """Pairs (a, b) of a bucket's nodes in different components that may be similar enough, one of them of the few.
+
+    Shingles are compared by 32 bits of their hashes here, which can only make an intersection look larger.
+    """
+    wanted = written(open_nodes.select(F.col("id").alias("wanted")).distinct(), "open-ids")
+    chosen = texts.join(small(wanted, ID_ROWS), F.expr("id = wanted"), "left_semi").dropDuplicates(["id"])
+
+    def shortened(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            sets = [shingle_set(t, k) for t in frame["text"]]
+            short = [np.unique((x >> np.uint64(32)).astype(np.uint32)).tobytes() for x in sets]
+            yield pd.DataFrame({"node": frame["id"].to_numpy(), "n": [len(x) for x in sets], "short": short})
+
+    sets = written(chosen.mapInPandas(shortened, "node long, n long, short binary"), "open-sets")
+    block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    one = open_nodes.filter("few").withColumns({"x": block("few_blocks"), "side": F.lit(0)}).withColumn("y", every("blocks"))
+    other = open_nodes.withColumns({"y": block("blocks"), "side": F.lit(1)}).withColumn("x", every("few_blocks"))
+    cell = ("bucket", "x", "y")
+    placed = one.select(*cell, "side", "id", "root").unionByName(other.select(*cell, "side", "id", "root"))
+    cells = placed.join(sets, F.expr("id = node")).select(*cell, "side", "id", "root", "n", "short")
+    return cells.repartition(*cell).sortWithinPartitions(*cell, "side").mapInPandas(_compared(similarity), "a long, b long").distinct()
+
+
+def _compared(similarity: int):
+    """Reads the nodes of one cell after the other and yields its links."""
+
+    def links(cell: pd.DataFrame) -> pd.DataFrame:
+        few, all_ = cell[cell["side"] == 0], cell[cell["side"] == 1]
+        sets = [np.frombuffer(x, dtype=np.uint32) for x in all_["short"]]
+        found: list[tuple[int, int]] = []
+        if len(few) and sets:
+            known, place = np.unique(np.concatenate(sets), return_inverse=True)
+            owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+            ids, roots, sizes = (all_[c].to_numpy() for c in ("id", "root", "n"))
+            for own, root, n, short in zip(few["id"], few["root"], few["n"], few["short"], strict=True):
+                mine = np.frombuffer(short, dtype=np.uint32)
+                here = np.zeros(len(known), dtype=bool)
+                at = np.minimum(np.searchsorted(known, mine), len(known) - 1)
+                here[at[known[at] == mine]] = True
+                both = np.bincount(owner[here[place]], minlength=len(sets)) + (n - len(mine))
+                good = (100 * both >= similarity * (n + sizes - both)) & (roots != root)
+                found += [(min(own, x), max(own, x)) for x in ids[good].tolist()]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for frame in frames:
+            frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+            if not len(frame):
+                continue
+            number = frame[["bucket", "x", "y"]].diff().ne(0).any(axis=1).cumsum()
+            # The last cell may go on in the next frame.
+            last = number.iloc[-1]
+            rest = frame[number == last]
+            done = frame[number != last]
+            yield from (links(cell) for _, cell in done.groupby(number[number != last], sort=False))
+        if rest is not None and len(rest):
+            yield links(rest)
+
+    return compare
 
 
 def deduplicated(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:

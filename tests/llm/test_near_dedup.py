@@ -165,3 +165,21 @@ def test_messy_rows(spark):
     assert kept.columns == rows.columns
     assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == [1, 2, 3, 4, 5, 6, 8, 9, None]
     assert nd.groups(no_rows(spark)).count() == nd.deduplicated(no_rows(spark)).count() == 0
+
+
+def test_blocks_of_a_bucket_find_every_link(spark, monkeypatch):
+    """The comparison of what is left of a bucket, cut into many blocks."""
+    monkeypatch.setattr(nd, "BLOCK_NODES", 7)
+    draw = random.Random(8)
+    base = [f"v{i}" for i in range(60)]
+    docs = {i: " ".join(w if draw.random() > 0.004 * (i % 40) else f"n{draw.randrange(10**6)}" for w in base) for i in range(90)}
+    texts = spark.createDataFrame(list(docs.items()), "id long, text string").repartition(5)
+    members = spark.createDataFrame([(bucket, i) for bucket in (4, -9) for i in docs if i % 2 or bucket > 0], "bucket long, id long")
+    united = {i: i % 3 for i in docs if i % 3 != i}
+    roots = spark.createDataFrame(list(united.items()), "node long, root long")
+    got = {tuple(r) for r in nd._block_links(nd._open(members, roots), texts, 1, 80).collect()}
+    sets = {i: shingles(t, 1) for i, t in docs.items()}
+    near = lambda a, b: 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    expected = {(a, b) for a in docs for b in docs if a < b and a % 3 != b % 3 and near(a, b)}
+    largest = {r["root"] for r in nd._open(members, roots).filter("NOT few").collect()}
+    assert expected and got == {(a, b) for a, b in expected if not {a % 3, b % 3} <= largest or len(largest) > 1}
