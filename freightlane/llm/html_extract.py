@@ -18,7 +18,7 @@ import html
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -206,12 +206,12 @@ def extract(pages: DataFrame, id_column: str = "page_id", url: str = "url", mark
     """id, url, text and n_chars (code points) of every page."""
     rows = pages.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{url}`").alias("url"), text_of(markup).alias("text"))
 
-    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            frame["text"] = [main_text(p) for p in frame["text"]]
-            frame["n_chars"] = [len(t) for t in frame["text"]]
-            yield frame
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [main_text(page.as_py()) for page in batch["text"]]
+            made = [pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["url"], *made], ["id", "url", "text", "n_chars"])
 
     kinds = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema]
-    out = rows.mapInPandas(read, ", ".join([*kinds, "n_chars long"]))
+    out = rows.mapInArrow(read, ", ".join([*kinds, "n_chars long"]))
     return out.select(F.col("id").alias(id_column), F.col("url").alias(url), "text", "n_chars")

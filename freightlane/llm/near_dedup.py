@@ -14,7 +14,7 @@ links are confirmed on full sets. Two sets of similarity 0.8 share no bucket wit
 
 Defined cases: a document without words or with NULL text is linked with nothing; one with fewer words than a shingle has
 its whole sequence as its shingle; rows that share an id but not the text are grouped text by text; rows without an id
-are left out of the groups and kept; repeated rows have the same result each; an empty table gives no rows.
+are linked with nothing and kept; repeated rows have the same result each; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,30 +49,30 @@ def bands_for(similarity: int) -> int:
 
 
 def signed(docs: DataFrame, k: int, bands: int, id_column: str, text: str) -> DataFrame:
-    """id, n_shingles, set_key, bands and signature of every document with an id."""
+    """id, n_shingles, set_key, bands and signature of every document."""
 
-    def batch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for at in range(0, len(frame), 256):
-                part = frame.iloc[at : at + 256]
-                sets = [shingle_set(t, k) for t in part["text"]]
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
+                sets = [shingle_set(t.as_py(), k) for t in part["text"]]
                 rows = signatures(sets, bands * PER_BAND)
                 keys, short = band_keys(rows, bands, PER_BAND), short_signature(rows)
-                yield pd.DataFrame({
-                    "id": part["id"].to_numpy(),
-                    "n_shingles": [len(s) for s in sets],
-                    "set_key": [set_key(s) if len(s) else None for s in sets],
-                    "bands": [x if len(s) else None for x, s in zip(keys, sets, strict=True)],
-                    "signature": [x.tobytes() if len(s) else None for x, s in zip(short, sets, strict=True)],
-                })
+                of = lambda values: [v if len(s) else None for v, s in zip(values, sets, strict=True)]  # noqa: E731, B023
+                made = [
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array(of(map(set_key, sets)), pa.binary()),
+                    pa.array(of(keys), pa.list_(pa.int64())),
+                    pa.array(of(x.tobytes() for x in short), pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays([part["id"], *made], ["id", "n_shingles", "set_key", "bands", "signature"])
 
     schema = "id long, n_shingles long, set_key binary, bands array<long>, signature binary"
-    return _rows(docs, id_column, text).mapInPandas(batch, schema)
+    return _rows(docs, id_column, text).mapInArrow(sign, schema)
 
 
 def _rows(docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    return rows.filter("id IS NOT NULL")
+    return docs.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, k: int, similarity: int) -> DataFrame:
@@ -130,6 +131,9 @@ def _labelled(pairs: DataFrame, roots: DataFrame, column: str, label: str) -> Da
 
 def _united(roots: DataFrame, links: DataFrame) -> DataFrame:
     """The components after links (a, b) between nodes are added."""
+    links = written(links, "links")
+    if links.isEmpty():
+        return roots
     across = _labelled(_labelled(links, roots, "a", "x"), roots, "b", "y").select(F.col("x").alias("node"), F.col("y").alias("root"))
     return written(components(across.unionByName(roots)), "roots")
 
@@ -137,12 +141,13 @@ def _united(roots: DataFrame, links: DataFrame) -> DataFrame:
 def groups(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", k: int = SHINGLE, similarity: int = SIMILARITY
 ) -> DataFrame:
-    """One row per document with an id: the id, n_shingles and component_id, the smallest id of its group."""
+    """One row per document: the id, n_shingles and component_id, the smallest id of its group (NULL without an id)."""
     light = written(signed(docs, k, bands_for(similarity), id_column, text), "signed")
-    copies = light.filter("n_shingles > 0").groupBy("set_key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    named = light.filter("n_shingles > 0 AND id IS NOT NULL")
+    copies = named.groupBy("set_key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
     copies = written(copies.filter("n > 1").select(F.col("set_key").alias("copy_key"), "first"), "copies")
     keys = F.expr("set_key = copy_key")
-    nodes = light.filter("n_shingles > 0").join(small(copies), keys, "left").filter("first IS NULL OR id = first")
+    nodes = named.join(small(copies), keys, "left").filter("first IS NULL OR id = first")
     nodes = nodes.select("id", "n_shingles", "bands", "signature")
     texts = _rows(docs, id_column, text)
 
@@ -164,9 +169,10 @@ def groups(
     left = written(_block_links(_open(members, roots), texts, k, similarity), "left")
     roots = _united(roots, verified(left, texts, k, similarity))
 
-    named = light.select("id", "n_shingles", "set_key").join(small(copies), keys, "left")
-    named = named.withColumn("node", F.coalesce("first", "id")).select("id", "n_shingles", "node")
-    return _labelled(named, roots, "node", "component_id").select(F.col("id").alias(id_column), "n_shingles", "component_id")
+    placed = light.select("id", "n_shingles", "set_key").join(small(copies), keys, "left")
+    node = F.when(F.col("id").isNotNull(), F.coalesce("first", "id"))
+    placed = placed.withColumn("node", node).select("id", "n_shingles", "node")
+    return _labelled(placed, roots, "node", "component_id").select(F.col("id").alias(id_column), "n_shingles", "component_id")
 
 
 def _open(members: DataFrame, roots: DataFrame) -> DataFrame:

@@ -51,7 +51,7 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = near_dedup.groups(table(spark, folder, "documents"), k=2)
-    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:

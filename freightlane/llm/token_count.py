@@ -20,7 +20,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -136,15 +136,15 @@ def token_counts(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", te
     """id, n_bytes (UTF-8), n_tokens, over_limit of every document. The rules go to the tasks with the broadcast of one vocabulary."""
     rules = docs.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary))
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(rules.value)
-        for frame in frames:
-            frame["n_tokens"] = [counter.count(t) for t in frame["text"]]
-            yield frame[["id", "n_bytes", "n_tokens"]]
+        for batch in batches:
+            tokens = pa.array([counter.count(t.as_py()) for t in batch["text"]], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["n_bytes"], tokens], ["id", "n_bytes", "n_tokens"])
 
     rows = docs.select(
         F.col(f"`{id_column}`").alias("id"), F.octet_length(text_of(text)).cast("long").alias("n_bytes"), text_of(text).alias("text")
     )
     kind = rows.schema["id"].dataType.simpleString()
-    counted = rows.mapInPandas(count, f"id {kind}, n_bytes long, n_tokens long")
+    counted = rows.mapInArrow(count, f"id {kind}, n_bytes long, n_tokens long")
     return counted.select(F.col("id").alias(id_column), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

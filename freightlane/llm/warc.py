@@ -31,6 +31,7 @@ END = "\r\n\r\n"
 ID_PREFIX = "urn:x-page:"
 #: Up to so many records per archive, and so many bytes of payloads per batch of rows.
 ARCHIVE_RECORDS = 20_000
+ARCHIVE_BYTES = 1 << 30
 BATCH_BYTES = 8 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -60,11 +61,14 @@ def write_archives(
 ) -> None:
     """One record per row: a response, or a revisit that refers to the response with the same payload.
 
-    Only digests and ids are grouped; the payloads stay in their partitions.
+    Only digests and ids are grouped; the payloads stay in their partitions. An archive has at most archive_records
+    records, and fewer where the largest payload would let it grow beyond ARCHIVE_BYTES.
     """
     body = F.coalesce(F.col(f"`{payload}`").cast("string"), F.lit(""))
     rows = pages.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{url}`").cast("string").alias("url"), body.alias("body"))
     rows = rows.withColumns({"digest": base32_sha1(F.col("body").cast("binary")), "bytes": F.octet_length("body")})
+    largest = rows.agg(F.max("bytes")).first()[0] or 0
+    archive_records = max(1, min(archive_records, ARCHIVE_BYTES // (largest + 1024)))
     copies = rows.filter(F.col("bytes") >= least_bytes).groupBy("digest").agg(F.max("id").alias("first"), F.count(F.lit(1)).alias("n"))
     copies = written(copies.filter("n > 1").select(F.col("digest").alias("copied"), "first"), "copied")
     enough = F.col("bytes") >= least_bytes

@@ -159,7 +159,8 @@ def test_similarity_at_the_threshold(spark):
 
 def test_messy_rows(spark):
     rows = messy(spark)
-    got = sorted(map(tuple, nd.groups(rows, k=2).collect()))
+    got = sorted(map(tuple, nd.groups(rows, k=2).collect()), key=lambda r: (r[0] is None, r))
+    assert got.pop() == (None, 69, None)
     assert got == [(1, 59, 1), (1, 59, 1), (2, 0, 2), (3, 0, 3), (4, 0, 4), (5, 0, 5), (6, 1, 6), (7, 1, 6), (8, 60, 8), (9, 2999, 9)]
     kept = nd.deduplicated(rows, k=2)
     assert kept.columns == rows.columns
