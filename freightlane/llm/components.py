@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightlane.llm.common import written
+from freightlane.llm.common import small, written
 
 EDGES = "node long, root long"
 
@@ -37,38 +37,34 @@ def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def components(edges: DataFrame) -> DataFrame:
     """node, root for every node that is not the smallest of its component; edges: node, root in any order.
 
-    Each task first unites its own edges. Then every node hands its neighbours to the smallest of them, larger
-    neighbours in one step, smaller ones in the next, until nothing changes; the number of rounds grows with the
-    logarithm of the longest path. Only one row of sums per round goes to the driver.
+    Each task first unites its own edges, which makes stars: nodes with a smaller root. Then, in rounds, nodes whose root has
+    a smaller root itself are handed to that one, and roots that share a node to the smallest of them. The number of
+    rounds grows with the logarithm of the longest path. It ends when every node has one root and no root has one. Roots
+    are looked up in a written table, so a root with very many nodes is split like any skewed join key.
     """
     edges = edges.select(F.col("node").cast("long"), F.col("root").cast("long")).filter("node <> root")
-    stars = written(edges.mapInPandas(_forest, EDGES).filter("node <> root"), "edges")
-    last = None
+    stars = written(edges.mapInPandas(_forest, EDGES).filter("node <> root").distinct(), "edges")
     while True:
-        state = stars.agg(F.count(F.lit(1)), F.sum(F.xxhash64("node", "root").cast("decimal(38,0)"))).first()
-        if state == last or not state[0]:
+        parents = written(stars.groupBy("node").agg(F.min("root").alias("least"), F.count(F.lit(1)).alias("roots")), "parents")
+        roots = stars.select(F.col("root").alias("centre")).distinct()
+        moved = written(parents.join(roots, F.expr("node = centre")).select("centre", "least"), "centres")
+        if moved.isEmpty() and parents.filter("roots > 1").isEmpty():
             return stars
-        last = state
-        stars = written(_small_star(_large_star(stars)), "edges")
+        stars = written(_joined_roots(_lifted(stars, moved)), "edges")
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Every node joins its larger neighbours to the smallest of its neighbours and itself."""
-    both = edges.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(
-        edges.select(F.col("root").alias("a"), F.col("node").alias("b"))
-    )
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least")).withColumnRenamed("a", "centre")
-    joined = both.filter("b > a").join(least, F.expr("a = centre"))
-    return joined.select(F.col("b").alias("node"), F.col("least").alias("root")).filter("node <> root").distinct()
+def _lifted(stars: DataFrame, moved: DataFrame) -> DataFrame:
+    """Nodes with the smallest root of their root, where it has one."""
+    joined = stars.join(small(moved), F.expr("root = centre"), "left")
+    return joined.select("node", F.coalesce("least", "root").alias("root")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    """Every node joins itself and its smaller neighbours to the smallest of them."""
-    down = edges.select(F.greatest("node", "root").alias("a"), F.least("node", "root").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("least"))
-    others = down.join(least.withColumnRenamed("a", "centre"), F.expr("a = centre")).filter("b <> least")
+def _joined_roots(stars: DataFrame) -> DataFrame:
+    """Every node with its smallest root only, and its other roots with that one as theirs."""
+    least = stars.groupBy("node").agg(F.min("root").alias("least"))
+    others = stars.join(least.withColumnRenamed("node", "of"), F.expr("node = of")).filter("root <> least")
     return (
-        others.select(F.col("b").alias("node"), F.col("least").alias("root"))
-        .unionByName(least.select(F.col("a").alias("node"), F.col("least").alias("root")))
+        others.select(F.col("root").alias("node"), F.col("least").alias("root"))
+        .unionByName(least.select("node", F.col("least").alias("root")))
         .distinct()
     )

@@ -96,8 +96,7 @@ def beta_prior(docs: float | None, hosts: int, failed: float | None, squares: fl
     return mean, min(max(noise / between - 1, 1.0), 1e6) if between > 0 else 1e6
 
 
-def judge(docs: DataFrame, text: str = "text", host: str | Column = "source", max_rate: float = MAX_RATE, keep_text: bool = True) -> DataFrame:
-    """The documents with the FACTS and `kept`. Without keep_text the text column is left out of the result."""
+def _judged(docs: DataFrame, text: str, host: str | Column, max_rate: float, keep_text: bool) -> DataFrame:
     where = host if isinstance(host, Column) else F.col(f"`{host}`")
     facts = with_facts(packed(docs, host=where.cast("string"), read=text_of(text)), F.col("read")).drop("read")
     if not keep_text:
@@ -106,4 +105,14 @@ def judge(docs: DataFrame, text: str = "text", host: str | Column = "source", ma
     verdicts = written(host_verdicts(facts.select("host", *[f"fail_{r}" for r in SOFT_RULES]), max_rate), "verdicts")
     joined = facts.alias("f").join(small(verdicts).alias("v"), F.expr("f.host <=> v.host"), "left")
     rejected = F.expr(" OR ".join(["base_failed", *[f"(fail_{r} AND bad_{r})" for r in SOFT_RULES]]))
-    return unpacked(joined, *FACTS, (~rejected).alias("kept"))
+    return joined.select("row", *FACTS, (~rejected).alias("kept"))
+
+
+def judge(docs: DataFrame, text: str = "text", host: str | Column = "source", max_rate: float = MAX_RATE, keep_text: bool = True) -> DataFrame:
+    """The documents with the FACTS and `kept`. Without keep_text the text column is left out of the result."""
+    return unpacked(_judged(docs, text, host, max_rate, keep_text), *FACTS, "kept")
+
+
+def kept_documents(docs: DataFrame, text: str = "text", host: str | Column = "source", max_rate: float = MAX_RATE) -> DataFrame:
+    """The documents that the rules keep, with the columns they had."""
+    return _judged(docs, text, host, max_rate, True).filter("kept").select("row.*")

@@ -97,7 +97,7 @@ def test_run_is_the_stages_in_order(spark, folder, stages):
 def test_messy_rows_pass_every_stage(spark, folder):
     rows = messy(spark)
     for _, stage in cp.STAGES[:-1]:
-        assert stage(spark, rows, folder).columns == rows.columns
+        assert stage(spark, rows, folder).dtypes == rows.dtypes
         assert stage(spark, spark.createDataFrame([], MESSY_SCHEMA), folder).count() == 0
 
 
