@@ -28,7 +28,7 @@ WINDOW = 3
 SOFT_RULES = {
     "symbols": "10 * n_symbols > word_chars",
     "dup_lines": "2 * n_dup_lines > n_lines",
-    "repeats": "100 * n_repeat_words > 20 * n_words",
+    "repeats": "100 * n_repeat_words > 35 * n_words",
 }
 FACTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 

@@ -40,7 +40,7 @@ def expected_kept(rows, max_rate=hq.MAX_RATE):
     for i, text, host in rows:
         n, chars, symbols, dup, repeat, base = facts(text)
         lines = len([x for x in (text or "").split("\n") if words(x)])
-        fails[i] = (base, {"symbols": 10 * symbols > chars, "dup_lines": 2 * dup > lines, "repeats": 100 * repeat > 20 * n})
+        fails[i] = (base, {"symbols": 10 * symbols > chars, "dup_lines": 2 * dup > lines, "repeats": 100 * repeat > 35 * n})
         hosts.setdefault(host, []).append(i)
     bad = {}
     for rule in hq.SOFT_RULES:
