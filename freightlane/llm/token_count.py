@@ -48,10 +48,9 @@ def byte_letters() -> dict[int, str]:
 class Vocabulary:
     """The rules of a vocabulary file and the strings proven to be one token."""
 
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
-            self.file = file.read()
-        rules = json.loads(self.file)
+    def __init__(self, file: str, proven: dict[str, int] | None = None):
+        self.file = file
+        rules = json.loads(file)
         steps = [s["type"] for s in rules["normalizer"]["normalizers"]]
         splits = rules["pre_tokenizer"]["pretokenizers"]
         if (steps, [s["type"] for s in splits], rules["model"]["end_of_word_suffix"]) != (
@@ -59,13 +58,20 @@ class Vocabulary:
             ["Split", "ByteLevel"],
             END,
         ):
-            raise ValueError(f"{path}: not a lower-case word vocabulary with {END}")
+            raise ValueError(f"not a lower-case word vocabulary with {END}")
         self.tokens = sorted(rules["model"]["vocab"])
         self.pattern = splits[0]["pattern"]["Regex"]
         self.special = [t["content"] for t in rules["added_tokens"]]
-        self.proven: dict[str, int] = {}
-        merge = Merger(self)
-        self.proven = {w: 1 for w in self._whole() if merge(w) == 1}
+        if proven is None:
+            merge = Merger(self)
+            proven = {w: 1 for w in self._whole() if merge(w) == 1}
+        self.proven = proven
+
+    @classmethod
+    def read(cls, path: str) -> Vocabulary:
+        """The rules in a file, with the strings proven on the spot."""
+        with open(path, encoding="utf-8") as file:
+            return cls(file.read())
 
     def _whole(self) -> Iterator[str]:
         """The texts of the vocabulary's whole words that are a pre-token by themselves."""
@@ -134,10 +140,11 @@ class Counter(dict):
 
 def token_counts(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text: str = "text", limit: int = LIMIT) -> DataFrame:
     """id, n_bytes (UTF-8), n_tokens, over_limit of every document. The rules go to the tasks with the broadcast of one vocabulary."""
-    rules = docs.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary))
+    proven = Vocabulary.read(vocabulary)
+    rules = docs.sparkSession.sparkContext.broadcast((proven.file, proven.proven))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(rules.value)
+        counter = Counter(Vocabulary(*rules.value))
         for batch in batches:
             tokens = pa.array([counter.count(t.as_py()) for t in batch["text"]], pa.int64())
             yield pa.RecordBatch.from_arrays([batch["id"], batch["n_bytes"], tokens], ["id", "n_bytes", "n_tokens"])

@@ -20,7 +20,7 @@ def library():
 
 @pytest.fixture(scope="module")
 def counter():
-    return Counter(Vocabulary(PATH))
+    return Counter(Vocabulary.read(PATH))
 
 
 def test_proven_strings_are_one_token(library, counter):
@@ -65,4 +65,4 @@ def test_messy_rows(spark, library):
 
 def test_other_kinds_of_vocabulary_are_refused():
     with pytest.raises((ValueError, TypeError, KeyError)):
-        Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+        Vocabulary.read(public_tokenizers.path("byte_bpe_50k.json"))
