@@ -1,11 +1,13 @@
 """Every registered query against its SQL, and what the plans must and must not contain."""
 
 import os
+import shutil
 from pathlib import Path
 from types import SimpleNamespace
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from freightlane.session import work_folder
@@ -133,3 +135,14 @@ def test_foreign_keys_read_a_child_once(spark, folder):
     parents = {fk.parent_table: table(spark, folder, fk.parent_table) for fk in REFERENCES[0].foreign_keys}
     plan = plan_of(foreign_key_checks(REFERENCES[0], table(spark, folder, "lineitem"), parents))
     assert plan.count("lineitem.parquet") == 1
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_streams_read_their_table_only(spark, folder, tmp_path, parts):
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    if parts == 1:
+        shutil.copy(f"{folder}/orders.parquet", tmp_path / "orders.parquet")
+    else:
+        orders.repartition(parts).write.parquet(str(tmp_path / "orders.parquet"))
+    orders.withColumn("o_orderkey", -F.col("o_orderkey") - 1).write.parquet(str(tmp_path / "orders.parquet_old"))
+    assert QUERIES["load_stream"](spark, str(tmp_path)).count() == orders.count()

@@ -488,7 +488,8 @@ def load_anti(spark: SparkSession, folder: str) -> DataFrame:
 
 def _streamed(spark: SparkSession, folder: str, contract: Contract) -> tuple[str, str]:
     """Stream one table's files into a target, twice; the second run finds nothing to do."""
-    place, source = work_folder(spark, "load"), f"{folder}/{contract.name}.parquet{{,/*.parquet}}"
+    # The stream wants a folder or a pattern; this one fits the table's name only, be it a file or a folder of files.
+    place, source = work_folder(spark, "load"), f"{folder}/{contract.name}.parque[t]"
     for _ in range(2):
         schema = table(spark, folder, contract.name).schema
         resume_load(spark, source, contract, f"{place}/target", f"{place}/state", "run-1", schema, max_bytes=256 << 30)
