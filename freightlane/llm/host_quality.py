@@ -99,9 +99,9 @@ def beta_prior(docs: float | None, hosts: int, failed: float | None, squares: fl
 def _judged(docs: DataFrame, text: str, host: str | Column, max_rate: float, keep_text: bool) -> DataFrame:
     where = host if isinstance(host, Column) else F.col(f"`{host}`")
     facts = with_facts(packed(docs, host=where.cast("string"), read=text_of(text)), F.col("read")).drop("read")
+    # Without texts the facts are small and are written; with them they are worked out again at the end instead.
     if not keep_text:
-        facts = facts.withColumn("row", F.col("row").dropFields(text))
-    facts = written(facts, "facts")
+        facts = written(facts.withColumn("row", F.col("row").dropFields(text)), "facts")
     verdicts = written(host_verdicts(facts.select("host", *[f"fail_{r}" for r in SOFT_RULES]), max_rate), "verdicts")
     joined = facts.alias("f").join(small(verdicts).alias("v"), F.expr("f.host <=> v.host"), "left")
     rejected = F.expr(" OR ".join(["base_failed", *[f"(fail_{r} AND bad_{r})" for r in SOFT_RULES]]))

@@ -95,13 +95,14 @@ def _planned(docs: DataFrame, id_column: str, text: str, source: str, weights, b
     rows = packed(docs, **keys)
     if carry is not None:
         rows = rows.withColumn("row", F.struct(*[F.col("row").getField(c).alias(c) for c in carry]))
-    rows = written(rows, "mix-rows")
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    # Sizes and hashes alone are written; the rows are read again at the end, so their texts take no work space.
+    light = written(rows.select("source", "size", "hashed"), "mix-rows")
+    sizes = light.groupBy("source").agg(F.sum("size").alias("source_size"))
     goals = written(targets(sizes, weights, budget, passes), "mix-targets")
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     goals = goals.withColumn("full", F.least(F.floor(share), F.lit(passes)).cast("int"))
     goals = goals.withColumn("need", F.col("target") - F.col("full") * F.col("source_size"))
-    below = thresholds(rows.select("source", "size", "hashed"), goals.filter("need > 0"))
+    below = thresholds(light, goals.filter("need > 0"))
     plan = goals.alias("g").join(small(below).alias("b"), F.expr("g.source <=> b.source"), "left")
     # Without a threshold a source's need is nothing, or all that it has.
     once_more = F.expr("CASE WHEN threshold IS NOT NULL THEN hashed < threshold ELSE need > 0 END")

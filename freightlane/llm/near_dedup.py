@@ -199,7 +199,7 @@ def _block_links(open_nodes: DataFrame, texts: DataFrame, k: int, similarity: in
     Shingles are compared by 32 bits of their hashes here, which can only make an intersection look larger.
     """
     wanted = written(open_nodes.select(F.col("id").alias("wanted")).distinct(), "open-ids")
-    chosen = texts.join(small(wanted, ID_ROWS), F.expr("id = wanted"), "left_semi").dropDuplicates(["id"])
+    chosen = texts.join(small(wanted, ID_ROWS), F.expr("id = wanted"), "left_semi").dropDuplicates(["id", "text"])
 
     def shortened(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -266,5 +266,5 @@ def deduplicated(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     stay = rows.join(small(gone, ID_ROWS), F.expr("id = gone_id"), "left_anti")
     repeated = small(kept.filter("n > 1").select(F.col("kept_id").alias("repeated_id")), ID_ROWS)
     once = stay.join(repeated, F.expr("id = repeated_id"), "left_anti")
-    several = stay.join(repeated, F.expr("id = repeated_id"), "left_semi").dropDuplicates(["id"])
+    several = stay.join(repeated, F.expr("id = repeated_id"), "left_semi").dropDuplicates(["id", "text"])
     return once.unionByName(several).select("row.*")
