@@ -1,5 +1,6 @@
 """Benchmark decontamination against brute force over all alignments."""
 
+import itertools
 import math
 
 import pytest
@@ -75,6 +76,31 @@ def test_any_single_substitution_is_tolerated(spark, place):
     assert set(leaks(spark, [prose(20) + " " + passage], [ITEM])) == {(0, 0)}
 
 
+def allowed(n):
+    """Substitutions that the rule allows among n aligned words."""
+    return n - math.ceil(n * dc.AGREE)
+
+
+@pytest.mark.parametrize("n", range(9, dc.WINDOW + 1))
+def test_masks_hit_every_window_within_the_rule(n):
+    places = [{at + i for i, on in enumerate(m) if on == "1"} for m in dc.MASKS for at in range(n - len(m) + 1)]
+    for gone in itertools.combinations(range(n), allowed(n)):
+        assert any(p.isdisjoint(gone) for p in places), gone
+
+
+@pytest.mark.parametrize("n", [9, 10, 11, 13])
+def test_all_substitutions_that_the_rule_allows(spark, n):
+    item = " ".join(ITEM.split()[:n])
+    texts = [prose(11) + " " + replaced(item, gone) + " " + prose(9, 50) for gone in itertools.combinations(range(n), allowed(n))]
+    assert set(leaks(spark, texts, [item])) == {(i, 0) for i in range(len(texts))}
+
+
+def test_part_of_a_long_item_at_an_edge(spark):
+    parts = [" ".join(ITEM.split()[-13:]), " ".join(ITEM.split()[:13])]
+    texts = [replaced(parts[0], {4, 8}) + " " + prose(20), prose(20) + " " + replaced(parts[1], {4, 8})]
+    assert set(leaks(spark, texts, [ITEM])) == {(0, 0), (1, 0)}
+
+
 def test_short_items_and_blocks(spark):
     items = [prose(8, 100), prose(9, 200), prose(12, 300), "", None]
     texts = [prose(8, 100), "x " + prose(9, 200), prose(12, 300) + " y"]
