@@ -8,12 +8,20 @@ diagonal; an overlap is proven if some run of `window` aligned words (or the who
 rule allows it, always have a place that none of them touches (tested by enumeration), so every pair that the rule proves
 has a hit. Other values of `window` and `agree` need masks of their own for that.
 
-Defined cases: a NULL or empty text, and an item with fewer words than the masks are long, can have no overlap;
+An item with fewer words than the masks are long has masks of its own length, at whose only place the whole item is hashed:
+without substitutions all its words, else all but some groups of its words, so that each choice of substituted words leaves
+some mask untouched. `shortest` bounds the items that are looked for; overlaps() alone begins at the length of MASKS, clean()
+and the query at one word. Documents are hashed by the masks of lengths that the benchmark has.
+
+Defined cases: a NULL or empty text, and an item with fewer words than `shortest`, can have no overlap;
 repeated rows and items each count as themselves, a pair of ids stands once; empty tables give no rows.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,16 +35,33 @@ AGREE = 0.8
 BLOCK_SEEDS = BROADCAST_ROWS
 
 
-def _seed(mask: str, number: int, word) -> Column:
-    return F.xxhash64(F.lit(number), *[word(i) for i, on in enumerate(mask) if on == "1"])
+def short_masks(n: int, agree: float = AGREE) -> tuple[str, ...]:
+    """Masks of an item of n words that are laid on all of it: each leaves out some of its groups of words.
 
+    So many groups are left out as substitutions are allowed, of two more groups than that, and a substitution touches one.
+    """
+    gone = n - math.ceil(n * agree)
+    groups = gone + 2 if gone else 1
+    chosen = itertools.combinations(range(groups), gone)
+    return tuple(dict.fromkeys("".join("0" if i % groups in out else "1" for i in range(n)) for out in chosen))
 
-def _seeds(rows: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    """A row per place of a full window and mask: `place` and `seed`, beside the columns of the rows."""
-    span = max(map(len, masks))
-    placed = rows.filter(F.size("words") >= span).withColumn("place", F.explode(F.sequence(F.lit(0), F.size("words") - span)))
+
+def _seed(mask: str, word) -> Column:
+    return F.xxhash64(F.lit(int(f"1{mask}", 2)), *[word(i) for i, on in enumerate(mask) if on == "1"])
+
+
+def _seeds(rows: DataFrame, masks: tuple[str, ...], whole: tuple[str, ...] = (), items: bool = False) -> DataFrame:
+    """A row per place of a full window and mask: `place` and `seed`, beside the columns of the rows.
+
+    Masks of `whole` lie on whole items only, but on every place of a document.
+    """
+    n = F.size("words")
+    span = min(map(len, (*masks, *whole)))
+    placed = rows.filter(n >= span).withColumn("place", F.explode(F.sequence(F.lit(0), n - span)))
     word = lambda i: F.get("words", F.col("place") + i)
-    return placed.withColumn("seed", F.explode(F.array(*[_seed(m, i, word) for i, m in enumerate(masks)])))
+    fits = lambda m: n == len(m) if items and m in whole else F.col("place") + len(m) <= n
+    seeds = F.array(*[F.when(fits(m), _seed(m, word)) for m in (*masks, *whole)])
+    return placed.withColumn("seed", F.explode(seeds)).filter("seed IS NOT NULL")
 
 
 def overlaps(
@@ -50,6 +75,7 @@ def overlaps(
     window: int = WINDOW,
     agree: float = AGREE,
     block_seeds: int = BLOCK_SEEDS,
+    shortest: int | None = None,
 ) -> DataFrame:
     """doc id, item id, first_word (in the document), n_agree, n_aligned, share (of the item): one row per pair with a proven overlap.
 
@@ -59,16 +85,20 @@ def overlaps(
     docs_words = docs.select(F.col(f"`{id_column}`").alias("id"), tokens_of(text_of(text)).alias("words"))
     items = benchmark.select(F.col(f"`{item_column}`").alias("item"), tokens_of(text_of(item_text)).alias("words"))
     items = items.withColumn("number", F.xxhash64("item", "words"))
-    n_seeds = _seeds(items, masks).count()
+    span = max(map(len, masks))
+    lengths = list(range(span if shortest is None else max(1, shortest), span))
+    lengths = sorted(r[0] for r in items.select(F.size("words")).filter(F.size("words").isin(lengths)).distinct().collect()) if lengths else []
+    whole = tuple(m for n in lengths for m in short_masks(n, agree))
+    n_seeds = _seeds(items, masks, whole, items=True).count()
     blocks = max(1, -(-n_seeds // block_seeds))
-    windows = _seeds(docs_words, masks)
+    windows = _seeds(docs_words, masks, whole)
     found = None
     for b in range(blocks):
         block = items.filter(F.pmod("number", F.lit(blocks)) == b) if blocks > 1 else items
-        seeds = _seeds(block, masks).select(F.col("seed").alias("item_seed"), F.col("number").alias("of"), F.col("place").alias("item_place"))
-        whole = block.select("number", "item", F.col("words").alias("item_words")).distinct()
+        seeds = _seeds(block, masks, whole, items=True).select(F.col("seed").alias("item_seed"), F.col("number").alias("of"), F.col("place").alias("item_place"))
+        texts = block.select("number", "item", F.col("words").alias("item_words")).distinct()
         hit = windows.join(F.broadcast(seeds), F.expr("seed = item_seed")).drop("seed", "item_seed")
-        proven = _proven(hit.join(F.broadcast(whole), F.expr("of = number")), window, agree)
+        proven = _proven(hit.join(F.broadcast(texts), F.expr("of = number")), window, agree)
         found = proven if found is None else found.unionByName(proven)
     best = found.groupBy("id", "item").agg(
         F.max(F.struct("n_agree", "n_aligned", F.negate("first_word").alias("earliest"), "share")).alias("best")
@@ -121,7 +151,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text
     # A row is known by its id and its text's hash, so ids that repeat with other texts are told apart.
     key = F.struct(F.col(f"`{id_column}`").alias("a"), F.xxhash64(text_of(text)).alias("b"))
     keyed = docs.select(key.alias("__key"), F.col(f"`{text}`").alias("text"))
-    bad = overlaps(keyed, benchmark, "__key", "text", **options).select(F.col("__key").alias("bad")).distinct()
+    bad = overlaps(keyed, benchmark, "__key", "text", **{"shortest": 1, **options}).select(F.col("__key").alias("bad")).distinct()
     bad = written(bad.select("bad.a", "bad.b"), "leaks")
     rows = packed(docs, a=F.col(f"`{id_column}`"), b=F.xxhash64(text_of(text)))
     kept = rows.alias("r").join(small(bad).alias("x"), F.expr("r.a <=> x.a AND r.b = x.b"), "left_anti")

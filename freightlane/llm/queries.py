@@ -68,7 +68,7 @@ def op7_host_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """The pairs of document and benchmark item with a proven overlap."""
-    return decontaminate.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return decontaminate.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"), shortest=1)
 
 
 def op9_shard(spark: SparkSession, folder: str) -> DataFrame:

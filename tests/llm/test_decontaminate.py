@@ -108,6 +108,27 @@ def test_short_items_and_blocks(spark):
     assert set(leaks(spark, texts, items, block_seeds=3)) == {(1, 1), (2, 2)}
 
 
+@pytest.mark.parametrize("n", range(1, 9))
+def test_masks_of_short_items(n):
+    masks = dc.short_masks(n)
+    assert all(len(m) == n and "1" in m for m in masks)
+    for gone in itertools.combinations(range(n), allowed(n)):
+        assert any(all(m[i] == "0" for i in gone) for m in masks)
+
+
+def test_items_shorter_than_the_masks(spark):
+    items = [prose(n, 100 * n) for n in range(1, 9)] + [ITEM]
+    texts = [prose(30, 5000) + " " + items[n - 1] + " " + prose(7, 6000) for n in range(1, 9)]
+    texts += [items[n - 1] for n in range(1, 9)]
+    texts += [prose(3, 5000) + " " + replaced(items[n - 1], {n // 2}) for n in range(1, 9)]
+    texts += [replaced(items[n - 1], {0, n - 1}) for n in range(2, 9)]
+    expected = {(i, i % 8) for i in range(16)} | {(15 + n, n - 1) for n in range(5, 9)}
+    assert set(leaks(spark, texts, items, shortest=1)) == expected
+    assert set(leaks(spark, texts, items, shortest=1, block_seeds=3)) == expected
+    kept = dc.clean(frame(spark, texts), frame(spark, items, "item_id long, text string"))
+    assert {r["doc_id"] for r in kept.collect()} == set(range(len(texts))) - {d for d, _ in expected}
+
+
 def test_messy_rows(spark):
     rows = messy(spark)
     items = spark.createDataFrame([(1, prose(20, 520), "x", "y"), (1, prose(20, 520), "x", "y"), (None, prose(20, 110), None, None), (3, None, "x", "y")], ITEMS)
