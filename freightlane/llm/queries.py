@@ -82,7 +82,7 @@ def op9_shard(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
-    return tool_calls.transcripts(table(spark, folder, "conversations"))
+    return tool_calls.transcripts(table(spark, folder, "conversations"), each=True)
 
 
 __all__ = ["ORACLES", "QUERIES"]

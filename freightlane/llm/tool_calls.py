@@ -17,6 +17,11 @@ Defined cases: NULL text is empty prose, NULL conversations are one conversation
 roles give nothing; JSON that cannot be read is prose; of several calls or results with one identifier the first by turn
 counts and the numbers are reported (so repeated rows change nothing but these); an empty table gives no rows. Records
 stand one per call, never one per conversation, so a conversation may have any length.
+
+With `each`, as the query takes it, no call and no result is only counted. The n-th call of an identifier is linked to its
+n-th result, and what is left over stands as a row of its own with that identifier. Calls without an identifier are named
+#1, #2, ... in the order of turn and place; a result without one answers the oldest of them that is open, or is an orphan
+#lost-1, ... They are paired by one task per conversation. References mean the first call of an identifier.
 """
 
 from __future__ import annotations
@@ -192,29 +197,57 @@ def events(
 # --- linking --------------------------------------------------------------------------------------------
 
 
-def linked(found: DataFrame) -> DataFrame:
-    """One row per identifier of a conversation: the first call, the first result, how many of each, and the status."""
+def _numbered(found: DataFrame) -> DataFrame:
+    """The events with `key`, the same for a call and the result that belongs to it and else unique, how many calls and
+    results their identifier has, and names for those without one."""
+    order = ("turn", "at", "kind", "body")
+    so_far = Window.partitionBy("conv").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    surplus = F.sum(F.when(F.col("kind") == "result", 1).otherwise(-1)).over(so_far)
+    bare = found.filter("call_id = ''").withColumn("surplus", surplus).withColumn("lost", F.greatest(F.lit(0), F.max("surplus").over(so_far)))
+    nth = F.row_number().over(Window.partitionBy("conv", "kind").orderBy(*order))
+    before = F.coalesce(F.lag("lost").over(Window.partitionBy("conv").orderBy(*order)), F.lit(0))
+    bare = bare.withColumns({"nth": nth, "before": before})
+    name = F.when(F.col("kind") == "call", F.concat(F.lit("#"), "nth")).when(F.col("lost") > F.col("before"), F.concat(F.lit("#lost-"), "lost"))
+    bare = bare.withColumn("call_id", F.coalesce(name, F.concat(F.lit("#"), F.col("nth") - F.col("lost")))).drop("surplus", "lost", "nth", "before")
+    both = Window.partitionBy("conv", "call_id", "bare")
+    counts = {f"n_{k}s": F.count(F.when(F.col("kind") == k, 1)).over(both) for k in ("call", "result")}
+    rows = found.filter("call_id <> ''").withColumn("bare", F.lit(False)).unionByName(bare.withColumn("bare", F.lit(True)))
+    rows = rows.withColumns({**counts, "nth": F.row_number().over(Window.partitionBy("conv", "call_id", "bare", "kind").orderBy("turn", "at", "body"))})
+    # No identifier that a message gives ends like this.
+    key = F.when(F.col("bare"), F.concat("call_id", F.lit("\0"))).when(F.col("nth") == 1, F.col("call_id"))
+    return rows.withColumn("key", F.coalesce(key, F.concat("call_id", F.lit("\0"), "nth"))).drop("bare", "nth")
+
+
+def linked(found: DataFrame, each: bool = False) -> DataFrame:
+    """One row per identifier of a conversation: the first call, the first result, how many of each, and the status.
+
+    With `each` one row per pair or single one; `call_id` is unique then, and `shown` is the identifier.
+    """
+    named = _numbered(found) if each else found.withColumn("key", F.col("call_id"))
+    counts = ["n_calls", "n_results"] if each else []
     firsts = lambda kind, body: (
-        found.filter(F.col("kind") == kind)
-        .groupBy("conv", "call_id")
-        .agg(F.count(F.lit(1)).alias(f"n_{kind}s"), F.min(F.struct(*body)).alias(kind))
-        .withColumnsRenamed({"conv": f"{kind}_conv", "call_id": f"{kind}_call_id"})
+        named.filter(F.col("kind") == kind)
+        .groupBy("conv", "key")
+        .agg(F.count(F.lit(1)).alias(f"n_{kind}s"), F.min(F.struct(*body, F.col("call_id").alias("shown"), *counts)).alias(kind))
+        .withColumnsRenamed({"conv": f"{kind}_conv", "key": f"{kind}_call_id"})
     )
     calls = firsts("call", ["turn", "at", "name", "body", "errors", "refers"])
     results = firsts("result", ["turn", "at", "body"])
     joined = calls.join(results, F.expr("call_conv <=> result_conv AND call_call_id = result_call_id"), "full_outer")
+    number = lambda n: F.coalesce(f"call.{n}", f"result.{n}") if each else F.coalesce(n, F.lit(0))
     status = F.when(F.col("call").isNull(), "orphan").when(F.col("result").isNull(), "unanswered").otherwise("linked")
     return joined.select(
         F.coalesce("call_conv", "result_conv").alias("conv"),
         F.coalesce("call_call_id", "result_call_id").alias("call_id"),
+        F.coalesce("call.shown", "result.shown").alias("shown"),
         F.col("call.name").alias("name"),
         F.coalesce("call.turn", "result.turn").alias("turn"),
         F.coalesce("call.at", "result.at").alias("at"),
         F.col("call.turn").alias("call_turn"),
         F.col("result.turn").alias("result_turn"),
         status.alias("status"),
-        F.coalesce("n_calls", F.lit(0)).alias("n_calls"),
-        F.coalesce("n_results", F.lit(0)).alias("n_results"),
+        number("n_calls").alias("n_calls"),
+        number("n_results").alias("n_results"),
         F.col("call.errors").alias("errors"),
         F.col("call.refers").alias("refers"),
         F.col("call.body").alias("arguments"),
@@ -277,13 +310,14 @@ def transcripts(
     role: str = "role",
     text: str = "text",
     block_turns: int = BLOCK_TURNS,
+    each: bool = False,
 ) -> DataFrame:
     """One row per call or orphan result: conversation, call_id, name, turns, status, counts, errors, position, record.
 
     position is the place in the conversation's order, gapless from 0 on. Blocks of turns are numbered apart and put one
     after the other, so no task needs a whole conversation.
     """
-    links = written(linked(events(messages, schemas if schemas is not None else SCHEMAS, conv, turn, role, text)), "links")
+    links = written(linked(events(messages, schemas if schemas is not None else SCHEMAS, conv, turn, role, text), each), "links")
     moved = ranks(links).withColumnsRenamed({"conv": "r_conv", "call_id": "r_id"})
     rows = links.join(moved, F.expr("conv <=> r_conv AND call_id = r_id"), "left").withColumns({
         "place": F.when(F.coalesce("cyclic", F.lit(False)), F.col("turn")).otherwise(F.coalesce("place", "turn", F.lit(0))),
@@ -301,7 +335,7 @@ def transcripts(
     string = lambda c: F.when(F.col(c).isNull(), "null").otherwise(F.expr(f"substring(to_json(array({c})), 2, length(to_json(array({c}))) - 2)"))
     parts = {
         "arguments": F.coalesce("arguments", F.lit("null")),
-        "call_id": string("call_id"),
+        "call_id": string("shown"),
         "conversation": F.coalesce(F.col("conv").cast("string"), F.lit("null")),
         "errors": string("errors"),
         "name": string("name"),
@@ -312,7 +346,7 @@ def transcripts(
     fields = [x for i, (k, v) in enumerate(parts.items()) for x in (F.lit(f'{"," if i else "{"}"{k}":'), v)]
     return numbered.withColumn("position", F.col("first") + F.col("nth")).select(
         F.col("conv").alias(conv),
-        "call_id",
+        F.col("shown").alias("call_id"),
         "name",
         "call_turn",
         "result_turn",

@@ -160,6 +160,59 @@ def test_nulls_repeats_and_broken_json(spark):
     assert tc.transcripts(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def rows_of(spark, messages):
+    out = tc.transcripts(spark.createDataFrame([(*m, "x", "y", 1) for m in messages], SCHEMA), TOOLS, each=True).collect()
+    assert all(json.loads(r["record"])["call_id"] == r["call_id"] for r in out)
+    result = lambda r: (q := json.loads(r["record"]), (q["arguments"] or {}).get("query"), q["result"])[1:]
+    return sorted((r["conv_id"], r["position"], r["call_id"], r["status"], *result(r), r["n_calls"], r["n_results"]) for r in out)
+
+
+def test_calls_without_identifiers(spark):
+    tag = lambda q: f'<tool_call>{{"name":"find","arguments":{{"query":"{q}"}}}}</tool_call>'
+    back = lambda x: f'<tool_response>{{"content":"{x}"}}</tool_response>'
+    assert rows_of(spark, [
+        (1, 0, "tool", back("none open")),
+        (1, 1, "assistant", tag("a") + tag("b")),
+        (1, 2, "tool", back("A") + back("B")),
+        (1, 3, "assistant", tag("c")),
+        (1, 4, "assistant", call("d", {"query": "d"})),
+        (1, 5, "tool", back("C")),
+        (1, 6, "assistant", tag("e")),
+        (2, 0, "assistant", tag("other")),
+    ]) == [
+        (1, 0, "#lost-1", "orphan", None, "none open", 0, 1),
+        (1, 1, "#1", "linked", "a", "A", 1, 1),
+        (1, 2, "#2", "linked", "b", "B", 1, 1),
+        (1, 3, "#3", "linked", "c", "C", 1, 1),
+        (1, 4, "d", "unanswered", "d", None, 1, 0),
+        (1, 5, "#4", "unanswered", "e", None, 1, 0),
+        (2, 0, "#1", "unanswered", "other", None, 1, 0),
+    ]
+
+
+def test_repeated_identifiers_are_rows(spark):
+    assert rows_of(spark, [
+        (1, 0, "assistant", call("a", {"query": "x"})),
+        (1, 1, "tool", answer("a", "X")),
+        (1, 2, "assistant", call("a", {"query": "y"})),
+        (1, 3, "tool", answer("a", "Y")),
+        (1, 4, "tool", answer("a", "Z")),
+        (1, 5, "assistant", call("b", {"query": "$a"})),
+    ]) == [
+        (1, 0, "a", "linked", "x", "X", 2, 3),
+        (1, 1, "a", "linked", "y", "Y", 2, 3),
+        (1, 2, "a", "orphan", None, "Z", 2, 3),
+        (1, 3, "b", "unanswered", "$a", None, 1, 0),
+    ]
+
+
+def test_prose_that_shares_a_turn_is_kept(spark):
+    messages = [(c, t, r, x, "x", "y", 1) for c in (None, 3) for t, r, x in [(0, "user", "a"), (0, "user", "b"), (1, "assistant", "A"), (1, "assistant", "B")]]
+    out = tc.transcripts(spark.createDataFrame(messages, SCHEMA), each=True).collect()
+    found = sorted((str(r["conv_id"]), r["call_id"], q["arguments"]["text"], q["result"]) for r in out for q in [json.loads(r["record"])])
+    assert found == [(c, "turn-0", *x) for c in ("3", "None") for x in [("a", "A"), ("b", "B")]]
+
+
 def test_query_against_brute_force(spark, folder):
     calls_, results = {}, {}
     for r in spark.read.parquet(f"{folder}/conversations.parquet").collect():
