@@ -3,10 +3,11 @@
 Writing: a record ends in two line ends, so a file of records is a text file with that as its line separator. Tasks
 write archives through Spark's own writer, to any store and under its commit rules.
 
-Reading: each task walks through one archive, plain or gzip-compressed member by member, and checks every record: version
-line, headers, length, end mark, and the payload's digest if one is given. After a failed check it searches for the next
-version line, or the next gzip member that can be unpacked and begins with one, goes on there, and logs the bytes in
-between as a quarantined gap. An archive is read as one value, so it may have up to 2 GB; the writer here makes smaller ones.
+Reading: each task walks through one archive and checks every record: version line, headers, length, end mark, and the
+payload's digest if one is given. Plain records and gzip members may follow each other; a member may hold many records,
+which are walked through alike, and all have the member's bytes as their place. After a failed check it searches for the
+next version line or the next gzip member that can be unpacked and holds a good record, whichever is nearer, goes on there,
+and logs the bytes in between as a quarantined gap; a gap inside a member that has good records is logged as that member. An archive is read as one value, so it may have up to 2 GB; the writer here makes smaller ones.
 
 Defined cases: a NULL payload is empty; a NULL or empty address is left out; rows with equal payloads of at least
 `least_bytes` are one response (largest id) and revisits of it, rows that repeat the largest id are responses too, rows
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -99,6 +101,7 @@ def write_archives(
 VERSION = re.compile(rb"WARC/\d\.\d\r?\n")
 HEAD_END = re.compile(rb"\r?\n\r?\n")
 MEMBER = b"\x1f\x8b\x08"
+BEGIN = re.compile(re.escape(MEMBER) + b"|" + VERSION.pattern)
 
 
 class Broken(ValueError):
@@ -163,41 +166,47 @@ def _member(data: bytes, at: int) -> tuple[bytes, int]:
     return b"".join(parts), at - len(unpack.unused_data)
 
 
-def walk(data: bytes) -> Iterator[tuple[int, int, dict[str, str] | None, bytes, str]]:
-    """(start, stop, headers, payload, "") of each good record and (start, stop, None, b"", reason) of each gap, in order."""
-    at, gap, reason = 0, None, ""
-    packed = data.startswith(MEMBER) or not VERSION.search(data, 0, 1 << 16) and MEMBER in data
+def walk(data: bytes, members: bool = True) -> Iterator[tuple[int, int, dict[str, str] | None, bytes, str]]:
+    """(start, stop, headers, payload, "") of each good record and (start, stop, None, b"", reason) of each gap, in order.
+
+    Without `members`, as inside of one, only version lines begin a record.
+    """
+    at, gap, reason, after = 0, None, "", False
+    begin = BEGIN if members else VERSION
     while at < len(data):
         try:
-            if packed:
+            if members and data.startswith(MEMBER, at):
                 record, stop = _member(data, at)
-                headers, block, used = parse_record(record, 0)
-                if used != len(record):
-                    raise Broken("member")
+                found = _records(record)
             else:
                 headers, block, stop = parse_record(data, at)
-            payload = payload_of(headers, block)
+                found = iter([(headers, payload_of(headers, block), "")])
         except Broken as e:
             if gap is None:
-                gap, reason = at, str(e)
-            at = _next(data, at + 1, packed)
+                # What follows a member and is no record either should have been one.
+                gap, reason = at, "member" if after and str(e) == "version" else str(e)
+            following = begin.search(data, at + 1)
+            at = following.start() if following else len(data)
             continue
         if gap is not None:
             yield gap, at, None, b"", reason
             gap = None
-        yield at, stop, headers, payload, ""
-        at = stop
+        for headers, payload, why in found:
+            yield at, stop, headers, payload, why
+        at, after = stop, members and data.startswith(MEMBER, at)
     if gap is not None:
         yield gap, len(data), None, b"", reason
 
 
-def _next(data: bytes, at: int, packed: bool) -> int:
-    """Where the next member or version line may begin, or the end."""
-    if packed:
-        found = data.find(MEMBER, at)
-        return len(data) if found < 0 else found
-    line = VERSION.search(data, at)
-    return line.start() if line else len(data)
+def _records(member: bytes) -> Iterator[tuple[dict[str, str] | None, bytes, str]]:
+    """The records and gaps of an unpacked member; one without a good record is broken."""
+    inner, gaps_before = walk(member, members=False), []
+    for _, _, headers, payload, why in inner:
+        if headers is not None:
+            rest = ((h, p, w) for _, _, h, p, w in inner)
+            return itertools.chain(gaps_before, [(headers, payload, why)], rest)
+        gaps_before.append((headers, payload, why))
+    raise Broken(gaps_before[0][2] if gaps_before else "member")
 
 
 RECORDS = (

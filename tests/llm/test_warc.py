@@ -73,6 +73,35 @@ class TestSalvage:
             assert set(names) >= {f"<urn:x-page:{i}>" for i in range(len(parts)) if i != bad}
 
 
+def names(data):
+    return [int(n.rpartition(":")[2][:-1]) for n, _ in good(data)]
+
+
+def test_plain_archive_that_begins_damaged_and_holds_gzip():
+    long = record(0, b"x" * 70_000)
+    parts = [long.replace(b"WARC/1.1", b"WARX/1.1"), record(1, gzip.compress(b"body")), record(2, b"y"), record(3, gzip.compress(record(9, b"z")))]
+    data = b"".join(parts)
+    assert names(data) == [1, 2, 3] and gaps(data) == [(0, len(long))]
+    # A damaged record with a gzip body, and one after it.
+    broken = parts[1].replace(b"Content-Length: ", b"Content-Length: 9")
+    assert names(broken + parts[2]) == [2] and gaps(broken + parts[2]) == [(0, len(broken))]
+
+
+def test_members_of_many_records():
+    parts = [record(i, p) for i, p in enumerate(PAYLOADS)]
+    whole = gzip.compress(b"".join(parts))
+    assert [p for _, p in good(whole)] == PAYLOADS and not gaps(whole)
+    parts[1] = parts[1].replace(b"Content-Length", b"Content")
+    two = gzip.compress(b"".join(parts)) + gzip.compress(record(7, b"7")) + record(8, b"8")
+    size = len(gzip.compress(b"".join(parts)))
+    assert names(two) == [0, 2, 3, 4, 7, 8] and gaps(two) == [(0, size)]
+
+
+def test_nothing_good_in_a_member():
+    data = gzip.compress(b"") + gzip.compress(b"no record") + record(2, b"y")
+    assert names(data) == [2] and gaps(data) == [(0, len(data) - len(record(2, b"y")))]
+
+
 def test_empty_archive():
     assert list(warc.walk(b"")) == []
 
