@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightlane.llm.common import packed, small, written
+from freightlane.llm.common import packed, small, text_of, written
 from freightlane.llm.components import components
 from freightlane.llm.superminhash import band_keys, set_key, shingle_set, short_signature, signatures
 
@@ -258,13 +258,38 @@ def _compared(similarity: int):
 
 
 def deduplicated(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One document of each group, with its columns: that with the smallest id; of rows with that id, one."""
-    found = written(groups(docs, id_column, text, **options), "groups")
-    kept = written(found.filter(F.col(id_column) == F.col("component_id")).groupBy(F.col(id_column).alias("kept_id")).agg(F.count(F.lit(1)).alias("n")), "kept")
-    gone = written(found.filter(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias("gone_id")).distinct(), "gone")
-    rows = packed(docs, id=F.col(f"`{id_column}`").cast("long"))
-    stay = rows.join(small(gone, ID_ROWS), F.expr("id = gone_id"), "left_anti")
-    repeated = small(kept.filter("n > 1").select(F.col("kept_id").alias("repeated_id")), ID_ROWS)
-    once = stay.join(repeated, F.expr("id = repeated_id"), "left_anti")
-    several = stay.join(repeated, F.expr("id = repeated_id"), "left_semi").dropDuplicates(["id"])
-    return once.unionByName(several).select("row.*")
+    """One document of each group, with its columns: that with the smallest id; of rows with that id and text, one.
+
+    Rows that share an id but not the text are documents of their own. Of rows with one id and text the first by their JSON
+    stays, and of texts that share an id and a group the one with the smallest hash.
+    """
+    known = {"id": F.col(f"`{id_column}`").cast("long"), "hash": F.xxhash64(text_of(f"`{text}`"))}
+    texts = docs.select(*[v.alias(k) for k, v in known.items()], F.col(f"`{text}`").cast("string").alias("text"))
+    spread = texts.groupBy("id").agg(F.min("hash").alias("first"), F.max("hash").alias("last")).filter("id IS NOT NULL AND first <> last")
+    spread = written(spread.select(F.col("id").alias("of"), "first"), "shared-ids")
+    # The first text of an id goes by the id, any other by a number of its own.
+    node = F.when(F.expr("of IS NULL OR hash = first"), F.col("id")).otherwise(F.xxhash64("id", "hash"))
+    noded = lambda df: df.join(small(spread, ID_ROWS), F.expr("id = of"), "left").withColumn("node", node)
+    found = written(groups(noded(texts).select("node", "text"), "node", "text", **options), "groups")
+    if not spread.isEmpty():
+        found = _smallest_first(found, noded(texts).filter("of IS NOT NULL").select("node", "id", "hash").distinct())
+    kept = written(found.filter("node = component_id").groupBy(F.col("node").alias("kept_node")).agg(F.count(F.lit(1)).alias("n")), "kept")
+    gone = written(found.filter("node <> component_id").select(F.col("node").alias("gone_node")).distinct(), "gone")
+    rows = noded(packed(docs, **known)).select("row", "node")
+    stay = rows.join(small(gone, ID_ROWS), F.expr("node = gone_node"), "left_anti")
+    repeated = small(kept.filter("n > 1").select(F.col("kept_node").alias("repeated")), ID_ROWS)
+    once = stay.join(repeated, F.expr("node = repeated"), "left_anti")
+    several = stay.join(repeated, F.expr("node = repeated"), "left_semi").groupBy("node").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return once.select("row").unionByName(several.select("row")).select("row.*")
+
+
+def _smallest_first(found: DataFrame, shared: DataFrame) -> DataFrame:
+    """The groups, those with nodes of shared ids named by the node with the smallest id and hash."""
+    shared = written(shared.select(F.col("node").alias("of"), "id", "hash"), "shared-nodes")
+    of = F.expr("node = of")
+    touched = written(found.join(small(shared, ID_ROWS), of, "left_semi").select(F.col("component_id").alias("touched")).distinct(), "touched")
+    inside = found.join(small(touched, ID_ROWS), F.expr("component_id = touched"), "left_semi").join(small(shared, ID_ROWS), of, "left")
+    order = F.struct(F.coalesce("id", "node"), "hash", "node")
+    leaders = written(inside.groupBy(F.col("component_id").alias("touched")).agg(F.min_by("node", order).alias("leader")), "leaders")
+    named = found.join(small(leaders, ID_ROWS), F.expr("component_id = touched"), "left")
+    return named.select("node", "n_shingles", F.coalesce("leader", "component_id").alias("component_id"))

@@ -168,6 +168,29 @@ def test_messy_rows(spark):
     assert nd.groups(no_rows(spark)).count() == nd.deduplicated(no_rows(spark)).count() == 0
 
 
+def test_ids_shared_by_different_texts(spark):
+    near = prose(100).replace("w99x", "other")
+    rows = [
+        (1, prose(100), "a"),
+        (5, prose(100), "copy of 1"),
+        (5, prose(60, 3000), "its own"),
+        (6, near, "near 1"),
+        (6, prose(60, 4000), "its own"),
+        (6, prose(60, 4000), "its own, again"),
+        (7, prose(60, 5000), "kept"),
+        (7, prose(60, 6000), "copied by 8"),
+        (8, prose(60, 6000), "copy of 7"),
+        (9, prose(60, 7000), "two texts of a group"),
+        (9, prose(60, 7000).upper(), "two texts of a group"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id string")
+    expected = [(1, "a"), (5, "its own"), (6, "its own"), (7, "copied by 8"), (7, "kept"), (9, "two texts of a group")]
+    for n in (1, 3):
+        kept = nd.deduplicated(docs.repartition(n), k=2)
+        assert kept.columns == docs.columns
+        assert sorted((r["doc_id"], r["id"]) for r in kept.collect()) == expected
+
+
 def test_blocks_of_a_bucket_find_every_link(spark, monkeypatch):
     """The comparison of what is left of a bucket, cut into many blocks."""
     monkeypatch.setattr(nd, "BLOCK_NODES", 7)
