@@ -8,6 +8,9 @@ Where a page marks its article, only lines inside it have a length, and every li
 and headings stay. Elsewhere linked text does not count, and a surge must reach SURGE characters; a page without any
 keeps its longest run.
 
+A class, id or role names a region if all its words do. A region that holds most of the page's text is a wrapper and stays,
+unless the page marks its article outside of it; where nothing is left of a page without an article, its regions count as text.
+
 Defined cases: NULL and empty pages have the empty text; tags, quotes and elements that never close are read as
 browsers do, as far as their text is concerned; repeated rows have the same result each; an empty table gives no rows.
 """
@@ -36,6 +39,8 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is no markup or no text of the page.
 RAW = frozenset("script style title textarea noscript template iframe svg math object select button canvas audio video".split())
+#: These go on to the end of the page if they are never closed; the others are no elements then.
+ENDLESS = frozenset("script style title textarea".split())
 BOILERPLATE = frozenset("nav menu header head dialog".split())
 #: Not even an article inside them is the page's article.
 ASIDE = frozenset("aside footer form".split())
@@ -64,6 +69,12 @@ CLOSES_PARAGRAPH = BLOCKS - {"br", "body", "html"}
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 
 
+def named(value: str) -> list[str]:
+    """The words of a class, id or role if all of them name boilerplate."""
+    words = [w.lower() for w in WORDS.findall(value)]
+    return words if all(w in BOILERPLATE_WORDS or w in ASIDE_WORDS for w in words) else []
+
+
 def region(name: str, attributes: str, inside: bool) -> tuple[int, bool]:
     """What an element is: 0 text, 1 boilerplate, 2 boilerplate that no article can be in; and whether it is an article."""
     kind = 2 if name in ASIDE else 1 if name in BOILERPLATE and not (inside and name == "header") else 0
@@ -73,7 +84,7 @@ def region(name: str, attributes: str, inside: bool) -> tuple[int, bool]:
         for key, *values in NAMED.findall(attributes):
             key, value = key.lower(), "".join(values)
             if key in ("class", "id", "role", "itemprop"):
-                words.update(w.lower() for w in WORDS.findall(value))
+                words.update(w for n in value.split() for w in named(n))
                 article |= key in ("role", "itemprop", "id") and value.lower() in ARTICLE_WORDS
             elif key == "hidden" or key == "aria-hidden" and value.lower() == "true":
                 kind = max(kind, 1)
@@ -90,15 +101,32 @@ def region(name: str, attributes: str, inside: bool) -> tuple[int, bool]:
 
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
     """(text, characters within links but for spaces, whether in an article) of every block, without boilerplate."""
+    lines, wrappers, marked = _lines(page, frozenset())
+    if wrappers:
+        lines, _, marked = _lines(page, wrappers)
+    return lines if lines or marked else _lines(page, None)[0]
+
+
+def _lines(page: str, wrappers: frozenset[int] | None) -> tuple[list[tuple[str, int, bool]], frozenset[int], bool]:
+    """The lines, where the regions begin that hold most of the text, and whether the page marks an article.
+
+    Elements that begin at `wrappers` are no regions; none is if that is None.
+    """
     lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     linked = 0
     # Open elements with the state outside them: boilerplate kind, in an article, in a link.
     stack: list[tuple[str, int, bool, bool]] = []
     kind, inside, link = 0, False, False
+    # Regions as [begin, characters in it (before it, while it is open), whether in the article]; open ones with their place in the stack.
+    regions: list[list[int]] = []
+    opened: list[tuple[int, list[int]]] = []
+    total, marked = 0, False
+    unclosed: set[str] = set()
 
     def text(raw: str) -> None:
-        nonlocal linked
+        nonlocal linked, total
+        total += sum(map(len, raw.split()))
         if raw and not kind:
             raw = html.unescape(raw) if "&" in raw else raw
             parts.append(raw)
@@ -117,6 +145,9 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         nonlocal kind, inside, link
         _, kind, inside, link = stack[index]
         del stack[index:]
+        while opened and opened[-1][0] >= index:
+            last = opened.pop()[1]
+            last[1] = total - last[1]
 
     at, end = 0, len(page)
     while at < end:
@@ -144,9 +175,10 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                     break
             continue
         if name in RAW:
-            if not tag["attributes"].endswith("/") or name in ("script", "style", "title", "textarea"):
+            if (not tag["attributes"].endswith("/") or name in ENDLESS) and name not in unclosed:
                 over = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-                at = over.end() if over else end
+                at = over.end() if over else end if name in ENDLESS else at
+                unclosed |= set() if over else {name}
             continue
         if name in VOID:
             continue
@@ -156,13 +188,20 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             for closed in SIBLINGS[name]:
                 _close_open(stack, closed, close)
         own, article = region(name, tag["attributes"], inside)
+        if own and (wrappers is None or tag.start() in wrappers):
+            own, article = 0, name in ("article", "main")
+        if own:
+            regions.append([tag.start(), total, inside])
+            opened.append((len(stack), regions[-1]))
         stack.append((name, kind, inside, link))
         if article and kind < 2:
-            kind, inside = 0, True
+            kind, inside, marked = 0, True, True
         kind = max(kind, own)
         link = link or name == "a"
     flush()
-    return lines
+    if stack:
+        close(0)
+    return lines, frozenset(at for at, n, within in regions if 2 * n > total and (within or not marked)), marked
 
 
 def _close_open(stack: list, name: str, close) -> None:

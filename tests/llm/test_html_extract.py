@@ -38,6 +38,34 @@ def test_page_without_an_article_keeps_the_dense_part():
     assert main_text("<p>short") == "short"
 
 
+LONG = "<p>" + "words and more " * 20 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body><form id=aspnetForm><nav><a href=/>Menu</a></nav><article>{}</article></form></body>",
+        "<body><div class='content has-sidebar'><article>{}</article></div></body>",
+        "<article class='post related-x'>{}</article>",
+        "<article class='related'>{}</article>",
+        "<body><form>{}</form></body>",
+        "<article><h1>T</h1><div class=sidebar>{}</div></article>",
+        "<body><button>x{}</body>",
+        "<body><svg><video><audio><select><math><object data=x>{}</body>",
+        "<div class=sidebar><aside>{}</aside></div>",
+        "<article>{}</article><div id=comments>" + "<article>" + "A reader says " * 60 + "</article></div>",
+    ],
+)
+def test_wrappers_and_unclosed_elements_keep_the_text(page):
+    assert main_text(page.format(LONG)).removeprefix("T ").removeprefix("x ") == ("words and more " * 20).strip()
+
+
+def test_regions_are_text_where_nothing_else_is():
+    assert main_text("<nav>a bc</nav><footer>d ef</footer>") != ""
+    assert main_text(f"<body>{LONG}<div class='cookie-notice'>We use cookies</div></body>") == ("words and more " * 20).strip()
+    assert main_text("<p>kept<script>dropped") == "kept"
+
+
 def test_surge_and_dive():
     assert runs([0, 0, 0, 5, 90, 3, 0, 0, 0, 7, 0, 0], 80) == [(3, 6)]
     assert runs([], 80) == []
