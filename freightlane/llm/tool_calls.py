@@ -84,6 +84,30 @@ def loads(text: str) -> Any:
 KINDS = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
 
 
+#: What invalid() checks, and keywords that say nothing about a value.
+KEYWORDS = frozenset(
+    "type enum const minLength maxLength minItems maxItems pattern minimum maximum items required properties additionalProperties"
+    " title description default examples format deprecated readOnly writeOnly $schema $id $comment".split()
+)
+
+
+def refuse_unknown(schema: Any, path: str = "$") -> None:
+    """Raises ValueError for a schema that invalid() would check in part only."""
+    if not isinstance(schema, dict):
+        raise ValueError(f"{path}: a schema must be an object here")
+    if unknown := sorted(set(schema) - KEYWORDS):
+        raise ValueError(f"{path}: keywords that are not checked: {', '.join(unknown)}")
+    kinds = schema.get("type", [])
+    if not set([kinds] if isinstance(kinds, str) else kinds) <= {*KINDS, "integer", "number"}:
+        raise ValueError(f"{path}: type {kinds}")
+    if not isinstance(schema.get("additionalProperties", True), bool):
+        raise ValueError(f"{path}: additionalProperties must be true or false here")
+    for k, v in schema.get("properties", {}).items():
+        refuse_unknown(v, f"{path}.{k}")
+    if "items" in schema:
+        refuse_unknown(schema["items"], f"{path}[]")
+
+
 def invalid(value: Any, schema: dict, path: str = "$") -> list[str]:
     """What a value has against a schema: type, enum, const, lengths, bounds, pattern, required, properties, items."""
     found: list[str] = []
@@ -315,8 +339,10 @@ def transcripts(
     """One row per call or orphan result: conversation, call_id, name, turns, status, counts, errors, position, record.
 
     position is the place in the conversation's order, gapless from 0 on. Blocks of turns are numbered apart and put one
-    after the other, so no task needs a whole conversation.
+    after the other, so no task needs a whole conversation. Schemas with keywords that are not checked are refused.
     """
+    for name, schema in (schemas or {}).items():
+        refuse_unknown(schema, name)
     links = written(linked(events(messages, schemas if schemas is not None else SCHEMAS, conv, turn, role, text), each), "links")
     moved = ranks(links).withColumnsRenamed({"conv": "r_conv", "call_id": "r_id"})
     rows = links.join(moved, F.expr("conv <=> r_conv AND call_id = r_id"), "left").withColumns({

@@ -60,6 +60,24 @@ def test_validation(arguments, errors):
     assert ",".join(tc.invalid(arguments, TOOLS["find"])) == errors
 
 
+@pytest.mark.parametrize(
+    "schema",
+    [
+        {"anyOf": []},
+        {"$ref": "#"},
+        {"type": "object", "properties": {"a": {"exclusiveMinimum": 1}}},
+        {"items": {"multipleOf": 2}},
+        {"items": [{}]},
+        {"additionalProperties": {"type": "string"}},
+        {"type": ["string", "date"]},
+    ],
+)
+def test_schemas_that_are_not_checked_whole_are_refused(schema):
+    with pytest.raises(ValueError):
+        tc.transcripts(None, {"find": schema})
+    tc.refuse_unknown(TOOLS["find"])
+
+
 def test_canonical_json():
     value = {"b": [1.0, 1.5, -0.0, 1e300], "a": {"é": None, "Z": True, "a\"\n": "\u2028🙂"}}
     assert tc.canonical(value) == '{"a":{"Z":true,"a\\"\\n":"\u2028🙂","é":null},"b":[1,1.5,0,1e+300]}'
