@@ -34,7 +34,7 @@ FACTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 
 
 def with_facts(rows: DataFrame, text: Column) -> DataFrame:
-    """Adds the FACTS, n_lines and one fail_<rule> per soft rule."""
+    """Adds the FACTS, n_lines and one fail_<rule> per soft rule to the packed rows."""
     last = F.size("words") - WINDOW
     windows = F.transform(
         F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get("words", i + j) for j in range(WINDOW)])
@@ -45,7 +45,9 @@ def with_facts(rows: DataFrame, text: Column) -> DataFrame:
     found = F.filter("placed", lambda x, i: same(i - 1, x) | same(i + 1, x))
     covered = F.flatten(F.transform(found, lambda x: F.array(*[x["i"] + j for j in range(WINDOW)])))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(HAS_WORD))
-    return (
+    names = [*FACTS, "n_lines", *[f"fail_{rule}" for rule in SOFT_RULES]]
+    kept = [c for c in rows.columns if c not in ("row", "read")]
+    facts = (
         rows.withColumns({"words": words_of(text), "lines": lines, "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("long")})
         .withColumn("windows", F.when(F.size("words") >= WINDOW, windows).otherwise(F.expr("array(0L)")))
         .withColumn("placed", F.when(repeats, placed))
@@ -60,6 +62,9 @@ def with_facts(rows: DataFrame, text: Column) -> DataFrame:
         .withColumn("base_failed", F.expr(f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED} * n_words"))
         .withColumns({f"fail_{rule}": F.expr(test) for rule, test in SOFT_RULES.items()})
     )
+    # Filters on the facts do not pass a generator. Pushed below it, they would hold all of the above in place of
+    # each fact, and split the text again for every word.
+    return facts.select("row", F.inline(F.array(F.struct(*kept, *names))))
 
 
 def host_verdicts(facts: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
@@ -98,10 +103,13 @@ def beta_prior(docs: float | None, hosts: int, failed: float | None, squares: fl
 
 def _judged(docs: DataFrame, text: str, host: str | Column, max_rate: float, keep_text: bool) -> DataFrame:
     where = host if isinstance(host, Column) else F.col(f"`{host}`")
-    facts = with_facts(packed(docs, host=where.cast("string"), read=text_of(text)), F.col("read")).drop("read")
+    rows = packed(docs, host=where.cast("string"), read=text_of(text))
+    if not keep_text:
+        rows = rows.withColumn("row", F.struct(*[F.col(f"row.`{c}`") for c in docs.columns if c != text]))
+    facts = with_facts(rows, F.col("read"))
     # Without texts the facts are small and are written; with them they are worked out again at the end instead.
     if not keep_text:
-        facts = written(facts.withColumn("row", F.col("row").dropFields(text)), "facts")
+        facts = written(facts, "facts")
     verdicts = written(host_verdicts(facts.select("host", *[f"fail_{r}" for r in SOFT_RULES]), max_rate), "verdicts")
     joined = facts.alias("f").join(small(verdicts).alias("v"), F.expr("f.host <=> v.host"), "left")
     rejected = F.expr(" OR ".join(["base_failed", *[f"(fail_{r} AND bad_{r})" for r in SOFT_RULES]]))

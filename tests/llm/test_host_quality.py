@@ -97,3 +97,12 @@ def test_messy_rows(spark):
     assert {r["doc_id"] for r in out.collect() if r["kept"]} == {1, None, 8, 9}
     assert sorted(out.select("row", "host").collect(), key=repr) == sorted(rows.select("row", "host").collect(), key=repr)
     assert hq.judge(no_rows(spark)).count() == 0
+
+
+def test_documents_and_verdicts_agree_and_no_filter_reads_the_text(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = hq.kept_documents(docs)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.split("\n") if "Filter " in x and ("split(" in x or "sort_array" in x)]
+    judged = {r["doc_id"] for r in hq.judge(docs, keep_text=False).collect() if r["kept"]}
+    assert {r["doc_id"] for r in kept.collect()} == judged

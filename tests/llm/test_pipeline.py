@@ -22,43 +22,78 @@ from tests.llm.helpers import tokens, words
 REPO = Path(__file__).resolve().parents[2]
 
 
+FOLDER = "/root/testdata/sf0.001"
+
+
+class Staged:
+    """What a stage was given and what came out of it, written and reread."""
+
+    def __init__(self, spark, place, name, given):
+        place = str(place / name)
+        dict(cp.STAGES)[name](spark, given, FOLDER).write.parquet(place)
+        self.out = spark.read.parquet(place)
+        self.before, self.after = given.columns, self.out.columns
+        self.rows = tuple([r.asDict() for r in df.collect()] for df in (given, self.out))
+
+
+@pytest.fixture(scope="module")
+def place(tmp_path_factory):
+    return tmp_path_factory.mktemp("stages")
+
+
+@pytest.fixture(scope="module")
+def quality(spark, place):
+    return Staged(spark, place, "quality", spark.read.parquet(f"{FOLDER}/documents.parquet"))
+
+
 @pytest.fixture(scope="module")
-def stages(spark, tmp_path_factory):
-    """Rows that go into and come out of every stage, written and reread between them."""
-    folder, place = "/root/testdata/sf0.001", tmp_path_factory.mktemp("stages")
-    docs, found = spark.read.parquet(f"{folder}/documents.parquet"), []
-    for i, (name, stage) in enumerate(cp.STAGES):
-        stage(spark, docs, folder).write.parquet(str(place / str(i)))
-        out = spark.read.parquet(str(place / str(i)))
-        found.append((name, docs, out))
-        docs = out
-    return {name: ([r.asDict() for r in a.collect()], [r.asDict() for r in b.collect()], a.columns, b.columns) for name, a, b in found}
+def near_duplicates(spark, place, quality):
+    return Staged(spark, place, "near_duplicates", quality.out)
+
+
+@pytest.fixture(scope="module")
+def decontamination(spark, place, near_duplicates):
+    return Staged(spark, place, "decontamination", near_duplicates.out)
+
+
+@pytest.fixture(scope="module")
+def mixture(spark, place, decontamination):
+    return Staged(spark, place, "mixture", decontamination.out)
+
+
+@pytest.fixture(scope="module")
+def shards(spark, place, mixture):
+    return Staged(spark, place, "shards", mixture.out)
+
+
+NAMES = ["quality", "near_duplicates", "decontamination", "mixture", "shards"]
 
 
-def test_names_and_columns(stages):
-    assert [n for n, _ in cp.STAGES] == ["quality", "near_duplicates", "decontamination", "mixture", "shards"]
-    for name, (_, _, before, after) in stages.items():
-        assert after == (before if name != "shards" else [*before, "shard", "slot"])
+@pytest.mark.parametrize("name", NAMES)
+def test_names_and_columns(name, request):
+    assert [n for n, _ in cp.STAGES] == NAMES
+    stage = request.getfixturevalue(name)
+    assert stage.after == (stage.before if name != "shards" else [*stage.before, "shard", "slot"])
 
 
 def ids(rows):
     return Counter(r["doc_id"] for r in rows)
 
 
-def test_quality(stages):
-    docs, kept, *_ = stages["quality"]
+def test_quality(quality):
+    docs, kept = quality.rows
     expected = expected_kept([(r["doc_id"], r["text"], r["source"]) for r in docs])
     assert ids(kept) == Counter(expected) and 0 < len(kept) < len(docs)
 
 
-def test_near_duplicates(stages):
-    docs, kept, *_ = stages["near_duplicates"]
+def test_near_duplicates(near_duplicates):
+    docs, kept = near_duplicates.rows
     groups = expected_groups({r["doc_id"]: r["text"] for r in docs}, 5)
     assert ids(kept) == Counter(c for _, c in set(groups.values())) or ids(kept) == Counter(set(c for _, c in groups.values()))
 
 
-def test_decontamination(spark, stages):
-    docs, kept, *_ = stages["decontamination"]
+def test_decontamination(spark, decontamination):
+    docs, kept = decontamination.rows
     items = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").collect()]
     known = [set(tokens(t)) for t in items]
     leaked = {
@@ -70,8 +105,8 @@ def test_decontamination(spark, stages):
     assert ids(kept) == Counter(r["doc_id"] for r in docs if r["doc_id"] not in leaked)
 
 
-def test_mixture(stages):
-    docs, mix, *_ = stages["mixture"]
+def test_mixture(mixture):
+    docs, mix = mixture.rows
     sizes, taken = {}, {}
     for rows, sums in ((docs, sizes), (mix, taken)):
         for r in rows:
@@ -81,15 +116,15 @@ def test_mixture(stages):
     assert max(ids(mix).values()) <= 2 and ids(mix).keys() <= ids(docs).keys()
 
 
-def test_shards(stages):
-    docs, dealt, *_ = stages["shards"]
+def test_shards(shards):
+    docs, dealt = shards.rows
     assert ids(dealt) == ids(docs)
     check_slots(dealt, 16, len(docs))
 
 
-def test_run_is_the_stages_in_order(spark, folder, stages):
+def test_run_is_the_stages_in_order(spark, folder, shards):
     out = contract.queries()["pipeline"](spark, folder)
-    dealt = stages["shards"][1]
+    dealt = shards.rows[1]
     assert ids([r.asDict() for r in out.select("doc_id").collect()]) == ids(dealt)
     assert out.columns == [*cp.COLUMNS, "shard", "slot"]
 
@@ -103,7 +138,7 @@ def test_messy_rows_pass_every_stage(spark, folder):
 
 def test_all_operators_are_registered():
     names = contract.queries()
-    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14)) and "pipeline" in names
     assert set(contract.oracle_sql()) <= set(names)
 
 
