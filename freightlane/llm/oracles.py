@@ -5,6 +5,7 @@ from __future__ import annotations
 from freightlane.llm import decontaminate as dc
 from freightlane.llm import host_quality as hq
 from freightlane.llm import license_scan as ls
+from freightlane.llm import substring_dedup as sd
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -226,6 +227,26 @@ SELECT conv_id, call_id, name, call_turn, result_turn, status, (call_turn IS NOT
 FROM placed
 """
 
+OP11 = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS ws FROM documents),
+placed AS (SELECT r, unnest(range(1, len(ws) + 1)) AS p, ws FROM docs),
+windows AS (
+    SELECT r, p, ws[p] AS word,
+        CASE WHEN p + {sd.SPAN - 1} <= len(ws) THEN array_to_string(ws[p : p + {sd.SPAN - 1}], ' ') END AS span
+    FROM placed
+),
+counted AS (SELECT r, p, word, span IS NOT NULL AND count(*) OVER (PARTITION BY span) > 1 AS again FROM windows),
+marked AS (
+    SELECT r, p, word,
+        max(again::INT) OVER (PARTITION BY r ORDER BY p ROWS BETWEEN {sd.SPAN - 1} PRECEDING AND CURRENT ROW) AS gone FROM counted
+),
+summed AS (
+    SELECT r, sum(gone) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (gone = 0) AS rest FROM marked GROUP BY r
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+FROM docs LEFT JOIN summed USING (r)
+"""
+
 ORACLES = {
     "op2_warc_salvage": OP2,
     "op3_license_scan": OP3,
@@ -233,4 +254,5 @@ ORACLES = {
     "op7_host_quality": OP7,
     "op8_decontaminate": OP8,
     "op10_tool_calls": OP10,
+    "op11_substring_dedup": OP11,
 }

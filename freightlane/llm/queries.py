@@ -14,6 +14,7 @@ from freightlane.llm import (
     mixing,
     near_dedup,
     sharding,
+    substring_dedup,
     token_count,
     tool_calls,
     warc,
@@ -85,6 +86,10 @@ def op10_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
     return tool_calls.transcripts(table(spark, folder, "conversations"), each=True)
 
 
+def op11_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.digests(table(spark, folder, "documents"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {
@@ -98,4 +103,5 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_shard": op9_shard,
     "op10_tool_calls": op10_tool_calls,
+    "op11_substring_dedup": op11_substring_dedup,
 }
