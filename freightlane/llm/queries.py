@@ -14,6 +14,7 @@ from freightlane.llm import (
     mixing,
     near_dedup,
     sharding,
+    spelling,
     substring_dedup,
     token_count,
     tool_calls,
@@ -90,6 +91,10 @@ def op11_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.digests(table(spark, folder, "documents"))
 
 
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(spelling.runs(table(spark, folder, "documents"), every=31)))
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {
@@ -104,4 +109,5 @@ QUERIES = {
     "op9_shard": op9_shard,
     "op10_tool_calls": op10_tool_calls,
     "op11_substring_dedup": op11_substring_dedup,
+    "op12_spelling": op12_spelling,
 }
