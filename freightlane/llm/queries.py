@@ -13,6 +13,7 @@ from freightlane.llm import (
     license_scan,
     mixing,
     near_dedup,
+    prefix_trie,
     sharding,
     spelling,
     substring_dedup,
@@ -95,6 +96,10 @@ def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(spelling.vocabulary(spelling.runs(table(spark, folder, "documents"), every=31)))
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, folder, "conversations"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {
@@ -110,4 +115,5 @@ QUERIES = {
     "op10_tool_calls": op10_tool_calls,
     "op11_substring_dedup": op11_substring_dedup,
     "op12_spelling": op12_spelling,
+    "op13_prefix_trie": op13_prefix_trie,
 }
