@@ -221,6 +221,24 @@ def _row_hash(columns: Sequence[str], seed: int) -> Column:
     return F.xxhash64(F.lit(seed), *parts)
 
 
+def row_hash_halves(columns: Sequence[str]) -> list[Column]:
+    """The halves of two 64-bit row hashes, as numbers that can be summed over very many rows."""
+    hashes = [_row_hash(columns, seed) for seed in (17, 71)]
+    return [part for h in hashes for part in (F.shiftright(h, 32), h.bitwiseAND(F.lit((1 << 32) - 1)))]
+
+
+def common_types(source: DataFrame, target: DataFrame) -> dict[str, T.DataType]:
+    """The type in which each column of two frames is compared: its own, a whole number for whole numbers of different
+    sizes, else text."""
+    ours, theirs = ({f.name: f.dataType for f in side.schema} for side in (source, target))
+
+    def wide(c: str) -> T.DataType:
+        both_whole = is_integral(ours[c]) and is_integral(theirs[c])
+        return ours[c] if ours[c] == theirs[c] else T.LongType() if both_whole else T.StringType()
+
+    return {c: wide(c) for c in source.columns}
+
+
 def row_diff(source: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:
     """The keys that differ: 'missing' from the target, 'extra' in it, or 'changed', with row counts.
 
@@ -231,24 +249,15 @@ def row_diff(source: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFr
     numbers of different sizes as numbers.
     """
     columns = source.columns
-    ours, theirs = ({f.name: f.dataType for f in side.schema} for side in (source, target))
-
-    def wide(c: str) -> T.DataType:
-        both_whole = is_integral(ours[c]) and is_integral(theirs[c])
-        return ours[c] if ours[c] == theirs[c] else T.LongType() if both_whole else T.StringType()
-
-    types = {c: wide(c) for c in columns}
-    low = (1 << 32) - 1
+    types = common_types(source, target)
 
     def signed(df: DataFrame, sign: int) -> DataFrame:
         aligned = df.select(*[F.col(quoted(c)).cast(types[c]).alias(c) for c in columns])
-        hashes = [_row_hash(columns, seed) for seed in (17, 71)]
-        halves = [part for h in hashes for part in (F.shiftright(h, 32), h.bitwiseAND(F.lit(low)))]
         return aligned.select(
             *[quoted(k) for k in key],
             F.lit(int(sign > 0)).alias("in_source"),
             F.lit(int(sign < 0)).alias("in_target"),
-            *[(part * sign).alias(f"h{i}") for i, part in enumerate(halves)],
+            *[(part * sign).alias(f"h{i}") for i, part in enumerate(row_hash_halves(columns))],
         )
 
     sides = signed(source, 1).unionByName(signed(target, -1))

@@ -360,3 +360,4 @@ FROM ({GOOD}) s FULL OUTER JOIN ({DEFECTIVE}) t ON s.order_id = t.order_id
 WHERE s.order_id IS NULL OR t.order_id IS NULL OR s.customer_id IS DISTINCT FROM t.customer_id OR s.total IS DISTINCT FROM t.total
   OR s.ordered_at IS DISTINCT FROM t.ordered_at OR s.status IS DISTINCT FROM t.status OR s.priority IS DISTINCT FROM t.priority""",
 }
+ORACLES["diff_tree"] = ORACLES["row_diff"]

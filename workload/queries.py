@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from freightlane.functions.scalars import as_text
-from freightlane.operators import conform as cf, keys, load, profile as pf, reconcile as rc
+from freightlane.operators import conform as cf, keys, load, profile as pf, reconcile as rc, tree
 from freightlane.plans import views
 from freightlane.plans.contract import ColumnSpec, Contract, ForeignKey
 from freightlane.session import work_folder
@@ -631,6 +631,18 @@ def row_diff(spark: SparkSession, folder: str) -> DataFrame:
     return rc.row_diff(good_orders(spark, folder), defective_orders(spark, folder), ORDERS.key)
 
 
+def diff_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """The differences of row_diff, from trees kept beside the two tables, whose rows lie by leaf."""
+    place = work_folder(spark, "trees")
+    sides = {"source": good_orders(spark, folder), "target": defective_orders(spark, folder)}
+    types = rc.common_types(*sides.values())
+    for name, df in sides.items():
+        tree.by_leaf(df, ORDERS.key, types).write.parquet(f"{place}/{name}")
+        tree.save_tree(tree.build_tree(spark.read.parquet(f"{place}/{name}"), ORDERS.key, types), f"{place}/{name}-tree")
+    read = [spark.read.parquet(f"{place}/{name}{kind}") for kind in ("", "-tree") for name in sides]
+    return tree.tree_diff(read[0], read[1], ORDERS.key, read[2], read[3])
+
+
 QUERIES: dict[str, Query] = {
     "v1_status_summary": v1_status_summary,
     "v2_load_log": v2_load_log,
@@ -679,4 +691,5 @@ QUERIES: dict[str, Query] = {
     "reconcile_run": reconcile_run,
     "report_file": report_file,
     "row_diff": row_diff,
+    "diff_tree": diff_tree,
 }
