@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freightlane.session import work_folder
+from freightlane.session import remove_folder, work_folder
 
 #: Words between white space, and what stands between words of letters, digits and characters beyond ASCII.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -63,6 +63,14 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(place)
 
 
+def dropped(*frames: DataFrame) -> None:
+    """Removes the files of written frames that nothing reads any more."""
+    for df in frames:
+        folders = {file.rpartition("/")[0] for file in df.inputFiles()}
+        for folder in folders:
+            remove_folder(df.sparkSession, folder)
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """The frame, to be broadcast if a count finds it small enough, else left to a shuffled join.
 

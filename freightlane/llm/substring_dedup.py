@@ -29,12 +29,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freightlane.llm.common import packed, small, text_of, written
+from freightlane.llm.common import dropped, packed, small, text_of, written
 
 SPAN = 35
 PERIOD = 21
-#: Rows of documents with hits are broadcast up to so many bytes, else joined by a shuffle.
-BROADCAST_BYTES = 48 << 20
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -114,11 +112,6 @@ def covered(starts: np.ndarray, n_words: int, span: int) -> np.ndarray:
     return np.cumsum(change)[:n_words] > 0
 
 
-def _bounded(df: DataFrame, weight: Column) -> DataFrame:
-    """A written frame, to be broadcast if the sum of the weights of its rows, their bytes, is small."""
-    return F.broadcast(df) if (df.agg(F.sum(weight)).first()[0] or 0) <= BROADCAST_BYTES else df
-
-
 def _keys(id_column: str, text: str) -> dict[str, Column]:
     """A document's identity: its id and 128 bits of its text."""
     content = text_of(f"`{text}`")
@@ -203,22 +196,24 @@ def _found(docs: DataFrame, id_column: str, text: str, span: int, period: int, k
     copies = written(copies.select(F.col("a").alias("copy_a"), F.col("b").alias("copy_b"), "first", "n"), "copies")
     nodes = light.join(small(copies), F.expr("a = copy_a AND b = copy_b"), "left")
     firsts = nodes.filter("first IS NULL OR place = first")
-    hits = _hits(firsts.select("place", "anchors"))
-    marked = firsts.select("place", "id", "a", "b", "n").join(hits, "place")
+    marked = firsts.select("place", "id", "a", "b", "n").join(_hits(firsts.select("place", "anchors")), "place")
     marked = written(marked, "hits").select("place", "hits", "n", F.struct("id").alias("of"), F.col("a").alias("of_a"), F.col("b").alias("of_b"))
+    # The anchors are done with, and larger than all that is kept beside them.
+    nodes = written(nodes.drop("anchors", "copy_a", "copy_b", "first"), "nodes")
+    dropped(light)
 
     keys = _keys(id_column, text)
     texts = docs.select(F.struct(keys["id"].alias("id")).alias("key"), keys["a"].alias("a"), keys["b"].alias("b"), text_of(f"`{text}`").alias("text"))
     same = F.expr("a = of_a AND b = of_b AND key <=> of")
-    bytes_of = lambda *lists: F.lit(64) + sum(F.greatest(F.size(x), F.lit(0)) for x in lists) * 8
-    # A window stands once if no other row has its hash; those are few and carry their own place, so nothing is joined back.
-    windows = _windows(texts.join(_bounded(marked, bytes_of("hits")), same), cover)
+    # Texts with hits move once; all that follows reads them from here.
+    texts = written(texts.join(marked, same).select("place", "text", "hits", "n"), "hit-texts")
+    # A window stands once if no other row has its hash; those carry their own place, so nothing is joined back.
+    windows = _windows(texts, cover)
     single = windows.groupBy("one", "other").agg(F.count(F.lit(1)).alias("seen"), F.min("place").alias("at"), F.min("start").alias("start"))
-    single = single.filter("seen = 1").groupBy("at").agg(F.collect_list("start").alias("single"))
+    single = written(single.filter("seen = 1").groupBy("at").agg(F.collect_list("start").alias("single")), "single")
     # Texts that stand more than once are repeated as wholes and need no look at their windows.
-    left = written(marked.filter("n IS NULL").join(single, F.expr("place = at"), "left").drop("at", "n"), "single")
-    cleaned = _cleaned(texts.join(_bounded(left, bytes_of("hits", "single")), same), cover, kind)
-    return nodes, written(cleaned.filter("n_removed > 0"), "removed")
+    left = texts.filter("n IS NULL").join(single, F.expr("place = at"), "left")
+    return nodes, written(_cleaned(left, cover, kind).filter("n_removed > 0"), "removed")
 
 
 def digests(docs: DataFrame, id_column: str = "doc_id", text: str = "text", span: int = SPAN, period: int = PERIOD) -> DataFrame:
@@ -245,6 +240,6 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     cut = written(cut.dropDuplicates(["of", "of_a", "of_b"]), "cut")
     keys = _keys(id_column, text)
     rows = packed(docs, key=F.struct(keys["id"].alias("id")), a=keys["a"], b=keys["b"])
-    joined = rows.join(_bounded(cut, F.lit(64) + F.octet_length("new")), F.expr("a = of_a AND b = of_b AND key <=> of"), "left")
+    joined = rows.join(cut, F.expr("a = of_a AND b = of_b AND key <=> of"), "left")
     fields = [F.coalesce("new", f"row.`{c}`").alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns]
     return joined.select(*fields)

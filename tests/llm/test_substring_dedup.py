@@ -64,13 +64,6 @@ def test_random_texts_of_few_words(spark, span, period):
         assert kept[i] == (" ".join(rest) if gone else texts[i])
 
 
-def test_shuffled_joins_give_the_same(spark, folder, monkeypatch):
-    monkeypatch.setattr(sd, "BROADCAST_BYTES", -1)
-    docs = spark.read.parquet(f"{folder}/documents.parquet")
-    assert found(sd.digests(docs)) == found(op11_substring_dedup(spark, folder))
-    assert sd.without_repeats(docs).count() == docs.count()
-
-
 def test_a_third_of_all_rows_are_copies_and_one_text_is_long(spark):
     rows = [(i, prose(40)) for i in range(300)] + [(1000 + i, prose(60, 1000 * i + 100)) for i in range(300)]
     rows += [(2000 + i, f"{prose(40)} {prose(20, 900_000 + 100 * i)}") for i in range(300)] + [(5000, prose(30_000, 2_000_000))]
