@@ -11,7 +11,7 @@ and logs the bytes in between as a quarantined gap; a gap inside a member that h
 
 Defined cases: a NULL payload is empty; a NULL or empty address is left out; rows with equal payloads of at least
 `least_bytes` are one response (largest id) and revisits of it, rows that repeat the largest id are responses too, rows
-without an id are responses; an empty table gives an empty archive and no rows.
+without an id are responses; rows that share an id but not the payload are told apart by its digest; ids are whole numbers; an empty table gives an empty archive and no rows.
 """
 
 from __future__ import annotations
@@ -229,7 +229,7 @@ def read_archives(spark: SparkSession, place: str, keep_payload: bool = True) ->
                     else:
                         body = payload if keep_payload else None
                         head = [headers.get(h) for h in ("warc-type", "warc-record-id", "warc-target-uri", "warc-refers-to")]
-                        rows.append((archive, start, stop, None, *head, body, len(payload), sha1_of(payload)))
+                        rows.append((archive, start, stop, None, *head, body, len(payload), _digest_of(headers, payload)))
                     size += 200 + (len(payload) if keep_payload else 0)
                     if size > BATCH_BYTES:
                         yield pd.DataFrame(rows, columns=names)
@@ -240,6 +240,12 @@ def read_archives(spark: SparkSession, place: str, keep_payload: bool = True) ->
     return files.mapInPandas(salvage, RECORDS)
 
 
+def _digest_of(headers: dict[str, str], payload: bytes) -> str:
+    """The payload's digest; a revisit, which has no payload, names that of the payload it stands for."""
+    named = headers.get("warc-payload-digest", "")
+    return named[5:].upper() if headers.get("warc-type") == "revisit" and named.lower().startswith("sha1:") else sha1_of(payload)
+
+
 def gaps(records: DataFrame) -> DataFrame:
     """The log of quarantined bytes: archive, start, stop, reason."""
     return records.filter("reason IS NOT NULL").select("archive", "start", "stop", "reason")
@@ -248,17 +254,18 @@ def gaps(records: DataFrame) -> DataFrame:
 def resolved(records: DataFrame) -> DataFrame:
     """record id, type, size and digest of the full payload, and the response that a revisit refers to.
 
-    A revisit carries no payload: size and digest come from its response, found by the record's id. A revisit whose
-    response was lost has none.
+    A revisit carries no payload: its size is that of a response with the record id and the digest that it names, as
+    record ids may repeat with other payloads. A revisit whose response was lost has no size and no digest.
     """
     good = records.filter("reason IS NULL").select("record_id", "record_type", "refers_to", "payload_bytes", "payload_digest")
     responses = good.filter("record_type <> 'revisit'").select(
         F.col("record_id").alias("target"), F.col("payload_bytes").alias("bytes"), F.col("payload_digest").alias("digest")
     )
-    revisits = good.filter("record_type = 'revisit'").drop("payload_bytes", "payload_digest")
-    wanted = revisits.select(F.col("refers_to").alias("wanted")).distinct()
-    referred = written(responses.join(wanted, F.expr("target = wanted")).dropDuplicates(["target"]).drop("wanted"), "referred")
-    found = revisits.join(small(referred), F.expr("refers_to = target"), "left")
+    revisits = good.filter("record_type = 'revisit'").drop("payload_bytes")
+    wanted = revisits.select(F.col("refers_to").alias("wanted"), F.col("payload_digest").alias("wanted_digest")).distinct()
+    same = F.expr("target = wanted AND digest = wanted_digest")
+    referred = responses.join(wanted, same).dropDuplicates(["target", "digest"]).select("target", "digest", "bytes")
+    found = revisits.join(small(written(referred, "referred")), F.expr("refers_to = target AND payload_digest = digest"), "left")
     found = found.select("record_id", "record_type", "refers_to", F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"))
     return good.filter("record_type <> 'revisit'").unionByName(found)
 

@@ -187,3 +187,14 @@ def test_base32_matches_the_library(spark):
     frame = spark.createDataFrame([(t,) for t in texts], "t string")
     got = {r["t"]: r["d"] for r in frame.select("t", warc.base32_sha1(F.col("t").cast("binary")).alias("d")).collect()}
     assert got == {t: warc.sha1_of(t.encode()) for t in texts}
+
+
+def test_repeated_ids_with_other_payloads(spark):
+    rows = [(5, "AAAA"), (5, "BBBBBBBB"), (2, "BBBBBBBB"), (3, "AAAA"), (5, "AAAA")]
+    place = work_folder(spark, "warc")
+    warc.write_archives(spark.createDataFrame([(i, "u", p) for i, p in rows], "page_id long, url string, html string"), place)
+    found = warc.resolved(warc.read_archives(spark, place, keep_payload=False)).collect()
+    got = sorted((r["record_id"], r["record_type"], r["payload_bytes"], r["payload_digest"]) for r in found)
+    last = {"AAAA": 5, "BBBBBBBB": 5}
+    digest = lambda p: base64.b32encode(hashlib.sha1(p.encode()).digest()).decode()
+    assert got == sorted((f"<urn:x-page:{i}>", "response" if i == last[p] else "revisit", len(p), digest(p)) for i, p in rows)
