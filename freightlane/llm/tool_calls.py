@@ -13,7 +13,8 @@ A call refers to others by `depends_on`, or by strings "$<identifier>" in its ar
 by turn; a call that refers to a later one moves behind it. Calls that refer to each other in a circle, or to such calls,
 keep their turn and get the error `cycle`.
 
-Defined cases: NULL text is empty prose, NULL conversations are one conversation, NULL turns come first; unknown
+Defined cases: NULL text is empty prose, NULL conversations are one conversation, NULL turns come first (prose
+without a turn has no identifier and is left out); ids of conversations and turns are whole numbers; unknown
 roles give nothing; JSON that cannot be read is prose; of several calls or results with one identifier the first by turn
 counts and the numbers are reported (so repeated rows change nothing but these); an empty table gives no rows. Records
 stand one per call, never one per conversation, so a conversation may have any length.
@@ -21,7 +22,9 @@ stand one per call, never one per conversation, so a conversation may have any l
 With `each`, as the query takes it, no call and no result is only counted. The n-th call of an identifier is linked to its
 n-th result, and what is left over stands as a row of its own with that identifier. Calls without an identifier are named
 #1, #2, ... in the order of turn and place; a result without one answers the oldest of them that is open, or is an orphan
-#lost-1, ... They are paired by one task per conversation. References mean the first call of an identifier.
+#lost-1, ... They are paired block by block of turns. References mean the first call of an identifier. Prose without a turn goes
+by the identifier turn-null, so the n-th question of a conversation is linked to the n-th reply; a block that is no JSON, in
+a message with good ones, is a call with the error `json`, or a result, with its text and without an identifier.
 """
 
 from __future__ import annotations
@@ -155,9 +158,12 @@ def references(value: Any) -> set[str]:
     return set().union(*map(references, value)) if isinstance(value, list) else set()
 
 
-def events_of(turn: int | None, role: str | None, text: str, schemas: dict[str, dict]) -> Iterator[tuple]:
-    """(kind, call id, name, canonical body, errors, references) of each call and result in a message."""
-    calls, results = _structured(role, text)
+def events_of(turn: int | None, role: str | None, text: str, schemas: dict[str, dict], each: bool = False) -> Iterator[tuple]:
+    """(kind, call id, name, canonical body, errors, references) of each call and result in a message.
+
+    With `each` broken blocks beside good ones and prose without a turn are events too.
+    """
+    calls, results, broken = _structured(role, text)
     for call in calls:
         inner = call.get("function") if isinstance(call.get("function"), dict) else call
         name, arguments = inner.get("name"), inner.get("arguments", {})
@@ -166,23 +172,37 @@ def events_of(turn: int | None, role: str | None, text: str, schemas: dict[str,
         yield "call", _text(call.get("id")), _text(name), canonical(arguments), _checked(_text(name), arguments, schemas), sorted(refers)
     for result in results:
         yield "result", _text(result.get("tool_call_id")), None, canonical(result.get("content")), "", []
-    if calls or results or turn is None:
+    if calls or results:
+        for kind, raw in broken if each else []:
+            yield kind, "", "" if kind == "call" else None, canonical(raw), "json" if kind == "call" else "", []
+        return
+    if turn is None and not each:
         return
     if role == "user":
         arguments = {"text": text}
-        yield "call", f"turn-{turn}", REPLY, canonical(arguments), _checked(REPLY, arguments, schemas), []
+        yield "call", "turn-null" if turn is None else f"turn-{turn}", REPLY, canonical(arguments), _checked(REPLY, arguments, schemas), []
     elif role == "assistant":
-        yield "result", f"turn-{turn - 1}", None, canonical(text), "", []
+        yield "result", "turn-null" if turn is None else f"turn-{turn - 1}", None, canonical(text), "", []
 
 
-def _structured(role: str | None, text: str) -> tuple[list[dict], list[dict]]:
+def _structured(role: str | None, text: str) -> tuple[list[dict], list[dict], list[tuple[str, str]]]:
+    """The calls and results of a message, and (kind, text) of its blocks that are no JSON objects."""
     value = loads(text) if text.lstrip()[:1] == "{" else None
     if isinstance(value, dict) and isinstance(value.get("tool_calls"), list) and role == "assistant":
-        return [c for c in value["tool_calls"] if isinstance(c, dict)], []
+        return [c for c in value["tool_calls"] if isinstance(c, dict)], [], []
     if isinstance(value, dict) and "tool_call_id" in value:
-        return [], [value]
-    found = [[v for m in p.findall(text) if isinstance(v := loads(m), dict)] if f"<{t}" in text else [] for p, t in ((CALL, "tool_call>"), (RESPONSE, "tool_response>"))]
-    return found[0] if role == "assistant" else [], found[1]
+        return [], [value], []
+    found: dict[str, list[dict]] = {"call": [], "result": []}
+    broken = []
+    for kind, pattern, tag in (("call", CALL, "<tool_call>"), ("result", RESPONSE, "<tool_response>")):
+        if tag in text and (kind == "result" or role == "assistant"):
+            for block in pattern.findall(text):
+                read = loads(block)
+                if isinstance(read, dict):
+                    found[kind].append(read)
+                else:
+                    broken.append((kind, block))
+    return found["call"], found["result"], broken
 
 
 def _text(value: Any) -> str:
@@ -196,7 +216,13 @@ def _checked(name: str, arguments: Any, schemas: dict[str, dict]) -> str:
 
 
 def events(
-    messages: DataFrame, schemas: dict[str, dict], conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
+    messages: DataFrame,
+    schemas: dict[str, dict],
+    conv: str = "conv_id",
+    turn: str = "turn",
+    role: str = "role",
+    text: str = "text",
+    each: bool = False,
 ) -> DataFrame:
     rows = messages.select(
         F.col(f"`{conv}`").cast("long").alias("conv"),
@@ -211,7 +237,7 @@ def events(
             out = []
             for c, t, r, x in zip(*[frame[n].astype(object).where(frame[n].notna(), None) for n in ("conv", "turn", "role", "text")], strict=True):
                 c, t = None if c is None else int(c), None if t is None else int(t)
-                out += [(c, t, i, *event) for i, event in enumerate(events_of(t, r, x or "", schemas))]
+                out += [(c, t, i, *event) for i, event in enumerate(events_of(t, r, x or "", schemas, each))]
             made = pd.DataFrame(out, columns=names)
             yield made.astype({"conv": "Int64", "turn": "Int64"})
 
@@ -221,18 +247,37 @@ def events(
 # --- linking --------------------------------------------------------------------------------------------
 
 
-def _numbered(found: DataFrame) -> DataFrame:
+def _named(bare: DataFrame, block_turns: int) -> DataFrame:
+    """The events without identifiers with names: calls in order, results after the oldest call that is open.
+
+    A result is lost if there are more results than calls up to it, as never before. Sums and their maxima are
+    taken block by block of turns, and those of the blocks before are added, so no task needs a whole conversation.
+    """
+    step = F.when(F.col("kind") == "result", 1).otherwise(-1).cast("long")
+    bare = bare.withColumns({"block": F.coalesce(F.floor(F.col("turn") / block_turns), F.lit(-(1 << 62))), "step": step})
+    order = Window.partitionBy("conv", "block").orderBy("turn", "at", "kind", "body")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    bare = bare.withColumn("surplus", F.sum("step").over(so_far)).withColumn("most", F.max("surplus").over(so_far))
+    bare = bare.withColumns({"calls": F.count_if(F.col("step") == -1).over(so_far), "results": F.count_if(F.col("step") == 1).over(so_far)})
+    bare = written(bare, "bare")
+    ends = [F.sum("step").alias("step"), F.max("most").alias("most"), *[F.max(c).alias(c) for c in ("calls", "results")]]
+    blocks = bare.groupBy("conv", "block").agg(*ends)
+    earlier = Window.partitionBy("conv").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    first = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0))
+    blocks = blocks.withColumns({"b_step": first("step"), "b_calls": first("calls"), "b_results": first("results")})
+    lost = F.greatest(F.lit(0), F.max(F.col("b_step") + F.col("most")).over(earlier))
+    blocks = blocks.select(F.col("conv").alias("b_conv"), F.col("block").alias("b_block"), "b_calls", "b_results", "b_step", lost.alias("b_lost"))
+    rows = bare.join(blocks, F.expr("conv <=> b_conv AND block = b_block")).withColumn("lost", F.greatest("b_lost", F.col("b_step") + F.col("most")))
+    rows = rows.withColumn("before", F.coalesce(F.lag("lost").over(order), "b_lost"))
+    nth = F.when(F.col("kind") == "call", F.col("b_calls") + F.col("calls")).otherwise(F.col("b_results") + F.col("results"))
+    name = F.when(F.col("kind") == "call", F.concat(F.lit("#"), nth)).when(F.col("lost") > F.col("before"), F.concat(F.lit("#lost-"), "lost"))
+    return rows.withColumn("call_id", F.coalesce(name, F.concat(F.lit("#"), nth - F.col("lost")))).select(*[c.split()[0] for c in EVENTS.split(", ")])
+
+
+def _numbered(found: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFrame:
     """The events with `key`, the same for a call and the result that belongs to it and else unique, how many calls and
     results their identifier has, and names for those without one."""
-    order = ("turn", "at", "kind", "body")
-    so_far = Window.partitionBy("conv").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    surplus = F.sum(F.when(F.col("kind") == "result", 1).otherwise(-1)).over(so_far)
-    bare = found.filter("call_id = ''").withColumn("surplus", surplus).withColumn("lost", F.greatest(F.lit(0), F.max("surplus").over(so_far)))
-    nth = F.row_number().over(Window.partitionBy("conv", "kind").orderBy(*order))
-    before = F.coalesce(F.lag("lost").over(Window.partitionBy("conv").orderBy(*order)), F.lit(0))
-    bare = bare.withColumns({"nth": nth, "before": before})
-    name = F.when(F.col("kind") == "call", F.concat(F.lit("#"), "nth")).when(F.col("lost") > F.col("before"), F.concat(F.lit("#lost-"), "lost"))
-    bare = bare.withColumn("call_id", F.coalesce(name, F.concat(F.lit("#"), F.col("nth") - F.col("lost")))).drop("surplus", "lost", "nth", "before")
+    bare = _named(found.filter("call_id = ''"), block_turns)
     both = Window.partitionBy("conv", "call_id", "bare")
     counts = {f"n_{k}s": F.count(F.when(F.col("kind") == k, 1)).over(both) for k in ("call", "result")}
     rows = found.filter("call_id <> ''").withColumn("bare", F.lit(False)).unionByName(bare.withColumn("bare", F.lit(True)))
@@ -242,12 +287,12 @@ def _numbered(found: DataFrame) -> DataFrame:
     return rows.withColumn("key", F.coalesce(key, F.concat("call_id", F.lit("\0"), "nth"))).drop("bare", "nth")
 
 
-def linked(found: DataFrame, each: bool = False) -> DataFrame:
+def linked(found: DataFrame, each: bool = False, block_turns: int = BLOCK_TURNS) -> DataFrame:
     """One row per identifier of a conversation: the first call, the first result, how many of each, and the status.
 
     With `each` one row per pair or single one; `call_id` is unique then, and `shown` is the identifier.
     """
-    named = _numbered(found) if each else found.withColumn("key", F.col("call_id"))
+    named = _numbered(found, block_turns) if each else found.withColumn("key", F.col("call_id"))
     counts = ["n_calls", "n_results"] if each else []
     firsts = lambda kind, body: (
         named.filter(F.col("kind") == kind)
@@ -343,7 +388,9 @@ def transcripts(
     """
     for name, schema in (schemas or {}).items():
         refuse_unknown(schema, name)
-    links = written(linked(events(messages, schemas if schemas is not None else SCHEMAS, conv, turn, role, text), each), "links")
+    # Every message is parsed once.
+    found = written(events(messages, schemas if schemas is not None else SCHEMAS, conv, turn, role, text, each), "events")
+    links = written(linked(found, each, block_turns), "links")
     moved = ranks(links).withColumnsRenamed({"conv": "r_conv", "call_id": "r_id"})
     rows = links.join(moved, F.expr("conv <=> r_conv AND call_id = r_id"), "left").withColumns({
         "place": F.when(F.coalesce("cyclic", F.lit(False)), F.col("turn")).otherwise(F.coalesce("place", "turn", F.lit(0))),

@@ -231,6 +231,45 @@ def test_prose_that_shares_a_turn_is_kept(spark):
     assert found == [(c, "turn-0", *x) for c in ("3", "None") for x in [("a", "A"), ("b", "B")]]
 
 
+def test_prose_without_a_turn_and_broken_blocks_have_rows(spark):
+    tag = lambda q: f'<tool_call>{{"name":"find","arguments":{{"query":"{q}"}}}}</tool_call>'
+    messages = [
+        (1, None, "user", "first"), (1, None, "assistant", "reply"), (1, None, "user", "second"),
+        (2, 0, "assistant", tag("a") + "<tool_call>{broken</tool_call>" + tag("b")),
+        (2, 1, "tool", '<tool_response>{"content":"A"}</tool_response><tool_response>oops</tool_response>'),
+    ]
+    out = tc.transcripts(spark.createDataFrame([(*m, "x", "y", 1) for m in messages], SCHEMA), {**TOOLS, **tc.SCHEMAS}, each=True).collect()
+    found = sorted((r["conv_id"], r["position"], r["call_id"], r["status"], r["errors"], q["arguments"], q["result"]) for r in out for q in [json.loads(r["record"])])
+    assert found == [
+        (1, 0, "turn-null", "linked", "", {"text": "first"}, "reply"),
+        (1, 1, "turn-null", "unanswered", "", {"text": "second"}, None),
+        (2, 0, "#1", "linked", "", {"query": "a"}, "A"),
+        (2, 1, "#2", "linked", "", {"query": "b"}, "oops"),
+        (2, 2, "#3", "unanswered", "json", "{broken", None),
+    ]
+
+
+@pytest.mark.parametrize("block_turns", [1, 3, 64])
+def test_many_calls_without_identifiers_in_blocks(spark, block_turns):
+    draw = random.Random(block_turns)
+    kinds = [draw.choice("cr") for _ in range(60)]
+    tag, back = '<tool_call>{"name":"find","arguments":{"query":"q"}}</tool_call>', '<tool_response>{"content":"x"}</tool_response>'
+    messages = [(7, t, "assistant" if k == "c" else "tool", tag if k == "c" else back, "x", "y", 1) for t, k in enumerate(kinds)]
+    out = tc.transcripts(spark.createDataFrame(messages, SCHEMA), TOOLS, each=True, block_turns=block_turns).collect()
+    calls_, open_, expected, lost = 0, [], {}, 0
+    for t, k in enumerate(kinds):
+        if k == "c":
+            calls_ += 1
+            open_.append(calls_)
+            expected[f"#{calls_}"] = [t, None]
+        elif open_:
+            expected[f"#{open_.pop(0)}"][1] = t
+        else:
+            lost += 1
+            expected[f"#lost-{lost}"] = [None, t]
+    assert {r["call_id"]: [r["call_turn"], r["result_turn"]] for r in out} == expected
+
+
 def test_query_against_brute_force(spark, folder):
     calls_, results = {}, {}
     for r in spark.read.parquet(f"{folder}/conversations.parquet").collect():
