@@ -6,7 +6,7 @@ bucket in which the budget ends is the boundary, and only its documents are summ
 until the boundary is one hash value. Thresholds of larger budgets nest, so a larger mix holds a smaller one.
 
 Defined cases: a NULL text has size 0; NULL is a source of its own, last in order; repeated rows (same id and text) share
-a hash and are taken together; a document without words counts as taken 0 words; an empty table gives no rows.
+a hash, and those at a threshold are told apart by their number, so a target is missed by half a document at most; a document without words counts as taken 0 words; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -53,10 +53,11 @@ def _bucket(level: int) -> Column:
 
 
 def thresholds(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """source -> the hash below which documents are taken once more; rows: source, size, hashed; wanted: source, need.
+    """source -> the hash below which documents are taken once more, and `some`: how many of the copies that have just that hash.
 
-    Each level sums the rows of the boundary bucket only, which it writes for the next one. At the last one the boundary value itself is taken if that
-    brings the sum nearer to the need. Sources whose need covers them all have no boundary and no row here.
+    rows: source, size, hashed; wanted: source, need. Each level sums the rows of the boundary bucket only, which it writes for
+    the next one. At the last one the boundary value itself is taken if that brings the sum nearer to the need, or as many of its copies
+    as do. Sources whose need covers them all have no boundary and no row here.
     """
     state = wanted.select("source", "need", F.lit(0).cast("long").alias("prefix"))
     for level in range(len(LEVELS)):
@@ -66,24 +67,27 @@ def thresholds(rows: DataFrame, wanted: DataFrame) -> DataFrame:
             rows = written(inside.select("r.source", "r.size", "hashed"), "mix-boundary")
             inside = rows.alias("r").join(small(state).alias("s"), F.expr("r.source <=> s.source"))
         sums = inside.groupBy(F.col("r.source").alias("source"), _bucket(level).alias("bucket")).agg(
-            F.sum("size").alias("size"), F.first("need").alias("need")
+            F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows"), F.first("need").alias("need")
         )
         upto = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
         state = written(
             sums.withColumn("upto", F.sum("size").over(upto))
             .filter(F.col("upto") > F.col("need"))
             .groupBy("source")
-            .agg(F.min(F.struct("bucket", "upto", "size", "need")).alias("b"))
+            .agg(F.min(F.struct("bucket", "upto", "size", "need", "rows")).alias("b"))
             .select(
                 "source",
                 (F.col("b.need") - (F.col("b.upto") - F.col("b.size"))).alias("need"),
                 F.col("b.bucket").alias("prefix"),
                 F.col("b.size").alias("last"),
+                F.col("b.rows").alias("rows"),
             ),
             "mix-level",
         )
-    nearer = F.abs(F.col("last") - F.col("need")) < F.col("need")
-    return state.select("source", (F.col("prefix") + F.when(nearer, 1).otherwise(0)).alias("threshold"))
+    # What is left at the last level is one row, or copies of it, of which some are taken.
+    some = F.round(F.col("need") * F.col("rows") / F.col("last")).cast("long")
+    every = F.col("prefix") + F.when(some >= F.col("rows"), 1).otherwise(0)
+    return state.select("source", every.alias("threshold"), F.when((some > 0) & (some < F.col("rows")), some).alias("some"))
 
 
 def _planned(docs: DataFrame, id_column: str, text: str, source: str, weights, budget, passes, carry) -> DataFrame:
@@ -107,9 +111,28 @@ def _planned(docs: DataFrame, id_column: str, text: str, source: str, weights, b
     # Without a threshold a source's need is nothing, or all that it has.
     once_more = F.expr("CASE WHEN threshold IS NOT NULL THEN hashed < threshold ELSE need > 0 END")
     copies = F.least(F.col("full") + once_more.cast("int"), F.lit(passes))
-    plan = written(plan.select("g.source", "source_size", "target", "full", "need", "threshold"), "mix-plan")
+    plan = written(plan.select("g.source", "source_size", "target", "full", "need", "threshold", "some"), "mix-plan")
     joined = rows.alias("r").join(small(plan).alias("p"), F.expr("r.source <=> p.source"))
-    return joined.select("row", "size", "source_size", "target", copies.alias("copies"))
+    names = ("row", "size", "source_size", "target")
+    if plan.filter("some IS NOT NULL").isEmpty():
+        return joined.select(*names, copies.alias("copies"))
+    at_threshold = F.expr("some IS NOT NULL AND hashed = threshold")
+    others = joined.filter(~F.coalesce(at_threshold, F.lit(False))).select(*names, copies.alias("copies"))
+    return others.unionByName(_some_copies(joined.filter(at_threshold).select("r.source", *names[1:], "row", "full", "some")).select(*others.columns))
+
+
+def _some_copies(rows: DataFrame) -> DataFrame:
+    """Rows at their source's threshold: `some` of them are taken once more, in order of their contents.
+
+    Equal rows are counted, so a source may have very many; any of them gives the same mix.
+    """
+    same = rows.withColumn("contents", F.xxhash64(F.to_json("row"))).groupBy("source", "contents", F.to_json("row").alias("json")).agg(
+        F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("row", "size", "source_size", "target", "full", "some")]
+    )
+    before = Window.partitionBy("source").orderBy("contents", "json").rowsBetween(Window.unboundedPreceding, -1)
+    taken = F.least(F.col("n"), F.greatest(F.lit(0), F.col("some") - F.coalesce(F.sum("n").over(before), F.lit(0))))
+    each = same.withColumn("taken", taken).withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+    return each.withColumn("copies", (F.col("full") + F.when(F.col("nth") <= F.col("taken"), 1).otherwise(0)).cast("int"))
 
 
 def mix(

@@ -107,3 +107,16 @@ def test_mixed_rows_stand_as_often_as_they_are_taken(spark):
     repeated = {(1, "a"): 2}
     assert got == {k: n * repeated.get(k, 1) for k, n in plan.items() if n}
     assert mixing.mixed(no_rows(spark)).count() == 0
+
+
+def test_copies_at_the_threshold_are_told_apart(spark):
+    """200 copies of one row, some with another language, and 200 rows of their own: the target is met to half a document."""
+    schema = "doc_id long, text string, source string, lang string"
+    rows = [(0, "a b c d e f", "s", "x" if i % 3 else "y") for i in range(200)] + [(i, f"w{i} x y z", "s", "x") for i in range(1, 201)]
+    for budget in (0.3, 0.9, 1.15, 1.4, 1.9):
+        runs = [mixing.mix(spark.createDataFrame(part, schema), budget=budget).collect() for part in (rows, rows[::-1])]
+        for out in runs:
+            assert len(out) == len(rows) and {r["copies"] for r in out} <= {0, 1, 2}
+            assert abs(sum(r["copies"] * r["size"] for r in out) - budget * 2000) <= 3
+        key = lambda r: (r["doc_id"], r["lang"], r["copies"])
+        assert sorted(map(key, runs[0])) == sorted(map(key, runs[1]))
