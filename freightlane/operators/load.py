@@ -15,6 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from freightlane.functions.scalars import quoted
+from freightlane.operators import keyfilter
 from freightlane.operators.conform import breaks_contract, reject_counts, split, staged_values
 from freightlane.operators.keys import not_loaded, one_per_key
 from freightlane.plans.contract import Contract
@@ -106,6 +107,7 @@ def load_batch(
     log: str | None = None,
     max_reject_rate: float = 1.0,
     frozen: bool = False,
+    key_bits: int | None = None,
 ) -> dict[str, object]:
     """Load one batch and return its log row. Counts are of rows really written, not of rows sent.
 
@@ -113,6 +115,8 @@ def load_batch(
     The source is scanned once for the columns the rules need, and once for the load; rejects are only
     written when there are any. A `frozen` source (files) gives the same rows every time it is read, so its
     key range, found by the first scan, may prune the target. Key columns are required, so no key has a NULL part.
+    With `key_bits` a filter of that many bits (2^key_bits) is kept beside the target for each batch, and the target is read
+    only for keys that the filters cannot rule out (operators/keyfilter.py). Loads of one target should agree on it.
     """
     spark = df.sparkSession
     ranged = frozen and bool(contract.key)
@@ -130,11 +134,18 @@ def load_batch(
         loaded = loaded.filter(~((F.col(RUN) == run) & (F.col(BATCH) == batch)))
         if ranged:
             loaded = _in_key_range(loaded, contract, counts["low"], counts["high"])
-    fresh = new_rows(good, loaded, contract, null_keys=False)
     folder = batch_folder(target, run, batch)
+    if key_bits and contract.key:
+        fresh, _ = keyfilter.new_by_filter(good, loaded, contract.key, target, key_bits)
+        keyfilter.forget(spark, target, run, batch, key_bits)
+    else:
+        fresh = new_rows(good, loaded, contract, null_keys=False)
     fresh.write.mode("overwrite").parquet(folder)
     # Row counts of Parquet files come from their footers.
-    written = spark.read.schema(contract.schema).parquet(folder).count()
+    stored = spark.read.schema(contract.schema).parquet(folder)
+    written = stored.count()
+    if key_bits and contract.key:
+        keyfilter.remember(stored, target, contract.key, run, batch, key_bits)
     entry = {
         "table_name": contract.name,
         RUN: run,

@@ -21,13 +21,14 @@ def resume_load(
     max_bytes: int | None = None,
     rejects: str | None = None,
     max_reject_rate: float = 1.0,
+    key_bits: int | None = None,
 ) -> StreamingQuery:
     """Load all files of a folder or glob that were not loaded yet, in batches of `max_files` files or `max_bytes`, then stop.
 
     `state` holds the stream's checkpoint and the load log, both named after run and table. Calling again
     with the same run continues after the last finished batch; an unfinished batch is repeated and replaces
     what it had written. A batch costs one look at the target's keys in its range, so on large tables
-    batches should be large (hundreds of GB).
+    batches should be large (hundreds of GB), or `key_bits` given, which keeps a filter of the loaded keys.
     """
     place = f"{state.rstrip('/')}/{run}/{contract.name}"
     log = f"{state.rstrip('/')}/{run}/log"
@@ -42,7 +43,16 @@ def resume_load(
 
     def write(batch: DataFrame, number: int) -> None:
         load_batch(
-            batch, contract, target, run, number, rejects=rejects, log=log, max_reject_rate=max_reject_rate, frozen=True
+            batch,
+            contract,
+            target,
+            run,
+            number,
+            rejects=rejects,
+            log=log,
+            max_reject_rate=max_reject_rate,
+            frozen=True,
+            key_bits=key_bits,
         )
 
     query = (

@@ -361,3 +361,4 @@ WHERE s.order_id IS NULL OR t.order_id IS NULL OR s.customer_id IS DISTINCT FROM
   OR s.ordered_at IS DISTINCT FROM t.ordered_at OR s.status IS DISTINCT FROM t.status OR s.priority IS DISTINCT FROM t.priority""",
 }
 ORACLES["diff_tree"] = ORACLES["row_diff"]
+ORACLES["load_filtered"] = ORACLES["load_overlap"]

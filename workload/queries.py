@@ -514,6 +514,14 @@ def load_overlap(spark: SparkSession, folder: str) -> DataFrame:
     return load.read_target(spark, place, LINES)
 
 
+def load_filtered(spark: SparkSession, folder: str) -> DataFrame:
+    """The same target as load_overlap, loaded beside filters of its keys."""
+    place, lines = f"{work_folder(spark, 'filtered')}/lines", table(spark, folder, "lineitem")
+    for run, left_out in (("run-1", 0), ("run-2", 1)):
+        load.load_batch(lines.filter(F.col("l_orderkey") % 3 != left_out), LINES, place, run, frozen=True, key_bits=26)
+    return load.read_target(spark, place, LINES)
+
+
 def load_null_keys(spark: SparkSession, folder: str) -> DataFrame:
     """Rows whose key has a NULL part are rejected, and a reload of the others adds nothing."""
     place, rejects = work_folder(spark, "null-keys"), work_folder(spark, "null-key-rejects")
@@ -681,6 +689,7 @@ QUERIES: dict[str, Query] = {
     "load_stream": load_stream,
     "load_progress": load_progress,
     "load_overlap": load_overlap,
+    "load_filtered": load_filtered,
     "load_null_keys": load_null_keys,
     "load_batches": load_batches,
     "load_summary": load_summary,
