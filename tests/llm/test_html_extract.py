@@ -2,6 +2,7 @@
 
 import html
 import re
+from html.parser import HTMLParser
 
 import pytest
 
@@ -88,6 +89,103 @@ def test_pages_of_the_test_data(spark, folder):
         assert (got[p["page_id"]]["text"], got[p["page_id"]]["n_chars"]) == (expected, len(expected))
 
 
+JUNK = [
+    "comments-area", "reader-comments", "comment-list", "post-comments", "comment-thread", "user-comment", "site-footer", "sidebar-left",
+    "ad-container", "newsletter-signup", "share-buttons", "related-posts", "author-bio", "cookie-banner",
+]
+
+
+@pytest.mark.parametrize("name", JUNK)
+@pytest.mark.parametrize("shape", ["<article>{0}{1}</article>", "<article>{0}</article>{1}", "<div>{0}</div>{1}", "{1}<main>{0}</main>"])
+def test_regions_named_by_heads_and_parts(name, shape):
+    junk = f'<div class="{name}"><p>{"one long paragraph of another kind " * 9}</p></div>'
+    assert main_text(f"<body>{shape.format(f'<h1>T</h1>{LONG}{LONG}', junk)}</body>") == " ".join(["T", *[("words and more " * 20).strip()] * 2])
+
+
+@pytest.mark.parametrize("name", ["post", "content", "post-content", "article-body", "has-sidebar", "section", "main-column", "user-post", "entry-header"])
+def test_names_of_texts_are_no_regions(name):
+    text = " ".join(["T", *[("words and more " * 20).strip()] * 2])
+    assert main_text(f'<body><div class="{name}"><h1>T</h1>{LONG}{LONG}</div></body>') == text
+    assert main_text(f'<article><div class="{name}"><h1>T</h1></div>{LONG}{LONG}</article>') == text
+
+
+def test_windows_decide_inside_the_article():
+    links = "".join(f"<li><a href=/{i}>Another page {i}</a></li>" for i in range(6))
+    text = ("words and more " * 20).strip()
+    assert main_text(f"<article><h1><a href=/>T</a></h1>{LONG}<ul>{links}</ul>{LONG}<ul>{links}</ul></article>") == f"T {text} {text}"
+    assert main_text(f"<article>{LONG}<p><a href=x>The whole report</a></p></article>") == f"{text} The whole report"
+    assert main_text(f"<article>{LONG}<p>See <a href=x>this</a> and <a href=y>that</a>.</p></article>") == f"{text} See this and that."
+
+
+def test_the_longest_of_several_articles():
+    text = ("words and more " * 20).strip()
+    card = "<article class='card'><h2>Teaser</h2><p>Some words.</p></article>"
+    assert main_text(f"<article>{LONG}</article>{card}{card}") == text
+    assert main_text(f"<main>{card}<article>{LONG}</article>{card}</main>") == text
+    assert main_text(f"<main><h1>T</h1>{LONG}{card}</main>") == f"T {text}"
+    assert main_text(f"<article>{LONG}</article><article>{LONG}</article>") == f"{text} {text}"
+
+
+class Blocks(HTMLParser):
+    """Lines of text with their linked part, by another reader of markup; regions by element only."""
+
+    def __init__(self):
+        super().__init__()
+        self.lines, self.text, self.linked, self.skip, self.link = [], "", 0, 0, 0
+
+    def flush(self):
+        text = " ".join(self.text.split())
+        if text:
+            self.lines.append((text, self.linked))
+        self.text, self.linked = "", 0
+
+    def handle_starttag(self, tag, attrs):
+        self.skip += tag in ("nav", "footer", "script", "style", "title") or tag == "div" and dict(attrs).get("class") == "ad"
+        self.link += tag == "a"
+        if tag not in ("a", "b", "i"):
+            self.flush()
+
+    def handle_endtag(self, tag):
+        if tag not in ("a", "b", "i"):
+            self.flush()
+        self.skip -= tag in ("nav", "footer", "script", "style", "title") or tag == "div" and self.skip > 0
+        self.link -= tag == "a"
+
+    def handle_data(self, data):
+        if not self.skip:
+            self.text += data
+            self.linked += len("".join(data.split())) if self.link else 0
+
+
+def line_blocks(page):
+    """The method itself, without marked articles: sums over three lines, from a surge of 80 to the next dive."""
+    reader = Blocks()
+    reader.feed(page)
+    reader.flush()
+    lengths = [len(t.replace(" ", "")) - linked for t, linked in reader.lines]
+    kept, at = [], 0
+    while at < len(lengths):
+        stop = at
+        while stop < len(lengths) and sum(lengths[stop : stop + 3]) and (lengths[at] or stop > at):
+            stop += 1
+        if stop > at and lengths[at] and max(sum(lengths[i : i + 3]) for i in range(at, stop)) >= 80:
+            kept += [t for t, _ in reader.lines[at:stop]]
+        at = max(stop, at + 1)
+    return " ".join(kept)
+
+
+def test_pages_without_article_marks_against_brute_force(spark):
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    compared = 0
+    for page in pages:
+        bare = page.replace("<article>", "<div>").replace("</article>", "</div>").replace("&amp;", "and")
+        expected = line_blocks(bare)
+        if expected:
+            assert main_text(bare) == expected
+            compared += 1
+    assert compared > 200
+
+
 def test_nulls_repeats_and_extra_columns(spark):
     rows = [(1, "u", "<article>a</article>", "t"), (1, "u", "<article>a</article>", "t"), (None, None, None, None)]
     schema = "page_id long, url string, html string, text string"
