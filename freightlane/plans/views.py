@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from freightlane.functions.scalars import as_text, blank_to_null, joined_text, or_zero
 from freightlane.functions.types import is_integral
 from freightlane.operators.joins import comparable, fan_out_join, key_of
+from freightlane.operators.lanes import distinct_from, lane_counts
 
 DATASOURCE = "Datasource"
 WORKBOOK = "Workbook"
@@ -23,8 +24,31 @@ def _flagged(details: DataFrame, flag: object) -> DataFrame:
 
 
 def _per_source(column: str) -> Column:
-    """Distinct values of a column, told apart by the datasource they belong to."""
-    return F.count_distinct(joined_text(F.col("datasource_id"), F.lit("||"), F.col(column)))
+    """Values of a column, told apart by the datasource they belong to."""
+    return joined_text(F.col("datasource_id"), F.lit("||"), F.col(column))
+
+
+DATASOURCE_GROUP = ("datasource_id", "datasource", "contains_extract", "ds_project")
+#: The counts of a datasource, and what each of them counts.
+DATASOURCE_COUNTS = {
+    "dashboard_cnt": "dashboard_id",
+    "sheet_cnt": "sheet_id",
+    "field_cnt": "field_id",
+    "workbook_cnt": "workbook_id",
+    "table_cnt": "table_name",
+    "column_cnt": "column_name",
+}
+
+
+def datasource_lanes(datasource_details: DataFrame, flag: object = DATASOURCE, weight: Column | None = None) -> DataFrame:
+    """How often each value stands in each datasource group: what the summary's counts are read from."""
+    counted = {name: blank_to_null(F.col(c)) for name, c in DATASOURCE_COUNTS.items()}
+    return lane_counts(_flagged(datasource_details, flag), DATASOURCE_GROUP, counted, weight)
+
+
+def query_ids(custom_queries: DataFrame) -> Column:
+    whole = is_integral(custom_queries.schema["custom_query_id"].dataType)
+    return F.col("custom_query_id") if whole else blank_to_null(F.col("custom_query_id"))
 
 
 def datasource_summary(datasource_details: DataFrame, custom_queries: DataFrame, flag: object = DATASOURCE) -> DataFrame:
@@ -34,28 +58,15 @@ def datasource_summary(datasource_details: DataFrame, custom_queries: DataFrame,
     key. So the left join can run on the grouped rows: at most one custom query id can match a group. `flag` is what
     marks datasource rows.
     """
-    counted = {
-        "dashboard_cnt": "dashboard_id",
-        "sheet_cnt": "sheet_id",
-        "field_cnt": "field_id",
-        "workbook_cnt": "workbook_id",
-        "table_cnt": "table_name",
-        "column_cnt": "column_name",
-    }
-    groups = (
-        _flagged(datasource_details, flag)
-        .groupBy("datasource_id", "datasource", "contains_extract", "ds_project")
-        .agg(*[F.count_distinct(blank_to_null(F.col(c))).alias(name) for name, c in counted.items()])
-    )
-    plain = comparable(datasource_details.schema["datasource_id"].dataType, custom_queries.schema["custom_query_id"].dataType)
-    whole = plain and is_integral(custom_queries.schema["custom_query_id"].dataType)
-    query_id = F.col("custom_query_id") if whole else blank_to_null(F.col("custom_query_id"))
-    query_ids = (
-        custom_queries.select(query_id.alias("query_id"))
-        .filter(F.col("query_id").isNotNull())
-        .distinct()
-    )
-    return groups.join(query_ids, key_of(F.col("datasource_id"), plain) == F.col("query_id"), "left").select(
+    found = custom_queries.select(query_ids(custom_queries).alias("query_id")).filter(F.col("query_id").isNotNull()).distinct()
+    return datasource_summary_of(datasource_lanes(datasource_details, flag), found)
+
+
+def datasource_summary_of(lanes: DataFrame, found: DataFrame) -> DataFrame:
+    """The summary from the counted values of datasource_lanes() and the distinct query ids (query_id)."""
+    groups = distinct_from(lanes, DATASOURCE_GROUP, list(DATASOURCE_COUNTS))
+    plain = comparable(lanes.schema["datasource_id"].dataType, found.schema["query_id"].dataType)
+    return groups.join(found, key_of(F.col("datasource_id"), plain) == key_of(F.col("query_id"), plain), "left").select(
         *groups.columns, F.when(F.col("query_id").isNotNull(), 1).otherwise(0).cast("long").alias("custom_query_cnt")
     )
 
@@ -80,6 +91,53 @@ def datasource_interactions(datasource_details: DataFrame, events: DataFrame, fl
     ).select("event_id", "datasource", "datasource_id", "interaction_type", "interaction_date")
 
 
+#: The counts of a workbook: those of its datasource rows, of its dashboard rows and of its custom queries.
+OFFERED = ("datasource_cnt", "total_field_cnt", "total_column_cnt", "total_table_cnt")
+USED = ("dashboard_cnt", "sheet_cnt", "used_field_cnt", "used_column_cnt", "used_table_cnt")
+QUERIED = ("custom_query_cnt",)
+#: The tables of the workbook summary, and by what each is grouped.
+WORKBOOK_GROUPS = {"offered": ("workbook_id",), "used": ("workbook_id", "workbook"), "queries": ("workbook_id",), "views": ("workbook_id",)}
+
+
+def workbook_lanes(
+    dashboard_details: DataFrame | None,
+    datasource_details: DataFrame | None,
+    custom_queries: DataFrame | None,
+    usage: DataFrame | None,
+    flag: object = WORKBOOK,
+    plain: bool | None = None,
+    weight: int = 1,
+) -> dict[str, DataFrame]:
+    """The counted values that the workbook summary is read from, for the tables that are given.
+
+    Ids are made text before grouping unless all are whole numbers (`plain`), so the grouped rows are already partitioned
+    by the join key. `weight` -1 counts deleted rows.
+    """
+    tables = [t for t in (dashboard_details, datasource_details, custom_queries, usage) if t is not None]
+    plain = all(is_integral(t.schema["workbook_id"].dataType) for t in tables) if plain is None else plain
+    sign = F.lit(weight)
+
+    def keyed(table: DataFrame) -> DataFrame:
+        return table.withColumn("workbook_id", key_of(F.col("workbook_id"), plain))
+
+    out = {}
+    if datasource_details is not None:
+        counted = (F.col("datasource_id"), F.col("field_id"), _per_source("column_name"), _per_source("table_name"))
+        rows = keyed(_flagged(datasource_details, flag))
+        out["offered"] = lane_counts(rows, WORKBOOK_GROUPS["offered"], dict(zip(OFFERED, counted, strict=True)), sign)
+    if dashboard_details is not None:
+        counted = (
+            F.col("dashboard_id"), F.col("sheet_id"), F.col("field_id"), _per_source("column_name"), _per_source("table_name")
+        )
+        out["used"] = lane_counts(keyed(dashboard_details), WORKBOOK_GROUPS["used"], dict(zip(USED, counted, strict=True)), sign)
+    if custom_queries is not None:
+        out["queries"] = lane_counts(keyed(custom_queries), WORKBOOK_GROUPS["queries"], {QUERIED[0]: F.col("custom_query_id")}, sign)
+    if usage is not None:
+        views = F.coalesce(F.col("total_views").cast("long"), F.lit(0).cast("long")) * weight
+        out["views"] = lane_counts(keyed(usage), WORKBOOK_GROUPS["views"], {}, views)
+    return out
+
+
 def workbook_summary(
     dashboard_details: DataFrame,
     datasource_details: DataFrame,
@@ -89,30 +147,16 @@ def workbook_summary(
 ) -> DataFrame:
     """Per workbook: what its dashboards use, against what its datasources offer, plus queries and views.
 
-    Every input is reduced to one row per workbook before the joins. Ids are made text before grouping unless all are
-    whole numbers, so the grouped rows are already partitioned by the join key.
+    Every input is reduced to one row per workbook before the joins.
     """
-    tables = (dashboard_details, datasource_details, custom_queries, usage)
-    plain = all(is_integral(t.schema["workbook_id"].dataType) for t in tables)
+    return workbook_summary_of(workbook_lanes(dashboard_details, datasource_details, custom_queries, usage, flag))
 
-    def by_workbook(table: DataFrame, *names: str):
-        return table.withColumn("workbook_id", key_of(F.col("workbook_id"), plain)).groupBy("workbook_id", *names)
 
-    offered = by_workbook(_flagged(datasource_details, flag)).agg(
-        F.count_distinct("datasource_id").alias("datasource_cnt"),
-        F.count_distinct("field_id").alias("total_field_cnt"),
-        _per_source("column_name").alias("total_column_cnt"),
-        _per_source("table_name").alias("total_table_cnt"),
-    )
-    used = by_workbook(dashboard_details, "workbook").agg(
-        F.count_distinct("dashboard_id").alias("dashboard_cnt"),
-        F.count_distinct("sheet_id").alias("sheet_cnt"),
-        F.count_distinct("field_id").alias("used_field_cnt"),
-        _per_source("column_name").alias("used_column_cnt"),
-        _per_source("table_name").alias("used_table_cnt"),
-    )
-    queries = by_workbook(custom_queries).agg(F.count_distinct("custom_query_id").alias("custom_query_cnt"))
-    views = by_workbook(usage).agg(F.sum("total_views").cast("long").alias("view_cnt"))
+def workbook_summary_of(lanes: Mapping[str, DataFrame]) -> DataFrame:
+    """The summary from the counted values of workbook_lanes()."""
+    names = {"offered": OFFERED, "used": USED, "queries": QUERIED}
+    offered, used, queries = (distinct_from(lanes[k], WORKBOOK_GROUPS[k], n) for k, n in names.items())
+    views = distinct_from(lanes["views"], WORKBOOK_GROUPS["views"], (), rows="view_cnt")
     joined = used.join(offered, "workbook_id", "left").join(queries, "workbook_id", "left").join(views, "workbook_id", "left")
     return joined.select(
         as_text(F.col("workbook_id")).alias("workbook_id"),

@@ -362,3 +362,5 @@ WHERE s.order_id IS NULL OR t.order_id IS NULL OR s.customer_id IS DISTINCT FROM
 }
 ORACLES["diff_tree"] = ORACLES["row_diff"]
 ORACLES["load_filtered"] = ORACLES["load_overlap"]
+ORACLES["views_incremental"] = ORACLES["v4_entity_summary"]
+ORACLES["views_incremental_source"] = ORACLES["v1_status_summary"]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from freightlane.functions.scalars import as_text
 from freightlane.operators import conform as cf, keys, load, profile as pf, reconcile as rc, tree
-from freightlane.plans import views
+from freightlane.plans import maintained, views
 from freightlane.plans.contract import ColumnSpec, Contract, ForeignKey
 from freightlane.session import work_folder
 from freightlane.sources import sinks, tables as src
@@ -74,7 +74,7 @@ def order_events(spark: SparkSession, folder: str, item: str) -> DataFrame:
     )
 
 
-def v4_entity_summary(spark: SparkSession, folder: str) -> DataFrame:
+def workbook_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """Orders are dashboard rows of a customer, line items are datasource and usage rows."""
     orders, lineitem = table(spark, folder, "orders"), table(spark, folder, "lineitem")
     dashboards = orders.select(
@@ -99,7 +99,38 @@ def v4_entity_summary(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c_custkey").alias("workbook_id"), F.nullif(F.col("c_nationkey"), F.lit(7)).alias("custom_query_id")
     )
     usage = lineitem.select(F.col("l_partkey").alias("workbook_id"), F.col("l_quantity").cast("int").alias("total_views"))
-    return views.workbook_summary(dashboards, datasources, queries, usage, flag="R")
+    return {"dashboard_details": dashboards, "datasource_details": datasources, "custom_queries": queries, "usage": usage}
+
+
+def v4_entity_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return views.workbook_summary(**workbook_tables(spark, folder), flag="R")
+
+
+def _thirds(df: DataFrame, key: str) -> list[DataFrame]:
+    return [df.filter(F.pmod(F.col(key), F.lit(3)) == i) for i in range(3)]
+
+
+def views_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """The workbook summary after three batches that overlap: the second one deletes a third that the third brings again."""
+    place = work_folder(spark, "workbook-view")
+    parts = {name: _thirds(df, "workbook_id") for name, df in workbook_tables(spark, folder).items()}
+    pick = lambda *thirds: {n: p[thirds[0]] if len(thirds) == 1 else p[thirds[0]].unionByName(p[thirds[1]]) for n, p in parts.items()}
+    maintained.follow_workbooks(place, "run-1", 0, pick(1, 2), flag="R")
+    maintained.follow_workbooks(place, "run-1", 1, pick(0), pick(1), flag="R")
+    maintained.follow_workbooks(place, "run-2", 0, pick(1), flag="R")
+    return maintained.workbook_summary(spark, place)
+
+
+def views_incremental_source(spark: SparkSession, folder: str) -> DataFrame:
+    """The datasource summary after three batches that overlap, then made one."""
+    place = work_folder(spark, "datasource-view")
+    details = _thirds(datasource_rows(spark, folder), "field_id")
+    queries = _thirds(table(spark, folder, "lineitem").select(F.col("l_partkey").alias("custom_query_id")), "custom_query_id")
+    maintained.follow_datasources(place, "run-1", 0, details[1].unionByName(details[2]), queries=queries[0], flag="F")
+    maintained.follow_datasources(place, "run-1", 1, details[0], details[2], queries[1].unionByName(queries[2]), queries[0], flag="F")
+    maintained.follow_datasources(place, "run-2", 0, details[2], queries=queries[0], flag="F")
+    maintained.compact(spark, place, f"{place}-compact", maintained.DATASOURCE_PARTS)
+    return maintained.datasource_summary(spark, f"{place}-compact")
 
 
 def v5_load_log(spark: SparkSession, folder: str) -> DataFrame:
@@ -658,6 +689,8 @@ QUERIES: dict[str, Query] = {
     "v4_entity_summary": v4_entity_summary,
     "v5_load_log": v5_load_log,
     "v6_interactions": v6_interactions,
+    "views_incremental": views_incremental,
+    "views_incremental_source": views_incremental_source,
     "scan_filter": scan_filter,
     "range_pages": range_pages,
     "page_shares": page_shares,
