@@ -364,3 +364,4 @@ ORACLES["diff_tree"] = ORACLES["row_diff"]
 ORACLES["load_filtered"] = ORACLES["load_overlap"]
 ORACLES["views_incremental"] = ORACLES["v4_entity_summary"]
 ORACLES["views_incremental_source"] = ORACLES["v1_status_summary"]
+ORACLES["load_stateful"] = ORACLES["load_overlap"]

@@ -12,6 +12,7 @@ from freightlane.plans import maintained, views
 from freightlane.plans.contract import ColumnSpec, Contract, ForeignKey
 from freightlane.session import work_folder
 from freightlane.sources import sinks, tables as src
+from freightlane.streaming.keyed import keyed_load
 from freightlane.streaming.resume import resume_load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -574,6 +575,16 @@ def load_batches(spark: SparkSession, folder: str) -> DataFrame:
     return loaded.withColumn("several_batches", F.lit(log["batches"] > 3))
 
 
+def load_stateful(spark: SparkSession, folder: str) -> DataFrame:
+    """The target of a stream that keeps its keys as state: files in several batches, later ones with keys of the others again."""
+    place, lines = work_folder(spark, "stateful"), table(spark, folder, "lineitem")
+    for rest in (0, 1, 2):
+        lines.filter(F.pmod("l_orderkey", F.lit(3)) == rest).coalesce(1).write.mode("append").parquet(f"{place}/source")
+    lines.filter(F.pmod("l_orderkey", F.lit(2)) == 0).coalesce(1).write.mode("append").parquet(f"{place}/source")
+    keyed_load(spark, f"{place}/source", LINES, f"{place}/target", f"{place}/state", "run-1", lines.schema, max_files=2)
+    return load.read_target(spark, f"{place}/target", LINES)
+
+
 def _loaded(spark: SparkSession, folder: str) -> DataFrame:
     return load.load_tables(
         spark,
@@ -723,6 +734,7 @@ QUERIES: dict[str, Query] = {
     "load_progress": load_progress,
     "load_overlap": load_overlap,
     "load_filtered": load_filtered,
+    "load_stateful": load_stateful,
     "load_null_keys": load_null_keys,
     "load_batches": load_batches,
     "load_summary": load_summary,
