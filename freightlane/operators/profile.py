@@ -18,7 +18,7 @@ from freightlane.plans.contract import Contract
 DIGEST_ABOVE = 64
 
 
-def _flat(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def flat_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Only the given columns, nested ones as JSON text."""
     types = {f.name: f.dataType for f in df.schema}
     return df.select(*[
@@ -47,7 +47,7 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Rows are unpivoted to (column, value) with the value in a lane of its own type, so repeats collapse in
     the map tasks and one frequent value is one row per task. Columns without a value give no row.
     """
-    flat = _flat(df, columns)
+    flat = flat_columns(df, columns)
     split = [_lane(F.col(quoted(f.name)), f.dataType) for f in flat.schema]
     lanes = {lane: value for lane, value in split}
     position = {lane: n for n, lane in enumerate(lanes)}
@@ -101,7 +101,7 @@ def profile(
     values; `sample` profiles a share of the rows.
     """
     names = list(columns or df.columns)
-    flat = _flat(df, names)
+    flat = flat_columns(df, names)
     if sample is not None:
         flat = flat.sample(sample, seed=0)
     # Minima of text need Spark's sort aggregate; apart from it, the other columns keep the compiled hash

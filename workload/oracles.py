@@ -365,3 +365,9 @@ ORACLES["load_filtered"] = ORACLES["load_overlap"]
 ORACLES["views_incremental"] = ORACLES["v4_entity_summary"]
 ORACLES["views_incremental_source"] = ORACLES["v1_status_summary"]
 ORACLES["load_stateful"] = ORACLES["load_overlap"]
+ORACLES["profile_incremental"] = f"""
+SELECT table_name, column_name, (SELECT count(*) FROM lineitem) AS rows, null_rate, min_value, max_value, max_length, true AS near
+FROM ({ORACLES["profile_lineitem"]})"""
+ORACLES["page_sketch"] = """
+SELECT 'clustered' AS key_name, count(*) AS rows_paged, CAST(8 AS BIGINT) AS pages, true AS balanced FROM orders
+UNION ALL SELECT 'customer.c_name', count(*), 4, true FROM customer"""

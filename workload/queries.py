@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from freightlane.functions.scalars import as_text
-from freightlane.operators import conform as cf, keys, load, profile as pf, reconcile as rc, tree
+from freightlane.operators import conform as cf, facts, keys, load, profile as pf, reconcile as rc, tree
 from freightlane.plans import maintained, views
 from freightlane.plans.contract import ColumnSpec, Contract, ForeignKey
 from freightlane.session import work_folder
@@ -464,6 +464,37 @@ CHECKED_KEYS = (
 )
 
 
+def profile_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items profiled batch by batch: exact facts, and whether the merged sketches are as near as they should be."""
+    place, lines = work_folder(spark, "facts"), table(spark, folder, "lineitem")
+    for i, part in enumerate(_thirds(lines, "l_orderkey")):
+        facts.store_facts(part, place, "run-1", i)
+    exact = pf.distinct_counts(lines, lines.columns)
+    found = facts.stored_profile(spark, place, "lineitem").join(F.broadcast(exact), "column_name")
+    near = F.abs(F.col("distinct_estimate") - F.col("distinct_count")) <= 0.08 * F.col("distinct_count") + 1
+    return found.select("table_name", "column_name", "rows", "null_rate", "min_value", "max_value", "max_length", near.alias("near"))
+
+
+def page_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages by a quantile sketch of a clustered and of a text key: none holds more than 1.5 times its share."""
+
+    def shares(df: DataFrame, name: str, key: str, pages: int) -> DataFrame:
+        sizes = src.with_sketched_page(df, key, pages).groupBy("page").agg(F.count(F.lit(1)).alias("n"))
+        return sizes.agg(
+            F.lit(name).alias("key_name"),
+            F.sum("n").alias("rows_paged"),
+            F.count(F.lit(1)).alias("pages"),
+            (2 * F.max("n") * pages <= 3 * F.sum("n")).alias("balanced"),
+        )
+
+    orders = table(spark, folder, "orders")
+    dense = F.when(F.col("o_orderkey") % 100 == 0, F.col("o_orderkey") * 1_000_000).otherwise(F.col("o_orderkey"))
+    return rc.all_checks([
+        shares(orders.select(dense.alias("key")), "clustered", "key", 8),
+        shares(table(spark, folder, "customer"), "customer.c_name", "c_name", 4),
+    ])
+
+
 def key_check(spark: SparkSession, folder: str) -> DataFrame:
     return rc.all_checks(keys.key_check(table(spark, folder, name), key, name) for name, key in CHECKED_KEYS)
 
@@ -722,6 +753,8 @@ QUERIES: dict[str, Query] = {
     "profile_events": profile_of("events"),
     "profile_integers_first": profile_of("orders", integers_first=True),
     "profile_file": profile_file,
+    "profile_incremental": profile_incremental,
+    "page_sketch": page_sketch,
     "key_check": key_check,
     "key_check_nulls": key_check_nulls,
     "orphans": orphans,
