@@ -371,3 +371,7 @@ FROM ({ORACLES["profile_lineitem"]})"""
 ORACLES["page_sketch"] = """
 SELECT 'clustered' AS key_name, count(*) AS rows_paged, CAST(8 AS BIGINT) AS pages, true AS balanced FROM orders
 UNION ALL SELECT 'customer.c_name', count(*), 4, true FROM customer"""
+SAMPLED = "substr(md5(CAST(order_id AS VARCHAR)), 1, 8) < '40000000'"
+ORACLES["diff_sample"] = f"""
+SELECT *, (SELECT count(*) FROM (SELECT order_id FROM ({GOOD}) UNION SELECT order_id FROM ({DEFECTIVE})) WHERE {SAMPLED}) AS sampled_keys,
+  true AS bound_holds FROM ({ORACLES["row_diff"]}) WHERE {SAMPLED}"""

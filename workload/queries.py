@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from freightlane.functions.scalars import as_text
-from freightlane.operators import conform as cf, facts, keys, load, profile as pf, reconcile as rc, tree
+from freightlane.operators import conform as cf, facts, keys, load, profile as pf, reconcile as rc, sample, tree
 from freightlane.plans import maintained, views
 from freightlane.plans.contract import ColumnSpec, Contract, ForeignKey
 from freightlane.session import work_folder
@@ -724,6 +724,18 @@ def diff_tree(spark: SparkSession, folder: str) -> DataFrame:
     return tree.tree_diff(read[0], read[1], ORDERS.key, read[2], read[3])
 
 
+SAMPLE_RATE = 0.25
+
+
+def diff_sample(spark: SparkSession, folder: str) -> DataFrame:
+    """The differences among a quarter of all keys, how many keys that was, and whether the bound covers the true share."""
+    good, damaged = good_orders(spark, folder), defective_orders(spark, folder)
+    found = sample.sampled_diff(good, damaged, ORDERS.key, SAMPLE_RATE)
+    every = good.select(*ORDERS.key).union(damaged.select(*ORDERS.key)).distinct().count()
+    share = rc.row_diff(good, damaged, ORDERS.key).count() / max(every, 1)
+    return found.differences.withColumns({"sampled_keys": F.lit(found.keys).cast("long"), "bound_holds": F.lit(share <= found.bound)})
+
+
 QUERIES: dict[str, Query] = {
     "v1_status_summary": v1_status_summary,
     "v2_load_log": v2_load_log,
@@ -779,4 +791,5 @@ QUERIES: dict[str, Query] = {
     "report_file": report_file,
     "row_diff": row_diff,
     "diff_tree": diff_tree,
+    "diff_sample": diff_sample,
 }
