@@ -5,6 +5,8 @@ from __future__ import annotations
 from freightlane.llm import decontaminate as dc
 from freightlane.llm import host_quality as hq
 from freightlane.llm import license_scan as ls
+from freightlane.llm import prefix_trie as pt
+from freightlane.llm import spelling as sp
 from freightlane.llm import substring_dedup as sd
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -247,6 +249,91 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_r
 FROM docs LEFT JOIN summed USING (r)
 """
 
+# CRC-32 of a text of characters below U+0800: the table by its rule, then byte by byte.
+CRC_TABLE = """SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crcs"""
+
+
+def _crc32(text: str) -> str:
+    code = "CASE WHEN ord(x) < 128 THEN [ord(x)::BIGINT] ELSE [192 + ord(x) // 64, 128 + ord(x) % 64]::BIGINT[] END"
+    codes = f"flatten(list_transform(string_split({text}, ''), lambda x: {code}))"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+OP12 = f"""
+WITH RECURSIVE tab AS ({CRC_TABLE}),
+found AS (
+    SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]{{{sp.MIN_LENGTH},}}')) AS run FROM documents
+),
+lowered AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM found),
+hashed AS (SELECT run, length(run) AS size, {_crc32("doc_id::VARCHAR || ':' || run")} AS h FROM lowered, tab),
+changed AS (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % size) || substr(run, h % size + 2) ELSE run END AS word FROM hashed
+),
+words AS (SELECT word, count(*) AS n FROM changed WHERE length(word) >= {sp.MIN_LENGTH} GROUP BY word HAVING count(*) >= {sp.MIN_COUNT}),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+masked AS (SELECT word, n, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS mask, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM places),
+pairs AS (
+    SELECT a.word AS word, b.word AS near, b.n AS near_n FROM masked a JOIN masked b ON a.mask = b.mask AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM masked a JOIN words b ON a.less = b.word
+    UNION SELECT b.word, a.word, a.n FROM masked a JOIN words b ON a.less = b.word
+),
+best AS (
+    SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near,
+        row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS nth FROM pairs
+),
+formed AS (
+    SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= {sp.RATIO} * words.n THEN near END AS form,
+        CASE WHEN near_n >= {sp.RATIO} * words.n THEN near_n END AS form_n
+    FROM words LEFT JOIN best ON best.word = words.word AND nth = 1
+),
+ways AS (
+    SELECT word, word AS stop, 0 AS steps FROM formed
+    UNION ALL SELECT ways.word, formed.form, steps + 1 FROM ways JOIN formed ON formed.word = ways.stop WHERE formed.form IS NOT NULL
+),
+ends AS (SELECT word, arg_max(stop, steps) AS root FROM ways GROUP BY word)
+SELECT word, form, root, n::BIGINT AS n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n FROM formed JOIN ends USING (word)
+"""
+
+OP13 = f"""
+WITH tab AS ({CRC_TABLE}),
+ordered AS (
+    SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS p
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+sizes AS (SELECT c, count(*) AS size, c - c % {pt.FAMILY} AS base FROM ordered GROUP BY c),
+plans AS (
+    SELECT s.c, s.base, {_crc32("s.c::VARCHAR")} % {pt.SHARED} AS h, coalesce(b.size, 0) AS base_size
+    FROM sizes s LEFT JOIN sizes b ON b.c = s.base, tab
+),
+turns AS (
+    SELECT plans.c, r, x, p FROM plans JOIN ordered o ON o.c = base AND p < h
+    UNION ALL SELECT plans.c, r, x, least(h, base_size) + p - h FROM plans JOIN ordered o ON o.c = plans.c AND p >= h
+),
+rebuilt AS (SELECT c, list({{'r': r, 'x': x}} ORDER BY p) FILTER (p IS NOT NULL) AS ts FROM plans LEFT JOIN turns USING (c) GROUP BY c),
+whole AS (SELECT c, coalesce(ts, []) AS ts FROM rebuilt),
+members AS (
+    SELECT c, d, len(ts) AS total, to_json(ts[1:d])::VARCHAR AS k, CASE WHEN d > 0 THEN to_json(ts[1 : d - 1])::VARCHAR END AS above,
+        CASE WHEN d > 0 THEN len(regexp_extract_all(ts[d].x, '[^\x20\x09-\x0D]+')) ELSE 0 END AS w
+    FROM (SELECT c, ts, unnest(range(0, len(ts) + 1)) AS d FROM whole)
+),
+nodes AS (
+    SELECT d, k, any_value(above) AS above, min(c) AS name, count(*) AS n, any_value(w) AS w,
+        sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (d = total), '')) AS ends_sha256
+    FROM members GROUP BY d, k
+),
+kids AS (SELECT d - 1 AS d, above AS k, count(*) AS children FROM nodes WHERE d > 0 GROUP BY ALL),
+full_nodes AS (SELECT nodes.*, coalesce(children, 0) AS children FROM nodes LEFT JOIN kids USING (d, k)),
+sums AS (
+    SELECT m.d, m.k, sum((children = 0)::INT) AS n_leaves, sum((n - 1) * u.w) AS saved
+    FROM full_nodes u JOIN members m ON m.c = u.name AND m.d <= u.d GROUP BY m.d, m.k
+)
+SELECT f.name AS conv_id, f.d::BIGINT AS depth, p.name AS parent_conv_id, f.n::BIGINT AS n_convs, f.children::BIGINT AS n_children,
+    n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, f.ends_sha256
+FROM full_nodes f JOIN sums USING (d, k) LEFT JOIN nodes p ON p.d = f.d - 1 AND p.k = f.above
+"""
+
 ORACLES = {
     "op2_warc_salvage": OP2,
     "op3_license_scan": OP3,
@@ -255,4 +342,6 @@ ORACLES = {
     "op8_decontaminate": OP8,
     "op10_tool_calls": OP10,
     "op11_substring_dedup": OP11,
+    "op12_spelling": OP12,
+    "op13_prefix_trie": OP13,
 }
