@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from freightlane.functions.scalars import as_text
-from freightlane.operators import conform as cf, facts, keys, load, profile as pf, reconcile as rc, sample, tree
+from freightlane.operators import conform as cf, facts, fitting, keys, load, profile as pf, reconcile as rc, sample, tree
 from freightlane.plans import maintained, views
 from freightlane.plans.contract import ColumnSpec, Contract, ForeignKey
 from freightlane.session import work_folder
@@ -393,6 +393,11 @@ def cast_loss(spark: SparkSession, folder: str) -> DataFrame:
 # --- scans and profiles -----------------------------------------------------------------------------
 
 
+def fit_types(spark: SparkSession, folder: str) -> DataFrame:
+    """The narrowest types of all columns of all tables, with what the next narrower ones would lose."""
+    return fitting.fit_tables({name: table(spark, folder, name) for name in COUNTED})
+
+
 def scan_filter(spark: SparkSession, folder: str) -> DataFrame:
     where = "l_returnflag = 'R' and l_shipdate >= timestamp_ntz '1998-01-01 00:00:00'"
     return src.scan(table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber", "l_quantity"], where)
@@ -745,6 +750,7 @@ QUERIES: dict[str, Query] = {
     "v6_interactions": v6_interactions,
     "views_incremental": views_incremental,
     "views_incremental_source": views_incremental_source,
+    "fit_types": fit_types,
     "scan_filter": scan_filter,
     "range_pages": range_pages,
     "page_shares": page_shares,
