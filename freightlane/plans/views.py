@@ -81,13 +81,15 @@ def datasource_load_log(datasource_history: DataFrame) -> DataFrame:
     return _newest_first(datasource_history, "datasource", "datasource_id")
 
 
-def datasource_interactions(datasource_details: DataFrame, events: DataFrame, flag: object = DATASOURCE) -> DataFrame:
-    """One row per event and matching datasource detail row."""
+def datasource_interactions(
+    datasource_details: DataFrame, events: DataFrame, flag: object = DATASOURCE, salts: int = 0
+) -> DataFrame:
+    """One row per event and matching datasource detail row. `salts` deals the events of hot items over so many parts."""
     named = events.select(
         "event_id", "item_luid", F.col("event_type").alias("interaction_type"), F.col("event_date").alias("interaction_date")
     )
     return fan_out_join(
-        _flagged(datasource_details, flag), named, "datasource_luid", "item_luid", ["datasource", "datasource_id"]
+        _flagged(datasource_details, flag), named, "datasource_luid", "item_luid", ["datasource", "datasource_id"], salts
     ).select("event_id", "datasource", "datasource_id", "interaction_type", "interaction_date")
 
 

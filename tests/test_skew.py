@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from freightlane.operators import profile as pf, reconcile as rc
-from freightlane.operators.joins import fan_out_join
+from freightlane.operators.joins import fan_out_join, hot_keys
 from freightlane.operators.keys import one_per_key
 from freightlane.plans import views
 
@@ -45,6 +45,21 @@ def test_a_hot_event_key_is_split(spark, small_partitions):
     assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
 
 
+def test_hot_keys_are_found_and_dealt_out(spark, small_partitions):
+    """Half of all events have one key: after salting the longest partition has at most three times the median's rows."""
+    events = spark.range(0, N, 1, 8).select(F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id") % 5000).alias("item"), F.col("id").alias("event"))
+    details = spark.range(0, 6000, 1, 8).select((F.col("id") % 3000).alias("item_id"), F.lit("x").alias("name"))
+    assert hot_keys(events, "item") == [7] and hot_keys(events.filter("item <> 7"), "item") == []
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    sizes = {}
+    for salts in (0, 64):
+        joined = fan_out_join(details, events, "item_id", "item", ["name"], salts)
+        sizes[salts] = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+        assert sum(sizes[salts]) == 2 * events.filter("item < 3000").count()
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sizes[64][-1] <= 3 * sizes[64][len(sizes[64]) // 2] < sizes[0][-1]
+
+
 def test_a_hot_key_leaves_each_task_as_one_row(spark):
     """Rows that reach the shuffle: at most one per key and input task."""
     df = spark.range(0, N, 1, 8).select(hot_key().alias("k"), F.col("id").alias("v"))

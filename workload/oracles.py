@@ -375,3 +375,7 @@ SAMPLED = "substr(md5(CAST(order_id AS VARCHAR)), 1, 8) < '40000000'"
 ORACLES["diff_sample"] = f"""
 SELECT *, (SELECT count(*) FROM (SELECT order_id FROM ({GOOD}) UNION SELECT order_id FROM ({DEFECTIVE})) WHERE {SAMPLED}) AS sampled_keys,
   true AS bound_holds FROM ({ORACLES["row_diff"]}) WHERE {SAMPLED}"""
+ORACLES["interactions_salted"] = """
+SELECT o_orderkey AS event_id, c_name AS datasource, c_nationkey AS datasource_id, o_orderpriority AS interaction_type,
+  o_orderdate AS interaction_date
+FROM orders JOIN customer ON c_custkey = CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE o_custkey END"""

@@ -66,6 +66,19 @@ def v3_interactions(spark: SparkSession, folder: str) -> DataFrame:
     return views.datasource_interactions(details, order_events(spark, folder, "o_custkey"), flag="BUILDING")
 
 
+def interactions_salted(spark: SparkSession, folder: str) -> DataFrame:
+    """Interactions of customers, half of all events being of one of them; that one's events are dealt over 32 parts."""
+    details = table(spark, folder, "customer").select(
+        F.col("c_custkey").cast("int").alias("datasource_luid"),
+        F.col("c_name").alias("datasource"),
+        F.col("c_nationkey").alias("datasource_id"),
+        F.lit(views.DATASOURCE).alias("flag"),
+    )
+    events = order_events(spark, folder, "o_custkey")
+    hot = F.when(F.col("event_id") % 2 == 0, F.lit(1)).otherwise(F.col("item_luid"))
+    return views.datasource_interactions(details, events.withColumn("item_luid", hot.cast("long")), salts=32)
+
+
 def order_events(spark: SparkSession, folder: str, item: str) -> DataFrame:
     return table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("event_id"),
@@ -745,6 +758,7 @@ QUERIES: dict[str, Query] = {
     "v1_status_summary": v1_status_summary,
     "v2_load_log": v2_load_log,
     "v3_interactions": v3_interactions,
+    "interactions_salted": interactions_salted,
     "v4_entity_summary": v4_entity_summary,
     "v5_load_log": v5_load_log,
     "v6_interactions": v6_interactions,
