@@ -379,3 +379,57 @@ ORACLES["interactions_salted"] = """
 SELECT o_orderkey AS event_id, c_name AS datasource, c_nationkey AS datasource_id, o_orderpriority AS interaction_type,
   o_orderdate AS interaction_date
 FROM orders JOIN customer ON c_custkey = CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE o_custkey END"""
+
+# Column types as they are stored: 'i' int, 'l' bigint, 'd' double, 's' string, 't' time stamp without zone, 'a' array of float.
+STORED = {
+    "region": "i r_regionkey s r_name",
+    "nation": "i n_nationkey s n_name i n_regionkey",
+    "customer": "l c_custkey s c_name i c_nationkey d c_acctbal s c_mktsegment",
+    "supplier": "l s_suppkey s s_name i s_nationkey d s_acctbal",
+    "part": "l p_partkey s p_name s p_brand s p_type i p_size d p_retailprice",
+    "orders": "l o_orderkey l o_custkey s o_orderstatus d o_totalprice t o_orderdate s o_orderpriority",
+    "lineitem": "l l_orderkey l l_partkey l l_suppkey i l_linenumber d l_quantity d l_extendedprice d l_discount d l_tax s l_returnflag"
+    " s l_linestatus t l_shipdate",
+    "events": "l event_id t ts l user_id s event_type d value s props",
+    "documents": "l doc_id s text s lang s source l n_chars",
+    "embeddings": "l vec_id a embedding i label",
+    "pages": "l page_id s url s html",
+    "benchmark": "l item_id s text",
+    "labels": "l doc_id i quality i toxic",
+    "conversations": "l conv_id l turn s role s text",
+}
+STORED_NAMES = {"i": "int", "l": "bigint", "d": "double", "s": "string", "t": "timestamp_ntz", "a": "array<float>"}
+
+
+def fitted(table: str, kind: str, c: str) -> str:
+    """The ladder of a column's types, with how many values each of them loses."""
+
+    def whole(bits: int) -> str:
+        if kind == "s":
+            return f"count(*) FILTER ({c} IS NOT NULL AND coalesce(CAST(TRY_CAST({c} AS INT{bits // 8}) AS VARCHAR) <> {c}, true))"
+        return f"count(*) FILTER ({c} <> floor({c}) OR {c} NOT BETWEEN -{2 ** (bits - 1)} AND {2 ** (bits - 1) - 1})"
+
+    rungs = [(f"INT{bits // 8}", whole(bits)) for bits in (16, 32, 64)] if kind in "ilds" else []
+    if kind == "d":
+        rungs += [("FLOAT4", f"count(*) FILTER (CAST(CAST({c} AS FLOAT) AS DOUBLE) <> {c})"), ("FLOAT8", "0")]
+    if kind == "s":
+        rungs += [("TEXT", "0")]
+    if kind == "t":
+        rungs = [("DATE", f"count(*) FILTER ({c} <> date_trunc('day', {c}))"), ("DATETIME", "0")]
+    if kind == "a":
+        rungs = [("JSON", "count(*) FILTER (false)")]
+    size = f"'(' || greatest(max(length({c})), 1) || ')'" if kind == "s" else "''"
+    names = "[" + ", ".join(f"'{n}'" for n, _ in rungs) + "]"
+    losses = "[" + ", ".join(n for _, n in rungs) + "]"
+    return f"SELECT '{table}' AS table_name, '{c}' AS column_name, '{STORED_NAMES[kind]}' AS stored_type, {names} AS names, {losses}::BIGINT[] AS losses, coalesce({size}, '') AS size FROM {table}"
+
+
+def _columns(table: str) -> list[tuple[str, str]]:
+    parts = STORED[table].split()
+    return list(zip(parts[::2], parts[1::2], strict=True))
+
+
+ORACLES["fit_types"] = f"""
+SELECT table_name, column_name, stored_type, names[rung] || CASE WHEN names[rung] = 'TEXT' THEN size ELSE '' END AS fitted_type,
+  losses[rung] AS lost, CASE WHEN rung > 1 THEN names[rung - 1] END AS narrower_type, CASE WHEN rung > 1 THEN losses[rung - 1] END AS narrower_lost
+FROM (SELECT *, list_position(losses, 0) AS rung FROM ({union([fitted(t, kind, c) for t in STORED for kind, c in _columns(t)])}))"""
