@@ -1,4 +1,8 @@
-"""The corpus pipeline: quality rules, near duplicates, decontamination, mixing, sharding, each over what the last one kept."""
+"""The corpus pipeline: quality rules, near duplicates, decontamination, mixing, sharding, each over what the last one kept.
+
+Every stage takes the columns of its input through unchanged, whatever their names, and gives no rows for an empty table. A NULL id
+is no ground to drop a document: rows without an id are kept as documents of their own by all stages. Ids are whole numbers.
+"""
 
 from __future__ import annotations
 
@@ -13,27 +17,43 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules of documents and hosts keep."""
+    """Documents that the rules of documents and hosts keep.
+
+    NULL and empty texts have no words and go; NULL is a host of its own; repeated rows are judged alike.
+    """
     return host_quality.kept_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8."""
+    """One document of each group of near copies: five-word shingles, similarity 0.8.
+
+    Texts without words are linked with nothing and stay; of rows with one id and text one stays; rows that share an id but not
+    the text are documents of their own.
+    """
     return near_dedup.deduplicated(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a proven overlap with the benchmark."""
+    """Documents without a proven overlap with the benchmark.
+
+    NULL and empty texts have none and stay; rows that share an id are judged by their own texts.
+    """
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
+    """Every document as often as the mix takes it.
+
+    NULL is a source of its own; a text without words has size 0 and goes with its hash; of equal rows some may be taken once more.
+    """
     return mixing.mixed(docs)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix, shuffled into shards: with `shard` and `slot`."""
+    """The mix, shuffled into shards: with `shard` and `slot`, which replace columns of those names.
+
+    Every row has a place of its own, repeated rows and NULLs too.
+    """
     return sharding.deal(docs)
 
 
