@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from freightlane.functions.types import is_fractional, is_integral, is_nested
 
-# The text forms that Spark reads as a whole number, a number and a boolean.
+# The text forms that Spark reads as a whole number (of 64 bits, so of 19 digits at most), a number and a boolean.
 _BLANK = r"[\s\p{Cntrl}]*"
-WHOLE_TEXT = rf"^{_BLANK}[+-]?\d+{_BLANK}$"
+WHOLE_TEXT = rf"^{_BLANK}[+-]?0*\d{{1,19}}{_BLANK}$"
 NUMBER_TEXT = rf"(?i)^{_BLANK}[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?[df]?|inf|infinity|nan){_BLANK}$"
 BOOLEAN_TEXT = rf"(?i)^{_BLANK}(t|true|y|yes|1|f|false|n|no|0){_BLANK}$"
 INTEGER_BITS = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
@@ -74,7 +74,11 @@ def _plausible(c: Column, have: T.DataType, want: T.DataType) -> Column | None:
     """False for values that cannot be cast, as a cheap test; None where no test is needed."""
     if isinstance(have, T.StringType):
         if is_integral(want):
-            return c.rlike(WHOLE_TEXT)
+            bits = INTEGER_BITS[want.simpleString()]
+            if bits == 64:
+                return c.rlike(WHOLE_TEXT)
+            # Not "rlike and between": Spark takes a cast that stands twice out of an AND and tries it on every value.
+            return safe_cast(c, have, T.LongType()).between(-(1 << (bits - 1)), (1 << (bits - 1)) - 1)
         if is_fractional(want):
             return c.rlike(NUMBER_TEXT)
         return c.rlike(BOOLEAN_TEXT) if isinstance(want, T.BooleanType) else None

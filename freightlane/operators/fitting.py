@@ -11,7 +11,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from freightlane.functions.scalars import quoted, size_of
+from freightlane.functions.scalars import quoted, safe_cast, size_of
 from freightlane.functions.types import is_integral, spark_type
 from freightlane.operators.profile import cast_loss
 from freightlane.plans.contract import ColumnSpec, Contract
@@ -63,7 +63,7 @@ def fitted_types(df: DataFrame, table: str) -> DataFrame:
     for i, f in enumerate(df.schema):
         c = F.col(quoted(f.name))
         if isinstance(f.dataType, T.StringType):
-            found |= {f"{i}_{j}": F.count_if(c.try_cast(spark_type(k)).cast("string") != c) for j, k in enumerate(_WHOLE)}
+            found |= {f"{i}_{j}": F.count_if(safe_cast(c, f.dataType, spark_type(k)).cast("string") != c) for j, k in enumerate(_WHOLE)}
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             found[f"size_{i}"] = F.max(size_of(c, f.dataType))
     more = df.agg(*[v.alias(k) for k, v in found.items()]).first().asDict() if found else {}

@@ -8,7 +8,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from freightlane.functions.scalars import literal, loses_fraction, quoted, safe_cast, size_of, stacked
+from freightlane.functions.scalars import INTEGER_BITS, literal, loses_fraction, quoted, safe_cast, size_of, stacked
 from freightlane.functions.types import is_fractional, is_integral, is_nested, is_temporal
 from freightlane.operators.conform import becomes_json, staged_values
 from freightlane.plans.contract import Contract
@@ -165,16 +165,25 @@ def _facts(
     return stacked(df.agg(*aggregates), names, rows)
 
 
-def _altered(value: Column, cast: Column, have: T.DataType, want: T.DataType) -> Column:
-    """True where a number or time survives the cast but comes back as another value."""
+def _altered(value: Column, cast: Column, have: T.DataType, want: T.DataType) -> Column | None:
+    """True where a number or time survives the cast but comes back as another value; None where that cannot happen."""
+    if have == want or (is_integral(have) and is_integral(want)):
+        return None
     numeric = (is_integral(have) or is_fractional(have)) and (is_integral(want) or is_fractional(want))
-    if have != want and (numeric or (is_temporal(have) and is_temporal(want))):
-        return value != safe_cast(cast, want, have)
-    return F.lit(False)
+    return value != safe_cast(cast, want, have) if numeric or (is_temporal(have) and is_temporal(want)) else None
+
+
+def _uncastable(value: Column, cast: Column, have: T.DataType, want: T.DataType) -> Column | None:
+    """True where a value has no form in the wanted type; None where that cannot happen."""
+    wider = is_integral(have) and is_integral(want) and INTEGER_BITS[have.simpleString()] <= INTEGER_BITS[want.simpleString()]
+    return None if have == want or wider or becomes_json(have, want) else value.isNotNull() & cast.isNull()
 
 
 def cast_loss(df: DataFrame, contract: Contract) -> DataFrame:
-    """One row per contract column: how many values do not survive its type. One scan, no shuffle of rows."""
+    """One row per contract column: how many values do not survive its type. One scan, no shuffle of rows.
+
+    What cannot happen between two types is not counted.
+    """
     staged = staged_values(df, contract)
     aggregates, rows = [], []
     for i, spec in enumerate(contract.columns):
@@ -182,16 +191,16 @@ def cast_loss(df: DataFrame, contract: Contract) -> DataFrame:
         have, want = staged.schema[f"v{i}"].dataType, staged.schema[f"c{i}"].dataType
         fraction = loses_fraction(value, cast, have, want)
         counted = {
-            "uncastable": F.lit(False) if becomes_json(have, want) else value.isNotNull() & cast.isNull(),
-            "fraction_lost": F.lit(False) if fraction is None else fraction,
-            "altered": _altered(value, cast, have, want),
-            "too_long": size_of(cast, want) > spec.length if spec.length else F.lit(False),
+            "uncastable": _uncastable(value, cast, have, want),
+            "fraction_lost": fraction,
+            "altered": None if fraction is not None else _altered(value, cast, have, want),
+            "too_long": size_of(cast, want) > spec.length if spec.length else None,
         }
+        found = {name: f"{name}{i}" if condition is not None else "0L" for name, condition in counted.items()}
+        if fraction is not None:  # a lost fraction is another value
+            found["altered"] = found["fraction_lost"]
         aggregates.append(F.count(value).alias(f"non_null{i}"))
-        aggregates += [F.count_if(condition).alias(f"{name}{i}") for name, condition in counted.items()]
-        rows.append((
-            literal(contract.name), literal(spec.target), literal(spec.base),
-            f"non_null{i}", *[f"{name}{i}" for name in counted],
-        ))
+        aggregates += [F.count(F.when(c, 1)).alias(found[name]) for name, c in counted.items() if c is not None]
+        rows.append((literal(contract.name), literal(spec.target), literal(spec.base), f"non_null{i}", *found.values()))
     names = ("table_name", "column_name", "canonical_type", "non_null", "uncastable", "fraction_lost", "altered", "too_long")
     return stacked(staged.agg(*aggregates), names, rows)
