@@ -2,7 +2,8 @@
 
 Every counted column is a lane. A row becomes one narrow (group, lane, value) per lane that has a value, which are counted and so
 collapse in the map tasks; a hot group is spread over tasks by its values. The counts are additive: those of a batch, or minus
-those of deleted rows, can be added to those of a table, and distinct counts are read off without the table.
+those of deleted rows, can be added to those of a table, and distinct counts are read off without the table. Counts that are
+combined already are moved once for both, to their groups (`gathered`); only a hot group is dealt over salts by its values.
 """
 
 from __future__ import annotations
@@ -13,10 +14,13 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from freightlane.functions.scalars import quoted
 from freightlane.functions.types import is_integral
+from freightlane.operators.joins import HOT_SHARE, hot_keys
 
 #: The lane that counts the rows of a group, whatever they hold.
 PRESENCE = -1
 LANE, WHOLE, TEXT, COUNT = "lane", "whole", "text", "n"
+#: Over how many parts the values of a hot group are dealt: a group that has all rows is in no part larger than a group that is not hot.
+SALT, SALTS = "_salt", int(1 / HOT_SHARE)
 
 
 def _value(c: Column, dtype: T.DataType) -> tuple[Column, Column]:
@@ -31,8 +35,8 @@ def _value(c: Column, dtype: T.DataType) -> tuple[Column, Column]:
     return nothing["whole"], c.cast("string")
 
 
-def lane_counts(rows: DataFrame, group: Sequence[str], counted: Mapping[str, Column], weight: Column | None = None) -> DataFrame:
-    """The group's columns, lane (the place in `counted`, or PRESENCE), whole, text, n: how often each value stands in each group.
+def lane_rows(rows: DataFrame, group: Sequence[str], counted: Mapping[str, Column], weight: Column | None = None) -> DataFrame:
+    """The group's columns, lane (the place in `counted`, or PRESENCE), whole, text, n: one row per value that stands in a row.
 
     `weight` is what a row counts, by default 1; -1 takes a deleted row away again.
     """
@@ -46,8 +50,12 @@ def lane_counts(rows: DataFrame, group: Sequence[str], counted: Mapping[str, Col
         for i, (whole, text) in enumerate(pairs)
     ]
     each = values.select(*[quoted(g) for g in group], "_w", F.explode(F.array(*lanes)).alias("_v")).filter(F.col("_v").isNotNull())
-    each = each.select(*[quoted(g) for g in group], f"_v.{LANE}", f"_v.{WHOLE}", f"_v.{TEXT}", F.col("_w").alias(COUNT))
-    return added(each, group)
+    return each.select(*[quoted(g) for g in group], f"_v.{LANE}", f"_v.{WHOLE}", f"_v.{TEXT}", F.col("_w").alias(COUNT))
+
+
+def lane_counts(rows: DataFrame, group: Sequence[str], counted: Mapping[str, Column], weight: Column | None = None) -> DataFrame:
+    """The rows of lane_rows() added up: how often each value stands in each group."""
+    return added(lane_rows(rows, group, counted, weight), group)
 
 
 def added(counts: DataFrame, group: Sequence[str]) -> DataFrame:
@@ -56,14 +64,39 @@ def added(counts: DataFrame, group: Sequence[str]) -> DataFrame:
     return summed.filter((F.col(COUNT) != 0) | (F.col(LANE) == PRESENCE))
 
 
+def gathered(counts: DataFrame, group: Sequence[str], by: Sequence[str] | None = None) -> DataFrame:
+    """`added` for distinct_from(), of counts that few rows share a value of, such as those of batches.
+
+    They are moved once, to the partition of their group, where the distinct counts are taken too. `by` are the columns of
+    the group to place it by, so that a join on them follows without a shuffle. Groups with more than HOT_SHARE of the rows, told by
+    a sketch in a pass over the columns `by`, are dealt over SALTS parts by their values, and their parts' counts added up.
+    Text with a collation is equal without having equal hashes, so such groups are only added up.
+    """
+    by = list(by or group)
+    types = [counts.schema[c].dataType for c in by]
+    if any(isinstance(t, T.StringType) and t.collation != "UTF8_BINARY" for t in types):
+        return added(counts, group)
+    mark = F.xxhash64(*[quoted(c) for c in by])
+    hot = hot_keys(counts.select(mark.alias("_group")), "_group")
+    places = [F.col(quoted(c)) for c in by]
+    if not hot:
+        return added(counts.repartition(*places), group)
+    salt = F.when(mark.isin(hot), F.pmod(F.xxhash64(LANE, WHOLE, TEXT), F.lit(SALTS)).cast("int")).otherwise(0)
+    return added(counts.withColumn(SALT, salt).repartition(*places, F.col(SALT)), [*group, SALT])
+
+
 def distinct_from(counts: DataFrame, group: Sequence[str], names: Sequence[str], rows: str | None = None) -> DataFrame:
     """The group's columns and one distinct count per lane, for groups that have rows; `rows` names a column for their sum.
 
-    Groups are hashed once more, with one row per task and group.
+    Groups are hashed once more, with one row per task and group, unless the counts are `gathered` and no group is hot.
     """
+    keys = [quoted(g) for g in group]
     here = F.sum(F.when(F.col(LANE) == PRESENCE, F.col(COUNT)))
     numbers = [F.count_if((F.col(LANE) == i) & (F.col(COUNT) > 0)).alias(n) for i, n in enumerate(names)]
-    out = counts.groupBy(*[quoted(g) for g in group]).agg(*numbers, here.alias("_rows"))
+    salted = [SALT] if SALT in counts.columns else []
+    out = counts.groupBy(*keys, *salted).agg(*numbers, here.alias("_rows"))
+    if salted:
+        out = out.groupBy(*keys).agg(*[F.sum(quoted(n)).alias(n) for n in (*names, "_rows")])
     if rows:
         return out.withColumnRenamed("_rows", rows)
     return out.filter(F.col("_rows") > 0).drop("_rows")

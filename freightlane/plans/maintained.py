@@ -11,10 +11,11 @@ The interaction views are joins. What a batch adds to them is the join of its ne
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from freightlane.operators.lanes import added, distinct_from, lane_counts
+from freightlane.operators.lanes import added, distinct_from, gathered, lane_rows
 from freightlane.operators.load import BATCH, RUN, batch_folder
 from freightlane.plans import views
 
@@ -24,14 +25,31 @@ WORKBOOK_PARTS = views.WORKBOOK_GROUPS
 
 
 def store(parts: Mapping[str, DataFrame], place: str, run: str, batch: int) -> None:
-    """Keep a batch's counts; a repeated batch replaces its own."""
-    for part, counts in parts.items():
-        counts.write.mode("overwrite").parquet(batch_folder(f"{place}/{part}", run, batch))
+    """Keep a batch's counts; a repeated batch replaces its own.
+
+    The parts are independent jobs, submitted together so that the last tasks of one leave no cores idle.
+    """
+
+    def keep(part: str) -> None:
+        parts[part].write.mode("overwrite").parquet(batch_folder(f"{place}/{part}", run, batch))
+
+    with ThreadPoolExecutor(max(1, len(parts))) as pool:
+        list(pool.map(keep, parts))
+
+
+def stored(spark: SparkSession, place: str, part: str) -> DataFrame:
+    """All batches' counts of a part."""
+    return spark.read.parquet(f"{place}/{part}").drop(RUN, BATCH)
 
 
 def recall(spark: SparkSession, place: str, part: str, group: Sequence[str]) -> DataFrame:
     """The sum of all batches' counts of a part."""
-    return added(spark.read.parquet(f"{place}/{part}").drop(RUN, BATCH), group)
+    return added(stored(spark, place, part), group)
+
+
+def recall_groups(spark: SparkSession, place: str, part: str, group: Sequence[str], by: Sequence[str] | None = None) -> DataFrame:
+    """The sum of all batches' counts of a part for distinct_from(), which then needs no shuffle but for hot groups."""
+    return gathered(stored(spark, place, part), group, by)
 
 
 def compact(spark: SparkSession, place: str, into: str, groups: Mapping[str, Sequence[str]], run: str = "compacted") -> None:
@@ -40,9 +58,12 @@ def compact(spark: SparkSession, place: str, into: str, groups: Mapping[str, Seq
 
 
 def plus_minus(new: DataFrame | None, gone: DataFrame | None, lanes: Callable[[DataFrame, int], DataFrame], group: Sequence[str]) -> DataFrame:
-    """The counts of new rows less those of deleted ones; an update is both."""
-    sides = [lanes(rows, sign) for rows, sign in ((new, 1), (gone, -1)) if rows is not None]
-    return sides[0] if len(sides) == 1 else added(sides[0].unionByName(sides[1]), group)
+    """The counts of new rows less those of deleted ones; an update is both. `lanes` gives rows that are not added up yet."""
+    return one_sum([lanes(rows, sign) for rows, sign in ((new, 1), (gone, -1)) if rows is not None], group)
+
+
+def one_sum(sides: Sequence[DataFrame], group: Sequence[str]) -> DataFrame:
+    return added(sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1]), group)
 
 
 def follow_datasources(
@@ -58,10 +79,10 @@ def follow_datasources(
     """Add a batch of datasource details and custom queries, new and deleted ones, to what the summary is read from."""
     parts = {}
     if details is not None or gone is not None:
-        lanes = lambda rows, sign: views.datasource_lanes(rows, flag, F.lit(sign))
+        lanes = lambda rows, sign: views.datasource_lanes(rows, flag, F.lit(sign), lane_rows)
         parts["details"] = plus_minus(details, gone, lanes, DATASOURCE_PARTS["details"])
     if queries is not None or gone_queries is not None:
-        ids = lambda rows, sign: lane_counts(
+        ids = lambda rows, sign: lane_rows(
             rows.select(views.query_ids(rows).alias("query_id")).filter(F.col("query_id").isNotNull()), ("query_id",), {}, F.lit(sign)
         )
         parts["queries"] = plus_minus(queries, gone_queries, ids, DATASOURCE_PARTS["queries"])
@@ -69,7 +90,7 @@ def follow_datasources(
 
 
 def datasource_summary(spark: SparkSession, place: str) -> DataFrame:
-    details, queries = (recall(spark, place, part, group) for part, group in DATASOURCE_PARTS.items())
+    details, queries = (recall_groups(spark, place, part, group) for part, group in DATASOURCE_PARTS.items())
     return views.datasource_summary_of(details, distinct_from(queries, DATASOURCE_PARTS["queries"], ()))
 
 
@@ -83,31 +104,32 @@ def follow_workbooks(
     """
     tables = ("dashboard_details", "datasource_details", "custom_queries", "usage")
     sides = [
-        views.workbook_lanes(**{t: rows.get(t) for t in tables}, flag=flag, plain=plain, weight=sign)
+        views.workbook_lanes(**{t: rows.get(t) for t in tables}, flag=flag, plain=plain, weight=sign, lanes=lane_rows)
         for rows, sign in ((new, 1), (gone or {}, -1))
     ]
     parts = {}
     for part, group in WORKBOOK_PARTS.items():
         found = [side[part] for side in sides if part in side]
         if found:
-            parts[part] = found[0] if len(found) == 1 else added(found[0].unionByName(found[1]), group)
+            parts[part] = one_sum(found, group)
     store(parts, place, run, batch)
 
 
 def workbook_summary(spark: SparkSession, place: str) -> DataFrame:
-    return views.workbook_summary_of({part: recall(spark, place, part, group) for part, group in WORKBOOK_PARTS.items()})
+    by = views.WORKBOOK_KEY
+    return views.workbook_summary_of({part: recall_groups(spark, place, part, group, by) for part, group in WORKBOOK_PARTS.items()})
 
 
 def follow_log(place: str, run: str, batch: int, history: DataFrame, names: Sequence[str], gone: DataFrame | None = None) -> None:
     """Add a batch of a history table to what its load log is read from."""
     group = ("load_time", *names)
-    lanes = lambda rows, sign: lane_counts(rows, group, {}, F.lit(sign))
+    lanes = lambda rows, sign: lane_rows(rows, group, {}, F.lit(sign))
     store({"log": plus_minus(history, gone, lanes, group)}, place, run, batch)
 
 
 def load_log(spark: SparkSession, place: str, names: Sequence[str]) -> DataFrame:
     group = ("load_time", *names)
-    return distinct_from(recall(spark, place, "log", group), group, ()).orderBy(F.desc("load_time"), *names)
+    return distinct_from(recall_groups(spark, place, "log", group), group, ()).orderBy(F.desc("load_time"), *names)
 
 
 def new_interactions(

@@ -40,10 +40,13 @@ DATASOURCE_COUNTS = {
 }
 
 
-def datasource_lanes(datasource_details: DataFrame, flag: object = DATASOURCE, weight: Column | None = None) -> DataFrame:
-    """How often each value stands in each datasource group: what the summary's counts are read from."""
+def datasource_lanes(
+    datasource_details: DataFrame, flag: object = DATASOURCE, weight: Column | None = None, lanes: Callable[..., DataFrame] = lane_counts
+) -> DataFrame:
+    """How often each value stands in each datasource group: what the summary's counts are read from. `lanes` is lane_counts or,
+    to be added up later, lane_rows."""
     counted = {name: blank_to_null(F.col(c)) for name, c in DATASOURCE_COUNTS.items()}
-    return lane_counts(_flagged(datasource_details, flag), DATASOURCE_GROUP, counted, weight)
+    return lanes(_flagged(datasource_details, flag), DATASOURCE_GROUP, counted, weight)
 
 
 def query_ids(custom_queries: DataFrame) -> Column:
@@ -97,8 +100,9 @@ def datasource_interactions(
 OFFERED = ("datasource_cnt", "total_field_cnt", "total_column_cnt", "total_table_cnt")
 USED = ("dashboard_cnt", "sheet_cnt", "used_field_cnt", "used_column_cnt", "used_table_cnt")
 QUERIED = ("custom_query_cnt",)
-#: The tables of the workbook summary, and by what each is grouped.
+#: The tables of the workbook summary, by what each is grouped, and on what the groups are joined.
 WORKBOOK_GROUPS = {"offered": ("workbook_id",), "used": ("workbook_id", "workbook"), "queries": ("workbook_id",), "views": ("workbook_id",)}
+WORKBOOK_KEY = ("workbook_id",)
 
 
 def workbook_lanes(
@@ -109,11 +113,12 @@ def workbook_lanes(
     flag: object = WORKBOOK,
     plain: bool | None = None,
     weight: int = 1,
+    lanes: Callable[..., DataFrame] = lane_counts,
 ) -> dict[str, DataFrame]:
     """The counted values that the workbook summary is read from, for the tables that are given.
 
     Ids are made text before grouping unless all are whole numbers (`plain`), so the grouped rows are already partitioned
-    by the join key. `weight` -1 counts deleted rows.
+    by the join key. `weight` -1 counts deleted rows. `lanes` is lane_counts or, to be added up later, lane_rows.
     """
     tables = [t for t in (dashboard_details, datasource_details, custom_queries, usage) if t is not None]
     plain = all(is_integral(t.schema["workbook_id"].dataType) for t in tables) if plain is None else plain
@@ -126,17 +131,17 @@ def workbook_lanes(
     if datasource_details is not None:
         counted = (F.col("datasource_id"), F.col("field_id"), _per_source("column_name"), _per_source("table_name"))
         rows = keyed(_flagged(datasource_details, flag))
-        out["offered"] = lane_counts(rows, WORKBOOK_GROUPS["offered"], dict(zip(OFFERED, counted, strict=True)), sign)
+        out["offered"] = lanes(rows, WORKBOOK_GROUPS["offered"], dict(zip(OFFERED, counted, strict=True)), sign)
     if dashboard_details is not None:
         counted = (
             F.col("dashboard_id"), F.col("sheet_id"), F.col("field_id"), _per_source("column_name"), _per_source("table_name")
         )
-        out["used"] = lane_counts(keyed(dashboard_details), WORKBOOK_GROUPS["used"], dict(zip(USED, counted, strict=True)), sign)
+        out["used"] = lanes(keyed(dashboard_details), WORKBOOK_GROUPS["used"], dict(zip(USED, counted, strict=True)), sign)
     if custom_queries is not None:
-        out["queries"] = lane_counts(keyed(custom_queries), WORKBOOK_GROUPS["queries"], {QUERIED[0]: F.col("custom_query_id")}, sign)
+        out["queries"] = lanes(keyed(custom_queries), WORKBOOK_GROUPS["queries"], {QUERIED[0]: F.col("custom_query_id")}, sign)
     if usage is not None:
         views = F.coalesce(F.col("total_views").cast("long"), F.lit(0).cast("long")) * weight
-        out["views"] = lane_counts(keyed(usage), WORKBOOK_GROUPS["views"], {}, views)
+        out["views"] = lanes(keyed(usage), WORKBOOK_GROUPS["views"], {}, views)
     return out
 
 

@@ -35,6 +35,54 @@ def test_counts_add_up_and_deleted_rows_go(spark):
     assert rows(lanes.distinct_from(both, group, ["i", "s"])) == rows(lanes.distinct_from(plus[1], group, ["i", "s"]))
 
 
+@pytest.mark.parametrize("hot", [True, False])
+def test_gathered_counts(spark, hot):
+    """A group with half of all rows is dealt out; without one, the distinct counts follow without another shuffle."""
+    df = spark.range(4000).select(
+        (F.when((F.col("id") % 2 == 0) & F.lit(hot), F.lit(None)).otherwise(F.col("id") % 1000)).alias("g"),
+        (F.col("id") % 2).cast("string").alias("h"), F.col("id").alias("i"), F.when(F.col("id") % 5 > 0, F.col("id") % 7).alias("s"),
+    )
+    group, names = ["g", "h"], ["i", "s"]
+    sides = [lanes.lane_counts(part, group, {c: F.col(c) for c in names}, F.lit(n)) for part, n in ((df, 1), (df, 1), (df.filter("id % 3 = 0"), -2))]
+    counts = sides[0].unionByName(sides[1]).unionByName(sides[2])
+    got = lanes.gathered(counts, group, ["g"])
+    assert (lanes.SALT in got.columns) == hot
+    assert rows(lanes.distinct_from(got, group, names, rows="n")) == rows(lanes.distinct_from(lanes.added(counts, group), group, names, rows="n"))
+    assert rows(lanes.distinct_from(got, group, names)) == rows(df.filter("id % 3 <> 0").groupBy(*group).agg(*[F.count_distinct(c).alias(c) for c in names]))
+    if hot:
+        assert got.filter("g IS NULL").select(lanes.SALT).distinct().count() > 100
+
+
+def test_hot_groups_of_one_collation_are_one(spark):
+    df = spark.range(600).select(F.when(F.col("id") % 2 == 0, "a").otherwise("A").cast("string collate UTF8_LCASE").alias("g"), (F.col("id") % 50).alias("i"))
+    got = lanes.distinct_from(lanes.gathered(lanes.lane_rows(df, ["g"], {"i": F.col("i")}), ["g"]), ["g"], ["i"])
+    assert [r["i"] for r in got.collect()] == [50]
+
+
+def test_stored_batches_are_moved_once(spark, tmp_path):
+    """Each part is shuffled to the key of the joins, and neither its sums nor its distinct counts nor the joins move it again."""
+    n = spark.range(3000)
+    details = n.select((F.col("id") % 1000).alias("workbook_id"), F.lit("w").alias("workbook"), "id", F.lit(views.WORKBOOK).alias("flag"))
+    details = details.select("*", *[F.col("id").alias(c) for c in ("dashboard_id", "sheet_id", "field_id", "datasource_id", "column_name", "table_name")])
+    tables = {
+        "dashboard_details": details, "datasource_details": details,
+        "custom_queries": details.select("workbook_id", F.col("id").alias("custom_query_id")),
+        "usage": details.select("workbook_id", F.col("id").cast("int").alias("total_views")),
+    }
+    half = lambda i: {t: df.filter(F.col("workbook_id") % 2 == i) for t, df in tables.items()}
+    maintained.follow_workbooks(str(tmp_path), "r", 0, half(0))
+    maintained.follow_workbooks(str(tmp_path), "r", 1, half(1), half(0))
+    maintained.follow_workbooks(str(tmp_path), "r", 2, half(0))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = maintained.workbook_summary(spark, str(tmp_path))
+        assert plan_of(got).count("Exchange hashpartitioning") == len(maintained.WORKBOOK_PARTS)
+        assert rows(got) == rows(views.workbook_summary(**tables))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 @pytest.mark.parametrize(("incremental", "whole"), [("views_incremental", "v4_entity_summary"), ("views_incremental_source", "v1_status_summary")])
 def test_batches_give_the_whole_view(spark, folder, incremental, whole):
     assert rows(q.QUERIES[incremental](spark, folder)) == rows(q.QUERIES[whole](spark, folder))
