@@ -22,6 +22,8 @@ from freightlane.session import remove_folder, work_folder
 
 #: 2^BITS bits per batch at most: 8 MB, for some millions of keys. About 16 bits per key of the target rule out most new keys.
 BITS = 26
+#: Rows of a batch up to which may_be_in() tells most keys apart.
+FEW_ROWS = 1 << (BITS - 3)
 #: Bits of one stored bitmap, as Spark's bitmap functions have them.
 _BITMAP_BITS = 32_768
 RUN, BATCH = "load_run", "load_batch"
@@ -75,6 +77,27 @@ def remember(rows: DataFrame, target: str, key: Sequence[str], run: str, batch:
     bitmaps(rows, key, bits).write.mode("overwrite").parquet(_batch_folder(target, run, batch, bits))
 
 
+def may_be_in(batch: DataFrame, key: Sequence[str], rows: int) -> Column:
+    """Whether the key of another frame's row may be one of `batch`, which has up to `rows` rows: certainly not, if this is false.
+
+    The batch's own bitmap of at least eight bits a row, up to 2^BITS, is one value that goes to all tasks: 16 MB at most, as it is
+    told in digits of four bits. A digit is the low half of a character, so that a look takes a few instructions and no join.
+    """
+    bits = min(BITS, max(_BITMAP_BITS, 8 * rows - 1).bit_length())
+    spot, at = F.floor(F.col("place") / _BITMAP_BITS).alias("bucket"), F.pmod("place", F.lit(_BITMAP_BITS)).alias("at")
+    placed = batch.select(_place(key, bits).alias("place")).select(spot, at)
+    # Every bucket is there, be it empty, so that places are found by counting.
+    every = batch.sparkSession.range(0, (1 << bits) // _BITMAP_BITS, 1, 1).select(F.col("id").alias("bucket"), F.lit(None).cast("long").alias("at"))
+    whole = placed.unionByName(every).groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("bits"))
+    digits = F.translate(F.hex("bits"), "ABCDEF", ":;<=>?").alias("digits")
+    row = F.array_sort(F.collect_list(F.struct("bucket", digits)))
+    told = whole.agg(F.array_join(F.transform(row, lambda b: b["digits"]), "").cast("binary")).scalar()
+    place = _place(key, bits)
+    # Bitmaps hold the lower half of a byte first, digits the upper one.
+    digit = F.substring(told, (F.shiftright(place, 2).bitwiseXOR(F.lit(1)) + 1).cast("int"), F.lit(1))
+    return F.getbit(F.ascii(digit.cast("string")), F.pmod(place, F.lit(4)).cast("int")) == 1
+
+
 def batches_of(df: DataFrame) -> set[tuple[str, int]]:
     """The (run, batch) folders among the files of a frame; their names alone are read."""
     found = set()

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from freightlane.functions.scalars import quoted
 from freightlane.operators import keyfilter
-from freightlane.operators.conform import breaks_contract, reject_counts, split, staged_values
+from freightlane.operators.conform import breaks_contract, conform, reject_counts, split, staged_values
 from freightlane.operators.keys import not_loaded, one_per_key
 from freightlane.plans.contract import Contract
 from freightlane.sources.sinks import write_rejects
@@ -114,7 +114,8 @@ def load_batch(
     Bad rows go to `rejects` as CSV and the load goes on, unless their share is above `max_reject_rate`.
     The source is scanned once for the columns the rules need, and once for the load; rejects are only
     written when there are any. A `frozen` source (files) gives the same rows every time it is read, so its
-    key range, found by the first scan, may prune the target. Key columns are required, so no key has a NULL part.
+    key range, found by the first scan, may prune the target; a batch of up to keyfilter.FEW_ROWS rows also tells by a filter of
+    its own keys which of the target's are worth a comparison. Key columns are required, so no key has a NULL part.
     With `key_bits` a filter of that many bits (2^key_bits) is kept beside the target for each batch, and the target is read
     only for keys that the filters cannot rule out (operators/keyfilter.py). Loads of one target should agree on it.
     """
@@ -134,6 +135,9 @@ def load_batch(
         loaded = loaded.filter(~((F.col(RUN) == run) & (F.col(BATCH) == batch)))
         if ranged:
             loaded = _in_key_range(loaded, contract, counts["low"], counts["high"])
+            if not key_bits and counts["rows_read"] <= keyfilter.FEW_ROWS:
+                # Of a large target's keys only those that a small batch may have are shuffled and compared.
+                loaded = loaded.filter(keyfilter.may_be_in(conform(df, contract), contract.key, counts["rows_read"]))
     folder = batch_folder(target, run, batch)
     if key_bits and contract.key:
         fresh, _ = keyfilter.new_by_filter(good, loaded, contract.key, target, key_bits)
@@ -159,7 +163,7 @@ def load_batch(
     }
     if log:
         place = f"{log.rstrip('/')}/{contract.name}/{run}/{batch}"
-        log_frame(spark, [entry]).coalesce(1).write.mode("overwrite").json(place)
+        _log_line(spark, entry).write.mode("overwrite").json(place)
     return entry
 
 
@@ -182,6 +186,12 @@ def log_frame(spark: SparkSession, entries: Iterable[dict[str, object]]) -> Data
     return spark.createDataFrame([tuple(e[f.name] for f in schema) for e in entries], schema)
 
 
+def _log_line(spark: SparkSession, entry: dict[str, object]) -> DataFrame:
+    """One log row as literals, so that no Python process starts for it, as one does for rows of log_frame()."""
+    fields = T.StructType.fromDDL(LOG_SCHEMA)
+    return spark.range(0, 1, 1, 1).select(*[F.lit(entry[f.name]).cast(f.dataType).alias(f.name) for f in fields])
+
+
 def read_log(spark: SparkSession, log: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", True).json(log)
 

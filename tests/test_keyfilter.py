@@ -70,3 +70,40 @@ def test_bits_of_bitmaps(spark):
         found = df.withColumn("place", place).join(maps, (place / 32768).cast("long") == maps["bucket"])
         known = {r["k"] for r in found.filter(keyfilter._is_set(found["bits"], found["place"])).collect()}
         assert known >= {r["k"] for r in df.limit(100).collect()}
+
+
+def test_a_small_batch_compares_few_keys_of_a_large_target(spark, tmp_path, monkeypatch):
+    """Its keys lie at both ends of the target's range, so the range prunes nothing."""
+    place, seen, real = str(tmp_path / "t"), [], load.new_rows
+
+    def watched(good, target, *args, **options):
+        seen.append(None if target is None else target.count())
+        return real(good, target, *args, **options)
+
+    monkeypatch.setattr(load, "new_rows", watched)
+    batches = [frame(spark, range(6000)), frame(spark, [0, 1, 5999, 7000], "again")]
+    assert loaded(spark, batches, place, frozen=True) == [6000, 1]
+    assert seen[0] is None and 3 <= seen[1] < 600
+    assert loaded(spark, batches, place, frozen=True) == [6000, 1]
+    assert load.read_target(spark, place, CONTRACT).count() == 6001
+
+
+@pytest.mark.parametrize("kind", ["long", "string", "decimal(12,3)", "double", "date", "binary"])
+@pytest.mark.parametrize("n", [1, 3, 5000, 40_000])
+def test_no_key_of_the_batch_is_ruled_out_and_most_others_are(spark, kind, n):
+    number = {"date": "date_from_unix_date(int(id))", "binary": "cast(string(id) as binary)", "double": "double(id) / 7"}.get(kind, f"cast(id as {kind})")
+    batch = spark.range(n).selectExpr(f"{number} AS k", "int(id % 5) AS p")
+    others = spark.range(100_000, 110_000).selectExpr(f"{number} AS k", "int(id % 5) AS p")
+    told = keyfilter.may_be_in(batch, ["k", "p"], n)
+    assert batch.filter(told).count() == n
+    assert others.filter(told).count() < 2_000
+
+
+def test_zeros_of_both_signs_are_one_key_of_the_batch(spark):
+    batch = spark.sql("SELECT double('-0.0') AS k UNION ALL SELECT double('NaN')")
+    target = spark.sql("SELECT 0d AS k UNION ALL SELECT double('NaN')")
+    assert target.filter(keyfilter.may_be_in(batch, ["k"], 2)).count() == 2
+
+
+def test_an_empty_batch_has_no_key(spark):
+    assert frame(spark, range(50)).filter(keyfilter.may_be_in(frame(spark, [1]).limit(0), CONTRACT.key, 0)).count() == 0

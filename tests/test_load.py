@@ -1,3 +1,6 @@
+from datetime import datetime, timezone
+
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,7 +8,8 @@ from freightlane.operators import load
 from freightlane.plans.contract import ColumnSpec, Contract
 from freightlane.streaming import resume
 from freightlane.streaming.resume import resume_load
-from tests.conftest import rows
+from tests.conftest import plan_of, rows
+from workload import queries as q
 
 ITEMS = Contract(
     "s.items",
@@ -241,3 +245,28 @@ def test_frozen_and_live_sources_load_the_same(spark, place, frozen):
     for run, df in (("r1", first), ("r2", second), ("r2", second)):
         load.load_batch(df, ITEMS, place["target"], run, frozen=frozen)
     assert rows(load.read_target(spark, place["target"], ITEMS)) == [(1, "a", 1), (2, "w", 1), (3, "y", 1)]
+
+
+def test_a_log_row_needs_no_python_process(spark, place):
+    at = datetime(2024, 6, 1, 12, 30, 15, 123456, tzinfo=timezone.utc)
+    entry = {
+        "table_name": "it's \"quoted\"", "load_run": "r1", "load_batch": 3, "rows_read": 2**40, "rows_loaded": 1,
+        "rows_rejected": 0, "rows_ignored": 2, "error": None, "loaded_at": at,
+    }
+    line = load._log_line(spark, entry)
+    assert "ExistingRDD" not in plan_of(line)
+    line.write.json(place["log"])
+    load.log_frame(spark, [entry]).write.json(place["target"])
+    assert rows(load.read_log(spark, place["log"])) == rows(load.read_log(spark, place["target"]))
+
+
+def test_the_batches_of_the_query_can_be_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    """Every file is a batch, so a file of one row group would be read and sorted by one task."""
+    lines = "id % 60000 AS l_orderkey, xxhash64(id) AS l_partkey, xxhash64(-id) AS l_suppkey, int(id / 60000) AS l_linenumber, 1d AS l_quantity, double(id) AS l_extendedprice, rand(1) AS l_discount, 0d AS l_tax, 'N' AS l_returnflag, 'O' AS l_linestatus, timestamp_ntz '2024-01-01' AS l_shipdate"
+    spark.range(0, 240_000, 1, 1).selectExpr(*lines.split(", ")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(q, "work_folder", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    found = q.load_batches(spark, str(tmp_path))
+    files = list((tmp_path / "batches/source").glob("*.parquet"))
+    assert len(files) >= 4 and all(pq.ParquetFile(f).num_row_groups > 1 for f in files)
+    assert found.filter("several_batches").count() == found.count() == 240_000
+    assert found.drop("several_batches").exceptAll(q.load_overlap(spark, str(tmp_path))).count() == 0
